@@ -84,6 +84,338 @@ SELECT {TRIP_COLUMNS}, average, round_trip, start_day, start_dow, pct_weekday, p
 FROM feat
 """
 
+
+PARSE_TRIP_LINES = f"""
+WITH {TRIPS_CTE}
+SELECT CAST(trip_id AS INTEGER) AS trip_id,
+       CASE WHEN trip_id % 10 IN (0, 1) THEN NULL ELSE duration END AS duration,
+       CASE WHEN trip_id % 10 = 2 THEN NULL ELSE date_trunc('minute', start_date) END AS start_date,
+       start_station, start_terminal,
+       date_trunc('minute', end_date) AS end_date,
+       end_station, end_terminal, bike_no, sub_type,
+       CASE WHEN trip_id % 10 = 3 THEN '' ELSE zip END AS zip
+FROM trips
+"""
+
+
+def _f32(text: str) -> str:
+    """A decimal text read as double, then narrowed to 32 bits."""
+    return f"CAST(CAST({text} AS DOUBLE) AS FLOAT)"
+
+
+def _pad2(expr: str) -> str:
+    return f"lpad(CAST({expr} AS VARCHAR), 2, '0')"
+
+
+PARSE_STATION_LINES = f"""
+SELECT CAST(s_suppkey AS INTEGER) AS station_id,
+       s_name AS station_name,
+       CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE {_f32("'37.' || " + _pad2('s_suppkey % 100'))} END AS lat,
+       {_f32("'-122.' || " + _pad2('s_suppkey % 100'))} AS long,
+       CAST(s_nationkey + 10 AS INTEGER) AS dock_ct,
+       n_name AS city,
+       make_date(2013, CAST(s_suppkey % 12 + 1 AS INTEGER), CAST(s_suppkey % 28 + 1 AS INTEGER)) AS install_dt
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+"""
+
+
+def _weather_sql() -> str:
+    from veloframe.sources.schemas import WEATHER_SCHEMA
+    cols = []
+    for i, f in enumerate(WEATHER_SCHEMA.fields):
+        if i == 0:
+            e = "CAST(o_orderdate AS DATE)"
+        elif f.name.endswith("_pressure"):
+            e = _f32("'29.' || " + _pad2(f"(o_orderkey + {i}) % 100"))
+        elif f.name == "precipitation":
+            e = f"CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {_f32(chr(39) + '0.' + chr(39) + ' || ' + _pad2('o_orderkey % 100'))} END"
+        elif f.name == "events":
+            e = "CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'Rain' ELSE 'Fog' END"
+        elif f.name == "zip_code":
+            e = "CAST(94000 + o_orderkey % 200 AS VARCHAR)"
+        else:
+            e = f"CAST(o_orderkey % {i + 50} AS INTEGER)"
+        cols.append(f"{e} AS {f.name}")
+    return "SELECT " + ",\n       ".join(cols) + "\nFROM orders"
+
+
+PARSE_WEATHER_LINES = _weather_sql()
+
+SAFE_CASTS = """
+WITH e AS (
+  SELECT event_id, user_id, ts,
+         CAST(user_id AS VARCHAR) AS b,
+         lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS a2,
+         CAST(year(ts) AS VARCHAR) AS y, CAST(month(ts) AS VARCHAR) AS m,
+         CAST(day(ts) AS VARCHAR) AS d, CAST(hour(ts) AS VARCHAR) AS hh,
+         CAST(minute(ts) AS VARCHAR) AS mi, CAST(second(ts) AS VARCHAR) AS ss,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS whole,
+         lpad(CAST(microsecond(ts) % 1000000 AS VARCHAR), 6, '0') AS micro,
+         year(ts) AS yi
+  FROM events),
+t AS (
+  SELECT *, m || '/' || d || '/' || y AS mdy, hh || ':' || lpad(mi, 2, '0') AS hm FROM e)
+SELECT event_id,
+  CASE event_id % 8 WHEN 0 THEN b WHEN 1 THEN ' ' || b || ' ' WHEN 2 THEN '+' || b
+       WHEN 3 THEN '-' || b WHEN 4 THEN b || '.0' WHEN 5 THEN b || 'e3' WHEN 6 THEN '1_' || b
+       ELSE '' END AS t_int,
+  CASE WHEN event_id % 8 IN (0, 1, 2) THEN CAST(user_id AS INTEGER)
+       WHEN event_id % 8 = 3 THEN CAST(-user_id AS INTEGER) END AS as_int,
+  CASE event_id % 10 WHEN 0 THEN b || '.' || a2 WHEN 1 THEN ' ' || b || '.5 ' WHEN 2 THEN 'nan'
+       WHEN 3 THEN '-inf' WHEN 4 THEN 'Infinity' WHEN 5 THEN b || '.0f' WHEN 6 THEN '.' || b
+       WHEN 7 THEN b || 'e-2' WHEN 8 THEN '0x1p3' ELSE b || '.' END AS t_float,
+  CASE event_id % 10
+       WHEN 0 THEN CAST(CAST(b || '.' || a2 AS DOUBLE) AS FLOAT)
+       WHEN 1 THEN CAST(CAST(b || '.5' AS DOUBLE) AS FLOAT)
+       WHEN 2 THEN CAST('nan' AS FLOAT)
+       WHEN 3 THEN CAST('-inf' AS FLOAT)
+       WHEN 4 THEN CAST('inf' AS FLOAT)
+       WHEN 6 THEN CAST(CAST('0.' || b AS DOUBLE) AS FLOAT)
+       WHEN 7 THEN CAST(CAST(b || 'e-2' AS DOUBLE) AS FLOAT)
+       WHEN 9 THEN CAST(CAST(b AS DOUBLE) AS FLOAT) END AS as_float,
+  CASE event_id % 7 WHEN 0 THEN mdy WHEN 1 THEN lpad(m, 2, '0') || '/' || lpad(d, 2, '0') || '/' || y
+       WHEN 2 THEN '2/30/' || y WHEN 3 THEN m || '/' || d || '/' || lpad(CAST(yi % 100 AS VARCHAR), 2, '0')
+       WHEN 4 THEN ' ' || mdy WHEN 5 THEN mdy || ' 1:00' ELSE '' END AS t_date,
+  CASE WHEN event_id % 7 IN (0, 1) THEN CAST(ts AS DATE) END AS as_date,
+  CASE event_id % 8 WHEN 0 THEN mdy || ' ' || hm
+       WHEN 1 THEN lpad(m, 2, '0') || '/' || lpad(d, 2, '0') || '/' || y || ' ' || hh || ':' || mi
+       WHEN 2 THEN mdy || '  ' || hm WHEN 3 THEN mdy || ' 24:00' WHEN 4 THEN mdy || ' ' || hh || ':60'
+       WHEN 5 THEN ' ' || mdy || ' ' || hm
+       WHEN 6 THEN mdy || ' 0' || lpad(hh, 2, '0') || ':' || lpad(mi, 2, '0')
+       ELSE '2/29/' || y || ' 0:0' END AS t_ts,
+  CASE WHEN event_id % 8 IN (0, 1, 2) THEN date_trunc('minute', ts)
+       WHEN event_id % 8 = 7 AND yi % 4 = 0 AND (yi % 100 <> 0 OR yi % 400 = 0)
+         THEN make_timestamp(yi, 2, 29, 0, 0, 0) END AS as_ts,
+  CASE event_id % 6 WHEN 0 THEN whole || '.' || micro WHEN 1 THEN whole || '.' || substr(micro, 1, 1)
+       WHEN 2 THEN whole WHEN 3 THEN whole || '.' || micro || '0' WHEN 4 THEN whole || '.'
+       ELSE y || '-' || m || '-' || d || ' ' || hh || ':' || mi || ':' || ss || '.' || substr(micro, 1, 2)
+       END AS t_frac,
+  CASE event_id % 6 WHEN 0 THEN ts
+       WHEN 1 THEN date_trunc('second', ts) + to_microseconds(CAST(substr(micro, 1, 1) AS BIGINT) * 100000)
+       WHEN 5 THEN date_trunc('second', ts) + to_microseconds(CAST(substr(micro, 1, 2) AS BIGINT) * 10000)
+       END AS as_frac
+FROM t
+"""
+
+HEADER_STRIP = f"""
+WITH {TRIPS_CTE}
+SELECT CAST(count(*) + 1 AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_null_trip_id FROM trips
+"""
+
+DIRTY_CTE = TRIPS_CTE + """,
+trips_dirty AS (
+  SELECT * REPLACE (
+           CASE WHEN trip_id % 11 <> 0 THEN start_station END AS start_station,
+           CASE WHEN trip_id % 22 <> 0 THEN end_station END AS end_station,
+           CASE WHEN trip_id % 10 = 3 THEN '' ELSE zip END AS zip,
+           CASE WHEN trip_id % 10 <> 4 THEN sub_type END AS sub_type)
+  FROM trips)"""
+
+NON_EMPTY_FILTER = f"""
+WITH {DIRTY_CTE}
+SELECT trip_id FROM trips_dirty
+WHERE start_station <> '' AND end_station <> '' AND sub_type <> '' AND zip <> ''
+"""
+
+HALF = "TIMESTAMP '1998-05-01 00:00:00'"
+
+STACK_COUNTS = f"""
+WITH {TRIPS_CTE}
+SELECT 'first' AS part, count(*) AS n FROM trips WHERE start_date < {HALF}
+UNION ALL SELECT 'second' AS part, count(*) AS n FROM trips WHERE start_date >= {HALF}
+UNION ALL SELECT 'all' AS part, count(*) AS n FROM trips
+"""
+
+STACK_DUPLICATES = f"""
+WITH {TRIPS_CTE}
+SELECT trip_id, count(*) AS n FROM (SELECT trip_id FROM trips UNION ALL SELECT trip_id FROM trips)
+GROUP BY trip_id
+"""
+
+DAYS_BETWEEN = f"""
+WITH {TRIPS_CTE}
+SELECT trip_id, CAST(date_diff('day', start_date, end_date) AS INTEGER) AS duration FROM trips
+"""
+
+STATION_AVERAGE = f"""
+WITH {TRIPS_NULLS_CTE}
+SELECT trip_id, avg(duration) OVER (PARTITION BY start_station) AS average FROM trips_nulls
+"""
+
+ROUND_TRIP = f"""
+WITH {TRIPS_NULLS_CTE}
+SELECT trip_id, CAST(start_station IS NOT DISTINCT FROM end_station AS INTEGER) AS round_trip
+FROM trips_nulls
+"""
+
+DAY_OF_WEEK = f"""
+WITH {TRIPS_CTE}
+SELECT trip_id, {day_sql('start_date')} AS start_day, {dow_sql(day_sql('start_date'))} AS start_dow
+FROM trips
+"""
+
+TRIPS_PER_WEEKDAY = f"""
+WITH {TRIPS_CTE}
+SELECT {day_sql('start_date')} AS start_day, count(*) AS n FROM trips GROUP BY 1 ORDER BY 1
+"""
+
+
+def _station_counts(source: str) -> str:
+    return f"""
+d AS (SELECT *, {dow_sql(day_sql('start_date'))} AS start_dow FROM {source}),
+s AS (
+  SELECT start_station,
+         CAST(count(*) FILTER (WHERE start_dow = 'weekday') AS BIGINT) AS weekday_trips,
+         CAST(count(*) FILTER (WHERE start_dow = 'weekend') AS BIGINT) AS weekend_trips,
+         CAST(count(*) AS BIGINT) AS total_trips
+  FROM d GROUP BY start_station)"""
+
+
+STATION_SHARES = f"""
+WITH {TRIPS_NULLS_CTE},
+{_station_counts('trips_nulls')}
+SELECT start_station, weekday_trips, weekend_trips, total_trips,
+       {share_sql('weekday_trips', 'total_trips')} AS pct_weekday,
+       {share_sql('weekend_trips', 'total_trips')} AS pct_weekend
+FROM s
+"""
+
+SHARES_JOINED = f"""
+WITH {TRIPS_NULLS_CTE},
+{_station_counts('trips_nulls')}
+SELECT d.trip_id,
+       {share_sql('s.weekday_trips', 's.total_trips')} AS pct_weekday,
+       {share_sql('s.weekend_trips', 's.total_trips')} AS pct_weekend
+FROM d LEFT JOIN s ON d.start_station = s.start_station
+"""
+
+TABLE_ROUNDTRIP = f"""
+WITH {TRIPS_CTE}
+SELECT start_station, count(*) AS n FROM trips GROUP BY start_station
+"""
+
+
+def _labels_sql(source: str, cols: list[tuple[str, str]]) -> str:
+    """(col, value, n, idx, k) for the listed (name, text expression) pairs."""
+    union = "\n  UNION ALL ".join(
+        f"SELECT trip_id, '{name}' AS col, {expr} AS value FROM {source}" for name, expr in cols)
+    return f"""
+v AS (
+  {union}),
+c AS (SELECT col, value, count(*) AS n FROM v WHERE value IS NOT NULL GROUP BY col, value),
+r AS (
+  SELECT col, value, n,
+         row_number() OVER (PARTITION BY col ORDER BY n DESC, value) - 1 AS idx,
+         count(*) OVER (PARTITION BY col) AS k
+  FROM c)"""
+
+
+INDEX_COLS = [("start_station", "start_station"), ("sub_type", "sub_type"),
+              ("duration", "CAST(duration AS VARCHAR)")]
+
+STRING_INDEX = f"""
+WITH {TRIPS_CTE},
+{_labels_sql('trips', INDEX_COLS)}
+SELECT col, value, CAST(idx AS INTEGER) AS idx FROM r
+"""
+
+ONE_HOT = f"""
+WITH {TRIPS_CTE},
+{_labels_sql('trips', INDEX_COLS)}
+SELECT v.trip_id, v.col, CAST(r.idx AS INTEGER) AS slot, CAST(r.k AS INTEGER) AS width
+FROM v JOIN r ON v.col = r.col AND v.value = r.value
+"""
+
+ALL_INPUT_TEXT = [("start_station", "start_station"), ("end_station", "end_station"), ("zip", "zip"),
+                  ("duration", "CAST(duration AS VARCHAR)"), ("round_trip", "CAST(round_trip AS VARCHAR)"),
+                  ("average", "CAST(average AS VARCHAR)"), ("start_day", "CAST(start_day AS VARCHAR)"),
+                  ("start_dow", "start_dow")]
+
+
+def _distinct_sum() -> str:
+    parts = [f"count(DISTINCT {name})" for name, _ in ALL_INPUT_TEXT]
+    return " + ".join(parts)
+
+
+ASSEMBLE_SIZE = f"""
+WITH {TRIPS_CTE},
+{features_sql('trips')}
+SELECT CAST({_distinct_sum()} AS INTEGER) AS size,
+       CAST(count(*) AS BIGINT) AS rows,
+       CAST(8 * count(*) AS BIGINT) AS nnz
+FROM feat
+"""
+
+ASSEMBLE_NUMERIC = f"""
+WITH {TRIPS_CTE},
+{_labels_sql('trips', [('sub_type', 'sub_type')])}
+SELECT t.trip_id, CAST(t.duration AS DOUBLE) AS f0, CAST(t.start_terminal AS DOUBLE) AS f1,
+       CAST(r.idx AS DOUBLE) AS label
+FROM trips t JOIN r ON r.col = 'sub_type' AND r.value = t.sub_type
+"""
+
+
+def bucket_sql(key: str) -> str:
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 100)"
+
+
+SPLIT_HASH = f"""
+WITH {TRIPS_CTE}
+SELECT CASE WHEN {bucket_sql('trip_id')} < 80 THEN 'train' ELSE 'valid' END AS part, count(*) AS n
+FROM trips GROUP BY 1
+"""
+
+# Holds when the fitted model is intercept-only (every prediction is the
+# most frequent label, index 0): accuracy = that label's share of the
+# validation part.
+LR_ACCURACY = f"""
+WITH {TRIPS_CTE},
+top AS (SELECT sub_type FROM trips GROUP BY sub_type ORDER BY count(*) DESC, sub_type LIMIT 1),
+valid AS (SELECT sub_type FROM trips WHERE {bucket_sql('trip_id')} >= 80)
+SELECT CAST(sum(CASE WHEN sub_type = (SELECT sub_type FROM top) THEN 1 ELSE 0 END) AS DOUBLE)
+       / count(*) AS accuracy
+FROM valid
+"""
+
+ACCURACY_FROM_PAIRS = """
+WITH p AS (SELECT CAST(CAST(quality = toxic AS INTEGER) AS DOUBLE) AS hit FROM labels)
+SELECT count(*) AS n,
+       sum(hit) / count(hit) AS accuracy,
+       CAST(1 AS DOUBLE) - sum(hit) / count(hit) AS test_error
+FROM p
+"""
+
+LOAD_AND_STACK_JOBS = f"""
+WITH {TRIPS_CTE}
+SELECT 'station' AS dataset, 2 * count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey
+UNION ALL SELECT 'trip' AS dataset, count(*) AS n FROM trips
+UNION ALL SELECT 'weather' AS dataset, count(*) AS n FROM orders
+"""
+
 SQL: dict[str, str] = {
+    "parse_trip_lines": PARSE_TRIP_LINES,
+    "parse_station_lines": PARSE_STATION_LINES,
+    "parse_weather_lines": PARSE_WEATHER_LINES,
+    "safe_casts": SAFE_CASTS,
+    "header_strip": HEADER_STRIP,
+    "non_empty_filter": NON_EMPTY_FILTER,
+    "stack_counts": STACK_COUNTS,
+    "stack_duplicates": STACK_DUPLICATES,
+    "days_between": DAYS_BETWEEN,
+    "station_average": STATION_AVERAGE,
+    "round_trip": ROUND_TRIP,
+    "day_of_week": DAY_OF_WEEK,
+    "trips_per_weekday": TRIPS_PER_WEEKDAY,
+    "station_shares": STATION_SHARES,
+    "shares_joined": SHARES_JOINED,
+    "table_roundtrip": TABLE_ROUNDTRIP,
     "flagship_trip_features": FLAGSHIP,
+    "string_index": STRING_INDEX,
+    "one_hot": ONE_HOT,
+    "assemble_size": ASSEMBLE_SIZE,
+    "assemble_numeric": ASSEMBLE_NUMERIC,
+    "split_hash": SPLIT_HASH,
+    "lr_accuracy": LR_ACCURACY,
+    "accuracy_from_pairs": ACCURACY_FROM_PAIRS,
+    "load_and_stack_jobs": LOAD_AND_STACK_JOBS,
 }

@@ -1,18 +1,209 @@
 """The query catalog: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
 Each query reads the whole benchmark tables (or views Spark derives from
-them) and exercises one operator or job of the inventory. Row-level outputs
-keep ``trip_id`` so unordered results compare row by row.
+them, see ``sources.fixtures``) and exercises one operator or job of the
+inventory. Row-level outputs keep ``trip_id`` so unordered results compare
+row by row. Outputs use int, bigint, double, float, string, date and
+zone-free timestamps only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from veloframe.operators import encode, learn
 from veloframe.operators import features as feat
+from veloframe.operators import relational as rel
+from veloframe.plans import jobs
 from veloframe.sources import fixtures as fx
+from veloframe.sources.catalog import read_table, save_table, shared_path
+from veloframe.sources.ingest import parse_lines
+from veloframe.sources.schemas import (
+    STATION_SCHEMA,
+    TRIP_REQUIRED_TEXT,
+    TRIP_SCHEMA,
+    WEATHER_SCHEMA,
+)
+from veloframe.functions import casts
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Managed table written by the table round trip.
+FEATURE_TABLE = "veloframe_trip_features"
+
+SEED = 42
+
+
+# --- ingest (S1-S7, F1-F5) ---------------------------------------------------
+
+def parse_trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip text lines (header first) -> typed trips."""
+    lines = fx.with_header(spark, fx.trip_lines(spark, sf_dir), fx.TRIP_HEADER)
+    return parse_lines(lines, TRIP_SCHEMA, header=fx.TRIP_HEADER)
+
+
+def parse_station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 (station), F1-F3: station text lines -> typed stations."""
+    lines = fx.with_header(spark, fx.station_lines(spark, sf_dir), fx.STATION_HEADER)
+    return parse_lines(lines, STATION_SCHEMA, header=fx.STATION_HEADER)
+
+
+def parse_weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 (weather), F1-F3: weather text lines -> 24 typed columns."""
+    lines = fx.with_header(spark, fx.weather_lines(spark, sf_dir), fx.WEATHER_HEADER)
+    return parse_lines(lines, WEATHER_SCHEMA, header=fx.WEATHER_HEADER)
+
+
+def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text variants built from every event, cycling through edge cases."""
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    k, b = F.col("event_id"), F.col("user_id").cast("string")
+    y, m, d = F.year("ts").cast("string"), F.month("ts").cast("string"), F.dayofmonth("ts").cast("string")
+    hh, mi = F.hour("ts").cast("string"), F.minute("ts").cast("string")
+    a2 = F.lpad((k % 100).cast("string"), 2, "0")
+    mdy = F.concat_ws("/", m, d, y)
+    hm = F.concat(hh, F.lit(":"), F.lpad(mi, 2, "0"))
+    micro = F.date_format("ts", "SSSSSS")
+    whole = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+
+    def pick(r, options):
+        expr = None
+        for i, o in enumerate(options):
+            expr = F.when(r == i, o) if expr is None else expr.when(r == i, o)
+        return expr
+
+    t_int = pick(k % 8, [b, F.concat(F.lit(" "), b, F.lit(" ")), F.concat(F.lit("+"), b),
+                         F.concat(F.lit("-"), b), F.concat(b, F.lit(".0")), F.concat(b, F.lit("e3")),
+                         F.concat(F.lit("1_"), b), F.lit("")])
+    t_float = pick(k % 10, [F.concat(b, F.lit("."), a2), F.concat(F.lit(" "), b, F.lit(".5 ")),
+                            F.lit("nan"), F.lit("-inf"), F.lit("Infinity"), F.concat(b, F.lit(".0f")),
+                            F.concat(F.lit("."), b), F.concat(b, F.lit("e-2")), F.lit("0x1p3"),
+                            F.concat(b, F.lit("."))])
+    t_date = pick(k % 7, [mdy, F.concat_ws("/", F.lpad(m, 2, "0"), F.lpad(d, 2, "0"), y),
+                          F.concat(F.lit("2/30/"), y),
+                          F.concat_ws("/", m, d, F.lpad((F.year("ts") % 100).cast("string"), 2, "0")),
+                          F.concat(F.lit(" "), mdy), F.concat(mdy, F.lit(" 1:00")), F.lit("")])
+    t_ts = pick(k % 8, [F.concat(mdy, F.lit(" "), hm),
+                        F.concat(F.concat_ws("/", F.lpad(m, 2, "0"), F.lpad(d, 2, "0"), y),
+                                 F.lit(" "), hh, F.lit(":"), mi),
+                        F.concat(mdy, F.lit("  "), hm),
+                        F.concat(mdy, F.lit(" 24:00")),
+                        F.concat(mdy, F.lit(" "), hh, F.lit(":60")),
+                        F.concat(F.lit(" "), mdy, F.lit(" "), hm),
+                        F.concat(mdy, F.lit(" 0"), F.lpad(hh, 2, "0"), F.lit(":"), F.lpad(mi, 2, "0")),
+                        F.concat(F.lit("2/29/"), y, F.lit(" 0:0"))])
+    t_frac = pick(k % 6, [F.concat(whole, F.lit("."), micro),
+                          F.concat(whole, F.lit("."), F.substring(micro, 1, 1)),
+                          whole,
+                          F.concat(whole, F.lit("."), micro, F.lit("0")),
+                          F.concat(whole, F.lit(".")),
+                          F.concat(F.concat_ws("-", y, m, d), F.lit(" "),
+                                   F.concat_ws(":", hh, mi, F.second("ts").cast("string")),
+                                   F.lit("."), F.substring(micro, 1, 2))])
+    return ev.select("event_id", t_int.alias("t_int"), t_float.alias("t_float"),
+                     t_date.alias("t_date"), t_ts.alias("t_ts"), t_frac.alias("t_frac"))
+
+
+def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1-F5 on texts derived from every event row."""
+    t = _cast_texts(spark, sf_dir)
+    return t.select("event_id",
+                    "t_int", casts.safe_int("t_int").alias("as_int"),
+                    "t_float", casts.safe_float("t_float").alias("as_float"),
+                    "t_date", casts.safe_date("t_date").alias("as_date"),
+                    "t_ts", casts.safe_datetime("t_ts").alias("as_ts"),
+                    "t_frac", casts.safe_fractional_timestamp("t_frac").alias("as_frac"))
+
+
+def header_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header in front, again between the halves, and once with a blank.
+
+    Every exact header line is dropped; the near-header stays as data (its
+    numbers parse to NULL).
+    """
+    lines = fx.trip_lines(spark, sf_dir)
+    first, second = fx.trip_halves(lines.withColumnRenamed("_start", "start_date"))
+    head = spark.range(1).select(F.lit(fx.TRIP_HEADER).alias("value"))
+    near = spark.range(1).select(F.lit(fx.TRIP_HEADER.replace(",", ", ", 1)).alias("value"))
+    allx = rel.stack(head, first.select("value"), head, second.select("value"), near)
+    parsed = parse_lines(allx, TRIP_SCHEMA, header=fx.TRIP_HEADER)
+    return parsed.agg(F.count(F.lit(1)).alias("n"),
+                      F.count_if(F.col("trip_id").isNull()).alias("n_null_trip_id"))
+
+
+# --- relational (R2, U1, A1-A6, J1, W1, F7-F11, S8-S9) ------------------------
+
+def non_empty_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: trips with '' or NULL in a required text field are dropped."""
+    t = fx.trips(spark, sf_dir, "dirty")
+    return rel.non_empty(t, TRIP_REQUIRED_TEXT).select("trip_id")
+
+
+def stack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + A1: the two halves stacked; rows per half and in total, one pass."""
+    first, second = fx.trip_halves(fx.trips(spark, sf_dir))
+    return rel.part_counts({"first": first, "second": second}, tag="part", total="all")
+
+
+def stack_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 keeps duplicates: trips stacked with themselves -> 2 per trip."""
+    t = fx.trips(spark, sf_dir)
+    return rel.stack(t, t).groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 + R5: duration overwritten by whole days between start and end."""
+    t = feat.with_days_between(fx.trips(spark, sf_dir), "end_date", "start_date", "duration")
+    return t.select("trip_id", "duration")
+
+
+def station_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average duration of the start station (NULL stations form a group)."""
+    t = feat.with_group_average(fx.trips(spark, sf_dir, "nulls"), "start_station", "duration")
+    return t.select("trip_id", "average")
+
+
+def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: start station equals end station (NULL equals NULL)."""
+    t = feat.with_equal_flag(fx.trips(spark, sf_dir, "nulls"), "start_station", "end_station")
+    return t.select("trip_id", "round_trip")
+
+
+def day_of_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekday number and class of the start."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir), "start_date")
+    return t.select("trip_id", "start_day", "start_dow")
+
+
+def trips_per_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + O1: trips per weekday number, in weekday order."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir), "start_date")
+    return rel.group_count(t, "start_day", "n")
+
+
+def station_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3-A5: per station weekday/weekend counts, total and rounded shares."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir, "nulls"), "start_date")
+    return feat.group_class_shares(t, "start_station", "start_dow", keep_counts=True)
+
+
+def shares_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + J1 + R7: shares joined back to every trip; NULL station -> NULL."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir, "nulls"), "start_date")
+    return feat.with_group_shares(t).select("trip_id", "pct_weekday", "pct_weekend")
+
+
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S9: features written as a managed table, scanned back, counted."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir), "start_date")
+    save_table(t, FEATURE_TABLE, mode="overwrite", path=shared_path(spark, "tables", FEATURE_TABLE))
+    return rel.group_count(read_table(spark, FEATURE_TABLE), "start_station", "n", ordered=False)
 
 
 def flagship_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +211,174 @@ def flagship_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.trip_features(fx.trips(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+# --- encoding (M1-M5) ---------------------------------------------------------
+
+INDEX_CHECK_COLUMNS = ["start_station", "sub_type", "duration"]
+
+
+def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: label table -- each value's rank by falling frequency, ties by text."""
+    labels = encode.frequency_labels(fx.trips(spark, sf_dir), INDEX_CHECK_COLUMNS)
+    return labels.select("col", "value", F.col("idx").cast("int").alias("idx"))
+
+
+def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M2: per trip and column, the hot slot and the vector width."""
+    t = fx.trips(spark, sf_dir).select("trip_id", *INDEX_CHECK_COLUMNS)
+    idx = encode.index_columns(t, INDEX_CHECK_COLUMNS)
+    hot = encode.one_hot(idx, INDEX_CHECK_COLUMNS)
+    parts = []
+    for c in INDEX_CHECK_COLUMNS:
+        h = _hot_slot(F.col(c))
+        parts.append(hot.select("trip_id", F.lit(c).alias("col"),
+                                h["slot"].alias("slot"), h["width"].alias("width")))
+    return rel.stack(*parts)
+
+
+@F.udf(T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("width", T.IntegerType())]),
+       useArrow=True)
+def _hot_slot(v):
+    """Position of the single 1.0 of a one-hot vector, and its width.
+
+    Reads the sparse indices (O(non-zeros)) instead of expanding the vector
+    to a dense array of its full width.
+    """
+    if v is None:
+        return None
+    nz = [int(i) for i, x in zip(v.indices, v.values) if x != 0.0]
+    return (nz[0] if len(nz) == 1 else None, int(v.size))
+
+
+def assemble_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M3: all-feature vector width, row count and non-zero count."""
+    d = jobs.all_features(fx.trips(spark, sf_dir))
+    d = encode.index_columns(d, jobs.ALL_INPUTS)
+    d = encode.one_hot(d, jobs.ALL_INPUTS)
+    d = encode.assemble(d, jobs.ALL_INPUTS)
+    s = d.select(Summarizer.metrics("count", "numNonZeros").summary(F.col("features")).alias("s"))
+    nnz = vector_to_array(F.col("s.numNonZeros"))
+    return s.select(F.size(nnz).alias("size"), F.col("s.count").alias("rows"),
+                    F.aggregate(nnz, F.lit(0.0), lambda acc, x: acc + x).cast("bigint").alias("nnz"))
+
+
+def assemble_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M3 + M4: [duration, start_terminal] vector and the indexed label."""
+    t = fx.trips(spark, sf_dir).select("trip_id", "duration", "start_terminal", "sub_type")
+    d = encode.index_columns(t, ["sub_type"])
+    d = encode.assemble(d, jobs.BASELINE_INPUTS)
+    pts = d.select("trip_id", vector_to_array("features").alias("f"), F.col("sub_type").alias("label"))
+    return pts.select("trip_id", F.col("f")[0].alias("f0"), F.col("f")[1].alias("f1"), "label")
+
+
+def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 (repeatable): rows per part of the md5-bucket 80/20 split."""
+    train, valid = encode.split_by_hash(fx.trips(spark, sf_dir), "trip_id")
+    return rel.part_counts({"train": train, "valid": valid}, tag="part", total=None)
+
+
+def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 (seeded random): rows per part of ``randomSplit([0.8, 0.2])``."""
+    train, valid = encode.split_random(fx.trips(spark, sf_dir), (0.8, 0.2), SEED)
+    return rel.part_counts({"train": train, "valid": valid}, tag="part", total=None)
+
+
+# --- learning (M6-M12) and jobs (P1-P6) ---------------------------------------
+
+def rf_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random forest on [duration, start_terminal]."""
+    return jobs.baseline_job(fx.trips(spark, sf_dir), SEED, models=("random_forest",))
+
+
+def dt_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision tree on [duration, start_terminal]."""
+    return jobs.baseline_job(fx.trips(spark, sf_dir), SEED, models=("decision_tree",))
+
+
+def lr_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on all one-hot features, md5 split."""
+    points = jobs.all_features_points(fx.trips(spark, sf_dir), keep_key="trip_id")
+    out = jobs._train_and_measure(points, ["logistic_regression"], SEED, split="hash", key="trip_id")
+    return out.select("accuracy")
+
+
+def accuracy_from_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10-M12 on (label, prediction) pairs: quality as label, toxic as prediction."""
+    lab = fx.table(spark, sf_dir, "labels")
+    scored = lab.select(F.col("quality").cast("double").alias("label"),
+                        F.col("toxic").cast("double").alias("prediction"))
+    return learn.accuracy_frame(scored)
+
+
+def load_and_stack_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three datasets from text, two period files each, stacked, counted.
+
+    Stations appear in both period files (kept twice); trips and weather are
+    split by date.
+    """
+    tl = fx.trip_lines(spark, sf_dir).withColumnRenamed("_start", "start_date")
+    t1, t2 = fx.trip_halves(tl)
+    wl = fx.weather_lines(spark, sf_dir).withColumnRenamed("_date", "start_date")
+    w1, w2 = fx.trip_halves(wl)
+    st = fx.station_lines(spark, sf_dir)
+    lines = {
+        "station": [fx.with_header(spark, st, fx.STATION_HEADER),
+                    fx.with_header(spark, st, fx.STATION_HEADER)],
+        "trip": [fx.with_header(spark, t1.select("value"), fx.TRIP_HEADER),
+                 fx.with_header(spark, t2.select("value"), fx.TRIP_HEADER)],
+        "weather": [fx.with_header(spark, w1.select("value"), fx.WEATHER_HEADER),
+                    fx.with_header(spark, w2.select("value"), fx.WEATHER_HEADER)],
+    }
+    schemas = {"station": STATION_SCHEMA, "trip": TRIP_SCHEMA, "weather": WEATHER_SCHEMA}
+    headers = {"station": fx.STATION_HEADER, "trip": fx.TRIP_HEADER, "weather": fx.WEATHER_HEADER}
+    return jobs.dataset_counts(jobs.load_and_stack(lines, schemas, headers))
+
+
+def job_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baseline classification job (three models)."""
+    return jobs.baseline_job(fx.trips(spark, sf_dir), SEED)
+
+
+def job_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: window / round-trip feature job (three models)."""
+    return jobs.window_features_job(fx.trips(spark, sf_dir), SEED)
+
+
+def job_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features from the two halves, one-hot, logistic regression."""
+    first, second = fx.trip_halves(fx.trips(spark, sf_dir, "blanks"))
+    return jobs.all_features_job([first, second], SEED)
+
+
+QUERIES: dict[str, Query] = {
+    "parse_trip_lines": parse_trip_lines,
+    "parse_station_lines": parse_station_lines,
+    "parse_weather_lines": parse_weather_lines,
+    "safe_casts": safe_casts,
+    "header_strip": header_strip,
+    "non_empty_filter": non_empty_filter,
+    "stack_counts": stack_counts,
+    "stack_duplicates": stack_duplicates,
+    "days_between": days_between,
+    "station_average": station_average,
+    "round_trip": round_trip,
+    "day_of_week": day_of_week,
+    "trips_per_weekday": trips_per_weekday,
+    "station_shares": station_shares,
+    "shares_joined": shares_joined,
+    "table_roundtrip": table_roundtrip,
     "flagship_trip_features": flagship_trip_features,
+    "string_index": string_index,
+    "one_hot": one_hot,
+    "assemble_size": assemble_size,
+    "assemble_numeric": assemble_numeric,
+    "split_hash": split_hash,
+    "split_random": split_random,
+    "rf_accuracy": rf_accuracy,
+    "dt_accuracy": dt_accuracy,
+    "lr_accuracy": lr_accuracy,
+    "accuracy_from_pairs": accuracy_from_pairs,
+    "load_and_stack_jobs": load_and_stack_jobs,
+    "job_baseline": job_baseline,
+    "job_window_features": job_window_features,
+    "job_all_features": job_all_features,
 }

@@ -12,14 +12,20 @@ from veloframe.session import ensure_checkpoint_dir
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
                partition_by: list[str] | None = None,
-               bucket_by: tuple[int, list[str]] | None = None) -> None:
-    """Write ``df`` as a managed table.
+               bucket_by: tuple[int, list[str]] | None = None,
+               path: str | None = None) -> None:
+    """Write ``df`` as a catalog table.
 
     ``mode='overwrite'`` lets a job be re-run; ``'errorifexists'`` is the
     strict form. ``bucket_by=(n, cols)`` stores the table hash-bucketed so
-    later joins and aggregations on ``cols`` need no shuffle.
+    later joins and aggregations on ``cols`` need no shuffle. Without
+    ``path`` the table is managed (files in the warehouse); with ``path``
+    the files live there, and an overwrite replaces them even when the
+    catalog entry came from another session.
     """
     writer = df.write.mode(mode)
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -47,7 +53,11 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     would compute an unpersisted input twice.)
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/veloframe/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def shared_path(spark: SparkSession, *parts: str) -> str:
+    """A location below the session's shared checkpoint folder."""
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "veloframe", *parts])

@@ -53,6 +53,7 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
                    end_station NULL where trip_id % 22 = 0.
     * ``blanks`` – zip '' where trip_id % 10 = 3, sub_type NULL where
                    trip_id % 10 = 4.
+    * ``dirty``  – both of the above.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -78,17 +79,17 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
         F.col("c_custkey").cast("string").alias("zip"),
     )
     t = F.col("trip_id")
-    if variant == "nulls":
+    if variant in ("nulls", "dirty"):
         df = df.withColumns({
             "start_station": F.when(t % 11 != 0, F.col("start_station")),
             "end_station": F.when(t % 22 != 0, F.col("end_station")),
         })
-    elif variant == "blanks":
+    if variant in ("blanks", "dirty"):
         df = df.withColumns({
             "zip": F.when(t % 10 == 3, F.lit("")).otherwise(F.col("zip")),
             "sub_type": F.when(t % 10 != 4, F.col("sub_type")),
         })
-    elif variant != "plain":
+    if variant not in ("plain", "nulls", "blanks", "dirty"):
         raise ValueError(f"unknown trips variant {variant!r}")
     return df
 
