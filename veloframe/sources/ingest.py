@@ -31,6 +31,7 @@ from pyspark.sql.types import (
 )
 
 from veloframe.functions import casts
+from veloframe.sources.schemas import TEXT_FORMAT
 
 # Field separator and the name of the text column of a line scan.
 DELIMITER = ","
@@ -39,8 +40,22 @@ LINE_COLUMN = "value"
 MODES = ("fail", "null")
 
 
-def converter_for(data_type: DataType) -> Callable[[Column], Column]:
-    """The safe cast used for a schema field of ``data_type``."""
+def converter_for(data_type: DataType, text_format: str | None = None) -> Callable[[Column], Column]:
+    """The safe cast used for a schema field of ``data_type``.
+
+    ``text_format`` (a field's ``text_format`` metadata) picks the date or
+    timestamp grammar explicitly; the value is then cast to ``data_type``.
+    """
+    if text_format is not None:
+        by_format = {
+            casts.DATE_FORMAT: casts.safe_date,
+            casts.DATETIME_FORMAT: casts.safe_datetime,
+            casts.FRACTIONAL_FORMAT: casts.safe_fractional_timestamp,
+        }
+        if text_format not in by_format:
+            raise ValueError(f"unsupported text format {text_format!r}")
+        parse = by_format[text_format]
+        return lambda c: parse(c).cast(data_type)
     if isinstance(data_type, IntegerType):
         return casts.safe_int
     if isinstance(data_type, LongType):
@@ -89,7 +104,8 @@ def parse_lines(lines: DataFrame, schema: StructType, header: str | None = None,
     exprs = []
     for i, field in enumerate(schema.fields):
         raw = F.get(parts, i)
-        conv = converters.get(field.name) or converter_for(field.dataType)
+        conv = converters.get(field.name) or converter_for(
+            field.dataType, (field.metadata or {}).get(TEXT_FORMAT))
         value = conv(raw).cast(field.dataType)
         if mode == "fail":
             value = F.when(too_short, F.raise_error(

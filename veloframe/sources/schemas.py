@@ -74,8 +74,15 @@ TRIP_SCHEMA = _schema([
     ("zip", StringType()),
 ])
 
-TRIP_DATE_SCHEMA = _schema([
-    (f.name, DateType() if isinstance(f.dataType, TimestampNTZType) else f.dataType)
+# Field metadata key naming the strptime format a field's text is read with,
+# when it differs from the default for its type.
+TEXT_FORMAT = "text_format"
+
+# Trip dates are always written with a time of day; in the date-typed
+# variant they are read as date and time, and only the day is kept.
+TRIP_DATE_SCHEMA = StructType([
+    StructField(f.name, DateType(), True, {TEXT_FORMAT: "%m/%d/%Y %H:%M"})
+    if isinstance(f.dataType, TimestampNTZType) else f
     for f in TRIP_SCHEMA.fields
 ])
 
