@@ -46,32 +46,33 @@ DATETIME_PATTERN = "^" + MONTH + "/" + DAY + "/" + YEAR + r"\s+" + HOUR + ":" +
 FRACTIONAL_PATTERN = ("^" + YEAR + "-" + MONTH + "-" + DAY + r"\s+" + HOUR + ":" + MINUTE
                       + ":" + SECOND + r"\." + FRACTION + "$")
 
-_EDGE_BLANKS = r"^\s+|\s+$"
+# Separators between the numeric parts of a validated date/time text; a day
+# written as " 5" (blank + digit) follows its separator.
+_PART_SEPARATORS = r"[-/:.]\s*|\s+"
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _strip(x: Column) -> Column:
-    return F.regexp_replace(x, _EDGE_BLANKS, "")
-
-
 def safe_int(x) -> Column:
-    """Python ``int(text)`` or NULL; out-of-range values are NULL too."""
+    """Python ``int(text)`` or NULL; out-of-range values are NULL too.
+
+    The cast itself trims the surrounding blanks the guard allows.
+    """
     x = _c(x)
-    return F.when(x.rlike(INT_PATTERN), _strip(x).try_cast("int"))
+    return F.when(x.rlike(INT_PATTERN), x.try_cast("int"))
 
 
 def safe_long(x) -> Column:
     x = _c(x)
-    return F.when(x.rlike(INT_PATTERN), _strip(x).try_cast("bigint"))
+    return F.when(x.rlike(INT_PATTERN), x.try_cast("bigint"))
 
 
 def safe_double(x) -> Column:
     """Python ``float(text)`` or NULL (64-bit)."""
     x = _c(x)
-    return F.when(x.rlike(FLOAT_PATTERN), _strip(x).try_cast("double"))
+    return F.when(x.rlike(FLOAT_PATTERN), x.try_cast("double"))
 
 
 def safe_float(x) -> Column:
@@ -83,43 +84,69 @@ def safe_float(x) -> Column:
     return safe_double(x).cast("float")
 
 
-def _part(x: Column, pattern: str, idx: int) -> Column:
-    return F.regexp_extract(x, pattern, idx).cast("int")
+def text_parts(x, pattern: str) -> Column:
+    """Stage 1 of a date/time cast: the numeric parts of a text matching
+    ``pattern`` as an array of strings (NULL when it does not match).
 
-
-def safe_date(x) -> Column:
-    """``strptime(text, '%m/%d/%Y')`` as a DATE, or NULL."""
+    One regex match validates the text and one split cuts it. Project this
+    array as its own column when several parts are read from it, so the
+    split runs once per row (``parse_lines`` does).
+    """
     x = _c(x)
-    p = DATE_PATTERN
-    y, m, d = _part(x, p, 3), _part(x, p, 1), F.trim(F.regexp_extract(x, p, 2)).cast("int")
+    return F.split(F.when(x.rlike(pattern), x), _PART_SEPARATORS)
+
+
+def _ints(parts: Column, n: int) -> list[Column]:
+    return [F.get(parts, i).cast("int") for i in range(n)]
+
+
+def date_from_parts(parts) -> Column:
+    """Stage 2 of ``safe_date``: [month, day, year] -> DATE or NULL."""
+    m, d, y = _ints(_c(parts), 3)
     ts = F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0))
-    return F.when(x.rlike(p) & (y >= 1), ts.cast("date"))
+    return F.when(y >= 1, ts.cast("date"))
 
 
-def safe_datetime(x) -> Column:
-    """``strptime(text, '%m/%d/%Y %H:%M')`` as TIMESTAMP_NTZ, or NULL."""
-    x = _c(x)
-    p = DATETIME_PATTERN
-    m, y = _part(x, p, 1), _part(x, p, 3)
-    d = F.trim(F.regexp_extract(x, p, 2)).cast("int")
-    hh, mi = _part(x, p, 4), _part(x, p, 5)
+def datetime_from_parts(parts) -> Column:
+    """Stage 2 of ``safe_datetime``: [month, day, year, hour, minute] -> TIMESTAMP_NTZ or NULL."""
+    m, d, y, hh, mi = _ints(_c(parts), 5)
     ts = F.try_make_timestamp_ntz(y, m, d, hh, mi, F.lit(0))
-    return F.when(x.rlike(p) & (y >= 1), ts)
+    return F.when(y >= 1, ts)
 
 
-def safe_fractional_timestamp(x) -> Column:
-    """``strptime(text, '%Y-%m-%d %H:%M:%S.%f')`` as TIMESTAMP_NTZ, or NULL.
+def fractional_from_parts(parts) -> Column:
+    """Stage 2 of ``safe_fractional_timestamp``: [y, m, d, H, M, S, fraction] -> TIMESTAMP_NTZ.
 
     The fraction has 1 to 6 digits and is read right-padded (``.1`` is
     100000 microseconds). Seconds 60 and 61 match the pattern but are not a
     valid time, so they give NULL.
     """
-    x = _c(x)
-    p = FRACTIONAL_PATTERN
-    y, m = _part(x, p, 1), _part(x, p, 2)
-    d = F.trim(F.regexp_extract(x, p, 3)).cast("int")
-    hh, mi, ss = _part(x, p, 4), _part(x, p, 5), _part(x, p, 6)
-    frac = F.rpad(F.regexp_extract(x, p, 7), 6, "0")
-    sec = F.concat(F.lpad(ss.cast("string"), 2, "0"), F.lit("."), frac).cast("decimal(8,6)")
+    parts = _c(parts)
+    y, m, d, hh, mi, ss = _ints(parts, 6)
+    sec = F.concat(F.lpad(F.get(parts, 5), 2, "0"), F.lit("."),
+                   F.rpad(F.get(parts, 6), 6, "0")).cast("decimal(8,6)")
     ts = F.try_make_timestamp_ntz(y, m, d, hh, mi, sec)
-    return F.when(x.rlike(p) & (y >= 1) & (ss < 60), ts)
+    return F.when((y >= 1) & (ss < 60), ts)
+
+
+# strptime format -> (validating pattern, stage-2 builder)
+STAGED = {
+    DATE_FORMAT: (DATE_PATTERN, date_from_parts),
+    DATETIME_FORMAT: (DATETIME_PATTERN, datetime_from_parts),
+    FRACTIONAL_FORMAT: (FRACTIONAL_PATTERN, fractional_from_parts),
+}
+
+
+def safe_date(x) -> Column:
+    """``strptime(text, '%m/%d/%Y')`` as a DATE, or NULL."""
+    return date_from_parts(text_parts(x, DATE_PATTERN))
+
+
+def safe_datetime(x) -> Column:
+    """``strptime(text, '%m/%d/%Y %H:%M')`` as TIMESTAMP_NTZ, or NULL."""
+    return datetime_from_parts(text_parts(x, DATETIME_PATTERN))
+
+
+def safe_fractional_timestamp(x) -> Column:
+    """``strptime(text, '%Y-%m-%d %H:%M:%S.%f')`` as TIMESTAMP_NTZ, or NULL."""
+    return fractional_from_parts(text_parts(x, FRACTIONAL_PATTERN))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veloframe.operators.relational import broadcast_limit_rows
-from veloframe.sources.catalog import cut_lineage
+from veloframe.sources.catalog import keep
 
 HANDLE_INVALID = ("error", "keep", "skip")
 _LOW_BITS = (1 << 33) - 1
@@ -46,7 +46,9 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
     """(col, value, n, idx): 0-based rank by falling count, ties by value text.
 
-    Written to the checkpoint folder, so later joins read it back cheaply.
+    Kept in executor storage, so the joins that follow reuse it. The
+    positions are deterministic (the sort key is unique per row), so a lost
+    block is recomputed to the same values.
     """
     counts = value_counts(df, cols)
     spark = df.sparkSession
@@ -54,7 +56,8 @@ def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None
     order = [F.col("col"), F.col("n").desc(), F.col("value")]
     ranked = (counts.repartitionByRange(p, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranked = cut_lineage(ranked, "labels")
+    ranked = keep(ranked)
+    ranked.count()  # one sort; the positions are fixed from here on
     pos = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
     part = F.shiftright(F.col("_mid"), 33)
     per_part = ranked.groupBy("col", part.alias("_pid")).agg(
@@ -64,8 +67,8 @@ def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None
     # columns x partitions rows: a proven small side
     joined = ranked.withColumn("_pid", part).join(
         F.broadcast(offsets.select("col", "_pid", "_off", "_first")), ["col", "_pid"])
-    return cut_lineage(joined.select("col", "value", "n",
-                                     (F.col("_off") + pos - F.col("_first")).alias("idx")), "labels")
+    return keep(joined.select("col", "value", "n",
+                              (F.col("_off") + pos - F.col("_first")).alias("idx")))
 
 
 def label_sizes(labels: DataFrame) -> dict[str, int]:

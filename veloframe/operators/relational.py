@@ -4,10 +4,11 @@ Grouped work always goes through Spark's partial + final hash aggregation,
 so a station (or weekday) holding a large share of all rows is
 pre-aggregated inside every map task and only one small row per task and
 key crosses the shuffle. Per-group results are attached to the rows with a
-plain equi-join: Spark checks the size of the aggregated side (statically,
-and again at run time through adaptive execution) and broadcasts it only
-when it is under ``spark.sql.autoBroadcastJoinThreshold``; a larger one is
-joined by shuffle, where adaptive execution splits skewed keys.
+plain equi-join whose side is size-checked first (``sized_side``): it is
+computed once, its rows are counted, and it is broadcast only when it fits
+``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined by
+shuffle, where adaptive execution splits skewed keys. So the big table is
+never shuffled to attach a small per-key result.
 """
 
 from __future__ import annotations
@@ -124,17 +125,18 @@ def broadcast_limit_rows(df: DataFrame) -> int:
 def sized_side(stats: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise a per-key result and decide how to join it.
 
-    The result is written to the reliable checkpoint directory (one job,
-    lineage cut there), its rows are counted from those files, and it is
-    marked for broadcast only when the count is within ``max_rows``
-    (default: the session's broadcast threshold over the row width).
-    Beyond the bound it stays a normal join side: Spark shuffles both sides
-    by key and adaptive execution splits skewed keys.
+    One job computes the result into executor storage (memory, spilling to
+    disk) and counts its rows exactly; it is marked for broadcast only when
+    the count is within ``max_rows`` (default: the session's broadcast
+    threshold over the row width). Beyond the bound it stays a normal join
+    side: Spark shuffles both sides by key and adaptive execution splits
+    skewed keys. A lost block is recomputed from the short, deterministic
+    aggregate lineage.
     """
-    from veloframe.sources.catalog import cut_lineage
+    from veloframe.sources.catalog import keep
 
     limit = broadcast_limit_rows(stats) if max_rows is None else max_rows
-    stats = cut_lineage(stats)
+    stats = keep(stats)
     small = limit > 0 and stats.count() <= limit
     return (F.broadcast(stats) if small else stats), small
 

@@ -62,7 +62,7 @@ def parse_weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text variants built from every event, cycling through edge cases."""
-    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    ev = fx.spread(fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
     k, b = F.col("event_id"), F.col("user_id").cast("string")
     y, m, d = F.year("ts").cast("string"), F.month("ts").cast("string"), F.dayofmonth("ts").cast("string")
     hh, mi = F.hour("ts").cast("string"), F.minute("ts").cast("string")
@@ -112,13 +112,17 @@ def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def safe_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1-F5 on texts derived from every event row."""
-    t = _cast_texts(spark, sf_dir)
+    t = _cast_texts(spark, sf_dir).select(
+        "*",
+        casts.text_parts("t_date", casts.DATE_PATTERN).alias("p_date"),
+        casts.text_parts("t_ts", casts.DATETIME_PATTERN).alias("p_ts"),
+        casts.text_parts("t_frac", casts.FRACTIONAL_PATTERN).alias("p_frac"))
     return t.select("event_id",
                     "t_int", casts.safe_int("t_int").alias("as_int"),
                     "t_float", casts.safe_float("t_float").alias("as_float"),
-                    "t_date", casts.safe_date("t_date").alias("as_date"),
-                    "t_ts", casts.safe_datetime("t_ts").alias("as_ts"),
-                    "t_frac", casts.safe_fractional_timestamp("t_frac").alias("as_frac"))
+                    "t_date", casts.date_from_parts("p_date").alias("as_date"),
+                    "t_ts", casts.datetime_from_parts("p_ts").alias("as_ts"),
+                    "t_frac", casts.fractional_from_parts("p_frac").alias("as_frac"))
 
 
 def header_strip(spark: SparkSession, sf_dir: str) -> DataFrame:

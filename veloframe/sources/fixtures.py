@@ -45,6 +45,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a source scan that has fewer splits than the session has
+    task slots, so the map-side work of the view runs in parallel.
+
+    On large inputs the scan already has many splits and nothing is added;
+    the hash on a key keeps a retried task's rows the same.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
     """The derived trip table; ``variant`` adds NULLs or blanks.
 
@@ -55,8 +68,8 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
                    trip_id % 10 = 4.
     * ``dirty``  – both of the above.
     """
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"), "o_orderkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
@@ -158,7 +171,7 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     else '0.' || lpad(o_orderkey % 100, 2, '0'); events is '', 'Rain', 'Fog'
     by o_orderkey % 3; zip_code is 94000 + o_orderkey % 200.
     """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     k = F.col("o_orderkey")
     fields = []
     for i, f in enumerate(WEATHER_SCHEMA.fields):

@@ -41,21 +41,11 @@ MODES = ("fail", "null")
 
 
 def converter_for(data_type: DataType, text_format: str | None = None) -> Callable[[Column], Column]:
-    """The safe cast used for a schema field of ``data_type``.
-
-    ``text_format`` (a field's ``text_format`` metadata) picks the date or
-    timestamp grammar explicitly; the value is then cast to ``data_type``.
-    """
-    if text_format is not None:
-        by_format = {
-            casts.DATE_FORMAT: casts.safe_date,
-            casts.DATETIME_FORMAT: casts.safe_datetime,
-            casts.FRACTIONAL_FORMAT: casts.safe_fractional_timestamp,
-        }
-        if text_format not in by_format:
-            raise ValueError(f"unsupported text format {text_format!r}")
-        parse = by_format[text_format]
-        return lambda c: parse(c).cast(data_type)
+    """The safe cast used for a schema field of ``data_type`` (one stage)."""
+    staged = staged_converter(data_type, text_format)
+    if staged is not None:
+        pattern, finish = staged
+        return lambda c: finish(casts.text_parts(c, pattern)).cast(data_type)
     if isinstance(data_type, IntegerType):
         return casts.safe_int
     if isinstance(data_type, LongType):
@@ -64,15 +54,30 @@ def converter_for(data_type: DataType, text_format: str | None = None) -> Callab
         return casts.safe_float
     if isinstance(data_type, DoubleType):
         return casts.safe_double
-    if isinstance(data_type, DateType):
-        return casts.safe_date
-    if isinstance(data_type, (TimestampNTZType, TimestampType)):
-        return casts.safe_datetime
     if isinstance(data_type, StringType):
         return lambda c: c
     raise TypeError(f"no text converter for {data_type.simpleString()}")
 
 
+def staged_converter(data_type: DataType, text_format: str | None = None):
+    """(pattern, builder) for date/time fields, else None.
+
+    ``text_format`` (a field's ``text_format`` metadata) picks the grammar
+    explicitly; otherwise dates use ``%m/%d/%Y`` and timestamps
+    ``%m/%d/%Y %H:%M``. The built value is cast to ``data_type``.
+    """
+    if text_format is None:
+        if isinstance(data_type, DateType):
+            text_format = casts.DATE_FORMAT
+        elif isinstance(data_type, (TimestampNTZType, TimestampType)):
+            text_format = casts.DATETIME_FORMAT
+        else:
+            return None
+    if text_format not in casts.STAGED:
+        raise ValueError(f"unsupported text format {text_format!r}")
+    return casts.STAGED[text_format]
+
+
 def drop_header(lines: DataFrame, header: str | None, column: str = LINE_COLUMN) -> DataFrame:
     """Drop every line equal to ``header``, wherever it stands."""
     if header is None:
@@ -98,20 +103,35 @@ def parse_lines(lines: DataFrame, schema: StructType, header: str | None = None,
         raise ValueError(f"mode must be one of {MODES}")
     converters = dict(converters or {})
     width = len(schema.fields)
-    parts = split_fields(column)
-    lines = drop_header(lines, header, column)
-    too_short = F.size(parts) < width
-    exprs = []
+    # Stage 0 splits each line once; stage 1 projects every field's text, or
+    # for dates and times the array of their numeric parts; stage 2 builds
+    # the typed values. Catalyst keeps the stages apart (their columns are
+    # not cheap and are read more than once), so no split runs twice.
+    lines = drop_header(lines, header, column).select(
+        column, split_fields(column).alias("__fields"))
+    parts = F.col("__fields")
+    stage1 = [column, (F.size(parts) < width).alias("__short")]
+    builders = []
     for i, field in enumerate(schema.fields):
         raw = F.get(parts, i)
-        conv = converters.get(field.name) or converter_for(
+        staged = None if field.name in converters else staged_converter(
             field.dataType, (field.metadata or {}).get(TEXT_FORMAT))
-        value = conv(raw).cast(field.dataType)
-        if mode == "fail":
-            value = F.when(too_short, F.raise_error(
-                F.concat(F.lit(f"expected {width} fields, got a line: "), F.col(column)))
-            ).otherwise(value)
-        exprs.append(value.alias(field.name))
+        if staged is not None:
+            pattern, finish = staged
+            stage1.append(casts.text_parts(raw, pattern).alias(f"__f{i}"))
+            builders.append(lambda c, finish=finish: finish(c))
+        else:
+            stage1.append(raw.alias(f"__f{i}"))
+            builders.append(converters.get(field.name) or converter_for(field.dataType))
+    staged_lines = lines.select(*stage1)
+    if mode == "fail":
+        # one check per line; a filter is never pruned away with unused fields
+        staged_lines = staged_lines.where(F.when(F.col("__short"), F.raise_error(
+            F.concat(F.lit(f"expected {width} fields, got a line: "), F.col(column)))
+        ).otherwise(F.lit(True)))
+    exprs = [builders[i](F.col(f"__f{i}")).cast(field.dataType).alias(field.name)
+             for i, field in enumerate(schema.fields)]
+    lines = staged_lines
     return lines.select(*exprs)
 
 
