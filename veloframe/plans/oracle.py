@@ -392,6 +392,14 @@ UNION ALL SELECT 'trip' AS dataset, count(*) AS n FROM trips
 UNION ALL SELECT 'weather' AS dataset, count(*) AS n FROM orders
 """
 
+STREAM_TRIP_PERIODS = f"""
+WITH {TRIPS_CTE}
+SELECT count(*) AS n,
+       count(*) FILTER (WHERE trip_id % 10 IN (0, 1)) AS n_null_duration,
+       count(*) FILTER (WHERE trip_id % 10 = 2) AS n_null_start
+FROM trips
+"""
+
 SQL: dict[str, str] = {
     "parse_trip_lines": PARSE_TRIP_LINES,
     "parse_station_lines": PARSE_STATION_LINES,
@@ -418,4 +426,5 @@ SQL: dict[str, str] = {
     "lr_accuracy": LR_ACCURACY,
     "accuracy_from_pairs": ACCURACY_FROM_PAIRS,
     "load_and_stack_jobs": LOAD_AND_STACK_JOBS,
+    "stream_trip_periods": STREAM_TRIP_PERIODS,
 }

@@ -353,6 +353,27 @@ def job_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.all_features_job([first, second], SEED)
 
 
+def stream_trip_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S6 + U1 as a stream: both halves written as period files, parsed and
+    appended by one available-now streaming run, then summarised."""
+    import uuid
+
+    from veloframe.streaming import append_periods, read_period_stream
+
+    run = uuid.uuid4().hex
+    folder = shared_path(spark, "periods", run, "in")
+    table_path = shared_path(spark, "periods", run, "table")
+    lines = fx.trip_lines(spark, sf_dir).withColumnRenamed("_start", "start_date")
+    for half in fx.trip_halves(lines):
+        fx.with_header(spark, half.select("value"), fx.TRIP_HEADER).write.mode("append").text(folder)
+    stream = read_period_stream(spark, folder, TRIP_SCHEMA, header=fx.TRIP_HEADER)
+    append_periods(stream, table_path, f"trip_periods_{run}").awaitTermination()
+    t = spark.read.schema(TRIP_SCHEMA).parquet(table_path)
+    return t.agg(F.count(F.lit(1)).alias("n"),
+                 F.count_if(F.col("duration").isNull()).alias("n_null_duration"),
+                 F.count_if(F.col("start_date").isNull()).alias("n_null_start"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_trip_lines": parse_trip_lines,
     "parse_station_lines": parse_station_lines,
@@ -385,4 +406,5 @@ QUERIES: dict[str, Query] = {
     "job_baseline": job_baseline,
     "job_window_features": job_window_features,
     "job_all_features": job_all_features,
+    "stream_trip_periods": stream_trip_periods,
 }
