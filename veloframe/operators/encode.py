@@ -91,35 +91,48 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
     Numbers are indexed through their text. ``handle_invalid``: ``error``
     fails on NULL, ``keep`` gives NULL the index k (one past the last),
     ``skip`` drops the row.
+
+    When the whole label table fits the broadcast threshold it is broadcast
+    once and every column's join reuses that one exchange; otherwise each
+    column's labels are size-checked on their own (broadcast, or a shuffle
+    join for a column with very many values).
     """
     if handle_invalid not in HANDLE_INVALID:
         raise ValueError(f"handle_invalid must be one of {HANDLE_INVALID}")
     labels = labels if labels is not None else frequency_labels(df, cols)
     sizes = label_sizes(labels)
+    table = labels.select("col", "value", "idx")
+    whole_fits = sum(sizes.get(c, 0) for c in cols) <= broadcast_limit_rows(table)
     out = df
-    for c in cols:
+    for i, c in enumerate(cols):
+        if whole_fits:
+            side = F.broadcast(table.alias(f"__l{i}"))
+            cond = (F.col(f"__l{i}.col") == F.lit(c)) & (F.col(f"__l{i}.value") == F.col(c).cast("string"))
+        else:
+            side = table.where(F.col("col") == c).alias(f"__l{i}")
+            if sizes.get(c, 0) <= broadcast_limit_rows(table):
+                side = F.broadcast(side)
+            cond = F.col(f"__l{i}.value") == F.col(c).cast("string")
+        out = out.join(side, cond, "left")
+    base = [c for c in df.columns if output_suffix or c not in cols]
+    exprs = [F.col(f"`{c}`") for c in base]
+    checks = []
+    for i, c in enumerate(cols):
         k = sizes.get(c, 0)
-        side = labels.where(F.col("col") == c).select(
-            F.col("value").alias(f"__v_{c}"), F.col("idx").alias(f"__i_{c}"))
-        if k <= broadcast_limit_rows(side):  # size known from the label counts
-            side = F.broadcast(side)
-        out = out.join(side, F.col(c).cast("string") == F.col(f"__v_{c}"), "left")
-        idx = F.col(f"__i_{c}").cast("double")
+        idx = F.col(f"__l{i}.idx").cast("double")
         if handle_invalid == "error":
             idx = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL value in column {c}"))
                          ).otherwise(idx)
         elif handle_invalid == "keep":
             idx = F.coalesce(idx, F.lit(float(k)))
         else:
-            out = out.where(F.col(c).isNotNull())
+            checks.append(F.col(c).isNotNull())
         width = k + 1 if handle_invalid == "keep" else k
         name = c + output_suffix if output_suffix else c
-        out = out.withColumn(f"__x_{c}", idx).drop(f"__v_{c}", f"__i_{c}")
-        if not output_suffix:
-            out = out.drop(c)
-        out = out.withColumnRenamed(f"__x_{c}", name)
-        out = out.withColumn(name, F.col(name).alias(name, metadata=_nominal(name, width)))
-    return out
+        exprs.append(idx.alias(name, metadata=_nominal(name, width)))
+    for cond in checks:
+        out = out.where(cond)
+    return out.select(*exprs)
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], drop_last: bool = False) -> DataFrame:
@@ -130,10 +143,10 @@ def one_hot(df: DataFrame, cols: Sequence[str], drop_last: bool = False) -> Data
     """
     tmp = [f"__oh_{c}" for c in cols]
     model = OneHotEncoder(inputCols=list(cols), outputCols=tmp, dropLast=drop_last).fit(df)
-    out = model.transform(df).drop(*cols)
-    for c, t in zip(cols, tmp):
-        out = out.withColumnRenamed(t, c)
-    return out
+    out = model.transform(df)
+    renamed = dict(zip(tmp, cols))
+    return out.select(*[F.col(t).alias(renamed[t]) if t in renamed else F.col(f"`{t}`")
+                        for t in out.columns if t not in cols])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",

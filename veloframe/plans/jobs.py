@@ -98,16 +98,18 @@ def window_features_job(trips: DataFrame, seed: int = 42,
 def all_features(trips: DataFrame, table_name: str | None = None) -> DataFrame:
     """P6 features: W1, F8, F9-F11 and the station shares.
 
-    With ``table_name`` the day-of-week step is written as a managed table
-    and the shares are computed from that table, as the original job does.
+    Without ``table_name`` the average and the shares come from one
+    aggregate and one join (``features.trip_features``). With it, the
+    day-of-week step is written as a table and the shares are computed from
+    that table, as the original job does.
     """
+    if not table_name:
+        return feat.trip_features(trips)
     d = feat.with_group_average(trips, "start_station", "duration")
     d = feat.with_equal_flag(d, "start_station", "end_station")
     d = feat.with_day_of_week(d, "start_date")
-    if table_name:
-        save_table(d, table_name)
-        d = read_table(d.sparkSession, table_name)
-    return feat.with_group_shares(d)
+    save_table(d, table_name)
+    return feat.with_group_shares(read_table(d.sparkSession, table_name))
 
 
 def all_features_points(trips: DataFrame, table_name: str | None = None,
