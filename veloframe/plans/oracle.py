@@ -289,6 +289,11 @@ SELECT d.trip_id,
 FROM d LEFT JOIN s ON d.start_station = s.start_station
 """
 
+FIRST_TRIPS = f"""
+WITH {TRIPS_CTE}
+SELECT trip_id, duration, start_date, start_station, sub_type FROM trips ORDER BY trip_id LIMIT 20
+"""
+
 TABLE_ROUNDTRIP = f"""
 WITH {TRIPS_CTE}
 SELECT start_station, count(*) AS n FROM trips GROUP BY start_station
@@ -416,6 +421,7 @@ SQL: dict[str, str] = {
     "trips_per_weekday": TRIPS_PER_WEEKDAY,
     "station_shares": STATION_SHARES,
     "shares_joined": SHARES_JOINED,
+    "first_trips": FIRST_TRIPS,
     "table_roundtrip": TABLE_ROUNDTRIP,
     "flagship_trip_features": FLAGSHIP,
     "string_index": STRING_INDEX,

@@ -203,6 +203,12 @@ def shares_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.with_group_shares(t).select("trip_id", "pct_weekday", "pct_weekend")
 
 
+def first_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the first 20 trips by trip id (a top-n report: the limit is the feature)."""
+    t = fx.trips(spark, sf_dir).select("trip_id", "duration", "start_date", "start_station", "sub_type")
+    return rel.first_rows(t, 20, ["trip_id"])
+
+
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 + S9: features written as a managed table, scanned back, counted."""
     t = feat.with_day_of_week(fx.trips(spark, sf_dir), "start_date")
@@ -390,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "trips_per_weekday": trips_per_weekday,
     "station_shares": station_shares,
     "shares_joined": shares_joined,
+    "first_trips": first_trips,
     "table_roundtrip": table_roundtrip,
     "flagship_trip_features": flagship_trip_features,
     "string_index": string_index,
