@@ -51,11 +51,12 @@ def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None
     block is recomputed to the same values.
     """
     counts = value_counts(df, cols)
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     order = [F.col("col"), F.col("n").desc(), F.col("value")]
-    ranked = (counts.repartitionByRange(p, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # Without an explicit count adaptive execution sizes the range exchange
+    # by data volume; merged neighbours stay in order, which is all the
+    # offsets below rely on.
+    spread = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
+    ranked = spread.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
     ranked = keep(ranked)
     ranked.count()  # one sort; the positions are fixed from here on
     pos = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
