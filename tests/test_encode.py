@@ -63,3 +63,12 @@ def test_hash_split_is_complete_disjoint_and_stable(spark):
     assert not (ka & kb) and len(ka | kb) == 2000
     assert {r.k for r in a2.collect()} == ka
     assert 0.75 < len(ka) / 2000 < 0.85
+
+
+@pytest.mark.parametrize("bound", [0, 2])
+def test_index_columns_shuffle_path_agrees(spark, bound):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "a", "y"), (4, "c", "x")],
+                               "id int, c string, d string")
+    fast = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"]).collect()}
+    slow = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"], max_broadcast_rows=bound).collect()}
+    assert fast == slow == {1: (0.0, 0.0), 2: (1.0, 0.0), 3: (0.0, 1.0), 4: (2.0, 0.0)}

@@ -26,3 +26,9 @@ def test_jobs_give_accuracies(spark, small_dir):
         for r in df.collect():
             assert 0.0 <= r.accuracy <= 1.0
             assert abs(r.accuracy + r.test_error - 1.0) < 1e-12
+
+
+def test_hash_split_job(spark, small_dir):
+    out = jobs.baseline_job(fx.trips(spark, small_dir), models=("decision_tree",), split="hash")
+    r = out.first()
+    assert r.model == "decision_tree" and 0.0 <= r.accuracy <= 1.0

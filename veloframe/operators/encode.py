@@ -83,7 +83,8 @@ def _nominal(name: str, k: int) -> dict:
 
 
 def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error",
-                  labels: DataFrame | None = None, output_suffix: str | None = None) -> DataFrame:
+                  labels: DataFrame | None = None, output_suffix: str | None = None,
+                  max_broadcast_rows: int | None = None) -> DataFrame:
     """M1: replace each column by its frequency index (double).
 
     As the indexing helper of the trip jobs does, the index replaces the
@@ -96,14 +97,17 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
     When the whole label table fits the broadcast threshold it is broadcast
     once and every column's join reuses that one exchange; otherwise each
     column's labels are size-checked on their own (broadcast, or a shuffle
-    join for a column with very many values).
+    join for a column with very many values). ``max_broadcast_rows``
+    overrides the bound derived from the session's broadcast threshold (the
+    label counts are exact, so any bound is a proven one).
     """
     if handle_invalid not in HANDLE_INVALID:
         raise ValueError(f"handle_invalid must be one of {HANDLE_INVALID}")
     labels = labels if labels is not None else frequency_labels(df, cols)
     sizes = label_sizes(labels)
     table = labels.select("col", "value", "idx")
-    whole_fits = sum(sizes.get(c, 0) for c in cols) <= broadcast_limit_rows(table)
+    limit = broadcast_limit_rows(table) if max_broadcast_rows is None else max_broadcast_rows
+    whole_fits = sum(sizes.get(c, 0) for c in cols) <= limit
     out = df
     for i, c in enumerate(cols):
         if whole_fits:
@@ -111,7 +115,7 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
             cond = (F.col(f"__l{i}.col") == F.lit(c)) & (F.col(f"__l{i}.value") == F.col(c).cast("string"))
         else:
             side = table.where(F.col("col") == c).alias(f"__l{i}")
-            if sizes.get(c, 0) <= broadcast_limit_rows(table):
+            if sizes.get(c, 0) <= limit:
                 side = F.broadcast(side)
             cond = F.col(f"__l{i}.value") == F.col(c).cast("string")
         out = out.join(side, cond, "left")

@@ -75,24 +75,38 @@ def _train_and_measure(points: DataFrame, models: Sequence[str], seed: int,
     return stack(*frames)
 
 
-def baseline_job(trips: DataFrame, seed: int = 42,
-                 models: Sequence[str] = ("random_forest", "decision_tree", "logistic_regression")) -> DataFrame:
-    """Duration in days, four indexed columns, two numeric features."""
+ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
+
+
+def _points(d: DataFrame, key: str | None) -> DataFrame:
+    cols = ["features", F.col(LABEL_SOURCE).alias("label")] + ([key] if key else [])
+    return d.select(*cols)
+
+
+def baseline_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_MODELS,
+                 split: str = "random", key: str = "trip_id") -> DataFrame:
+    """Duration in days, four indexed columns, two numeric features.
+
+    ``split='random'`` is the seeded 80/20 ``randomSplit``; ``'hash'``
+    splits by an md5 bucket of ``key`` (the same rows on every run).
+    """
     d = trips.withColumns({"start_date": F.to_date("start_date"), "end_date": F.to_date("end_date")})
     d = feat.with_days_between(d, "end_date", "start_date", "duration")
     d = encode.index_columns(d, BASELINE_INDEXED).drop("start_date", "end_date")
     d = encode.assemble(d, BASELINE_INPUTS)
-    return _train_and_measure(encode.labelled_points(d, LABEL_SOURCE), models, seed)
+    k = key if split == "hash" else None
+    return _train_and_measure(_points(d, k), models, seed, split, k)
 
 
-def window_features_job(trips: DataFrame, seed: int = 42,
-                        models: Sequence[str] = ("random_forest", "decision_tree", "logistic_regression")) -> DataFrame:
+def window_features_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_MODELS,
+                        split: str = "random", key: str = "trip_id") -> DataFrame:
     """P5: station average and round-trip flag added; same two vector inputs."""
     d = feat.with_group_average(trips, "start_station", "duration")
     d = feat.with_equal_flag(d, "start_station", "end_station")
     d = encode.index_columns(d, BASELINE_INDEXED).drop("start_date", "end_date")
     d = encode.assemble(d, BASELINE_INPUTS)
-    return _train_and_measure(encode.labelled_points(d, LABEL_SOURCE), models, seed)
+    k = key if split == "hash" else None
+    return _train_and_measure(_points(d, k), models, seed, split, k)
 
 
 def all_features(trips: DataFrame, table_name: str | None = None) -> DataFrame:
@@ -126,8 +140,10 @@ def all_features_points(trips: DataFrame, table_name: str | None = None,
 
 
 def all_features_job(trip_parts: Sequence[DataFrame], seed: int = 42, table_name: str | None = None,
-                     models: Sequence[str] = ("logistic_regression",)) -> DataFrame:
+                     models: Sequence[str] = ("logistic_regression",), split: str = "random",
+                     key: str = "trip_id") -> DataFrame:
     """Drop incomplete trips per part, stack, features, encode, fit, measure."""
     trips = stack(*[non_empty(p, TRIP_REQUIRED_TEXT) for p in trip_parts])
-    points = all_features_points(trips, table_name)
-    return _train_and_measure(points, models, seed)
+    k = key if split == "hash" else None
+    points = all_features_points(trips, table_name, keep_key=k)
+    return _train_and_measure(points, models, seed, split, k)
