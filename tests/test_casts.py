@@ -146,3 +146,23 @@ def test_dates_match_python(spark, texts):
         ps = _py_strptime(t, casts.DATETIME_FORMAT)
         assert d == (pd_.date() if pd_ else None), repr(t)
         assert s == ps, repr(t)
+
+
+_frac_alphabet = st.sampled_from(list("0123456789-:. ") + ["2014", "12", "31", "59", "60", "123456", "1234567"])
+_frac_text = st.lists(_frac_alphabet, min_size=0, max_size=14).map("".join)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(_frac_text, min_size=1, max_size=40))
+def test_fractional_matches_python(spark, texts):
+    got = _eval(spark, texts, casts.safe_fractional_timestamp)
+    for t, g in zip(texts, got):
+        assert g == _py_strptime(t, casts.FRACTIONAL_FORMAT), repr(t)
+
+
+def test_fractional_valid_texts_match_python(spark):
+    texts = ["2014-08-31 22:31:05.1", "2014-8-3 2:1:5.12", "2014-08- 3 02:01:05.000001",
+             "2014-12-31  23:59:59.999999", "2016-02-29 00:00:00.5", "2015-02-29 00:00:00.5",
+             "2014-08-31 22:31:61.1", "2014-08-31 24:00:00.1"]
+    got = _eval(spark, texts, casts.safe_fractional_timestamp)
+    assert got == [_py_strptime(t, casts.FRACTIONAL_FORMAT) for t in texts]

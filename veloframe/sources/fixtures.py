@@ -52,8 +52,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     On large inputs the scan already has many splits and nothing is added;
     the hash on a key keeps a retried task's rows the same.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, key)
 
