@@ -98,6 +98,13 @@ FROM trips
 """
 
 
+# The parsed trips, then the emptiness filter of the loader.
+LOAD_TRIP_FILES = f"""
+SELECT * FROM ({PARSE_TRIP_LINES}) AS parsed
+WHERE start_station <> '' AND end_station <> '' AND sub_type <> '' AND zip <> ''
+"""
+
+
 def _f32(text: str) -> str:
     """A decimal text read as double, then narrowed to 32 bits."""
     return f"CAST(CAST({text} AS DOUBLE) AS FLOAT)"
@@ -409,6 +416,7 @@ SQL: dict[str, str] = {
     "parse_trip_lines": PARSE_TRIP_LINES,
     "parse_station_lines": PARSE_STATION_LINES,
     "parse_weather_lines": PARSE_WEATHER_LINES,
+    "load_trip_files": LOAD_TRIP_FILES,
     "safe_casts": SAFE_CASTS,
     "header_strip": HEADER_STRIP,
     "non_empty_filter": NON_EMPTY_FILTER,

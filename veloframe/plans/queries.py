@@ -23,7 +23,7 @@ from veloframe.operators import relational as rel
 from veloframe.plans import jobs
 from veloframe.sources import fixtures as fx
 from veloframe.sources.catalog import read_table, save_table, shared_path
-from veloframe.sources.ingest import parse_lines
+from veloframe.sources.ingest import load_delimited, parse_lines
 from veloframe.sources.schemas import (
     STATION_SCHEMA,
     TRIP_REQUIRED_TEXT,
@@ -60,6 +60,16 @@ def parse_weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(lines, WEATHER_SCHEMA, header=fx.WEATHER_HEADER)
 
 
+def load_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S7 + O2 from files: the halves written as period files (each
+    beginning with its header), scanned as text, header taken from the first
+    line, incomplete trips dropped."""
+    import uuid
+
+    folders = fx.write_trip_period_files(spark, sf_dir, shared_path(spark, "trip_files", uuid.uuid4().hex))
+    return load_delimited(spark, folders, TRIP_SCHEMA, header="first", required_text=TRIP_REQUIRED_TEXT)
+
+
 def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text variants built from every event, cycling through edge cases."""
     ev = fx.spread(fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
@@ -384,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "parse_trip_lines": parse_trip_lines,
     "parse_station_lines": parse_station_lines,
     "parse_weather_lines": parse_weather_lines,
+    "load_trip_files": load_trip_files,
     "safe_casts": safe_casts,
     "header_strip": header_strip,
     "non_empty_filter": non_empty_filter,

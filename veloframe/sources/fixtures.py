@@ -129,6 +129,14 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     2 -> start_date '2/30/2014 1:00'; 3 -> zip ''.
     """
     t = trips(spark, sf_dir)
+    fields = trip_text_fields()
+    return t.select(F.concat_ws(",", *fields).alias("value"),
+                    F.col("start_date").alias("_start"))
+
+
+def trip_text_fields() -> list[Column]:
+    """The eleven trip fields as text (with the dirt of ``trip_lines``),
+    named after the trip schema."""
     r = F.col("trip_id") % 10
     fields = [
         _text(F.col("trip_id")),
@@ -143,8 +151,27 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("sub_type")),
         F.when(r == 3, F.lit("")).otherwise(_text(F.col("zip"))),
     ]
-    return t.select(F.concat_ws(",", *fields).alias("value"),
-                    F.col("start_date").alias("_start"))
+    return [c.alias(f.name) for c, f in zip(fields, TRIP_SCHEMA.fields)]
+
+
+def write_trip_period_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """Write the two halves of the trips as comma-separated period files.
+
+    Every written file starts with the header line, as real period files
+    do; fields are written as they are (no quoting, empty stays empty).
+    Returns the two period folders.
+    """
+    t = trips(spark, sf_dir)
+    out = []
+    for i, half in enumerate(trip_halves(t)):
+        path = f"{folder}/period={i}"
+        (half.select(*trip_text_fields()).write.mode("overwrite")
+         .option("header", True).option("emptyValue", "").option("nullValue", "")
+         .option("quote", "\u0000").option("escape", "\u0000")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
+        out.append(path)
+    return out
 
 
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,8 +153,10 @@ def load_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
     """Scan, strip the header, split, convert, bind the schema.
 
     ``header='first'`` takes the first line of the scan as the header and
-    drops every line equal to it; pass a string to name it, or ``None``
-    for files without a header. ``required_text`` keeps only rows whose
+    drops every line equal to it, in every file (period files each begin
+    with the same header line; with several files the scan's first split
+    belongs to the largest file, whose first line is that header). Pass a
+    string to name the header, or ``None`` for files without one. ``required_text`` keeps only rows whose
     named text fields are non-empty (and not NULL).
     """
     lines = read_lines(spark, path)
