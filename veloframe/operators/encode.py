@@ -11,7 +11,7 @@ or the driver:
    from ``monotonically_increasing_id`` (partition id in the high bits, row
    number in the low bits);
 3. per (column, partition) counts -- bounded by columns x partitions -- give
-   each partition's starting offset with a small window;
+   each partition's starting offset and each column's number of categories;
 4. index = offset + position; the label table is joined back per column
    (size-checked broadcast, else shuffle join).
 
@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veloframe.operators.relational import broadcast_limit_rows
@@ -43,12 +43,16 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """(col, value, n, idx): 0-based rank by falling count, ties by value text.
+def frequency_labels_with_sizes(df: DataFrame, cols: Sequence[str],
+                                partitions: int | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """(col, value, n, idx) label table and the number of categories per column.
 
-    Kept in executor storage, so the joins that follow reuse it. The
-    positions are deterministic (the sort key is unique per row), so a lost
-    block is recomputed to the same values.
+    idx is the 0-based rank by falling count, ties by value text. The
+    sorted counts are kept in executor storage; the positions are
+    deterministic (the sort key is unique per row), so a lost block is
+    recomputed to the same values. Only the per-(column, partition) counts
+    -- at most columns x partitions rows -- come to the driver, to turn
+    positions into offsets.
     """
     counts = value_counts(df, cols)
     order = [F.col("col"), F.col("n").desc(), F.col("value")]
@@ -56,20 +60,27 @@ def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None
     # by data volume; merged neighbours stay in order, which is all the
     # offsets below rely on.
     spread = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
-    ranked = spread.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
-    ranked = keep(ranked)
-    ranked.count()  # one sort; the positions are fixed from here on
+    ranked = keep(spread.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()))
     pos = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
     part = F.shiftright(F.col("_mid"), 33)
-    per_part = ranked.groupBy("col", part.alias("_pid")).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min(pos).alias("_first"))
-    w = Window.partitionBy("col").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    # columns x partitions rows: a proven small side
-    joined = ranked.withColumn("_pid", part).join(
-        F.broadcast(offsets.select("col", "_pid", "_off", "_first")), ["col", "_pid"])
-    return keep(joined.select("col", "value", "n",
-                              (F.col("_off") + pos - F.col("_first")).alias("idx")))
+    per_part = sorted(
+        (r["col"], r["_pid"], r["_cnt"], r["_first"]) for r in
+        ranked.groupBy("col", part.alias("_pid")).agg(
+            F.count(F.lit(1)).alias("_cnt"), F.min(pos).alias("_first")).collect())
+    offsets, sizes = [], {}
+    for c, pid, cnt, first in per_part:
+        offsets.append((c, int(pid), sizes.get(c, 0) - int(first)))
+        sizes[c] = sizes.get(c, 0) + int(cnt)
+    spark = df.sparkSession
+    shift = spark.createDataFrame(offsets, "col string, _pid long, _shift long")
+    labels = ranked.withColumn("_pid", part).join(F.broadcast(shift), ["col", "_pid"]).select(
+        "col", "value", "n", (F.col("_shift") + pos).alias("idx"))
+    return keep(labels), sizes
+
+
+def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """(col, value, n, idx): 0-based rank by falling count, ties by value text."""
+    return frequency_labels_with_sizes(df, cols, partitions)[0]
 
 
 def label_sizes(labels: DataFrame) -> dict[str, int]:
@@ -103,8 +114,10 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
     """
     if handle_invalid not in HANDLE_INVALID:
         raise ValueError(f"handle_invalid must be one of {HANDLE_INVALID}")
-    labels = labels if labels is not None else frequency_labels(df, cols)
-    sizes = label_sizes(labels)
+    if labels is None:
+        labels, sizes = frequency_labels_with_sizes(df, cols)
+    else:
+        sizes = label_sizes(labels)
     table = labels.select("col", "value", "idx")
     limit = broadcast_limit_rows(table) if max_broadcast_rows is None else max_broadcast_rows
     whole_fits = sum(sizes.get(c, 0) for c in cols) <= limit
