@@ -4,7 +4,6 @@ import datetime
 import math
 import struct
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,8 +4,6 @@ import datetime
 import os
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from veloframe.sources import ingest
 from veloframe.sources.fixtures import TRIP_HEADER

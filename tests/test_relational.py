@@ -1,7 +1,6 @@
 """Relational operators: filter, stack, counts, shares, join back."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from veloframe.operators import relational as rel
 from veloframe.functions.compare import share
