@@ -53,3 +53,22 @@ def test_group_average_has_no_window_and_no_hot_task(spark, skewed):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_salted_join_spreads_the_hot_key_without_adaptive_execution(spark, skewed):
+    key_rows = skewed.groupBy("start_station").agg(F.count(F.lit(1)).alias("w"), F.avg("duration").alias("a"))
+    side = key_rows.withColumnRenamed("start_station", "k")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = rel.salted_join(skewed, side, F.col("start_station"), "k", "w", null_safe=True, buckets=8)
+        per_task = joined.where(F.col("start_station") == "HOT").groupBy(F.spark_partition_id()).count().collect()
+        total = joined.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert total == 3000
+    hot = 1000
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < hot / 2
+    got = {r.trip_id: r.a for r in joined.select("trip_id", "a").collect()}
+    truth = _window_truth(skewed)
+    assert all(got[t] == pytest.approx(truth[t][0], rel=1e-12) for t in truth)

@@ -27,7 +27,7 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.operators.relational import broadcast_limit_rows
+from veloframe.operators.relational import broadcast_limit_rows, salted_join
 from veloframe.sources.catalog import keep
 
 HANDLE_INVALID = ("error", "keep", "skip")
@@ -126,18 +126,22 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
         if whole_fits:
             side = F.broadcast(table.alias(f"__l{i}"))
             cond = (F.col(f"__l{i}.col") == F.lit(c)) & (F.col(f"__l{i}.value") == F.col(c).cast("string"))
-        else:
-            side = table.where(F.col("col") == c).alias(f"__l{i}")
-            if sizes.get(c, 0) <= limit:
-                side = F.broadcast(side)
+        elif sizes.get(c, 0) <= limit:
+            side = F.broadcast(table.where(F.col("col") == c).alias(f"__l{i}"))
             cond = F.col(f"__l{i}.value") == F.col(c).cast("string")
-        out = out.join(side, cond, "left")
+        else:  # many categories: shuffle join that splits heavy values
+            side = labels.where(F.col("col") == c).select(
+                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__i{i}"), F.col("n").alias(f"__n{i}"))
+            out = salted_join(out, side, F.col(c).cast("string"), f"__v{i}", f"__n{i}")
+            out = out.withColumnRenamed(f"__i{i}", f"__idx{i}").drop(f"__v{i}", f"__n{i}")
+            continue
+        out = out.join(side, cond, "left").withColumn(f"__idx{i}", F.col(f"__l{i}.idx"))
     base = [c for c in df.columns if output_suffix or c not in cols]
     exprs = [F.col(f"`{c}`") for c in base]
     checks = []
     for i, c in enumerate(cols):
         k = sizes.get(c, 0)
-        idx = F.col(f"__l{i}.idx").cast("double")
+        idx = F.col(f"__idx{i}").cast("double")
         if handle_invalid == "error":
             idx = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL value in column {c}"))
                          ).otherwise(idx)

@@ -5,8 +5,9 @@ station's average duration and its weekday/weekend shares) are computed in
 one grouped aggregate and attached with one join, instead of a window over
 the station: a window would ship every trip column through a shuffle and
 put a whole station, however large, into one task, while the aggregate is
-pre-combined in every map task and the join back is size-checked by Spark
-(see ``operators.relational``).
+pre-combined in every map task and the join back is size-checked, with
+heavy keys split when the per-key side is too big to broadcast (see
+``operators.relational``).
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ def with_group_average(df: DataFrame, key: str, value: str, out: str = "average"
     Same result as ``avg(value) OVER (PARTITION BY key)``: NULL values are
     ignored and rows with a NULL key get the mean of the NULL-key group.
     """
-    stats = df.groupBy(key).agg(F.avg(value).alias(out))
-    return attach(df, stats, key, null_safe=True)
+    stats = df.groupBy(key).agg(F.avg(value).alias(out), F.count(F.lit(1)).alias("__rows"))
+    return attach(df, stats, key, null_safe=True, weight="__rows")
 
 
 def with_equal_flag(df: DataFrame, a: str, b: str, out: str = "round_trip") -> DataFrame:
@@ -61,8 +62,10 @@ def group_class_shares(df: DataFrame, key: str = "start_station", cls: str = "st
 
 def with_group_shares(df: DataFrame, key: str = "start_station", cls: str = "start_dow") -> DataFrame:
     """A6 (A3-A5 + J1): per-key shares joined back; a NULL key gets NULL shares."""
-    stats = group_class_shares(df, key, cls, keep_counts=False)
-    return attach(df, stats, key, null_safe=False)
+    counts = class_counts(df, key, cls, SHARE_CLASSES)
+    stats = counts.select(F.col(key), F.col("total_trips").alias("__rows"),
+                          *[share(F.col(c), F.col("total_trips")).alias(n) for n, c in SHARE_NAMES.items()])
+    return attach(df, stats, key, null_safe=False, weight="__rows")
 
 
 def with_station_features(df: DataFrame, key: str = "start_station", value: str = "duration",
@@ -74,9 +77,9 @@ def with_station_features(df: DataFrame, key: str = "start_station", value: str
     """
     counts = class_counts(df, key, cls, SHARE_CLASSES, extra={average: F.avg(value)})
     stats = counts.select(
-        F.col(key), F.col(average),
+        F.col(key), F.col(average), F.col("total_trips").alias("__rows"),
         *[share(F.col(c), F.col("total_trips")).alias(n) for n, c in SHARE_NAMES.items()])
-    joined = attach(df, stats, key, null_safe=True)
+    joined = attach(df, stats, key, null_safe=True, weight="__rows")
     return joined.withColumns({
         n: F.when(F.col(key).isNotNull(), F.col(n)) for n in SHARE_NAMES
     })

@@ -141,19 +141,61 @@ def sized_side(stats: DataFrame, max_rows: int | None = None) -> tuple[DataFrame
     return (F.broadcast(stats) if small else stats), small
 
 
+def salted_join(df: DataFrame, side: DataFrame, key: Column, side_key: str, weight: str,
+                null_safe: bool = False, buckets: int | None = None) -> DataFrame:
+    """Left outer equi-join with a large side, splitting heavy keys.
+
+    ``side`` is unique on ``side_key`` and ``weight`` holds how many rows of
+    ``df`` carry each key. A key with more than an even share of one task
+    (total / shuffle partitions) is heavy; there are at most ``buckets`` of
+    them, so their list is small. Rows of ``df`` with a heavy key get a salt
+    from a hash of the row (the same on a retry), and the side's row for
+    that key is repeated once per salt value: the heavy key's rows spread
+    over ``buckets`` tasks instead of one, whether or not adaptive execution
+    is on. Other keys use salt 0.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    total = side.agg(F.sum(weight)).first()[0] or 0
+    heavy_rows = side.where(F.col(weight) > max(1, total // n)).select(side_key).collect()
+    heavy = [r[0] for r in heavy_rows if r[0] is not None]
+    heavy_null = null_safe and len(heavy) < len(heavy_rows)
+    cond = key.eqNullSafe(F.col(side_key)) if null_safe else key == F.col(side_key)
+    if not heavy_rows:
+        return df.join(side, cond, "left")
+
+    def is_heavy(c: Column) -> Column:
+        h = c.isin(heavy) if heavy else F.lit(False)
+        return (h | c.isNull()) if heavy_null else h
+
+    salt = F.when(is_heavy(key), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
+                  ).otherwise(F.lit(0)).cast("int")
+    salts = F.when(is_heavy(F.col(side_key)), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    left = df.withColumn("__salt", salt)
+    right = side.withColumn("__salt_r", F.explode(salts))
+    joined = left.join(right, cond & (F.col("__salt") == F.col("__salt_r")), "left")
+    return joined.drop("__salt", "__salt_r")
+
+
 def attach(df: DataFrame, stats: DataFrame, key: str, null_safe: bool = False,
-           max_broadcast_rows: int | None = None) -> DataFrame:
+           max_broadcast_rows: int | None = None, weight: str | None = None) -> DataFrame:
     """Left outer equi-join of per-key results onto every row.
 
     ``stats`` is unique on ``key`` (an aggregate), so no row fans out; the
     right copy of the key is dropped. ``null_safe`` matches a NULL key with
     the NULL group (window semantics); otherwise NULL keys get NULLs. The
-    join side is size-checked first (``sized_side``).
+    join side is size-checked first (``sized_side``). Beyond the broadcast
+    bound, ``weight`` (the per-key row count, when the aggregate has one)
+    lets the join split heavy keys (``salted_join``).
     """
     right_key = f"__{key}_r"
-    r, _ = sized_side(stats.withColumnRenamed(key, right_key), max_broadcast_rows)
+    r, small = sized_side(stats.withColumnRenamed(key, right_key), max_broadcast_rows)
+    if not small and weight:
+        out = salted_join(df, r, F.col(key), right_key, weight, null_safe)
+        return out.drop(right_key, weight)
     cond = F.col(key).eqNullSafe(F.col(right_key)) if null_safe else F.col(key) == F.col(right_key)
-    return df.join(r, cond, "left").drop(right_key)
+    out = df.join(r, cond, "left").drop(right_key)
+    return out.drop(weight) if weight else out
 
 
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
