@@ -72,3 +72,11 @@ def test_index_columns_shuffle_path_agrees(spark, bound):
     fast = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"]).collect()}
     slow = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"], max_broadcast_rows=bound).collect()}
     assert fast == slow == {1: (0.0, 0.0), 2: (1.0, 0.0), 3: (0.0, 1.0), 4: (2.0, 0.0)}
+
+
+@pytest.mark.parametrize("bound", [None, 2, 0])
+def test_index_columns_input_named_like_label_columns(spark, bound):
+    df = spark.createDataFrame([(1, "a", "v1"), (2, "b", "v2"), (3, "a", "v1")], "idx int, value string, col string")
+    out = encode.index_columns(df, ["value", "col"], max_broadcast_rows=bound)
+    assert out.columns == ["idx", "value", "col"]
+    assert {r.idx: (r.value, r.col) for r in out.collect()} == {1: (0.0, 0.0), 2: (1.0, 1.0), 3: (0.0, 0.0)}

@@ -67,10 +67,10 @@ def main() -> None:
     print("table under Spark's threshold); cached reads = scans of per-key results materialised once")
     print("while the query was built (their own lineage is not repeated here). Queries that fit models")
     print("are left out: their plans are the feature and encoding plans below plus `pyspark.ml`'s jobs.")
-    print("Counts are operators in the plan before execution; identical exchanges (the label table")
-    print("joined once per indexed column, the spread of a scan read by several union branches) run")
-    print("once, because adaptive execution reuses equal query stages. The one shuffle of most row-level")
-    print("queries is the spread of a single-split test table (`fixtures.spread`), absent at scale.\n")
+    print("Counts are operators in the plan before execution (adaptive execution may run equal")
+    print("exchanges once). Indexing broadcasts each column's labels separately; together they carry")
+    print("the label table once. The one shuffle of most row-level queries is the spread of a")
+    print("single-split test table (`fixtures.spread`), absent at scale.\n")
     print("| query | shuffles | broadcasts | cached reads | joins | python | scans (columns read) | order |")
     print("|---|---|---|---|---|---|---|---|")
     for name, fn in e.queries().items():

@@ -105,10 +105,9 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
     fails on NULL, ``keep`` gives NULL the index k (one past the last),
     ``skip`` drops the row.
 
-    When the whole label table fits the broadcast threshold it is broadcast
-    once and every column's join reuses that one exchange; otherwise each
-    column's labels are size-checked on their own (broadcast, or a shuffle
-    join for a column with very many values). ``max_broadcast_rows``
+    Each column's labels are joined on their own: broadcast when their exact
+    count fits the bound (together the broadcasts carry the label table
+    once), else a shuffle join that splits heavy values. ``max_broadcast_rows``
     overrides the bound derived from the session's broadcast threshold (the
     label counts are exact, so any bound is a proven one).
     """
@@ -120,22 +119,19 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
         sizes = label_sizes(labels)
     table = labels.select("col", "value", "idx")
     limit = broadcast_limit_rows(table) if max_broadcast_rows is None else max_broadcast_rows
-    whole_fits = sum(sizes.get(c, 0) for c in cols) <= limit
     out = df
     for i, c in enumerate(cols):
-        if whole_fits:
-            side = F.broadcast(table.alias(f"__l{i}"))
-            cond = (F.col(f"__l{i}.col") == F.lit(c)) & (F.col(f"__l{i}.value") == F.col(c).cast("string"))
-        elif sizes.get(c, 0) <= limit:
-            side = F.broadcast(table.where(F.col("col") == c).alias(f"__l{i}"))
-            cond = F.col(f"__l{i}.value") == F.col(c).cast("string")
+        # label columns get names of their own per join, so no input column
+        # (say one called "value") can clash with them
+        text = F.col(c).cast("string")
+        if sizes.get(c, 0) <= limit:
+            side = F.broadcast(table.where(F.col("col") == c).select(
+                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__idx{i}")))
+            out = out.join(side, F.col(f"__v{i}") == text, "left")
         else:  # many categories: shuffle join that splits heavy values
             side = labels.where(F.col("col") == c).select(
-                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__i{i}"), F.col("n").alias(f"__n{i}"))
-            out = salted_join(out, side, F.col(c).cast("string"), f"__v{i}", f"__n{i}")
-            out = out.withColumnRenamed(f"__i{i}", f"__idx{i}").drop(f"__v{i}", f"__n{i}")
-            continue
-        out = out.join(side, cond, "left").withColumn(f"__idx{i}", F.col(f"__l{i}.idx"))
+                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__idx{i}"), F.col("n").alias(f"__n{i}"))
+            out = salted_join(out, side, text, f"__v{i}", f"__n{i}")
     base = [c for c in df.columns if output_suffix or c not in cols]
     exprs = [F.col(f"`{c}`") for c in base]
     checks = []
