@@ -14,6 +14,6 @@ Sub-packages:
 * ``streaming``  – the same ingest on a file-stream source.
 """
 
-from veloframe.session import build_session, ensure_checkpoint_dir
+from veloframe.session import build_session, ensure_checkpoint_dir, shared_folder
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "shared_folder"]

@@ -8,7 +8,6 @@ cluster the platform's session is used as is.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -54,13 +53,14 @@ def apply_required_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of this session.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder for lineage cuts and scratch tables.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; that is
-    used when present. Only when nothing is configured (local runs, tests)
-    a directory below the SQL warehouse is chosen, which on a cluster is
-    shared storage as well.
+    The cluster names it in ``spark.checkpoint.dir``; that is used when
+    present (as the context's checkpoint directory, or the setting itself).
+    Only when nothing is configured (local runs, tests) a folder below the
+    SQL warehouse is used, which on a cluster is shared storage as well.
+    Nothing in the session is changed.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,14 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
-    if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if warehouse:
-            configured = warehouse.rstrip("/") + "/_veloframe_checkpoints"
-        else:  # pragma: no cover - Spark always has a warehouse setting
-            configured = tempfile.mkdtemp(prefix="veloframe-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
+    return warehouse.rstrip("/") + "/_veloframe_checkpoints"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``Dataset.checkpoint`` usable: set the context's checkpoint
+    directory to ``shared_folder`` when it is unset, and return it."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
+    return sc.getCheckpointDir() or shared_folder(spark)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -7,7 +7,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from veloframe.session import ensure_checkpoint_dir
+from veloframe.session import shared_folder
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
@@ -60,4 +60,4 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A location below the session's shared checkpoint folder."""
-    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "veloframe", *parts])
+    return "/".join([shared_folder(spark).rstrip("/"), "veloframe", *parts])
