@@ -165,3 +165,40 @@ def test_fractional_valid_texts_match_python(spark):
              "2014-08-31 22:31:61.1", "2014-08-31 24:00:00.1"]
     got = _eval(spark, texts, casts.safe_fractional_timestamp)
     assert got == [_py_strptime(t, casts.FRACTIONAL_FORMAT) for t in texts]
+
+
+# --- the SQL-text forms used by wide projections -------------------------------
+
+def _eval_sql(spark, texts, fn):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    staged = df.selectExpr("i", "t", f"{casts.text_parts_sql('t', casts.DATE_PATTERN)} AS pd",
+                           f"{casts.text_parts_sql('t', casts.DATETIME_PATTERN)} AS pt",
+                           f"{casts.text_parts_sql('t', casts.FRACTIONAL_PATTERN)} AS pf")
+    rows = staged.selectExpr("i", f"{fn} AS v").collect()
+    return [r["v"] for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def _check_sql_forms(spark, texts):
+    assert _eval_sql(spark, texts, casts.int_sql("t")) == [_py_int(t) for t in texts]
+    for t, g in zip(texts, _eval_sql(spark, texts, casts.float_sql("t"))):
+        assert _same_float(g, _py_float32(t)), repr(t)
+    dates = _eval_sql(spark, texts, casts.date_from_parts_sql("pd"))
+    stamps = _eval_sql(spark, texts, casts.datetime_from_parts_sql("pt"))
+    fracs = _eval_sql(spark, texts, casts.fractional_from_parts_sql("pf"))
+    for t, d, s, f in zip(texts, dates, stamps, fracs):
+        pd_ = _py_strptime(t, casts.DATE_FORMAT)
+        assert d == (pd_.date() if pd_ else None), repr(t)
+        assert s == _py_strptime(t, casts.DATETIME_FORMAT), repr(t)
+        assert f == _py_strptime(t, casts.FRACTIONAL_FORMAT), repr(t)
+
+
+def test_sql_forms_on_edge_tables(spark):
+    texts = (list(INT_OK) + INT_NULL + FLOAT_OK + FLOAT_NULL + list(DATE_OK) + DATE_NULL
+             + list(TS_OK) + TS_NULL + list(FRAC_OK) + FRAC_NULL)
+    _check_sql_forms(spark, texts)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(_num_text, _date_text, _frac_text), min_size=1, max_size=40))
+def test_sql_forms_match_python(spark, texts):
+    _check_sql_forms(spark, texts)

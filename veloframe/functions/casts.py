@@ -150,3 +150,61 @@ def safe_datetime(x) -> Column:
 def safe_fractional_timestamp(x) -> Column:
     """``strptime(text, '%Y-%m-%d %H:%M:%S.%f')`` as TIMESTAMP_NTZ, or NULL."""
     return fractional_from_parts(text_parts(x, FRACTIONAL_PATTERN))
+
+
+# ---------------------------------------------------------------------------
+# The same casts as SQL expression text, for wide projections: a record with
+# dozens of fields is then built with one ``selectExpr`` call (parsed on the
+# JVM side) instead of thousands of Python -> JVM calls. The Column builders
+# above and these templates express the same rules; the tests check both
+# against Python's own parsers.
+
+def _raw(pattern: str) -> str:
+    """A raw SQL string literal (no escape processing)."""
+    if "'" in pattern:
+        raise ValueError("pattern must not contain a quote")
+    return f"r'{pattern}'"
+
+
+def int_sql(x: str, sql_type: str = "INT") -> str:
+    return f"CASE WHEN {x} RLIKE {_raw(INT_PATTERN)} THEN try_cast({x} AS {sql_type}) END"
+
+
+def double_sql(x: str) -> str:
+    return f"CASE WHEN {x} RLIKE {_raw(FLOAT_PATTERN)} THEN try_cast({x} AS DOUBLE) END"
+
+
+def float_sql(x: str) -> str:
+    return f"CAST({double_sql(x)} AS FLOAT)"
+
+
+def text_parts_sql(x: str, pattern: str) -> str:
+    return f"split(CASE WHEN {x} RLIKE {_raw(pattern)} THEN {x} END, {_raw(_PART_SEPARATORS)})"
+
+
+def _int_at(parts: str, i: int) -> str:
+    return f"CAST(get({parts}, {i}) AS INT)"
+
+
+def date_from_parts_sql(p: str) -> str:
+    m, d, y = (_int_at(p, i) for i in range(3))
+    return f"CASE WHEN {y} >= 1 THEN CAST(try_make_timestamp_ntz({y}, {m}, {d}, 0, 0, 0) AS DATE) END"
+
+
+def datetime_from_parts_sql(p: str) -> str:
+    m, d, y, hh, mi = (_int_at(p, i) for i in range(5))
+    return f"CASE WHEN {y} >= 1 THEN try_make_timestamp_ntz({y}, {m}, {d}, {hh}, {mi}, 0) END"
+
+
+def fractional_from_parts_sql(p: str) -> str:
+    y, m, d, hh, mi, ss = (_int_at(p, i) for i in range(6))
+    sec = f"CAST(concat(lpad(get({p}, 5), 2, '0'), '.', rpad(get({p}, 6), 6, '0')) AS DECIMAL(8,6))"
+    return (f"CASE WHEN {y} >= 1 AND {ss} < 60 "
+            f"THEN try_make_timestamp_ntz({y}, {m}, {d}, {hh}, {mi}, {sec}) END")
+
+
+STAGED_SQL = {
+    DATE_FORMAT: (DATE_PATTERN, date_from_parts_sql),
+    DATETIME_FORMAT: (DATETIME_PATTERN, datetime_from_parts_sql),
+    FRACTIONAL_FORMAT: (FRACTIONAL_PATTERN, fractional_from_parts_sql),
+}

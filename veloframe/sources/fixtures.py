@@ -41,8 +41,21 @@ TEXT_DATE = "M/d/yyyy"
 TEXT_DATETIME = "M/d/yyyy H:mm"
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """The scan of a given (read-only) table.
+
+    A scan is an immutable plan, so one is kept per application and path:
+    queries built one after another do not list the files and read the
+    footers again for every view.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -203,25 +216,23 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     by o_orderkey % 3; zip_code is 94000 + o_orderkey % 200.
     """
     o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
-    k = F.col("o_orderkey")
+    # 24 fields, written as SQL text: one call builds the whole projection
     fields = []
     for i, f in enumerate(WEATHER_SCHEMA.fields):
         if i == 0:
-            fields.append(F.date_format("o_orderdate", TEXT_DATE))
+            fields.append(f"date_format(o_orderdate, '{TEXT_DATE}')")
         elif f.name.endswith("_pressure"):
-            fields.append(F.concat(F.lit("29."), F.lpad(((k + i) % 100).cast("string"), 2, "0")))
+            fields.append(f"concat('29.', lpad(CAST((o_orderkey + {i}) % 100 AS STRING), 2, '0'))")
         elif f.name == "precipitation":
-            fields.append(F.when(k % 7 == 0, F.lit("T")).otherwise(
-                F.concat(F.lit("0."), F.lpad((k % 100).cast("string"), 2, "0"))))
+            fields.append("CASE WHEN o_orderkey % 7 = 0 THEN 'T' "
+                          "ELSE concat('0.', lpad(CAST(o_orderkey % 100 AS STRING), 2, '0')) END")
         elif f.name == "events":
-            fields.append(F.element_at(F.array(F.lit(""), F.lit("Rain"), F.lit("Fog")),
-                                       (k % 3 + 1).cast("int")))
+            fields.append("element_at(array('', 'Rain', 'Fog'), CAST(o_orderkey % 3 + 1 AS INT))")
         elif f.name == "zip_code":
-            fields.append((k % 200 + 94000).cast("string"))
+            fields.append("CAST(o_orderkey % 200 + 94000 AS STRING)")
         else:
-            fields.append((k % (i + 50)).cast("string"))
-    return o.select(F.concat_ws(",", *fields).alias("value"),
-                    F.col("o_orderdate").alias("_date"))
+            fields.append(f"CAST(o_orderkey % {i + 50} AS STRING)")
+    return o.selectExpr(f"concat_ws(',', {', '.join(fields)}) AS value", "o_orderdate AS _date")
 
 
 def with_header(spark: SparkSession, lines: DataFrame, header: str) -> DataFrame:
