@@ -13,7 +13,8 @@ or the driver:
 3. per (column, partition) counts -- bounded by columns x partitions -- give
    each partition's starting offset and each column's number of categories;
 4. index = offset + position; the label table is joined back per column
-   (size-checked broadcast, else shuffle join).
+   (broadcast when the column's exact label count fits, else a shuffle
+   join that splits heavy values, ``relational.salted_join``).
 
 The index columns carry nominal ML metadata (number of categories), so
 ``OneHotEncoder`` needs no extra pass to learn its widths.
