@@ -72,7 +72,12 @@ def _train_and_measure(points: DataFrame, models: Sequence[str], seed: int,
         scored = learn.fit_and_score(makers[m](), train, valid)
         frames.append(learn.accuracy_frame(scored).select(
             F.lit(m).alias("model"), "accuracy", "test_error"))
-    return stack(*frames)
+    # The figures are written once (a few rows), so the kept splits -- as big
+    # as the data -- can be released before the job returns.
+    result = cut_lineage(stack(*frames), "accuracy")
+    train.unpersist()
+    valid.unpersist()
+    return result
 
 
 ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
