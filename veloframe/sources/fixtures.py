@@ -130,10 +130,6 @@ def trip_halves(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("start_date") < cut), df.where(F.col("start_date") >= cut)
 
 
-def _text(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(""))
-
-
 def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as comma-separated text lines (column ``value``), with dirt.
 
@@ -141,30 +137,39 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     trip_id % 10: 0 -> duration 'abc'; 1 -> duration '12.0';
     2 -> start_date '2/30/2014 1:00'; 3 -> zip ''.
     """
-    t = trips(spark, sf_dir)
-    fields = trip_text_fields()
-    return t.select(F.concat_ws(",", *fields).alias("value"),
-                    F.col("start_date").alias("_start"))
+    return trips(spark, sf_dir).selectExpr(
+        f"concat_ws(',', {', '.join(_TRIP_TEXT)}) AS value", "start_date AS _start")
+
+
+def _text(c: Column) -> Column:
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def _as_text(c: str) -> str:
+    return f"coalesce(CAST({c} AS STRING), '')"
+
+
+# The eleven trip fields as text with the dirt of ``trip_lines``, as SQL
+# expression text (one call builds the projection).
+_TRIP_TEXT = [
+    _as_text("trip_id"),
+    f"CASE trip_id % 10 WHEN 0 THEN 'abc' WHEN 1 THEN '12.0' ELSE {_as_text('duration')} END",
+    f"CASE WHEN trip_id % 10 = 2 THEN '2/30/2014 1:00' ELSE date_format(start_date, '{TEXT_DATETIME}') END",
+    _as_text("start_station"),
+    _as_text("start_terminal"),
+    f"date_format(end_date, '{TEXT_DATETIME}')",
+    _as_text("end_station"),
+    _as_text("end_terminal"),
+    _as_text("bike_no"),
+    _as_text("sub_type"),
+    f"CASE WHEN trip_id % 10 = 3 THEN '' ELSE {_as_text('zip')} END",
+]
 
 
 def trip_text_fields() -> list[Column]:
     """The eleven trip fields as text (with the dirt of ``trip_lines``),
     named after the trip schema."""
-    r = F.col("trip_id") % 10
-    fields = [
-        _text(F.col("trip_id")),
-        F.when(r == 0, F.lit("abc")).when(r == 1, F.lit("12.0")).otherwise(_text(F.col("duration"))),
-        F.when(r == 2, F.lit("2/30/2014 1:00")).otherwise(F.date_format("start_date", TEXT_DATETIME)),
-        _text(F.col("start_station")),
-        _text(F.col("start_terminal")),
-        F.date_format("end_date", TEXT_DATETIME),
-        _text(F.col("end_station")),
-        _text(F.col("end_terminal")),
-        _text(F.col("bike_no")),
-        _text(F.col("sub_type")),
-        F.when(r == 3, F.lit("")).otherwise(_text(F.col("zip"))),
-    ]
-    return [c.alias(f.name) for c, f in zip(fields, TRIP_SCHEMA.fields)]
+    return [F.expr(e).alias(f.name) for e, f in zip(_TRIP_TEXT, TRIP_SCHEMA.fields)]
 
 
 def write_trip_period_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
