@@ -20,6 +20,38 @@ FITTING = {"rf_accuracy", "dt_accuracy", "lr_accuracy", "job_baseline", "job_win
            "job_all_features", "stream_trip_periods"}
 
 
+# What each query moves at cluster scale (no test-only spread there).
+AT_SCALE = {
+    "parse_trip_lines": "map-only over the file splits; no shuffle",
+    "parse_station_lines": "map-only; nation broadcast (25 rows)",
+    "parse_weather_lines": "map-only over the file splits; no shuffle",
+    "load_trip_files": "text scan split by file size; map-only; one first-line read",
+    "safe_casts": "map-only",
+    "header_strip": "map-only lines; one global count (partial counts per task)",
+    "non_empty_filter": "map-only filter",
+    "stack_counts": "union is free; rollup count ships one row per task and part",
+    "stack_duplicates": "shuffle of trip ids only (the query's own group-by)",
+    "days_between": "map-only",
+    "station_average": "aggregate ships stations x tasks rows; result broadcast after an exact count, else salted shuffle join",
+    "round_trip": "map-only",
+    "day_of_week": "map-only",
+    "trips_per_weekday": "aggregate ships 7 x tasks rows; sort of 7 rows",
+    "station_shares": "aggregate ships stations x tasks rows",
+    "shares_joined": "as station_average",
+    "first_trips": "per-task top 20, then one merge of 20 x tasks rows",
+    "table_roundtrip": "write of the table; aggregate ships stations x tasks rows",
+    "flagship_trip_features": "two scans; one small aggregate; broadcast join back; trips never shuffled",
+    "string_index": "value counts ship distinct values x tasks rows; range sort of distinct values only",
+    "one_hot": "as string_index plus per-column broadcast joins; report reads sparse indices in Arrow batches",
+    "assemble_size": "as one_hot for eight columns; summary merges width-sized vectors per task",
+    "assemble_numeric": "one label broadcast join; map-only assembly",
+    "split_hash": "map-only bucket; count per part",
+    "split_random": "per-partition sort for a stable sample; count per part",
+    "accuracy_from_pairs": "one global aggregate",
+    "load_and_stack_jobs": "map-only parsing; count per dataset",
+}
+
+
 def nodes(plan):
     """Physical operators that run for this query. ``children`` does not
     descend into a cached relation's own plan (that work ran once, when
@@ -71,15 +103,15 @@ def main() -> None:
     print("exchanges once). Indexing broadcasts each column's labels separately; together they carry")
     print("the label table once. The one shuffle of most row-level queries is the spread of a")
     print("single-split test table (`fixtures.spread`), absent at scale.\n")
-    print("| query | shuffles | broadcasts | cached reads | joins | python | scans (columns read) | order |")
-    print("|---|---|---|---|---|---|---|---|")
+    print("| query | shuffles | broadcasts | cached reads | joins | python | scans (columns read) | order | at 100 TB |")
+    print("|---|---|---|---|---|---|---|---|---|")
     for name, fn in e.queries().items():
         if name in FITTING:
             continue
         s = summarise(fn(spark, sf_dir)._jdf.queryExecution().executedPlan())
         joins = ", ".join(s["joins"]) or "-"
         print(f"| `{name}` | {s['shuffles']} | {s['broadcasts']} | {s['cached_reads']} | {joins} | {', '.join(s['python']) or '-'} "
-              f"| {', '.join(s['scans'])} | {s['sort'] or '-'} |")
+              f"| {', '.join(s['scans'])} | {s['sort'] or '-'} | {AT_SCALE.get(name, '')} |")
     spark.stop()
 
 
