@@ -8,6 +8,7 @@ cluster the platform's session is used as is.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -46,20 +47,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_required_conf(spark: SparkSession) -> None:
-    """Set the session options the operators depend on (idempotent)."""
-    for k, v in REQUIRED_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that is used when
     present (as the context's checkpoint directory, or the setting itself).
-    Only when nothing is configured (local runs, tests) a folder below the
-    SQL warehouse is used, which on a cluster is shared storage as well.
+    Only a ``local[...]`` session without the setting, as in a test, gets a
+    folder below its SQL warehouse: its driver and executors are one process.
+    Any other session without the setting fails with a clear message.
     Nothing in the session is changed.
     """
     sc = spark.sparkContext
@@ -70,6 +65,9 @@ def shared_folder(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                           "executors share; intermediate tables are written there")
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
     return warehouse.rstrip("/") + "/_veloframe_checkpoints"
 
