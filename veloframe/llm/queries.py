@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import mixing, packing, secret_scan, sharding
+from veloframe.llm import (fingerprints, html_extract, html_training, mixing, packing, secret_scan, sharding, topk,
+                           toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
 
@@ -30,6 +31,17 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("found")).alias("spans"))
 
 
+def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score, toxic words and their offsets of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return (docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                        toxicity.toxicity(F.col("text"), chain).alias("found"))
+            .select("doc_id", "held_out", "found.score",
+                    (F.col("found.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                    "found.n_toxic", F.to_json("found.spans").alias("spans")))
+
+
 def op4_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents over 24 shards of near-equal bytes, by virtual slots and the stored map."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +59,11 @@ def op4_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
 
 
+def op5_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likenesses."""
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     rows, taken = mixing.mix(read(spark, sf_dir, "documents"))
@@ -65,8 +82,24 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    model = html_extract.fit(html_training.labelled_pages())
+    text = html_extract.extracted(F.col("html"), model).alias("text")
+    return (read(spark, sf_dir, "pages").select("page_id", "url", text)
+            .withColumn("n_chars", F.char_length("text").cast("long")))
+
+
+def op9_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every embedding whose id is divisible by 20."""
+    vectors = (read(spark, sf_dir, "embeddings").where(topk.usable("embedding"))
+               .select("vec_id", topk.scaled("embedding").alias("embedding")))
+    return topk.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op4_slot_sharding, op6_source_mixing, op7_best_fit_packing)}
+    f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
+                                op8_html_extraction, op9_kd_top_k)}
 
 #: None of these can be stated in SQL; tests/llm holds them against brute force.
 SQL: dict[str, str] = {}
