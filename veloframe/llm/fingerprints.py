@@ -13,6 +13,7 @@ fingerprints; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +36,11 @@ def weighted_terms(text: Column) -> Column:
         F.least(F.char_length(x) * F.char_length(x), F.lit(MOST_WEIGHT)).cast("long").alias("w")))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def fingerprint(text: Column) -> Column:
     """The 64-bit SimHash of a text, as a long."""
     zero = F.struct(*(F.lit(0).cast("long").alias(f"c{k}") for k in range(STEP)), F.lit(0).cast("long").alias("all"))
@@ -45,25 +51,29 @@ def fingerprint(text: Column) -> Column:
                      ).alias(f"c{k}") for k in range(STEP)]
         return F.struct(*counters, (acc["all"] + w).alias("all"))
 
-    def of_terms(terms: Column) -> Column:
+    def sums(terms: Column) -> Column:
+        """Counters and total weight of each chunk of terms."""
         starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(terms), F.lit(1)) - 1) / CHUNK).cast("int"))
-        chunks = F.transform(starts, lambda c: F.aggregate(F.slice(terms, c * CHUNK + 1, CHUNK), zero, vote))
-        return of_chunks(chunks)
-
-    def total(chunks: Column, one) -> Column:
-        return F.aggregate(chunks, F.lit(0).cast("long"), lambda a, x: a + one(x))
-
-    def of_chunks(chunks: Column) -> Column:
-        out = F.lit(0).cast("long")
-        for bit in range(LANES * STEP):
-            ones = total(chunks, lambda x, bit=bit: F.shiftrightunsigned(
-                x[f"c{bit % STEP}"], 16 * (bit // STEP)).bitwiseAND(F.lit(0xFFFF)))
-            out = out.bitwiseOR(F.when(2 * ones > total(chunks, lambda x: x["all"]),
-                                       F.shiftleft(F.lit(1).cast("long"), bit)).otherwise(0))
-        return out
-
-    # bound one after the other, so that each step is computed once
-    return F.element_at(F.transform(F.array(weighted_terms(text)), of_terms), 1)
+        return F.transform(starts, lambda c: F.aggregate(
+            F.slice(terms, c * CHUNK + 1, CHUNK), zero, vote,
+            lambda acc: F.struct(F.array(*(acc[f"c{k}"] for k in range(STEP))).alias("c"), acc["all"].alias("all"))))
+
+    def total(chunks: Column, of_chunk: Callable[[Column], Column]) -> Column:
+        return F.aggregate(chunks, F.lit(0).cast("long"), lambda a, x: a + of_chunk(x))
+
+    def signs(chunks: Column) -> Column:
+        def set_bit(weight: Column, out: Column, bit: Column) -> Column:
+            lane = F.floor(bit / STEP).cast("int") * 16
+            ones = total(chunks, lambda x: F.call_function("shiftrightunsigned", x["c"][bit % STEP], lane)
+                         .bitwiseAND(F.lit(0xFFFF)))
+            return F.when(2 * ones > weight, out.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("long"), bit))).otherwise(out)
+
+        bits = F.sequence(F.lit(0), F.lit(LANES * STEP - 1))
+        return bound(total(chunks, lambda x: x["all"]), lambda weight: F.aggregate(
+            bits, F.lit(0).cast("long"), lambda out, bit: set_bit(weight, out, bit)))
+
+    return bound(weighted_terms(text), lambda terms: bound(sums(terms), signs))
 
 
 def likeness(a: Column, b: Column) -> Column:
