@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import (fingerprints, html_extract, html_training, mixing, packing, secret_scan, sharding, topk,
-                           toxicity)
+from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, packing, secret_scan,
+                           sharding, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
 
@@ -97,9 +97,14 @@ def op9_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("tie")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
-                                op8_html_extraction, op9_kd_top_k)}
+                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join)}
 
 #: None of these can be stated in SQL; tests/llm holds them against brute force.
 SQL: dict[str, str] = {}
