@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,21 @@ def word_count(text: Column) -> Column:
     return count(text)
 
 
+def with_copy(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__tie``, a hash of the text, and ``__copy``, a number among rows of one doc_id and text."""
+    same = Window.partitionBy("doc_id", "__tie").orderBy("__tie")
+    return docs.withColumn("__tie", F.xxhash64("text")).withColumn("__copy", F.row_number().over(same))
+
+
+def with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with another text, and n_chars, where there is one, counted anew."""
+    docs = docs.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(kind))
+    return docs
+
+
 def running_start(df: DataFrame, key: list[str], order: list[str], size: Column,
                   rows: int, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``size`` over the earlier rows of the same ``key``.
@@ -52,8 +67,6 @@ def running_start(df: DataFrame, key: list[str], order: list[str], size: Column,
     gives the group's start. Rows equal in ``order`` take any order among them.
     ``key`` must not be null.
     """
-    from pyspark.sql import Window
-
     groups = groups_for(rows)
     part, amount, base = "__part", "__amount", "__base"
     dealt = df.withColumns({part: F.pmod(F.xxhash64(*order), F.lit(groups)), amount: size})

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import running_start, texts, written
+from veloframe.llm.common import running_start, texts, with_copy, written
 from veloframe.llm.components import connected_components
 
 WIDTH, PERCENT = 3, 90
@@ -253,11 +253,12 @@ def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk:
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, tie, n_shingles, component_id) of each row of ``docs`` (doc_id, text).
+    """(doc_id, tie, n_shingles, component, component_id) of each row of ``docs`` (doc_id, text).
 
     ``tie`` is a hash of the text. Two documents link when the intersection of their shingle sets is
-    at least ``percent`` of the union; component_id is the least doc_id that links reach. Jobs run
-    here; the driver gets the rarity counters, a table of fixed size.
+    at least ``percent`` of the union; component_id is the least doc_id that links reach, and
+    ``component`` a number of the component (null for empty sets). Jobs run here; the driver gets the
+    rarity counters, a table of fixed size.
     """
     rows = written(sketches(docs, rarity(docs), percent), "join-sketches")
     nodes = written(
@@ -273,7 +274,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHU
     named = nodes.select("node", "s1", "s2", "least_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "component").select("s1", "s2", "component_id")
+    named = named.join(least, "component").select("s1", "s2", "component", "component_id")
     return rows.join(named, ["s1", "s2"], "left").select(
-        "doc_id", "tie", F.col("n").cast("long").alias("n_shingles"),
+        "doc_id", "tie", F.col("n").cast("long").alias("n_shingles"), "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the least doc_id (null last), then the least hash of the
+    text. Rows without shingles all stay. All columns are kept."""
+    found = jaccard_components(docs.select("doc_id", "text"), percent)
+    me = F.struct("doc_id", "tie")
+    kept = (found.where("component is not null").groupBy("component")
+            .agg(F.min_by(me, F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("me"))
+            .select(F.col("me.doc_id").alias("__k_id"), F.col("me.tie").alias("__k_tie"), F.lit(True).alias("__once")))
+    empty = found.where("component is null").select(
+        F.col("doc_id").alias("__k_id"), F.col("tie").alias("__k_tie"), F.lit(False).alias("__once")).distinct()
+    rows, kept = with_copy(docs), kept.unionByName(empty)
+    on = rows["doc_id"].eqNullSafe(kept["__k_id"]) & (rows["__tie"] == kept["__k_tie"])
+    return rows.join(kept, on).where(~F.col("__once") | (F.col("__copy") == 1)).select(*docs.columns)

@@ -15,6 +15,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import running_start, word_count, written
+from veloframe.llm.common import running_start, texts, with_copy, with_text, word_count, written
 
 #: Words in a block; a source's share is met to about one block.
 BLOCK_WORDS = 64
@@ -161,3 +162,41 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
              .select("doc_id", "tie", "copy", "epoch", "block", first.alias("first"),
                      (end - first).alias("words")))
     return rows, taken
+
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def passages(raw: bytes, takes: list[dict]) -> list[str]:
+    """One text per epoch: the words taken, with the white space between them where they adjoin."""
+    spans = [m.span() for m in WORD.finditer(raw)]
+    out: dict[int, list[list[int]]] = {}
+    for take in sorted(takes, key=lambda t: (t["epoch"], t["first"])):
+        first, end = take["first"], take["first"] + take["words"]
+        own = out.setdefault(take["epoch"], [])
+        if own and own[-1][1] == first:
+            own[-1][1] = end
+        else:
+            own.append([first, end])
+    return ["\n".join(raw[spans[a][0]:spans[b - 1][1]].decode() for a, b in own) for _, own in sorted(out.items())]
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them: a row per document and pass, its text cut to the words taken.
+
+    Documents of which nothing is taken are left out; all columns are kept.
+    """
+    _, taken = mix(docs, **options)
+    takes = taken.groupBy(*(F.col(c).alias(f"__t_{c}") for c in ("doc_id", "tie", "copy"))).agg(
+        F.collect_list(F.struct("epoch", "first", "words")).alias("__takes"))
+    rows = with_copy(docs)
+    on = (rows["doc_id"].eqNullSafe(takes["__t_doc_id"]) & (rows["__tie"] == takes["__t_tie"])
+          & (rows["__copy"] == takes["__t_copy"]))
+
+    @F.arrow_udf("array<string>")
+    def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
+        return pa.array([passages(x, t) for x, t in zip(texts(text), listed.to_pylist(), strict=True)],
+                        pa.list_(pa.string()))
+
+    pieces = rows.join(takes, on).withColumn("__text", F.explode(cut("text", "__takes")))
+    return with_text(pieces, F.col("__text")).select(*docs.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, packing, secret_scan,
-                           sharding, topk, toxicity)
+                           sharding, substring_dedup, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
 
@@ -42,6 +42,13 @@ def op2_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "found.n_toxic", F.to_json("found.spans").alias("spans")))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows that an earlier document holds."""
+    cleaned = substring_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed",
+                          F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents over 24 shards of near-equal bytes, by virtual slots and the stored map."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -99,11 +106,12 @@ def op9_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document."""
-    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("tie")
+    found = jaccard_join.jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
+    f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op3_substring_dedup, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
                                 op8_html_extraction, op9_kd_top_k, op10_jaccard_join)}
 
 #: None of these can be stated in SQL; tests/llm holds them against brute force.
