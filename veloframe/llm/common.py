@@ -42,10 +42,18 @@ def word_count(text: Column) -> Column:
     return count(text)
 
 
+#: A row's key for joins: never null, and what ``with_copy`` partitions by, so that a join shuffles no text again.
+ROW_KEY = ["__id", "__tie"]
+
+
+def row_key(doc_id: str, tie: Column) -> list[Column]:
+    return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("__id"), tie.alias("__tie")]
+
+
 def with_copy(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__tie``, a hash of the text, and ``__copy``, a number among rows of one doc_id and text."""
-    same = Window.partitionBy("doc_id", "__tie").orderBy("__tie")
-    return docs.withColumn("__tie", F.xxhash64("text")).withColumn("__copy", F.row_number().over(same))
+    """``docs`` with ``ROW_KEY`` (the id and a hash of the text) and ``__copy``, numbering the rows of a key."""
+    keyed = docs.select("*", *row_key("doc_id", F.xxhash64("text")))
+    return keyed.withColumn("__copy", F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy("__tie")))
 
 
 def with_text(docs: DataFrame, text: Column) -> DataFrame:

@@ -85,22 +85,30 @@ def as_hex(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
+KEY = ["id", "tie"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with their key: the id in order, nulls first, and a hash of the text."""
+    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-2 ** 63)).alias("id"),
+                       F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, copy, n_chars) of each row of ``docs`` (doc_id, text) with the same of the next
-    (``next_``) and the previous row (``prev_``) by descending doc_id, the first following the last.
+    """(doc_id, id, tie, n_chars, copies) of each distinct row of ``docs``, with the key of the next
+    distinct row (``next_``) and key and n_chars of the previous one (``prev_``) by descending doc_id,
+    the first following the last.
 
-    ``tie``, a hash of the text, orders rows of one id, and ``copy`` numbers equal rows; a null id
-    comes after all others. Rows are range-partitioned and written with their partition; only one
-    row per partition is ordered in one place.
+    A null id comes after all others, and rows of one id are ordered by ``tie``. Rows are
+    range-partitioned and written with their partition; only one row per partition is ordered in one
+    place.
     """
     ranged = written(
-        docs.select("doc_id", F.xxhash64("text").alias("tie"), F.coalesce(F.char_length("text"), F.lit(0)).alias("n_chars"))
-        .repartitionByRange(F.desc_nulls_last("doc_id"), "tie").withColumn("part", F.spark_partition_id()), "fp-order")
-    me = F.struct("doc_id", "tie", "copy", "n_chars")
-    order = Window.partitionBy("part").orderBy(F.desc_nulls_last("doc_id"), "tie", "copy")
-    same = Window.partitionBy("part", "doc_id", "tie").orderBy("n_chars")
-    rows = (ranged.withColumn("copy", F.row_number().over(same)).withColumn("me", me)
-            .withColumn("place", F.row_number().over(order))
+        keyed(docs).groupBy("doc_id", *KEY).agg(F.max(F.char_length("text")).alias("n_chars"),
+                                                F.count("*").alias("copies"))
+        .repartitionByRange(F.desc("id"), "tie").withColumn("part", F.spark_partition_id()), "fp-order")
+    order = Window.partitionBy("part").orderBy(F.desc("id"), "tie")
+    rows = (ranged.withColumn("me", F.struct(*KEY, "n_chars")).withColumn("place", F.row_number().over(order))
             .withColumn("after", F.lead("me").over(order)).withColumn("before", F.lag("me").over(order)))
     ends = rows.groupBy("part").agg(F.min_by("me", "place").alias("first"), F.max_by("me", "place").alias("last"))
     every = Window.partitionBy(F.lit(0)).orderBy("part")
@@ -109,26 +117,33 @@ def neighbours(docs: DataFrame) -> DataFrame:
         "part", F.coalesce(F.lead("first").over(every), F.first("first").over(whole)).alias("following"),
         F.coalesce(F.lag("last").over(every), F.last("last").over(whole)).alias("preceding"))
     near = rows.join(F.broadcast(ends), "part").select(
-        "me", F.coalesce("after", "following").alias("next"), F.coalesce("before", "preceding").alias("prev"))
-    return near.select("me.*", *(F.col(f"{w}.{c}").alias(f"{w}_{c}") for w in ("next", "prev")
-                                 for c in ("doc_id", "tie", "copy", "n_chars")))
+        "doc_id", "me", "copies", F.coalesce("after", "following").alias("next"),
+        F.coalesce("before", "preceding").alias("prev"))
+    return near.select("doc_id", "me.*", "copies", *(F.col(f"next.{c}").alias(f"next_{c}") for c in KEY),
+                       *(F.col(f"prev.{c}").alias(f"prev_{c}") for c in (*KEY, "n_chars")))
 
 
 def edited(docs: DataFrame) -> DataFrame:
     """Each document with its edited text: its last third of code points replaced by the first as
-    many (or all) of the next document. Columns doc_id, tie, copy, n_chars, next_*, text, edited."""
-    key = ["doc_id", "tie", "copy"]
-    texts = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy("tie"))).alias("x")
-    near = neighbours(docs).alias("n")
-    linked = texts.join(near, [F.col(f"x.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key])
-    heads = linked.select(
-        *(F.col(f"n.prev_{k}").alias(k) for k in key),
-        F.expr("left(x.text, cast(floor(n.prev_n_chars / 3) as int))").alias("head")).alias("h")
-    rows = linked.select(*(f"n.{k}" for k in key), "n.n_chars", "x.text", *(f"n.next_{k}" for k in key)).alias("r")
-    return (rows.join(heads, [F.col(f"r.{k}").eqNullSafe(F.col(f"h.{k}")) for k in key])
-            .select("r.*", F.expr("concat(left(r.text, r.n_chars - cast(floor(r.n_chars / 3) as int)), h.head)")
-                    .alias("edited")))
+    many (or all) of the next document.
+
+    Columns doc_id, id, tie, n_chars, next_id, next_tie, text, edited and ``rows``, the number of rows
+    that are so. Of equal rows, all but one are followed by their like. Texts are shuffled once.
+    """
+    once = F.row_number().over(Window.partitionBy(*KEY).orderBy("tie"))
+    texts = keyed(docs).select(*KEY, "text").withColumn("nth", once).where("nth = 1").drop("nth")
+    linked = texts.join(neighbours(docs), KEY)
+    heads = linked.select(*(F.col(f"prev_{k}").alias(k) for k in KEY),
+                          F.expr("left(text, cast(floor(prev_n_chars / 3) as int))").alias("head"))
+    third = "cast(floor(n_chars / 3) as int)"
+    by_next = F.struct(F.lit(1).cast("long").alias("rows"), "next_id", "next_tie",
+                       F.expr(f"concat(left(text, n_chars - {third}), head)").alias("edited"))
+    by_like = F.struct((F.col("copies") - 1).alias("rows"), F.col("id").alias("next_id"), F.col("tie").alias("next_tie"),
+                       F.expr(f"concat(left(text, n_chars - {third}), left(text, {third}))").alias("edited"))
+    kinds = F.when(F.col("copies") > 1, F.array(by_next, by_like)).otherwise(F.array(by_next))
+    return (linked.select("doc_id", *KEY, "n_chars", "copies", "text", "next_id", "next_tie").join(heads, KEY)
+            .select("doc_id", *KEY, "n_chars", "text", F.explode(kinds).alias("kind"))
+            .select("doc_id", *KEY, "n_chars", "text", "kind.*"))
 
 
 def near_counts(prints: DataFrame, radius: int = 3, agree: int = 2) -> DataFrame:
@@ -166,15 +181,16 @@ def near_counts(prints: DataFrame, radius: int = 3, agree: int = 2) -> DataFrame
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, both fingerprints, the likenesses
     and ``n_near``, the number of other fingerprints in the table within three bits."""
-    key = ["doc_id", "tie", "copy"]
     made = written(edited(docs).select(
-        *key, "n_chars", *(f"next_{k}" for k in key), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "doc_id", *KEY, "n_chars", "rows", "next_id", "next_tie",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint")),
         "fp-made")
-    other = made.select(*(F.col(k).alias(f"o_{k}") for k in key), F.col("fingerprint").alias("next_fingerprint"))
+    other = made.select(F.col("id").alias("next_id"), F.col("tie").alias("next_tie"),
+                        F.col("fingerprint").alias("next_fingerprint")).distinct()
     counts = near_counts(made.select("fingerprint").distinct())
-    return (made.join(other, [F.col(f"next_{k}").eqNullSafe(F.col(f"o_{k}")) for k in key])
-            .join(counts, "fingerprint", "left")
+    return (made.join(other, ["next_id", "next_tie"]).join(counts, "fingerprint", "left")
+            .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
             .select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
                     as_hex(F.col("fingerprint")).alias("fingerprint"),
                     as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import random
 
 SYLLABLES = "an be co da el fi go ha in ju ka lo me no or pa qui ro su ta un ve wo ex yo za".split()
-CONTAINERS = ("<article>", "<article>", "<main>", '<div class="content">', '<div id="content">', '<div class="post">',
+CONTAINERS = ("<article>", "<article>", "<article>", "<article>", "<article>", "<main>", "<main>", '<div class="content">', '<div id="content">', '<div class="post">',
               '<div class="article-body">', '<section class="entry">', '<div class="story text">',
               '<div id="main" role="main">', '<div class="entry-content">', "<section>", "<div>")
 LINK_PARTS = ("<nav>", '<div class="menu">', '<ul class="nav">', '<div id="navigation" role="navigation">',
@@ -102,15 +102,18 @@ def other(r: random.Random) -> str:
     return labelled(tag, False) + inner + closing(tag)
 
 
-def labelled_pages(n: int = 240, seed: int = 5) -> list[str]:
+def labelled_pages(n: int = 300, seed: int = 5) -> list[str]:
     """``n`` pages; the same ones for the same arguments."""
     r, pages = random.Random(seed), []
     for _ in range(n):
         container = r.choice(CONTAINERS)
-        body = [other(r) for _ in range(r.randint(1, 4))]
-        body += [labelled(container, True) + article(r) + closing(container)]
-        body += [other(r) for _ in range(r.randint(1, 4))]
-        if r.random() < 0.3:
+        main = labelled(container, True) + article(r) + closing(container)
+        if (kind := r.random()) < 0.2:
+            text = f"<p>{sentence(r, 2, 9)}</p>" if kind < 0.1 else article(r)
+            pages.append(labelled(container, True) + text + closing(container))
+            continue
+        body = [*(other(r) for _ in range(r.randint(1, 4))), main, *(other(r) for _ in range(r.randint(1, 4)))]
+        if kind < 0.4:
             body = ["<div>", *body, "</div>"]
         pages.append(f'<!DOCTYPE html><html><head data-content="0"><title>{sentence(r, 2, 8)}</title>'
                      f"<style>p{{}}</style></head><body>{''.join(body)}</body></html>")

@@ -1,14 +1,16 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip), with components of the links.
 
-A document's shingles are ordered by how rare they are. By the threshold, two
-linked documents share at least T shingles, so one is among the rarest
-``n - T + 1`` of each: the short lists. Short lists, dealt by shingle, connect
-candidates through one hub per list and size class, never through all pairs,
-and the components of these edges are searched one by one: short lists are
-merged with a heap, which counts each candidate's occurrences, and the long
-lists are probed by binary search. Documents already connected are passed
-over, so links come out as a spanning forest. A candidate component larger
-than a chunk is searched by pairs of chunks, which is exact as well.
+Linked documents share all but a tenth or so of their shingles and have nearly
+equal sizes. So a document whose sampled shingles are, but for too few, held
+by no other document of a like size has no links; the sample is taken by hash,
+the same shingles in all documents. What is left is connected through one hub
+per shingle and size class, never through all pairs, and the components of
+these edges are searched one by one. In a search by DivideSkip, a set has to
+occur in T of the asking set's inverted lists: all but the T - 1 longest are
+merged with a heap, which counts occurrences, and the long ones are probed by
+binary search. Documents already connected are passed over, so links come out
+as a spanning forest. A candidate component larger than a chunk is searched by
+pairs of chunks, which is exact as well.
 
 Cases: null and empty texts have no shingles and no links, and are their own
 component; equal sets, from exact copies above all, are searched once; rows of
@@ -27,12 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import running_start, texts, with_copy, written
+from veloframe.llm.common import ROW_KEY, row_key, running_start, texts, with_copy, written
 from veloframe.llm.components import connected_components
 
 WIDTH, PERCENT = 3, 90
-#: Counters of the table that orders shingles by rarity, and how many stand in one of its rows.
-COUNTERS, ROW = 1 << 22, 1 << 12
+#: (size, rate): sets up to this size are sampled at this rate. Two linked sets share no sampled shingle
+#: with a chance below 1e-13, less than that of equal hashes in a large corpus.
+RATES = ((64, 1.0), (128, 0.5), (256, 0.25), (None, 0.1875))
 #: Shingles of one chunk of a candidate component.
 CHUNK = 2_000_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -53,90 +56,79 @@ def shingles(raw: bytes, width: int = WIDTH) -> np.ndarray:
     return np.unique(out)
 
 
-def counter_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
-
-
-def rarity(docs: DataFrame) -> np.ndarray:
-    """How many documents hold the shingles of each counter; a table of fixed size.
-
-    It only orders shingles, so sharing a counter costs time, never a link.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, some = np.zeros(COUNTERS, np.uint32), False
-        for batch in batches:
-            sets = [shingles(x) for x in texts(batch.column(0))]
-            if sets and len(every := np.concatenate(sets)):
-                total += np.bincount(counter_of(every), minlength=COUNTERS).astype(np.uint32)
-                some = True
-        rows = total.reshape(-1, ROW)
-        kept = np.flatnonzero(rows.any(axis=1)) if some else []
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(
-            [rows[k].tobytes() for k in kept], pa.binary())], names=["row", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(ROW, np.uint64)
-        for raw in table.column("counts").to_pylist():
-            total += np.frombuffer(raw, np.uint32)
-        return pa.table({"row": pa.array([table.column("row")[0].as_py()], pa.int32()),
-                         "counts": [np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes()]})
-
-    parts = docs.select("text").mapInArrow(count, "row int, counts binary")
-    some = parts.withColumn("salt", F.spark_partition_id() % 32).groupBy("row", "salt").applyInArrow(
-        lambda t: add(t.drop_columns(["salt"])), "row int, counts binary")
-    out = np.zeros((COUNTERS // ROW, ROW), np.uint32)
-    for row, counts in some.groupBy("row").applyInArrow(add, "row int, counts binary").collect():
-        out[row] = np.frombuffer(bytes(counts), np.uint32)
-    return np.minimum(out.ravel(), 65535).astype(np.uint16)
-
-
 def least_shared(n: int, percent: int) -> int:
     """T: shingles that a set of ``n`` shares with any set it is linked to, at least."""
     return -(-n * percent // 100)
 
 
-def sketches(docs: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, tie, n, s1, s2, short): set size, 128-bit set digest and the rarest shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def limit(n: int) -> int:
+    """Hashes below this, as signed numbers in order, are sampled in sets of size ``n``."""
+    rate = next(rate for size, rate in RATES if size is None or n <= size)
+    return int(rate * 2 ** 64) - 2 ** 63 - (rate == 1.0)
+
+
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, tie, n, s1, s2, below, m, sample): set size, 128-bit set digest, and sampled hashes.
+
+    ``m`` of them, those up to ``below``, are the set's own sample. Sets near the next rate give more,
+    so that a linked set of the higher rate finds them.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = shared.value
         for batch in batches:
-            n, digest, short = [], [], []
+            n, below, m, digest, sample = [], [], [], [], []
             for raw in texts(batch.column("text")):
                 s = shingles(raw)
+                signed = (s ^ np.uint64(1 << 63)).view(np.int64)  # in order of s
                 n.append(len(s))
+                below.append(limit(len(s)))
+                m.append(int(np.searchsorted(signed, below[-1], side="right")))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                rare = np.lexsort((s, order[counter_of(s)]))[:len(s) - least_shared(len(s), percent) + 1]
-                short.append(s[rare].view(np.int64))
+                sample.append(signed[:np.searchsorted(signed, limit(len(s) * percent // 100), side="right")])
             pairs = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-            ends = np.cumsum([0, *map(len, short)], dtype=np.int32)
+            ends = np.cumsum([0, *map(len, sample)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int32()),
-                 pa.array(pairs[:, 0]), pa.array(pairs[:, 1]),
+                 pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(below, pa.int64()), pa.array(m, pa.int32()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(
-                     np.concatenate(short) if short else np.empty(0, np.int64)))],
-                names=["doc_id", "tie", "n", "s1", "s2", "short"])
+                     np.concatenate(sample) if sample else np.empty(0, np.int64)))],
+                names=["doc_id", "tie", "n", "s1", "s2", "below", "m", "sample"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(
-        sketch, f"doc_id {kind}, tie long, n int, s1 long, s2 long, short array<long>")
+        sketch, f"doc_id {kind}, tie long, n int, s1 long, s2 long, below long, m int, sample array<long>")
+
+
+def with_links_possible(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``nodes`` that may be linked, by the shingles which they share in ``lists`` (node, shingle)."""
+    shared = lists.select("node", "shingle").distinct().join(nodes.select("node", "below"), "node").where(
+        "shingle <= below").groupBy("node").agg(F.count("*").alias("shared"))
+    most = F.col("n") - F.ceil(F.col("n") * percent / 100)  # shingles that a linked set may lack
+    return nodes.join(shared, "node").where(F.col("m") - F.col("shared") <= most).drop("shared")
+
+
+def held_by_several(lists: DataFrame, key: list[str]) -> DataFrame:
+    several = lists.groupBy(*key).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select(*key)
+    return lists.join(several, key)
 
 
 def candidate_edges(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): each node with the least node of every short list and size class that it shares.
+    """(a, b): each node that may have links, with the least such node of every shingle and size class
+    that it shares.
 
     Linked sizes differ by ``percent`` at most, so they fall into the same or the next class.
     """
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / (percent - 1)))).cast("int")
-    posted = nodes.select("node", step.alias("step"), F.explode("short").alias("shingle"))
-    several = (posted.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-               .where("a < b").select("shingle"))
-    posted = written(posted.join(several, "shingle")
-                     .select("node", "shingle", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step")),
-                     "join-lists")
-    hubs = posted.groupBy("shingle", "step").agg(F.min("node").alias("hub"))
-    return (posted.join(hubs, ["shingle", "step"]).where("node <> hub")
+    sizes = nodes.select("node", "n", "m", "below", step.alias("step"))
+    lists = written(held_by_several(nodes.select("node", F.explode("sample").alias("shingle")), ["shingle"]),
+                    "join-lists")
+    sizes = written(with_links_possible(lists, sizes, percent), "join-sizes")
+    classed = lists.join(sizes.select("node", "step"), "node").select(
+        "node", "shingle", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
+    classed = written(held_by_several(classed, ["shingle", "step"]), "join-classed")
+    left = classed.join(with_links_possible(classed, sizes, percent).select("node"), "node")
+    hubs = left.groupBy("shingle", "step").agg(F.min("node").alias("hub"))
+    return (left.join(hubs, ["shingle", "step"]).where("node <> hub")
             .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
 
 
@@ -257,15 +249,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHU
 
     ``tie`` is a hash of the text. Two documents link when the intersection of their shingle sets is
     at least ``percent`` of the union; component_id is the least doc_id that links reach, and
-    ``component`` a number of the component (null for empty sets). Jobs run here; the driver gets the
-    rarity counters, a table of fixed size.
+    ``component`` a number of the component (null for empty sets). Jobs run here; only counts come to
+    the driver.
     """
-    rows = written(sketches(docs, rarity(docs), percent), "join-sketches")
+    rows = written(sketches(docs, percent), "join-sketches")
     nodes = written(
         rows.where("n > 0").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("least_id"), F.min_by("tie", F.struct("doc_id", "tie")).alias("any_tie"),
             F.min_by("doc_id", F.struct("doc_id", "tie")).alias("any_id"),
-            F.first("n").alias("n"), F.first("short").alias("short"))
+            *(F.first(c).alias(c) for c in ("n", "m", "below", "sample")))
         .withColumn("node", F.monotonically_increasing_id()), "join-nodes")
     grouped = connected_components(candidate_edges(nodes, percent))
     candidates = written(grouped.join(nodes, "node").select(
@@ -287,9 +279,8 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     me = F.struct("doc_id", "tie")
     kept = (found.where("component is not null").groupBy("component")
             .agg(F.min_by(me, F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("me"))
-            .select(F.col("me.doc_id").alias("__k_id"), F.col("me.tie").alias("__k_tie"), F.lit(True).alias("__once")))
-    empty = found.where("component is null").select(
-        F.col("doc_id").alias("__k_id"), F.col("tie").alias("__k_tie"), F.lit(False).alias("__once")).distinct()
-    rows, kept = with_copy(docs), kept.unionByName(empty)
-    on = rows["doc_id"].eqNullSafe(kept["__k_id"]) & (rows["__tie"] == kept["__k_tie"])
-    return rows.join(kept, on).where(~F.col("__once") | (F.col("__copy") == 1)).select(*docs.columns)
+            .select("me.*", F.lit(True).alias("__once")))
+    empty = found.where("component is null").select("doc_id", "tie", F.lit(False).alias("__once")).distinct()
+    kept = kept.unionByName(empty).select(*row_key("doc_id", F.col("tie")), "__once")
+    rows = with_copy(docs).join(kept, ROW_KEY)
+    return rows.where(~F.col("__once") | (F.col("__copy") == 1)).select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import running_start, texts, with_copy, with_text, word_count, written
+from veloframe.llm.common import ROW_KEY, row_key, running_start, texts, with_copy, with_text, word_count, written
 
 #: Words in a block; a source's share is met to about one block.
 BLOCK_WORDS = 64
@@ -76,12 +76,19 @@ def shuffled(index: np.ndarray, domain: np.ndarray, key: np.ndarray, rounds: int
 
 
 def draws(sizes: list[int], targets: list[float], block_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks in each source, and blocks to draw from it in whole and part passes."""
-    n = np.array([-(-s // block_words) for s in sizes], np.int64)
-    passes = [int(t // s) if s else 0 for s, t in zip(sizes, targets, strict=True)]
-    part = [min(int(k), round((t - p * s) / block_words))
-            for s, t, p, k in zip(sizes, targets, passes, n, strict=True)]
-    return n, np.array(passes, np.int64) * n + np.array(part, np.int64)
+    """Blocks in each source, and blocks to draw from it in whole passes and one part pass.
+
+    The last block of a source, which may be short, comes last in every pass.
+    """
+    n, due = [], []
+    for size, target in zip(sizes, targets, strict=True):
+        blocks = -(-size // block_words)
+        passes = int(target // size) if size else 0
+        left, full = target - passes * size, max(blocks - 1, 0)
+        part = blocks if left > (full * block_words + size) / 2 else min(full, round(left / block_words))
+        n.append(blocks)
+        due.append(passes * blocks + part)
+    return np.array(n, np.int64), np.array(due, np.int64)
 
 
 def shard_counts(due: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -113,12 +120,15 @@ def plan_blocks(spark, n_blocks: np.ndarray, due: np.ndarray, seed: int,
             cell = np.searchsorted(ends, slot, side="right")
             source = cell % n_sources
             j = firsts[cell] + slot - (ends[cell] - counts.ravel()[cell])
-            domain = n_blocks[source]
-            epoch = j // domain
+            epoch, place = j // n_blocks[source], j % n_blocks[source]
+            full = n_blocks[source] - 1
+            inner = place < full
             key = (source + 1) * 0x100000001B3 + epoch * 0x10001 + seed
+            block = place.copy()
+            block[inner] = shuffled(place[inner], full[inner], key[inner])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cell // n_sources, pa.int32()), pa.array(source, pa.int32()),
-                 pa.array(shuffled(j % domain, domain, key), pa.int64()), pa.array(epoch, pa.int32())],
+                 pa.array(block, pa.int64()), pa.array(epoch, pa.int32())],
                 names=["out_shard", "source_no", "block", "epoch"])
 
     parts = max(1, -(-total // SLOTS_PER_TASK))
@@ -187,16 +197,15 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     Documents of which nothing is taken are left out; all columns are kept.
     """
     _, taken = mix(docs, **options)
-    takes = taken.groupBy(*(F.col(c).alias(f"__t_{c}") for c in ("doc_id", "tie", "copy"))).agg(
-        F.collect_list(F.struct("epoch", "first", "words")).alias("__takes"))
-    rows = with_copy(docs)
-    on = (rows["doc_id"].eqNullSafe(takes["__t_doc_id"]) & (rows["__tie"] == takes["__t_tie"])
-          & (rows["__copy"] == takes["__t_copy"]))
+    takes = taken.groupBy(*row_key("doc_id", F.col("tie"))).agg(
+        F.collect_list(F.struct("copy", "epoch", "first", "words")).alias("__takes"))
+    own = F.filter("__takes", lambda t: t["copy"] == F.col("__copy"))
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
         return pa.array([passages(x, t) for x, t in zip(texts(text), listed.to_pylist(), strict=True)],
                         pa.list_(pa.string()))
 
-    pieces = rows.join(takes, on).withColumn("__text", F.explode(cut("text", "__takes")))
+    rows = with_copy(docs).join(takes, ROW_KEY)
+    pieces = rows.withColumn("__own", own).withColumn("__text", F.explode(cut("text", "__own")))
     return with_text(pieces, F.col("__text")).select(*docs.columns)

@@ -96,14 +96,22 @@ def best_pair(lengths: list[int], counts: list[int], room: int) -> int:
     return best
 
 
+def least(lengths: list[int], counts: list[int], k: int) -> list[int]:
+    """The ``k`` shortest of the items left; an item longer than all stands for each that is missing."""
+    out: list[int] = []
+    for x in lengths[:k]:
+        out += [x] * min(counts[x], k - len(out))
+    return out + [len(counts)] * (k - len(out))
+
+
 def reduce_and_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple], int]:
     """Runs of places (length, rank, n, sequence, offset) and the number of sequences.
 
     A run places the items of one length ranked ``rank`` to ``rank + n`` at ``offset`` of the
     sequences ``sequence`` to ``sequence + n``. From the longest item down, the reduction fixes
-    the set that dominates all others holding that item: alone where nothing fits beside it;
-    with an item that fills it exactly; with the longest item that fits, where no two items fit
-    or no two together are longer. What is left goes best fit, longest first.
+    the set that dominates all others, of whatever items are left, holding that item: alone where nothing fits beside it;
+    with an item that fills it exactly; with the longest item that fits, where no two items fit,
+    or no three do and no two together are longer. What is left goes best fit, longest first.
     """
     left = [0] * (capacity + 1)
     for length, n in counts.items():
@@ -119,10 +127,13 @@ def reduce_and_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[li
     for s in range(capacity, 0, -1):
         while left[s]:
             room = capacity - s
-            present = [x for x in range(1, min(room, s) + 1) if left[x] - (x == s) > 0]
+            free = left[:]
+            free[s] -= 1
+            present = [x for x in range(1, room + 1) if free[x] > 0]
             if not present:
                 n, mate = left[s], 0
-            elif (mate := present[-1]) == room or mate >= best_pair(present, left, room):
+            elif (mate := present[-1]) == room or sum(least(present, free, 2)) > room or (
+                    sum(least(present, free, 3)) > room and mate >= best_pair(present, free, room)):
                 n = left[s] // 2 if mate == s else min(left[s], left[mate])
             else:
                 rest.append(s)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -59,7 +60,7 @@ class Chain:
 class Emissions(dict):
     """Emissions of the words met so far; starts over when it has grown large."""
 
-    def __init__(self, chain: Chain, most: int = 500_000):
+    def __init__(self, chain: Chain, most: int = 200_000):
         super().__init__()
         self.chain, self.most = chain, most
 
@@ -93,7 +94,7 @@ def marginals(e: np.ndarray, lengths: np.ndarray, moves) -> tuple[np.ndarray, np
 
 
 def tag(documents: list[list[str]], emissions: Emissions, chain: Chain,
-        cells: int = 1_000_000, most: int = 256) -> list[np.ndarray]:
+        cells: int = 400_000, most: int = 256) -> list[np.ndarray]:
     """The probability of each word of each document to be toxic."""
     out: list[np.ndarray] = [np.zeros(0)] * len(documents)
     order = sorted(range(len(documents)), key=lambda i: -len(documents[i]))
@@ -242,28 +243,43 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
     return fit([t for _, (t, _) in rows], [k for _, (_, k) in rows])
 
 
+def portions(raw: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+    """The texts in turn, about ``chars`` characters at a time, so that few word lists are held at once."""
+    own, n = [], 0
+    for x in raw:
+        own.append(x)
+        n += len(x)
+        if n >= chars:
+            yield own
+            own, n = [], 0
+    yield own
+
+
+def toxic_spans(text: str, hits: set[int]) -> list[dict[str, int]]:
+    """Offsets of the words numbered in ``hits``, neighbours joined."""
+    out: list[dict[str, int]] = []
+    for k, m in enumerate(WORD.finditer(text) if hits else ()):
+        if k in hits and k - 1 in hits:
+            out[-1]["end"] = m.end()
+        elif k in hits:
+            out.append({"start": m.start(), "end": m.end()})
+    return out
+
+
 def toxicity(text: Column, chain: Chain) -> Column:
     """struct<score, n_toxic, spans> of a text; spans of toxic words in code points, neighbours joined."""
 
     @F.arrow_udf("struct<score:double,n_toxic:long,spans:array<struct<start:int,end:int>>>")
     def tagged(column: pa.Array) -> pa.Array:
-        emissions = Emissions(chain)
-        raw = [x or "" for x in column.to_pylist()]
-        found = tag([WORD.findall(x) for x in raw], emissions, chain)
-        spans, counts = [], []
-        for x, p in zip(raw, found, strict=True):
-            hits = set(np.flatnonzero(p >= 0.5).tolist())
-            counts.append(len(hits))
-            own: list[dict[str, int]] = []
-            for k, m in enumerate(WORD.finditer(x) if hits else ()):
-                if k in hits:
-                    if own and k - 1 in hits:
-                        own[-1]["end"] = m.end()
-                    else:
-                        own.append({"start": m.start(), "end": m.end()})
-            spans.append(own)
+        emissions, scores, counts, spans = Emissions(chain), [], [], []
+        for raw in portions([x or "" for x in column.to_pylist()]):
+            for x, p in zip(raw, tag([WORD.findall(x) for x in raw], emissions, chain), strict=True):
+                hits = set(np.flatnonzero(p >= 0.5).tolist())
+                scores.append(score_of(p, chain))
+                counts.append(len(hits))
+                spans.append(toxic_spans(x, hits))
         return pa.StructArray.from_arrays(
-            [pa.array([score_of(p, chain) for p in found], pa.float64()), pa.array(counts, pa.int64()),
-             pa.array(spans, SPAN_TYPE)], names=["score", "n_toxic", "spans"])
+            [pa.array(scores, pa.float64()), pa.array(counts, pa.int64()), pa.array(spans, SPAN_TYPE)],
+            names=["score", "n_toxic", "spans"])
 
     return tagged(text)
