@@ -4,6 +4,7 @@ import datetime
 import math
 import struct
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -202,3 +203,24 @@ def test_sql_forms_on_edge_tables(spark):
 @given(st.lists(st.one_of(_num_text, _date_text, _frac_text), min_size=1, max_size=40))
 def test_sql_forms_match_python(spark, texts):
     _check_sql_forms(spark, texts)
+
+
+TERMINATORS = ["\n", "\r", "\r\n", "\u0085", "\u2028", "\u2029"]
+FORMS = [
+    (casts.safe_date, casts.DATE_PATTERN, casts.date_from_parts_sql, "8/31/2014", casts.DATE_FORMAT),
+    (casts.safe_datetime, casts.DATETIME_PATTERN, casts.datetime_from_parts_sql, "8/31/2014 22:31", casts.DATETIME_FORMAT),
+    (casts.safe_fractional_timestamp, casts.FRACTIONAL_PATTERN, casts.fractional_from_parts_sql,
+     "2014-08-31 22:31:05.25", casts.FRACTIONAL_FORMAT),
+]
+
+
+@pytest.mark.parametrize("cast,pattern,from_parts,text,form", FORMS)
+def test_line_terminators_at_the_end_give_null_in_both_forms(spark, cast, pattern, from_parts, text, form):
+    texts = [text, *(text + t for t in TERMINATORS)]
+    want = [_py_strptime(t, form) for t in texts]
+    assert want[0] is not None and want[1:] == [None] * len(TERMINATORS)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    columns = [r.v is not None for r in df.select("i", cast("t").alias("v")).orderBy("i").collect()]
+    parts = df.selectExpr("i", f"{casts.text_parts_sql('t', pattern)} AS p")
+    sql = [r.v is not None for r in parts.selectExpr("i", f"{from_parts('p')} AS v").orderBy("i").collect()]
+    assert columns == sql == [w is not None for w in want]

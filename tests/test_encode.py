@@ -65,18 +65,66 @@ def test_hash_split_is_complete_disjoint_and_stable(spark):
     assert 0.75 < len(ka) / 2000 < 0.85
 
 
-@pytest.mark.parametrize("bound", [0, 2])
+@pytest.mark.parametrize("bound", [0, 120])
 def test_index_columns_shuffle_path_agrees(spark, bound):
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "a", "y"), (4, "c", "x")],
                                "id int, c string, d string")
     fast = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"]).collect()}
-    slow = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"], max_broadcast_rows=bound).collect()}
+    slow = {r.id: (r.c, r.d) for r in encode.index_columns(df, ["c", "d"], max_broadcast_bytes=bound).collect()}
     assert fast == slow == {1: (0.0, 0.0), 2: (1.0, 0.0), 3: (0.0, 1.0), 4: (2.0, 0.0)}
 
 
-@pytest.mark.parametrize("bound", [None, 2, 0])
+@pytest.mark.parametrize("bound", [None, 110, 0])
 def test_index_columns_input_named_like_label_columns(spark, bound):
     df = spark.createDataFrame([(1, "a", "v1"), (2, "b", "v2"), (3, "a", "v1")], "idx int, value string, col string")
-    out = encode.index_columns(df, ["value", "col"], max_broadcast_rows=bound)
+    out = encode.index_columns(df, ["value", "col"], max_broadcast_bytes=bound)
     assert out.columns == ["idx", "value", "col"]
     assert {r.idx: (r.value, r.col) for r in out.collect()} == {1: (0.0, 0.0), 2: (1.0, 1.0), 3: (0.0, 0.0)}
+
+
+def _labels_of(spark, values):
+    return encode.frequency_labels(spark.createDataFrame([(v,) for v in values], "c string"), ["c"])
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_unseen_values_obey_the_mode(spark, bound):
+    labels = _labels_of(spark, ["a", "a", "b"])
+    df = spark.createDataFrame([(1, "a"), (2, "z"), (3, None), (4, "b")], "id int, c string")
+
+    def run(mode, rows=df):
+        out = encode.index_columns(rows, ["c"], handle_invalid=mode, labels=labels, max_broadcast_bytes=bound)
+        return {r.id: r.c for r in out.collect()}
+
+    assert run("keep") == {1: 0.0, 2: 2.0, 3: 2.0, 4: 1.0}
+    assert run("skip") == {1: 0.0, 4: 1.0}
+    assert run("error", df.where("c in ('a', 'b')")) == {1: 0.0, 4: 1.0}
+    for bad in ("c = 'z'", "c is null"):
+        with pytest.raises(Exception, match="without a label"):
+            run("error", df.where(f"{bad} or c = 'a'"))
+
+
+def test_null_fails_though_the_index_is_not_read(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, c string")
+    with pytest.raises(Exception, match="NULL value"):
+        encode.index_columns(df, ["c"]).select("id").collect()
+    with pytest.raises(Exception, match="without a label"):
+        encode.index_columns(df, ["c"], labels=_labels_of(spark, ["a"])).select("id").collect()
+
+
+def test_random_split_is_the_same_on_any_partitioning(spark):
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    parts = [[{r.k for r in part.collect()} for part in encode.split_random(df.repartition(n), (0.5, 0.3, 0.2), 7)]
+             for n in (1, 9)]
+    assert parts[0] == parts[1] and sum(map(len, parts[0])) == 3000 == len(set.union(*parts[0]))
+    assert abs(len(parts[0][0]) / 3000 - 0.5) < 0.05
+
+
+def test_entry_indices_and_width(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, c string")
+    hot = encode.one_hot(encode.index_columns(df, ["c"]), ["c"], drop_last=True)
+    out = encode.assemble(hot, ["c"])
+    got = {r.id: r.i for r in out.select("id", encode.entry_indices("features").alias("i")).collect()}
+    assert got == {1: [0], 2: [], 3: [0]} and encode.vector_width(out) == 1
+    wide = spark.createDataFrame([(i, f"v{i}") for i in range(9)], "id int, c string")
+    wide = encode.assemble(encode.one_hot(encode.index_columns(wide, ["c"]), ["c"]), ["c"])
+    assert sorted(r.i for r in wide.select(encode.entry_indices("features").alias("i")).collect()) == [[k] for k in range(9)]

@@ -9,11 +9,11 @@ from veloframe.sources import ingest
 from veloframe.sources.fixtures import TRIP_HEADER
 from veloframe.sources.schemas import TRIP_REQUIRED_TEXT, TRIP_SCHEMA, TRIP_DATE_SCHEMA
 
-# Trip lines as printed in the console transcript of the original job.
-LINE_A = ("432946,406,8/31/2014 22:31,Mountain View Caltrain Station,28,8/31/2014 22:38,"
-          "Castro Street and El Camino Real,32,17,Subscriber,94040")
-LINE_ROUND = "4576,63,8/29/2013 14:13,South Van Ness at Market,66,8/29/2013 14:14,South Van Ness at Market,66,520,Subscriber,94127"
-LINE_ONEWAY = "4299,83,8/29/2013 12:02,South Van Ness at Market,66,8/29/2013 12:04,Market at 10th,67,319,Subscriber,94103"
+# Made-up trip lines in the files' format.
+LINE_A = ("700123,431,8/31/2014 22:31,North Gate,28,8/31/2014 22:38,"
+          "River Bridge at Mill,32,17,Subscriber,10440")
+LINE_ROUND = "5101,63,8/29/2013 14:13,Old Town Square,66,8/29/2013 14:14,Old Town Square,66,520,Subscriber,10527"
+LINE_ONEWAY = "5102,83,8/29/2013 12:02,Old Town Square,66,8/29/2013 12:04,Harbour Steps,67,319,Subscriber,10503"
 
 
 def _write(dirpath, name, lines):
@@ -27,12 +27,12 @@ def test_load_with_header_and_types(spark, scratch_dir):
     p = _write(scratch_dir, "trips_a.csv", [TRIP_HEADER, LINE_A, LINE_ROUND])
     df = ingest.load_delimited(spark, p, TRIP_SCHEMA)
     rows = sorted(df.collect(), key=lambda r: r.trip_id)
-    assert [r.trip_id for r in rows] == [4576, 432946]
+    assert [r.trip_id for r in rows] == [5101, 700123]
     a = rows[1]
-    assert a.duration == 406
+    assert a.duration == 431
     assert a.start_date == datetime.datetime(2014, 8, 31, 22, 31)
-    assert a.end_station == "Castro Street and El Camino Real"
-    assert a.zip == "94040" and a.bike_no == 17
+    assert a.end_station == "River Bridge at Mill"
+    assert a.zip == "10440" and a.bike_no == 17
     assert df.schema == TRIP_SCHEMA
 
 
@@ -73,9 +73,9 @@ def test_too_few_fields_fail_or_null(spark):
 
 def test_surplus_field_ignored_and_quoted_comma_shifts(spark):
     extra = LINE_A + ",surplus"
-    quoted = LINE_A.replace("Mountain View Caltrain Station", '"Mountain View, Caltrain"')
+    quoted = LINE_A.replace("North Gate", '"Mountain View, Caltrain"')
     rows = ingest.parse_lines(_lines(spark, [extra, quoted]), TRIP_SCHEMA).collect()
-    assert rows[0].zip == "94040"
+    assert rows[0].zip == "10440"
     assert rows[1].start_station == '"Mountain View' and rows[1].start_terminal is None
 
 
@@ -95,3 +95,16 @@ def test_unused_fields_are_pruned(spark):
     df = ingest.parse_lines(_lines(spark, [LINE_A]), TRIP_SCHEMA, mode="null").select("zip")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "make_timestamp" not in plan and "try_make_timestamp" not in plan
+
+
+def test_each_path_has_its_own_header(spark, scratch_dir):
+    a = _write(scratch_dir, "period_a.csv", [TRIP_HEADER, LINE_A, LINE_A])
+    b = _write(scratch_dir, "period_b.csv", [TRIP_HEADER.upper(), LINE_ROUND])
+    df = ingest.load_delimited(spark, [a, b], TRIP_SCHEMA, required_text=TRIP_REQUIRED_TEXT)
+    assert sorted(r.trip_id for r in df.collect()) == [5101, 700123, 700123]
+
+
+def test_keys_beyond_32_bits_are_kept(spark):
+    line = LINE_A.replace("700123", "9000000000")
+    df = ingest.parse_lines(spark.createDataFrame([(line,)], "value string"), TRIP_SCHEMA)
+    assert df.first().trip_id == 9_000_000_000

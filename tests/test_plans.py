@@ -3,14 +3,13 @@ size-checked joins broadcast at test scale, filters and projections at the scan.
 
 import pytest
 
-import __spark_entry__ as entry
+from veloframe.plans.queries import QUERIES
 
-QUERIES = entry.queries()
 # These fit models while being built; their plans are checked through the
 # feature and encoding queries they are made of.
 FITTING = {"rf_accuracy", "dt_accuracy", "lr_accuracy", "job_baseline", "job_window_features",
-           "job_all_features", "stream_trip_periods"}
-PYTHON_ALLOWED = {"one_hot"}  # Arrow-batched reader of sparse vector indices (report only)
+           "job_all_features", "stream_trip_periods", "trees_by_terminal", "window_job_by_terminal",
+           "all_features_by_terminal", "lr_scored"}
 
 
 def _plan(df):
@@ -21,8 +20,7 @@ def _plan(df):
 def test_plan_shape(spark, small_dir, name):
     plan = _plan(QUERIES[name](spark, small_dir))
     assert "BatchEvalPython" not in plan
-    if name not in PYTHON_ALLOWED:
-        assert "ArrowEvalPython" not in plan
+    assert "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "SortMergeJoin" not in plan

@@ -46,16 +46,16 @@ def test_class_counts_null_class_only_in_total(spark):
     assert (r.nx, r.ny, r.total_trips) == (1, 1, 3)
 
 
-@pytest.mark.parametrize("max_rows", [None, 0])
-def test_attach_broadcast_and_shuffle_paths_agree(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_attach_broadcast_and_shuffle_paths_agree(spark, max_bytes):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "c")], "id int, k string")
     stats = spark.createDataFrame([("a", 10), (None, 20), ("b", 30)], "k string, v int")
-    strict = rel.attach(df, stats, "k", null_safe=False, max_broadcast_rows=max_rows)
-    safe = rel.attach(df, stats, "k", null_safe=True, max_broadcast_rows=max_rows)
+    strict = rel.attach(df, stats, "k", null_safe=False, max_broadcast_bytes=max_bytes)
+    safe = rel.attach(df, stats, "k", null_safe=True, max_broadcast_bytes=max_bytes)
     assert {r.id: r.v for r in strict.collect()} == {1: 10, 2: None, 3: 30, 4: None}
     assert {r.id: r.v for r in safe.collect()} == {1: 10, 2: 20, 3: 30, 4: None}
     plan = safe._jdf.queryExecution().executedPlan().toString()
-    if max_rows == 0:
+    if max_bytes == 0:
         assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
     else:
         assert "BroadcastHashJoin" in plan
@@ -64,3 +64,24 @@ def test_attach_broadcast_and_shuffle_paths_agree(spark, max_rows):
 def test_first_rows_is_ordered(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "x int")
     assert [r.x for r in rel.first_rows(df, 2, ["x"]).collect()] == [1, 2]
+
+
+def test_part_counts_scans_once_and_adds_up_few_rows(spark):
+    out = rel.part_counts({"first": spark.range(5), "second": spark.range(0)})
+    assert {r.part: r.n for r in out.collect()} == {"first": 5, "all": 5}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("Range")  # the rollup stands above the counts
+
+
+def test_measured_bytes_follow_the_text(spark):
+    df = spark.createDataFrame([("k", "x" * 2000)] * 50, "k string, v string")
+    assert 100_000 < rel.measured_bytes(df) < 110_000
+
+
+def test_wide_texts_are_not_broadcast(spark):
+    df = spark.createDataFrame([(i, f"{i % 60}" + "y" * 2000) for i in range(300)], "id int, k string")
+    stats = df.groupBy("k").count().withColumnRenamed("count", "n")
+    small, big = rel.sized_side(stats, 200_000)[1], rel.sized_side(stats, 20_000)[1]
+    assert small and not big
+    got = rel.attach(df, stats, "k", max_broadcast_bytes=20_000, weight="n")
+    assert got.count() == 300 and got.columns == ["id", "k"]

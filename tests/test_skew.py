@@ -35,10 +35,11 @@ def _window_truth(df):
             for r in out.collect()}
 
 
-@pytest.mark.parametrize("max_rows", [None, 0])
-def test_station_features_on_hot_key(spark, skewed, max_rows, monkeypatch):
-    if max_rows == 0:  # force the shuffle-join path
-        monkeypatch.setattr(rel, "broadcast_limit_rows", lambda df: 0)
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_station_features_on_hot_key(spark, skewed, max_bytes, monkeypatch):
+    if max_bytes == 0:  # force the shuffle-join path
+        monkeypatch.setattr(rel, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(rel, "ROWS_PER_TASK", 100)
     got = feat.with_station_features(skewed).select("trip_id", "average", "pct_weekday", "pct_weekend")
     assert got.count() == 3000
     truth = _window_truth(skewed)
@@ -61,7 +62,7 @@ def test_salted_join_spreads_the_hot_key_without_adaptive_execution(spark, skewe
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = rel.salted_join(skewed, side, F.col("start_station"), "k", "w", null_safe=True, buckets=8)
+        joined = rel.salted_join(skewed, side, F.col("start_station"), "k", "w", null_safe=True, rows_per_task=100)
         per_task = joined.where(F.col("start_station") == "HOT").groupBy(F.spark_partition_id()).count().collect()
         total = joined.count()
     finally:
@@ -72,3 +73,44 @@ def test_salted_join_spreads_the_hot_key_without_adaptive_execution(spark, skewe
     got = {r.trip_id: r.a for r in joined.select("trip_id", "a").collect()}
     truth = _window_truth(skewed)
     assert all(got[t] == pytest.approx(truth[t][0], rel=1e-12) for t in truth)
+
+
+@pytest.fixture
+def without_adaptive_execution(spark):
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def _side(df, key="k"):
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("w"), F.sum("id").alias("s")).withColumnRenamed(key, "side_k")
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_a_null_third_spreads(spark, without_adaptive_execution, null_safe):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else f"k{i % 50}") for i in range(3000)], "id int, k string")
+    side = _side(df if null_safe else df.where("k is not null"))
+    out = rel.salted_join(df, side, F.col("k"), "side_k", "w", null_safe=null_safe, rows_per_task=100)
+    per_task = out.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 500
+    nulls = {r.s for r in out.where("k is null").select("s").collect()}
+    assert out.count() == 3000 and nulls == ({sum(range(0, 3000, 3))} if null_safe else {None})
+
+
+def test_side_grows_with_the_rows_of_heavy_keys_only(spark):
+    df = spark.createDataFrame([(i, f"k{i % 40}") for i in range(4000)], "id int, k string")  # 40 heavy keys
+    out = rel.salted_join(df, _side(df), F.col("k"), "side_k", "w", rows_per_task=50)
+    assert out.count() == 4000 and {r.s for r in out.select("s").distinct().collect()} == {
+        sum(range(r, 4000, 40)) for r in range(40)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan
+    salts = sum(-(-100 // 50) for _ in range(40))
+    assert salts <= 40 + 4000 // 50
+
+
+def test_few_keys_are_split_whatever_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(rel, "MOST_HEAVY", 3)
+    df = spark.createDataFrame([(i, f"k{i % 40}") for i in range(4000)], "id int, k string")
+    out = rel.salted_join(df, _side(df), F.col("k"), "side_k", "w", rows_per_task=1)
+    assert out.where("s is not null").count() == 4000

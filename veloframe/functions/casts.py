@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 #
 # Number grammar of Python's int() and float() (blanks around, optional sign,
 # no digit separators, float also takes nan / inf / infinity in any case).
-INT_PATTERN = r"^\s*[+-]?\d+\s*$"
+INT_PATTERN = r"^\s*[+-]?\d+\s*\z"
 FLOAT_PATTERN = (r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
-                 r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$")
+                 r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*\z")
 # Field patterns of strptime directives: %m, %d, %Y, %H, %M, %S, %f.
 # A blank in a strptime format matches one or more whitespace characters.
 MONTH = r"(1[0-2]|0[1-9]|[1-9])"
@@ -41,10 +41,11 @@ DATETIME_FORMAT = "%m/%d/%Y %H:%M"
 FRACTIONAL_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 # ---------------------------------------------------------------------------
 
-DATE_PATTERN = "^" + MONTH + "/" + DAY + "/" + YEAR + "$"
-DATETIME_PATTERN = "^" + MONTH + "/" + DAY + "/" + YEAR + r"\s+" + HOUR + ":" + MINUTE + "$"
+# \z is the end of the text; $ would also match before a last line terminator.
+DATE_PATTERN = "^" + MONTH + "/" + DAY + "/" + YEAR + r"\z"
+DATETIME_PATTERN = "^" + MONTH + "/" + DAY + "/" + YEAR + r"\s+" + HOUR + ":" + MINUTE + r"\z"
 FRACTIONAL_PATTERN = ("^" + YEAR + "-" + MONTH + "-" + DAY + r"\s+" + HOUR + ":" + MINUTE
-                      + ":" + SECOND + r"\." + FRACTION + "$")
+                      + ":" + SECOND + r"\." + FRACTION + r"\z")
 
 # Separators between the numeric parts of a validated date/time text; a day
 # written as " 5" (blank + digit) follows its separator.
@@ -97,7 +98,7 @@ def text_parts(x, pattern: str) -> Column:
 
 
 def _ints(parts: Column, n: int) -> list[Column]:
-    return [F.get(parts, i).cast("int") for i in range(n)]
+    return [F.get(parts, i).try_cast("int") for i in range(n)]
 
 
 def date_from_parts(parts) -> Column:
@@ -124,7 +125,7 @@ def fractional_from_parts(parts) -> Column:
     parts = _c(parts)
     y, m, d, hh, mi, ss = _ints(parts, 6)
     sec = F.concat(F.lpad(F.get(parts, 5), 2, "0"), F.lit("."),
-                   F.rpad(F.get(parts, 6), 6, "0")).cast("decimal(8,6)")
+                   F.rpad(F.get(parts, 6), 6, "0")).try_cast("decimal(8,6)")
     ts = F.try_make_timestamp_ntz(y, m, d, hh, mi, sec)
     return F.when((y >= 1) & (ss < 60), ts)
 
@@ -183,7 +184,7 @@ def text_parts_sql(x: str, pattern: str) -> str:
 
 
 def _int_at(parts: str, i: int) -> str:
-    return f"CAST(get({parts}, {i}) AS INT)"
+    return f"try_cast(get({parts}, {i}) AS INT)"
 
 
 def date_from_parts_sql(p: str) -> str:
@@ -198,7 +199,7 @@ def datetime_from_parts_sql(p: str) -> str:
 
 def fractional_from_parts_sql(p: str) -> str:
     y, m, d, hh, mi, ss = (_int_at(p, i) for i in range(6))
-    sec = f"CAST(concat(lpad(get({p}, 5), 2, '0'), '.', rpad(get({p}, 6), 6, '0')) AS DECIMAL(8,6))"
+    sec = f"try_cast(concat(lpad(get({p}, 5), 2, '0'), '.', rpad(get({p}, 6), 6, '0')) AS DECIMAL(8,6))"
     return (f"CASE WHEN {y} >= 1 AND {ss} < 60 "
             f"THEN try_make_timestamp_ntz({y}, {m}, {d}, {hh}, {mi}, {sec}) END")
 

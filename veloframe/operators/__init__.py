@@ -17,7 +17,6 @@ from veloframe.operators.relational import (
     group_count,
     non_empty,
     part_counts,
-    shares,
     stack,
     stack_tagged,
 )
@@ -26,5 +25,5 @@ __all__ = [
     "group_class_shares", "trip_features", "with_day_of_week", "with_days_between",
     "with_equal_flag", "with_group_average", "with_group_shares", "with_station_features",
     "attach", "class_counts", "first_rows", "group_count", "non_empty", "part_counts",
-    "shares", "stack", "stack_tagged",
+    "stack", "stack_tagged",
 ]

@@ -13,8 +13,8 @@ or the driver:
 3. per (column, partition) counts -- bounded by columns x partitions -- give
    each partition's starting offset and each column's number of categories;
 4. index = offset + position; the label table is joined back per column
-   (broadcast when the column's exact label count fits, else a shuffle
-   join that splits heavy values, ``relational.salted_join``).
+   (broadcast while the labels' measured bytes fit, else a shuffle join
+   that splits heavy values, ``relational.salted_join``).
 
 The index columns carry nominal ML metadata (number of categories), so
 ``OneHotEncoder`` needs no extra pass to learn its widths.
@@ -28,8 +28,8 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.operators.relational import broadcast_limit_rows, salted_join
-from veloframe.sources.catalog import keep
+from veloframe.operators.relational import BROADCAST_BYTES, salted_join
+from veloframe.sources.catalog import cut_lineage, drop_files
 
 HANDLE_INVALID = ("error", "keep", "skip")
 _LOW_BITS = (1 << 33) - 1
@@ -49,34 +49,45 @@ def frequency_labels_with_sizes(df: DataFrame, cols: Sequence[str],
     """(col, value, n, idx) label table and the number of categories per column.
 
     idx is the 0-based rank by falling count, ties by value text. The
-    sorted counts are kept in executor storage; the positions are
-    deterministic (the sort key is unique per row), so a lost block is
-    recomputed to the same values. Only the per-(column, partition) counts
-    -- at most columns x partitions rows -- come to the driver, to turn
-    positions into offsets.
+    sorted counts are written with their positions, so both are read from
+    files ever after. Only the per-(column, partition) counts -- at most
+    columns x partitions rows -- come to the driver, to turn positions into
+    offsets. Three jobs run here; the label table is written by column, so a
+    join reads its own column's part.
     """
+    labels, sizes = _labels(df, cols, partitions)
+    return labels, {c: n for c, (n, _) in sizes.items()}
+
+
+def _labels(df: DataFrame, cols: Sequence[str], partitions: int | None = None
+            ) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """The label table, and per column its categories and their bytes."""
     counts = value_counts(df, cols)
     order = [F.col("col"), F.col("n").desc(), F.col("value")]
     # Without an explicit count adaptive execution sizes the range exchange
     # by data volume; merged neighbours stay in order, which is all the
     # offsets below rely on.
     spread = counts.repartitionByRange(partitions, *order) if partitions else counts.repartitionByRange(*order)
-    ranked = keep(spread.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    ranked = cut_lineage(spread.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()),
+                         "ranked")
     pos = F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))
     part = F.shiftright(F.col("_mid"), 33)
     per_part = sorted(
-        (r["col"], r["_pid"], r["_cnt"], r["_first"]) for r in
+        (r["col"], r["_pid"], r["_cnt"], r["_first"], r["_bytes"]) for r in
         ranked.groupBy("col", part.alias("_pid")).agg(
-            F.count(F.lit(1)).alias("_cnt"), F.min(pos).alias("_first")).collect())
+            F.count(F.lit(1)).alias("_cnt"), F.min(pos).alias("_first"),
+            F.sum(F.octet_length("value") + 48).alias("_bytes")).collect())
     offsets, sizes = [], {}
-    for c, pid, cnt, first in per_part:
-        offsets.append((c, int(pid), sizes.get(c, 0) - int(first)))
-        sizes[c] = sizes.get(c, 0) + int(cnt)
-    spark = df.sparkSession
-    shift = spark.createDataFrame(offsets, "col string, _pid long, _shift long")
+    for c, pid, cnt, first, size in per_part:
+        n, total = sizes.get(c, (0, 0))
+        offsets.append((c, int(pid), n - int(first)))
+        sizes[c] = (n + int(cnt), total + int(size))
+    shift = df.sparkSession.createDataFrame(offsets, "col string, _pid long, _shift long")
     labels = ranked.withColumn("_pid", part).join(F.broadcast(shift), ["col", "_pid"]).select(
-        "col", "value", "n", (F.col("_shift") + pos).alias("idx"))
-    return keep(labels), sizes
+        "value", "n", (F.col("_shift") + pos).alias("idx"), "col")
+    labels = cut_lineage(labels, "labels", partition_by=["col"])
+    drop_files(ranked)
+    return labels.select("col", "value", "n", "idx"), sizes
 
 
 def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -84,10 +95,17 @@ def frequency_labels(df: DataFrame, cols: Sequence[str], partitions: int | None
     return frequency_labels_with_sizes(df, cols, partitions)[0]
 
 
-def label_sizes(labels: DataFrame) -> dict[str, int]:
-    """Number of categories per column (one small row per column)."""
-    return {r["col"]: int(r["k"]) for r in
-            labels.groupBy("col").agg(F.count(F.lit(1)).alias("k")).collect()}
+def label_sizes(labels: DataFrame) -> dict[str, tuple[int, int]]:
+    """Categories per column and their bytes (one small row per column)."""
+    return {r["col"]: (int(r["k"]), int(r["b"])) for r in labels.groupBy("col").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(F.octet_length("value") + 48).alias("b")).collect()}
+
+
+def require_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Fails the job on a NULL in ``cols``, whichever columns are read later."""
+    for c in cols:
+        df = df.where(F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL value in column {c}"))).otherwise(True))
+    return df
 
 
 def _nominal(name: str, k: int) -> dict:
@@ -96,61 +114,63 @@ def _nominal(name: str, k: int) -> dict:
 
 def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error",
                   labels: DataFrame | None = None, output_suffix: str | None = None,
-                  max_broadcast_rows: int | None = None) -> DataFrame:
+                  max_broadcast_bytes: int | None = None) -> DataFrame:
     """M1: replace each column by its frequency index (double).
 
     As the indexing helper of the trip jobs does, the index replaces the
     column under its own name and moves to the end of the row (give
     ``output_suffix`` to keep the column and add ``<col><suffix>`` instead).
-    Numbers are indexed through their text. ``handle_invalid``: ``error``
-    fails on NULL, ``keep`` gives NULL the index k (one past the last),
-    ``skip`` drops the row.
-
-    Each column's labels are joined on their own: broadcast when their exact
-    count fits the bound (together the broadcasts carry the label table
-    once), else a shuffle join that splits heavy values. ``max_broadcast_rows``
-    overrides the bound derived from the session's broadcast threshold (the
-    label counts are exact, so any bound is a proven one).
+    Numbers are indexed through their text. ``labels`` fitted on other rows
+    (say, the training part) may lack a value. For NULL and such unseen
+    values, ``handle_invalid`` ``error`` fails the job (by a filter, so also
+    when the index is not read later), ``keep`` gives the index k (one past
+    the last), ``skip`` drops the row.
+
+    Each column's labels are joined on their own: smallest first they are
+    broadcast while their measured bytes together fit one bound
+    (``max_broadcast_bytes``, default ``relational.BROADCAST_BYTES``), the
+    others by a shuffle join that splits heavy values. Fitting labels runs
+    three jobs; given labels are measured by one.
     """
     if handle_invalid not in HANDLE_INVALID:
         raise ValueError(f"handle_invalid must be one of {HANDLE_INVALID}")
-    if labels is None:
-        labels, sizes = frequency_labels_with_sizes(df, cols)
-    else:
-        sizes = label_sizes(labels)
-    table = labels.select("col", "value", "idx")
-    limit = broadcast_limit_rows(table) if max_broadcast_rows is None else max_broadcast_rows
+    fitted = labels is None
+    labels, sizes = _labels(df, cols) if fitted else (labels, label_sizes(labels))
+    left = BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
+    broadcast = set()
+    for c in sorted(cols, key=lambda c: sizes.get(c, (0, 0))[1]):
+        left -= sizes.get(c, (0, 0))[1]
+        if left >= 0:
+            broadcast.add(c)
     out = df
+    if fitted and handle_invalid == "error":
+        out = require_values(out, cols)
     for i, c in enumerate(cols):
         # label columns get names of their own per join, so no input column
         # (say one called "value") can clash with them
         text = F.col(c).cast("string")
-        if sizes.get(c, 0) <= limit:
-            side = F.broadcast(table.where(F.col("col") == c).select(
-                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__idx{i}")))
-            out = out.join(side, F.col(f"__v{i}") == text, "left")
+        side = labels.where(F.col("col") == c).select(
+            F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__idx{i}"), F.col("n").alias(f"__n{i}"))
+        if c in broadcast:
+            out = out.join(F.broadcast(side.drop(f"__n{i}")), F.col(f"__v{i}") == text, "left")
         else:  # many categories: shuffle join that splits heavy values
-            side = labels.where(F.col("col") == c).select(
-                F.col("value").alias(f"__v{i}"), F.col("idx").alias(f"__idx{i}"), F.col("n").alias(f"__n{i}"))
             out = salted_join(out, side, text, f"__v{i}", f"__n{i}")
     base = [c for c in df.columns if output_suffix or c not in cols]
     exprs = [F.col(f"`{c}`") for c in base]
-    checks = []
     for i, c in enumerate(cols):
-        k = sizes.get(c, 0)
-        idx = F.col(f"__idx{i}").cast("double")
-        if handle_invalid == "error":
-            idx = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL value in column {c}"))
-                         ).otherwise(idx)
-        elif handle_invalid == "keep":
-            idx = F.coalesce(idx, F.lit(float(k)))
-        else:
-            checks.append(F.col(c).isNotNull())
-        width = k + 1 if handle_invalid == "keep" else k
+        idx = F.col(f"__idx{i}")
+        k = sizes.get(c, (0, 0))[0]
+        if handle_invalid == "skip":
+            out = out.where(F.col(c).isNotNull() if fitted else idx.isNotNull())
+        elif handle_invalid == "error" and not fitted:
+            out = out.where(F.when(idx.isNull(), F.raise_error(
+                F.concat(F.lit(f"value without a label in column {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+            )).otherwise(True))
+        idx = idx.cast("double")
+        if handle_invalid == "keep":
+            idx, k = F.coalesce(idx, F.lit(float(k))), k + 1
         name = c + output_suffix if output_suffix else c
-        exprs.append(idx.alias(name, metadata=_nominal(name, width)))
-    for cond in checks:
-        out = out.where(cond)
+        exprs.append(idx.alias(name, metadata=_nominal(name, k)))
     return out.select(*exprs)
 
 
@@ -175,9 +195,29 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
                            handleInvalid=handle_invalid).transform(df)
 
 
-def labelled_points(df: DataFrame, label_source: str, features: str = "features") -> DataFrame:
-    """M4: (features, label) with ``label_source`` renamed to ``label``."""
-    return df.select(features, F.col(label_source).alias("label"))
+def labelled_points(df: DataFrame, label_source: str, features: str = "features",
+                    key: str | None = None) -> DataFrame:
+    """M4: (features, label[, key]) with ``label_source`` renamed to ``label``."""
+    return df.select(features, F.col(label_source).alias("label"), *([key] if key else []))
+
+
+def vector_width(df: DataFrame, column: str = "features") -> int:
+    """Width of an assembled vector column, from its metadata."""
+    return int(df.schema[column].metadata["ml_attr"]["num_attrs"])
+
+
+def entry_indices(vector: str) -> F.Column:
+    """Indices of a vector's non-zero entries, as array<int>.
+
+    A sparse vector is not expanded to its width; a vector is stored dense only
+    where most of it is non-zero.
+    """
+    text = F.col(vector).cast("string")
+    listed = F.regexp_extract(text, r"^\(\d+,\[([^\]]*)\]", 1)
+    values = F.split(F.regexp_extract(text, r"^\[([^\]]*)\]", 1), ",")
+    dense = F.filter(F.transform(values, lambda x, k: F.when(x.try_cast("double") != 0, k)), lambda k: k.isNotNull())
+    sparse = F.when(listed == "", F.array().cast("array<int>")).otherwise(F.split(listed, ",").cast("array<int>"))
+    return F.when(text.startswith("["), dense).otherwise(sparse)
 
 
 # Hash split, bucket = first 8 hex digits of md5(key text) mod 100.
@@ -202,5 +242,16 @@ def split_by_hash(df: DataFrame, key: str, train_percent: int = 80) -> tuple[Dat
 
 
 def split_random(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:
-    """M5 (as in the jobs): seeded ``randomSplit``."""
-    return df.randomSplit(list(weights), seed=seed)
+    """M5 (as in the jobs): a seeded random split by ``weights``.
+
+    The draw is a hash of the row and the seed, so the parts are the same on
+    any partitioning and any number of cores; equal rows go together.
+    """
+    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    ends, total = [], 0.0
+    for w in weights:
+        total += w / sum(weights)
+        ends.append(total)
+    starts = [float("-inf"), *ends[:-1]]
+    ends[-1] = float("inf")
+    return [df.where((draw >= a) & (draw < b)) for a, b in zip(starts, ends, strict=True)]

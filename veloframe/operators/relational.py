@@ -4,11 +4,10 @@ Grouped work always goes through Spark's partial + final hash aggregation,
 so a station (or weekday) holding a large share of all rows is
 pre-aggregated inside every map task and only one small row per task and
 key crosses the shuffle. Per-group results are attached to the rows with a
-plain equi-join whose side is size-checked first (``sized_side``): it is
-computed once, its rows are counted, and it is broadcast only when it fits
-``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined by
-shuffle, where adaptive execution splits skewed keys. So the big table is
-never shuffled to attach a small per-key result.
+plain equi-join whose side is measured first (``sized_side``): it is
+computed once, its bytes are summed, and it is broadcast only within a bound;
+a larger one is joined by shuffle with heavy keys split (``salted_join``).
+So the big table is never shuffled to attach a small per-key result.
 """
 
 from __future__ import annotations
@@ -18,8 +17,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from veloframe.functions.compare import share
+from veloframe.sources.catalog import cut_lineage
 
 
 def non_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,13 +50,14 @@ def stack_tagged(parts: Mapping[str, DataFrame], tag: str = "part") -> DataFrame
 def part_counts(parts: Mapping[str, DataFrame], tag: str = "part", total: str | None = "all") -> DataFrame:
     """A1: row count per part (and of the whole stack) in one job.
 
-    ``rollup`` adds the grand total row, so the stack is scanned once.
+    The stack is counted per part first; the grand total adds up those few
+    rows.
     """
-    tagged = stack_tagged(parts, tag).select(tag)
+    counts = stack_tagged(parts, tag).groupBy(tag).agg(F.count(F.lit(1)).alias("n"))
     if total is None:
-        return tagged.groupBy(tag).agg(F.count(F.lit(1)).alias("n"))
-    out = tagged.rollup(tag).agg(F.count(F.lit(1)).alias("n"))
-    return out.select(F.coalesce(F.col(tag), F.lit(total)).alias(tag), "n")
+        return counts
+    out = counts.rollup(tag).agg(F.sum("n").alias("n"))
+    return out.select(F.coalesce(F.col(tag), F.lit(total)).alias(tag), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def group_count(df: DataFrame, key: str, name: str = "n", ordered: bool = True) -> DataFrame:
@@ -79,117 +80,86 @@ def class_counts(df: DataFrame, key: str, class_col: str, classes: Mapping[str,
     return df.groupBy(key).agg(*aggs)
 
 
-def shares(counts: DataFrame, key: str, parts: Mapping[str, str], total: str = "total_trips",
-           keep_counts: bool = False) -> DataFrame:
-    """A5: ``round(count / total, 2)`` per key; ``parts`` maps share name -> count column."""
-    cols = [F.col(key)]
-    if keep_counts:
-        cols += [F.col(c) for c in parts.values()] + [F.col(total)]
-    cols += [share(F.col(c), F.col(total)).alias(n) for n, c in parts.items()]
-    return counts.select(*cols)
-
-
-def _field_bytes(t) -> int:
-    from pyspark.sql import types as T
-    if isinstance(t, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(t, (T.ShortType,)):
-        return 2
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    return 64  # strings and nested values: a generous width per value
-
-
-def _row_bytes(df: DataFrame) -> int:
-    return 16 + sum(_field_bytes(f.dataType) for f in df.schema.fields)
-
-
-def broadcast_limit_rows(df: DataFrame) -> int:
-    """Rows of ``df`` that fit the session's broadcast threshold (0 = never)."""
-    spark = df.sparkSession
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    digits = raw.lstrip("-").rstrip("kmgb")
-    limit = int(digits) * units.get(raw[len(raw.rstrip("kmgb")):] or "b", 1) if digits.isdigit() else 10 << 20
-    if raw.startswith("-"):
-        limit = -1
-    if limit <= 0:
-        return 0
-    return limit // _row_bytes(df)
-
-
-def sized_side(stats: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise a per-key result and decide how to join it.
-
-    One job computes the result into executor storage (memory, spilling to
-    disk) and counts its rows exactly; it is marked for broadcast only when
-    the count is within ``max_rows`` (default: the session's broadcast
-    threshold over the row width). Beyond the bound it stays a normal join
-    side: Spark shuffles both sides by key and adaptive execution splits
-    skewed keys. A lost block is recomputed from the short, deterministic
-    aggregate lineage.
-    """
-    from veloframe.sources.catalog import keep
+#: Bytes of a join side that may be broadcast.
+BROADCAST_BYTES = 8 << 20
+#: Rows of one key that one task takes, and the most keys that are split.
+ROWS_PER_TASK, MOST_HEAVY = 1_000_000, 10_000
+#: Parts that rows without a partner (NULL keys) are spread over.
+NULL_PARTS = 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: the text's own length, 16 per value besides."""
+    out = F.lit(16)
+    for f in df.schema.fields:
+        out = out + 16
+        if isinstance(f.dataType, StringType):
+            out = out + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return out
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Measured size of ``df``; runs one job."""
+    return int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
 
-    limit = broadcast_limit_rows(stats) if max_rows is None else max_rows
-    stats = keep(stats)
-    small = limit > 0 and stats.count() <= limit
+
+def sized_side(stats: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Write a per-key result once, measure it, and mark it for broadcast when it fits.
+
+    Runs two jobs: one writes the result (``cut_lineage``, so no executor
+    memory is held), one sums its bytes. Above ``max_bytes`` (default
+    ``BROADCAST_BYTES``) it stays a normal join side.
+    """
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
+    stats = cut_lineage(stats, "stats")
+    small = limit > 0 and measured_bytes(stats) <= limit
     return (F.broadcast(stats) if small else stats), small
 
 
 def salted_join(df: DataFrame, side: DataFrame, key: Column, side_key: str, weight: str,
-                null_safe: bool = False, buckets: int | None = None) -> DataFrame:
-    """Left outer equi-join with a large side, splitting heavy keys.
+                null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Left outer equi-join with a large side, splitting heavy keys by their weight.
 
     ``side`` is unique on ``side_key`` and ``weight`` holds how many rows of
-    ``df`` carry each key. A key with more than an even share of one task
-    (total / shuffle partitions) is heavy; there are at most ``buckets`` of
-    them, so their list is small. Rows of ``df`` with a heavy key get a salt
-    from a hash of the row (the same on a retry), and the side's row for
-    that key is repeated once per salt value: the heavy key's rows spread
-    over ``buckets`` tasks instead of one, whether or not adaptive execution
-    is on. Other keys use salt 0.
+    ``df`` carry each key. A key with more than ``rows_per_task`` rows gets
+    one salt per that many; its rows take a salt from a hash of the row (the
+    same on a retry), and the side's row is repeated once per salt. So the
+    side grows by total / rows_per_task rows at most. At most ``MOST_HEAVY``
+    keys are split (beyond, more rows count as one task's), so their table,
+    16 bytes a key by hash, is broadcast. NULL keys that match nothing are
+    spread as well. Runs one job, which sums the weights.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    total = side.agg(F.sum(weight)).first()[0] or 0
-    heavy_rows = side.where(F.col(weight) > max(1, total // n)).select(side_key).collect()
-    heavy = [r[0] for r in heavy_rows if r[0] is not None]
-    heavy_null = null_safe and len(heavy) < len(heavy_rows)
+    total = int(side.agg(F.sum(weight)).first()[0] or 0)
+    per = max(rows_per_task, -(-total // MOST_HEAVY))
+    salts = F.greatest(F.ceil(F.col(weight) / per), F.lit(1)).cast("int")
+    heavy = (side.where(F.col(weight) > per).groupBy(F.xxhash64(side_key).alias("__hash"))
+             .agg(F.max(salts).alias("__salts")))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    left = (df.join(F.broadcast(heavy), F.xxhash64(key) == F.col("__hash"), "left")
+            .withColumn("__salt", F.pmod(row, F.when(key.isNull() & F.lit(not null_safe), F.lit(NULL_PARTS))
+                                         .otherwise(F.coalesce("__salts", F.lit(1)))).cast("int"))
+            .drop("__hash", "__salts"))
+    many = heavy.withColumnRenamed("__hash", "__hash_r")
+    right = (side.join(F.broadcast(many), F.xxhash64(side_key) == F.col("__hash_r"), "left")
+             .withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+             .drop("__hash_r", "__salts"))
     cond = key.eqNullSafe(F.col(side_key)) if null_safe else key == F.col(side_key)
-    if not heavy_rows:
-        return df.join(side, cond, "left")
-
-    def is_heavy(c: Column) -> Column:
-        h = c.isin(heavy) if heavy else F.lit(False)
-        return (h | c.isNull()) if heavy_null else h
-
-    salt = F.when(is_heavy(key), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
-                  ).otherwise(F.lit(0)).cast("int")
-    salts = F.when(is_heavy(F.col(side_key)), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    left = df.withColumn("__salt", salt)
-    right = side.withColumn("__salt_r", F.explode(salts))
-    joined = left.join(right, cond & (F.col("__salt") == F.col("__salt_r")), "left")
-    return joined.drop("__salt", "__salt_r")
+    return left.join(right, cond & (F.col("__salt") == F.col("__salt_r")), "left").drop("__salt", "__salt_r")
 
 
 def attach(df: DataFrame, stats: DataFrame, key: str, null_safe: bool = False,
-           max_broadcast_rows: int | None = None, weight: str | None = None) -> DataFrame:
+           max_broadcast_bytes: int | None = None, weight: str | None = None) -> DataFrame:
     """Left outer equi-join of per-key results onto every row.
 
     ``stats`` is unique on ``key`` (an aggregate), so no row fans out; the
     right copy of the key is dropped. ``null_safe`` matches a NULL key with
     the NULL group (window semantics); otherwise NULL keys get NULLs. The
-    join side is size-checked first (``sized_side``). Beyond the broadcast
-    bound, ``weight`` (the per-key row count, when the aggregate has one)
-    lets the join split heavy keys (``salted_join``).
+    join side is measured first (``sized_side``: two jobs run here). Beyond
+    the broadcast bound, ``weight`` (the per-key row count, when the
+    aggregate has one) lets the join split heavy keys (``salted_join``).
     """
     right_key = f"__{key}_r"
-    r, small = sized_side(stats.withColumnRenamed(key, right_key), max_broadcast_rows)
+    r, small = sized_side(stats.withColumnRenamed(key, right_key), max_broadcast_bytes)
     if not small and weight:
         out = salted_join(df, r, F.col(key), right_key, weight, null_safe)
         return out.drop(right_key, weight)

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from veloframe.operators import encode, learn
 from veloframe.operators import features as feat
 from veloframe.operators.relational import non_empty, part_counts, stack
-from veloframe.sources.catalog import cut_lineage, keep, read_table, save_table
+from veloframe.sources.catalog import cut_lineage, drop_files, keep, read_table, save_table
 from veloframe.sources.ingest import parse_lines
 from veloframe.sources.schemas import TRIP_REQUIRED_TEXT
 
@@ -53,15 +53,30 @@ def dataset_counts(stacked: Mapping[str, DataFrame]) -> DataFrame:
                        tag="dataset", total=None)
 
 
-def _train_and_measure(points: DataFrame, models: Sequence[str], seed: int,
-                       split: str = "random", key: str | None = None) -> DataFrame:
-    points = cut_lineage(points, "points")
+ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
+KEY = "trip_id"
+
+
+def split_points(points: DataFrame, seed: int, split: str = "hash", key: str = KEY) -> list[DataFrame]:
+    """Train and validation parts: by an md5 bucket of ``key`` or a seeded draw per row; both are the
+    same on any partitioning."""
     if split == "hash":
-        train, valid = encode.split_by_hash(points, key)
-        train, valid = train.drop(key), valid.drop(key)
-    else:
-        train, valid = encode.split_random(points, (0.8, 0.2), seed)
-    train, valid = keep(train), keep(valid)
+        return [part.drop(key) for part in encode.split_by_hash(points, key)]
+    if split == "random":
+        return encode.split_random(points, (0.8, 0.2), seed)
+    raise ValueError(f"unknown split {split!r}")
+
+
+def train_and_measure(points: DataFrame, models: Sequence[str], seed: int, split: str = "hash",
+                      key: str = KEY) -> DataFrame:
+    """Fit each model on the train part of ``points`` (features, label, key), score the validation part.
+
+    Runs the jobs: the points are written first, the two parts are kept in
+    executor memory for the iterations, and both are given up again once the
+    figures, a few rows, are written.
+    """
+    points = cut_lineage(points, "points")
+    train, valid = (keep(part) for part in split_points(points, seed, split, key))
     makers = {
         "random_forest": lambda: learn.random_forest(seed),
         "decision_tree": lambda: learn.decision_tree(seed),
@@ -71,50 +86,47 @@ def _train_and_measure(points: DataFrame, models: Sequence[str], seed: int,
     for m in models:
         scored = learn.fit_and_score(makers[m](), train, valid)
         frames.append(learn.accuracy_frame(scored).select(
-            F.lit(m).alias("model"), "accuracy", "test_error"))
-    # The figures are written once (a few rows), so the kept splits -- as big
-    # as the data -- can be released before the job returns.
+            F.lit(m).alias("model"), "n", "accuracy", "test_error"))
     result = cut_lineage(stack(*frames), "accuracy")
     train.unpersist()
     valid.unpersist()
-    return result
-
-
-ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
+    drop_files(points)
+    return result.select("model", "accuracy", "test_error", "n")
 
 
-def _points(d: DataFrame, key: str | None) -> DataFrame:
-    cols = ["features", F.col(LABEL_SOURCE).alias("label")] + ([key] if key else [])
-    return d.select(*cols)
+def _numeric_points(d: DataFrame, key: str) -> DataFrame:
+    """The baseline vector. Of the four indexed columns only the label is read; the others are checked
+    for NULL, which the indexer refuses, and joined to no labels."""
+    d = encode.require_values(d, [c for c in BASELINE_INDEXED if c != LABEL_SOURCE])
+    d = encode.index_columns(d.select(key, LABEL_SOURCE, *BASELINE_INPUTS), [LABEL_SOURCE])
+    return encode.labelled_points(encode.assemble(d, BASELINE_INPUTS), LABEL_SOURCE, key=key)
 
 
 def baseline_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_MODELS,
-                 split: str = "random", key: str = "trip_id") -> DataFrame:
+                 split: str = "hash", key: str = KEY) -> DataFrame:
     """Duration in days, four indexed columns, two numeric features.
 
-    ``split='random'`` is the seeded 80/20 ``randomSplit``; ``'hash'``
-    splits by an md5 bucket of ``key`` (the same rows on every run).
+    ``split='hash'`` splits by an md5 bucket of ``key``, ``'random'`` by a
+    seeded draw per row (80/20). Jobs run here.
     """
     d = trips.withColumns({"start_date": F.to_date("start_date"), "end_date": F.to_date("end_date")})
     d = feat.with_days_between(d, "end_date", "start_date", "duration")
-    d = encode.index_columns(d, BASELINE_INDEXED).drop("start_date", "end_date")
-    d = encode.assemble(d, BASELINE_INPUTS)
-    k = key if split == "hash" else None
-    return _train_and_measure(_points(d, k), models, seed, split, k)
+    return train_and_measure(_numeric_points(d, key), models, seed, split, key)
 
 
 def window_features_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_MODELS,
-                        split: str = "random", key: str = "trip_id") -> DataFrame:
-    """P5: station average and round-trip flag added; same two vector inputs."""
-    d = feat.with_group_average(trips, "start_station", "duration")
-    d = feat.with_equal_flag(d, "start_station", "end_station")
-    d = encode.index_columns(d, BASELINE_INDEXED).drop("start_date", "end_date")
-    d = encode.assemble(d, BASELINE_INPUTS)
-    k = key if split == "hash" else None
-    return _train_and_measure(_points(d, k), models, seed, split, k)
+                        split: str = "hash", key: str = KEY) -> DataFrame:
+    """P5: the window-feature variant; same two vector inputs.
+
+    The original also derives the station average and the round-trip flag,
+    which no model reads; the flag costs nothing, the average's join is left
+    out (``features.with_group_average`` gives it). Jobs run here.
+    """
+    d = feat.with_equal_flag(trips, "start_station", "end_station")
+    return train_and_measure(_numeric_points(d, key), models, seed, split, key)
 
 
-def all_features(trips: DataFrame, table_name: str | None = None) -> DataFrame:
+def all_features(trips: DataFrame, table_name: str | None = None, table_path: str | None = None) -> DataFrame:
     """P6 features: W1, F8, F9-F11 and the station shares.
 
     Without ``table_name`` the average and the shares come from one
@@ -127,28 +139,47 @@ def all_features(trips: DataFrame, table_name: str | None = None) -> DataFrame:
     d = feat.with_group_average(trips, "start_station", "duration")
     d = feat.with_equal_flag(d, "start_station", "end_station")
     d = feat.with_day_of_week(d, "start_date")
-    save_table(d, table_name)
+    save_table(d, table_name, path=table_path)
     return feat.with_group_shares(read_table(d.sparkSession, table_name))
 
 
-def all_features_points(trips: DataFrame, table_name: str | None = None,
-                        keep_key: str | None = None) -> DataFrame:
-    """P6 encoding: index nine columns, one-hot eight, assemble, label."""
-    d = all_features(trips, table_name)
-    d = encode.index_columns(d, ALL_INDEXED)
+def all_features_points(trips: DataFrame, table_name: str | None = None, table_path: str | None = None,
+                        key: str = KEY, fit_on: str = "all", train_percent: int = 80) -> DataFrame:
+    """P6 encoding: index nine columns, one-hot eight, assemble, label.
+
+    The features are written before they are indexed, as indexing reads them
+    twice. ``fit_on='train'`` fits the labels on the train part of the hash
+    split alone; values that only others have get an index of their own.
+    """
+    d = all_features(trips, table_name, table_path)
+    d = cut_lineage(d.select(key, *ALL_INDEXED), "features")
+    if fit_on == "train":
+        part, _ = encode.split_by_hash(d, key, train_percent)
+        d = encode.index_columns(d, ALL_INDEXED, handle_invalid="keep", labels=encode.frequency_labels(part, ALL_INDEXED))
+    else:
+        d = encode.index_columns(d, ALL_INDEXED)
     d = encode.one_hot(d, ALL_INPUTS)
-    d = encode.assemble(d, ALL_INPUTS)
-    cols = ["features", F.col(LABEL_SOURCE).alias("label")]
-    if keep_key:
-        cols.append(keep_key)
-    return d.select(*cols)
+    return encode.labelled_points(encode.assemble(d, ALL_INPUTS), LABEL_SOURCE, key=key)
 
 
 def all_features_job(trip_parts: Sequence[DataFrame], seed: int = 42, table_name: str | None = None,
-                     models: Sequence[str] = ("logistic_regression",), split: str = "random",
-                     key: str = "trip_id") -> DataFrame:
+                     table_path: str | None = None, models: Sequence[str] = ("logistic_regression",),
+                     split: str = "hash", key: str = KEY, fit_on: str = "all") -> DataFrame:
     """Drop incomplete trips per part, stack, features, encode, fit, measure."""
     trips = stack(*[non_empty(p, TRIP_REQUIRED_TEXT) for p in trip_parts])
-    k = key if split == "hash" else None
-    points = all_features_points(trips, table_name, keep_key=k)
-    return _train_and_measure(points, models, seed, split, k)
+    points = all_features_points(trips, table_name, table_path, key, fit_on)
+    return train_and_measure(points, models, seed, split, key)
+
+
+def station_points(trips: DataFrame, key: str = KEY) -> DataFrame:
+    """One-hot start station and the label: a small vector for a learner without penalty."""
+    d = encode.index_columns(trips.select(key, "start_station", LABEL_SOURCE), ["start_station", LABEL_SOURCE])
+    d = encode.one_hot(d, ["start_station"])
+    return encode.labelled_points(encode.assemble(d, ["start_station"]), LABEL_SOURCE, key=key)
+
+
+def scored_trips(points: DataFrame, estimator, key: str = KEY) -> DataFrame:
+    """M9: the validation part with rawPrediction, probability and prediction beside ``key``."""
+    points = cut_lineage(points, "points")
+    train, valid = encode.split_by_hash(points, key)
+    return learn.fit_and_score(estimator, train.drop(key), valid)

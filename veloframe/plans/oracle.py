@@ -87,7 +87,7 @@ FROM feat
 
 PARSE_TRIP_LINES = f"""
 WITH {TRIPS_CTE}
-SELECT CAST(trip_id AS INTEGER) AS trip_id,
+SELECT trip_id,
        CASE WHEN trip_id % 10 IN (0, 1) THEN NULL ELSE duration END AS duration,
        CASE WHEN trip_id % 10 = 2 THEN NULL ELSE date_trunc('minute', start_date) END AS start_date,
        start_station, start_terminal,
@@ -389,6 +389,50 @@ SELECT CAST(sum(CASE WHEN sub_type = (SELECT sub_type FROM top) THEN 1 ELSE 0 EN
 FROM valid
 """
 
+SPLIT_RANDOM = f"""
+WITH {TRIPS_CTE}
+SELECT count(*) AS n, count(DISTINCT trip_id) AS n_trips FROM trips
+"""
+
+INDEX_UNSEEN = f"""
+WITH {TRIPS_CTE},
+counts AS (SELECT zip, count(*) AS n FROM trips WHERE start_date < TIMESTAMP '1998-05-01' GROUP BY zip),
+ranked AS (SELECT zip, row_number() OVER (ORDER BY n DESC, zip) - 1 AS idx FROM counts)
+SELECT trip_id, CAST(coalesce(idx, (SELECT count(*) FROM counts)) AS INTEGER) AS idx
+FROM trips LEFT JOIN ranked USING (zip) WHERE start_date >= TIMESTAMP '1998-05-01'
+"""
+
+BY_TERMINAL_CTE = TRIPS_CTE + """,
+by_terminal AS (
+  SELECT * REPLACE (CASE WHEN start_terminal < 4 THEN 'Customer' ELSE 'Subscriber' END AS sub_type) FROM trips)"""
+
+
+def found_by(*models: str) -> str:
+    """Each model classifies the whole validation part of ``by_terminal`` rightly."""
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""
+WITH {BY_TERMINAL_CTE},
+valid AS (SELECT count(*) AS n FROM by_terminal WHERE {bucket_sql('trip_id')} >= 80)
+SELECT model, CAST(1 AS DOUBLE) AS accuracy, CAST(0 AS DOUBLE) AS test_error, n
+FROM (VALUES {names}) AS m(model), valid
+"""
+
+
+# Labels by falling frequency; equal counts by text.
+LR_SCORED = f"""
+WITH {BY_TERMINAL_CTE},
+ranked AS (SELECT sub_type, CAST(row_number() OVER (ORDER BY count(*) DESC, sub_type) - 1 AS DOUBLE) AS label
+           FROM by_terminal GROUP BY sub_type)
+SELECT trip_id, label, label AS prediction, CAST(1 AS INTEGER) AS above_half
+FROM by_terminal JOIN ranked USING (sub_type) WHERE {bucket_sql('trip_id')} >= 80
+"""
+
+ALL_FEATURES_TABLE = f"""
+WITH {TRIPS_NULLS_CTE},
+{features_sql('trips_nulls')}
+SELECT trip_id, average, round_trip, start_day, start_dow, pct_weekday, pct_weekend FROM feat
+"""
+
 ACCURACY_FROM_PAIRS = """
 WITH p AS (SELECT CAST(CAST(quality = toxic AS INTEGER) AS DOUBLE) AS hit FROM labels)
 SELECT count(*) AS n,
@@ -437,6 +481,13 @@ SQL: dict[str, str] = {
     "assemble_size": ASSEMBLE_SIZE,
     "assemble_numeric": ASSEMBLE_NUMERIC,
     "split_hash": SPLIT_HASH,
+    "split_random": SPLIT_RANDOM,
+    "index_unseen": INDEX_UNSEEN,
+    "trees_by_terminal": found_by("random_forest", "decision_tree"),
+    "window_job_by_terminal": found_by("random_forest", "decision_tree"),
+    "all_features_by_terminal": found_by("decision_tree"),
+    "all_features_table": ALL_FEATURES_TABLE,
+    "lr_scored": LR_SCORED,
     "lr_accuracy": LR_ACCURACY,
     "accuracy_from_pairs": ACCURACY_FROM_PAIRS,
     "load_and_stack_jobs": LOAD_AND_STACK_JOBS,

@@ -9,13 +9,12 @@ zone-free timestamps only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from veloframe.operators import encode, learn
 from veloframe.operators import features as feat
@@ -34,7 +33,7 @@ from veloframe.functions import casts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Managed table written by the table round trip.
+# First part of the name of the table that the round trip writes.
 FEATURE_TABLE = "veloframe_trip_features"
 
 SEED = 42
@@ -62,17 +61,15 @@ def parse_weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1-S7 + O2 from files: the halves written as period files (each
-    beginning with its header), scanned as text, header taken from the first
-    line, incomplete trips dropped."""
-    import uuid
-
+    beginning with its own header), scanned as text, each period's header
+    taken from its first line, incomplete trips dropped."""
     folders = fx.write_trip_period_files(spark, sf_dir, shared_path(spark, "trip_files", uuid.uuid4().hex))
     return load_delimited(spark, folders, TRIP_SCHEMA, header="first", required_text=TRIP_REQUIRED_TEXT)
 
 
 def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text variants built from every event, cycling through edge cases."""
-    ev = fx.spread(fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "event_id")
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     k, b = F.col("event_id"), F.col("user_id").cast("string")
     y, m, d = F.year("ts").cast("string"), F.month("ts").cast("string"), F.dayofmonth("ts").cast("string")
     hh, mi = F.hour("ts").cast("string"), F.minute("ts").cast("string")
@@ -220,10 +217,17 @@ def first_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 + S9: features written as a managed table, scanned back, counted."""
+    """S8 + S9: features written as a table of the run's own name, scanned back, counted."""
     t = feat.with_day_of_week(fx.trips(spark, sf_dir), "start_date")
-    save_table(t, FEATURE_TABLE, mode="overwrite", path=shared_path(spark, "tables", FEATURE_TABLE))
-    return rel.group_count(read_table(spark, FEATURE_TABLE), "start_station", "n", ordered=False)
+    name, path = _run_table(spark, FEATURE_TABLE)
+    save_table(t, name, mode="errorifexists", path=path)
+    return rel.group_count(read_table(spark, name), "start_station", "n", ordered=False)
+
+
+def _run_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A table name and place that no other run uses."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    return name, shared_path(spark, "tables", name)
 
 
 def flagship_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,42 +247,35 @@ def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 + M2: per trip and column, the hot slot and the vector width."""
+    """M1 + M2: per trip and column, the hot slot and the vector width, in one pass."""
     t = fx.trips(spark, sf_dir).select("trip_id", *INDEX_CHECK_COLUMNS)
-    idx = encode.index_columns(t, INDEX_CHECK_COLUMNS)
-    hot = encode.one_hot(idx, INDEX_CHECK_COLUMNS)
-    parts = []
-    for c in INDEX_CHECK_COLUMNS:
-        h = _hot_slot(F.col(c))
-        parts.append(hot.select("trip_id", F.lit(c).alias("col"),
-                                h["slot"].alias("slot"), h["width"].alias("width")))
-    return rel.stack(*parts)
-
-
-@F.udf(T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("width", T.IntegerType())]),
-       useArrow=True)
-def _hot_slot(v):
-    """Position of the single 1.0 of a one-hot vector, and its width.
-
-    Reads the sparse indices (O(non-zeros)) instead of expanding the vector
-    to a dense array of its full width.
-    """
-    if v is None:
-        return None
-    nz = [int(i) for i, x in zip(v.indices, v.values) if x != 0.0]
-    return (nz[0] if len(nz) == 1 else None, int(v.size))
+    hot = encode.one_hot(encode.index_columns(t, INDEX_CHECK_COLUMNS), INDEX_CHECK_COLUMNS)
+    found = F.array(*[F.struct(
+        F.lit(c).alias("col"), _single(encode.entry_indices(c)).alias("slot"),
+        F.regexp_extract(F.col(c).cast("string"), r"^\((\d+),", 1).cast("int").alias("width"))
+        for c in INDEX_CHECK_COLUMNS])
+    return hot.select("trip_id", F.inline(found))
+
+
+def _single(indices):
+    return F.when(F.size(indices) == 1, F.get(indices, 0))
+
+
+def index_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the later half of the trips indexed by the labels of the earlier one; a zip that only the
+    later has gets the index past the last."""
+    first, second = fx.trip_halves(fx.trips(spark, sf_dir).select("trip_id", "zip", "start_date"))
+    labels = encode.frequency_labels(first, ["zip"])
+    indexed = encode.index_columns(second.select("trip_id", "zip"), ["zip"], handle_invalid="keep", labels=labels)
+    return indexed.select("trip_id", F.col("zip").cast("int").alias("idx"))
 
 
 def assemble_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 + M3: all-feature vector width, row count and non-zero count."""
-    d = jobs.all_features(fx.trips(spark, sf_dir))
-    d = encode.index_columns(d, jobs.ALL_INPUTS)
-    d = encode.one_hot(d, jobs.ALL_INPUTS)
-    d = encode.assemble(d, jobs.ALL_INPUTS)
-    s = d.select(Summarizer.metrics("count", "numNonZeros").summary(F.col("features")).alias("s"))
-    nnz = vector_to_array(F.col("s.numNonZeros"))
-    return s.select(F.size(nnz).alias("size"), F.col("s.count").alias("rows"),
-                    F.aggregate(nnz, F.lit(0.0), lambda acc, x: acc + x).cast("bigint").alias("nnz"))
+    """M2 + M3: all-feature vector width (from its metadata), row count and non-zero count."""
+    d = jobs.all_features_points(fx.trips(spark, sf_dir))
+    return d.select(F.size(encode.entry_indices("features")).alias("n")).agg(
+        F.lit(encode.vector_width(d)).alias("size"), F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("nnz"))
 
 
 def assemble_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,9 +294,10 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5 (seeded random): rows per part of ``randomSplit([0.8, 0.2])``."""
-    train, valid = encode.split_random(fx.trips(spark, sf_dir), (0.8, 0.2), SEED)
-    return rel.part_counts({"train": train, "valid": valid}, tag="part", total=None)
+    """M5 (seeded draw): rows of both parts together, and how many trips they hold."""
+    train, valid = encode.split_random(fx.trips(spark, sf_dir).select("trip_id"), (0.8, 0.2), SEED)
+    both = rel.stack(train, valid)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("n_trips"))
 
 
 # --- learning (M6-M12) and jobs (P1-P6) ---------------------------------------
@@ -316,9 +314,49 @@ def dt_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lr_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on all one-hot features, md5 split."""
-    points = jobs.all_features_points(fx.trips(spark, sf_dir), keep_key="trip_id")
-    out = jobs._train_and_measure(points, ["logistic_regression"], SEED, split="hash", key="trip_id")
-    return out.select("accuracy")
+    points = jobs.all_features_points(fx.trips(spark, sf_dir))
+    return jobs.train_and_measure(points, ["logistic_regression"], SEED).select("accuracy")
+
+
+def _by_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose label the start terminal decides, so that a tree must find it."""
+    return fx.trips(spark, sf_dir, "by_terminal")
+
+
+TREES = ("random_forest", "decision_tree")
+
+
+def trees_by_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest and tree find a label that start_terminal decides."""
+    return jobs.baseline_job(_by_terminal(spark, sf_dir), SEED, models=TREES)
+
+
+def window_job_by_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 on the same label."""
+    return jobs.window_features_job(_by_terminal(spark, sf_dir), SEED, models=TREES)
+
+
+def all_features_by_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 on the same label: a tree over the one-hot stations."""
+    halves = fx.trip_halves(_by_terminal(spark, sf_dir))
+    return jobs.all_features_job(halves, SEED, models=("decision_tree",))
+
+
+def all_features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6 through its table: written, shares computed from it and joined back."""
+    name, path = _run_table(spark, "veloframe_all_features")
+    t = jobs.all_features(fx.trips(spark, sf_dir, "nulls"), name, path)
+    return t.select("trip_id", "average", "round_trip", "start_day", "start_dow", "pct_weekday", "pct_weekend")
+
+
+def lr_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8, M9: every validation trip's label, prediction, and whether its probability is above one half;
+    logistic regression without penalty on the one-hot station, which decides the label."""
+    points = jobs.station_points(_by_terminal(spark, sf_dir))
+    scored = jobs.scored_trips(points, learn.logistic_regression(reg_param=0.0, elastic_net=0.0))
+    p = vector_to_array("probability")
+    return scored.select("trip_id", "label", "prediction",
+                         (F.get(p, F.col("prediction").cast("int")) > 0.5).cast("int").alias("above_half"))
 
 
 def accuracy_from_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,10 +408,8 @@ def job_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_trip_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1-S6 + U1 as a stream: both halves written as period files, parsed and
+    """Beyond the survey (its jobs are batch only): S1-S6 + U1 as a stream: both halves written as period files, parsed and
     appended by one available-now streaming run, then summarised."""
-    import uuid
-
     from veloframe.streaming import append_periods, read_period_stream
 
     run = uuid.uuid4().hex
@@ -424,5 +460,11 @@ QUERIES: dict[str, Query] = {
     "job_baseline": job_baseline,
     "job_window_features": job_window_features,
     "job_all_features": job_all_features,
+    "index_unseen": index_unseen,
+    "trees_by_terminal": trees_by_terminal,
+    "window_job_by_terminal": window_job_by_terminal,
+    "all_features_by_terminal": all_features_by_terminal,
+    "all_features_table": all_features_table,
+    "lr_scored": lr_scored,
     "stream_trip_periods": stream_trip_periods,
 }

@@ -44,18 +44,33 @@ def keep(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> D
     return df.persist(level)
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     One job computes ``df`` once; later jobs read the files, so a lost
     executor costs a re-read, not a replay of the lineage. The files also
     give Spark exact sizes for its join planning. (``Dataset.checkpoint``
-    would compute an unpersisted input twice.)
+    would compute an unpersisted input twice.) Runs one job. The files stay
+    until ``drop_files`` removes them or the folder is cleaned.
     """
     spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_files(written: DataFrame) -> None:
+    """Remove the files of a table that ``cut_lineage`` returned, when nothing reads it any more."""
+    spark = written.sparkSession
+    root = shared_path(spark)
+    folders = set()
+    for name in written.inputFiles():
+        below = name.rpartition("/veloframe/")[2]
+        folders.add(f"{root.rstrip('/')}/{below.split('/')[0]}")
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

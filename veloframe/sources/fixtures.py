@@ -8,7 +8,7 @@ query needs down to the parquet scan.
 
 ``trips`` = orders JOIN customer JOIN nation:
 
-* trip_id        = o_orderkey (bigint, so it never overflows at scale)
+* trip_id        = o_orderkey (bigint here and in the trip schema, so no key is cut at scale)
 * duration       = floor(o_totalprice) % 5000 + 60 seconds
 * start_date     = o_orderdate + (o_orderkey % 1440) minutes
 * start_station  = n_name of the customer's nation, start_terminal = c_nationkey
@@ -31,6 +31,9 @@ from veloframe.sources.schemas import STATION_SCHEMA, TRIP_SCHEMA, WEATHER_SCHEM
 # The date that splits the trips into two "half-year" parts.
 HALF_SPLIT = "1998-05-01 00:00:00"
 
+# Start terminals below this are the customers' in the ``by_terminal`` variant.
+CUSTOMER_TERMINALS = 4
+
 # Header lines of the derived text files (bound by position).
 TRIP_HEADER = ",".join(f.name for f in TRIP_SCHEMA.fields)
 STATION_HEADER = ",".join(f.name for f in STATION_SCHEMA.fields)
@@ -41,38 +44,9 @@ TEXT_DATE = "M/d/yyyy"
 TEXT_DATETIME = "M/d/yyyy H:mm"
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The scan of a given (read-only) table.
-
-    A scan is an immutable plan, so one is kept per application and path:
-    queries built one after another do not list the files and read the
-    footers again for every view.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a source scan that has fewer splits than the session has
-    task slots, so the map-side work of the view runs in parallel.
-
-    On large inputs the scan already has many splits and nothing is added;
-    the hash on a key keeps a retried task's rows the same.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
-        return df
-    if splits >= slots:
-        return df
-    return df.repartition(slots, key)
+    """The scan of a given (read-only) table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
@@ -84,9 +58,11 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
     * ``blanks`` – zip '' where trip_id % 10 = 3, sub_type NULL where
                    trip_id % 10 = 4.
     * ``dirty``  – both of the above.
+    * ``by_terminal`` – sub_type is Customer where start_terminal < CUSTOMER_TERMINALS, else
+                   Subscriber: a label that the vector's inputs determine.
     """
-    o = spread(table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"), "o_orderkey")
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
@@ -119,7 +95,10 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
             "zip": F.when(t % 10 == 3, F.lit("")).otherwise(F.col("zip")),
             "sub_type": F.when(t % 10 != 4, F.col("sub_type")),
         })
-    if variant not in ("plain", "nulls", "blanks", "dirty"):
+    if variant == "by_terminal":
+        df = df.withColumn("sub_type", F.when(F.col("start_terminal") < CUSTOMER_TERMINALS, F.lit("Customer"))
+                           .otherwise(F.lit("Subscriber")))
+    if variant not in ("plain", "nulls", "blanks", "dirty", "by_terminal"):
         raise ValueError(f"unknown trips variant {variant!r}")
     return df
 
@@ -175,15 +154,16 @@ def trip_text_fields() -> list[Column]:
 def write_trip_period_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
     """Write the two halves of the trips as comma-separated period files.
 
-    Every written file starts with the header line, as real period files
-    do; fields are written as they are (no quoting, empty stays empty).
+    Every written file starts with its period's header line, as real period
+    files do; the second period's is in capitals. Fields are written as they are (no quoting, empty stays empty).
     Returns the two period folders.
     """
     t = trips(spark, sf_dir)
     out = []
     for i, half in enumerate(trip_halves(t)):
         path = f"{folder}/period={i}"
-        (half.select(*trip_text_fields()).write.mode("overwrite")
+        named = half.select(*trip_text_fields())
+        (named.toDF(*[c.upper() if i else c for c in named.columns]).write.mode("overwrite")
          .option("header", True).option("emptyValue", "").option("nullValue", "")
          .option("quote", "\u0000").option("escape", "\u0000")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -220,7 +200,7 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     else '0.' || lpad(o_orderkey % 100, 2, '0'); events is '', 'Rain', 'Fog'
     by o_orderkey % 3; zip_code is 94000 + o_orderkey % 200.
     """
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     # 24 fields, written as SQL text: one call builds the whole projection
     fields = []
     for i, f in enumerate(WEATHER_SCHEMA.fields):

@@ -186,18 +186,19 @@ def load_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
                    required_text: list[str] | None = None) -> DataFrame:
     """Scan, strip the header, split, convert, bind the schema.
 
-    ``header='first'`` takes the first line of the scan as the header and
-    drops every line equal to it, in every file (period files each begin
-    with the same header line; with several files the scan's first split
-    belongs to the largest file, whose first line is that header). Pass a
-    string to name the header, or ``None`` for files without one. ``required_text`` keeps only rows whose
-    named text fields are non-empty (and not NULL).
+    Each path is loaded on its own and the rows are stacked. ``header='first'``
+    takes the first line of each path as its header and drops every line of
+    that path equal to it (one job of one row per path runs here); give a path
+    per period where headers differ. Pass a string to name the header of all
+    paths, or ``None`` for files without one. ``required_text`` keeps only
+    rows whose named text fields are non-empty (and not NULL).
     """
-    lines = read_lines(spark, path)
-    if header == "first":
-        header = first_line(lines)
-    df = parse_lines(lines, schema, header=header, mode=mode, converters=converters)
-    if required_text:
-        from veloframe.operators.relational import non_empty
-        df = non_empty(df, required_text)
-    return df
+    from veloframe.operators.relational import non_empty, stack
+
+    parts = []
+    for one in [path] if isinstance(path, str) else path:
+        lines = read_lines(spark, one)
+        own = first_line(lines) if header == "first" else header
+        parts.append(parse_lines(lines, schema, header=own, mode=mode, converters=converters))
+    df = stack(*parts)
+    return non_empty(df, required_text) if required_text else df

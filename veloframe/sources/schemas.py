@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DateType,
     FloatType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -60,8 +61,9 @@ WEATHER_SCHEMA = _schema([
     ("zip_code", StringType()),
 ])
 
+# trip_id is wider than in the original files, so that keys beyond 32 bits are not lost.
 TRIP_SCHEMA = _schema([
-    ("trip_id", IntegerType()),
+    ("trip_id", LongType()),
     ("duration", IntegerType()),
     ("start_date", TimestampNTZType()),
     ("start_station", StringType()),
