@@ -55,6 +55,7 @@ def dataset_counts(stacked: Mapping[str, DataFrame]) -> DataFrame:
 
 ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
 KEY = "trip_id"
+ROWS_PER_PART = 50_000
 
 
 def split_points(points: DataFrame, seed: int, split: str = "hash", key: str = KEY) -> list[DataFrame]:
@@ -63,10 +64,17 @@ def split_points(points: DataFrame, seed: int, split: str = "hash", key: str = K
     if split == "hash":
         return [part.drop(key) for part in encode.split_by_hash(points, key)]
     if split == "random":
-        return encode.split_random(points, (0.8, 0.2), seed)
+        return [part.drop(key) for part in encode.split_random(points, (0.8, 0.2), seed)]
     raise ValueError(f"unknown split {split!r}")
 
 
+def dealt_by_key(points: DataFrame, key: str = KEY, rows: int = ROWS_PER_PART) -> DataFrame:
+    """``points`` in partitions that depend on the rows alone: as many as ``rows`` fit in, dealt and
+    ordered by ``key``. A forest draws its samples per partition, so its trees, too, are then the same
+    on any cluster. Counts the rows in one job."""
+    return points.repartition(max(8, -(-points.count() // rows)), key).sortWithinPartitions(key)
+
+
 def train_and_measure(points: DataFrame, models: Sequence[str], seed: int, split: str = "hash",
                       key: str = KEY) -> DataFrame:
     """Fit each model on the train part of ``points`` (features, label, key), score the validation part.
@@ -76,7 +84,7 @@ def train_and_measure(points: DataFrame, models: Sequence[str], seed: int, split
     figures, a few rows, are written.
     """
     points = cut_lineage(points, "points")
-    train, valid = (keep(part) for part in split_points(points, seed, split, key))
+    train, valid = (keep(part) for part in split_points(dealt_by_key(points, key), seed, split, key))
     makers = {
         "random_forest": lambda: learn.random_forest(seed),
         "decision_tree": lambda: learn.decision_tree(seed),
