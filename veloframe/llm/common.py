@@ -2,30 +2,73 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import veloframe
 from veloframe.session import table_path
 from veloframe.sources.catalog import cut_lineage
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
 #: Rows of a window or sort group, about; the number of groups grows with the table.
 GROUP_ROWS = 50_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(table_path(sf_dir, table))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application, as ``--py-files`` does, where only the
+    driver's own path has it."""
+    root = Path(veloframe.__file__).resolve().parent.parent
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in map(os.path.realpath, os.environ.get("PYTHONPATH", "").split(os.pathsep)):
+        return
+    _SHIPPED[app] = tempfile.TemporaryDirectory()  # the driver serves the file until it ends
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{_SHIPPED[app].name}/{app}", "zip", root, "veloframe"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a parquet table in the folder that the driver and the executors share."""
     return cut_lineage(df, name)
 
 
-def texts(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a text column, nulls as empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+#: Rows of a batch whose texts are Python objects at one time.
+SLICE_ROWS = 256
+
+
+def texts(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of a text column, nulls as empty, a slice of rows at a time."""
+    for at in range(0, len(column), SLICE_ROWS):
+        yield from (x or b"" for x in column.slice(at, SLICE_ROWS).cast(pa.binary()).to_pylist())
+    pa.default_memory_pool().release_unused()
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``SLICE_ROWS``, where a batch's output is as large as its texts."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE_ROWS):
+            yield whole.slice(at, SLICE_ROWS)
+    pa.default_memory_pool().release_unused()
+
+
+def sliced(make: Callable[..., pa.Array], empty: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """``make`` of the columns, a slice of rows at a time."""
+    parts = [make(*(c.slice(at, SLICE_ROWS) for c in columns)) for at in range(0, len(columns[0]), SLICE_ROWS)]
+    out = pa.concat_arrays(parts) if parts else pa.array([], empty)
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 def groups_for(rows: int) -> int:

@@ -3,8 +3,8 @@
 Linked documents share all but a tenth or so of their shingles and have nearly
 equal sizes. So a document whose sampled shingles are, but for too few, held
 by no other document of a like size has no links; the sample is taken by hash,
-the same shingles in all documents. What is left is connected through one hub
-per shingle and size class, never through all pairs, and the components of
+the same shingles in all documents of a size class. What is left is connected
+through one hub per short list, never through all pairs, and the components of
 these edges are searched one by one. In a search by DivideSkip, a set has to
 occur in T of the asking set's inverted lists: all but the T - 1 longest are
 merged with a heap, which counts occurrences, and the long ones are probed by
@@ -21,6 +21,7 @@ component, which is null if it holds no other; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import ROW_KEY, row_key, running_start, texts, with_copy, written
+from veloframe.llm.common import ROW_KEY, row_key, running_start, small, texts, with_copy, written
 from veloframe.llm.components import connected_components
 
 WIDTH, PERCENT = 3, 90
-#: (size, rate): sets up to this size are sampled at this rate. Two linked sets share no sampled shingle
-#: with a chance below 1e-13, less than that of equal hashes in a large corpus.
+#: (size, rate): in size classes that begin up to this size, sets are sampled at this rate. Two linked sets
+#: share no sampled shingle with a chance below 1e-12, less than that of equal hashes in a large corpus.
 RATES = ((64, 1.0), (128, 0.5), (256, 0.25), (None, 0.1875))
 #: Shingles of one chunk of a candidate component.
 CHUNK = 2_000_000
@@ -61,74 +62,86 @@ def least_shared(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def limit(n: int) -> int:
-    """Hashes below this, as signed numbers in order, are sampled in sets of size ``n``."""
-    rate = next(rate for size, rate in RATES if size is None or n <= size)
-    return int(rate * 2 ** 64) - 2 ** 63 - (rate == 1.0)
+def size_class(n: int, percent: int) -> int:
+    """Linked sizes, which differ by ``percent`` at most, fall into the same or the next class."""
+    return int(math.log(n) / math.log(100 / (percent - 1))) if n else 0
 
 
-def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, tie, n, s1, s2, below, m, sample): set size, 128-bit set digest, and sampled hashes.
+def limit(step: int, percent: int) -> int:
+    """Hashes up to this, as signed numbers in order, are sampled in a size class."""
+    begins = step * math.log(100 / (percent - 1))
+    rate = next(rate for size, rate in RATES if size is None or begins <= math.log(size))
+    return int(rate * 2 ** 64) - 2 ** 63 - 1
 
-    ``m`` of them, those up to ``below``, are the set's own sample. Sets near the next rate give more,
-    so that a linked set of the higher rate finds them.
-    """
+
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, tie, n, s1, s2, step, m, m_next, sample): set size, 128-bit set digest, size class, and the
+    hashes sampled in that class, ``m`` of them, of which ``m_next`` are sampled in the next class too."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, below, m, digest, sample = [], [], [], [], []
+            n, step, m_next, digest, sample = [], [], [], [], []
             for raw in texts(batch.column("text")):
                 s = shingles(raw)
                 signed = (s ^ np.uint64(1 << 63)).view(np.int64)  # in order of s
                 n.append(len(s))
-                below.append(limit(len(s)))
-                m.append(int(np.searchsorted(signed, below[-1], side="right")))
+                step.append(size_class(len(s), percent))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                sample.append(signed[:np.searchsorted(signed, limit(len(s) * percent // 100), side="right")])
+                own, after = np.searchsorted(signed, [limit(step[-1], percent), limit(step[-1] + 1, percent)], "right")
+                sample.append(signed[:own])
+                m_next.append(int(after))
             pairs = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-            ends = np.cumsum([0, *map(len, sample)], dtype=np.int32)
+            m = [len(x) for x in sample]
+            ends = np.cumsum([0, *m], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int32()),
-                 pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(below, pa.int64()), pa.array(m, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(
+                [batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int32()), pa.array(pairs[:, 0]),
+                 pa.array(pairs[:, 1]), pa.array(step, pa.int32()), pa.array(m, pa.int32()),
+                 pa.array(m_next, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(
                      np.concatenate(sample) if sample else np.empty(0, np.int64)))],
-                names=["doc_id", "tie", "n", "s1", "s2", "below", "m", "sample"])
+                names=["doc_id", "tie", "n", "s1", "s2", "step", "m", "m_next", "sample"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(
-        sketch, f"doc_id {kind}, tie long, n int, s1 long, s2 long, below long, m int, sample array<long>")
-
-
-def with_links_possible(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``nodes`` that may be linked, by the shingles which they share in ``lists`` (node, shingle)."""
-    shared = lists.select("node", "shingle").distinct().join(nodes.select("node", "below"), "node").where(
-        "shingle <= below").groupBy("node").agg(F.count("*").alias("shared"))
-    most = F.col("n") - F.ceil(F.col("n") * percent / 100)  # shingles that a linked set may lack
-    return nodes.join(shared, "node").where(F.col("m") - F.col("shared") <= most).drop("shared")
+        sketch, f"doc_id {kind}, tie long, n int, s1 long, s2 long, step int, m int, m_next int, sample array<long>")
 
 
 def held_by_several(lists: DataFrame, key: list[str]) -> DataFrame:
-    several = lists.groupBy(*key).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select(*key)
+    """``lists`` (with node) where more than one node has the key; adds ``held``, how many have."""
+    several = lists.groupBy(*key).agg(F.count("*").alias("held")).where("held > 1")
     return lists.join(several, key)
 
 
 def candidate_edges(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): each node that may have links, with the least such node of every shingle and size class
-    that it shares.
+    """(a, b): each node that may have links, with the least such node of every short list it is in.
 
-    Linked sizes differ by ``percent`` at most, so they fall into the same or the next class.
+    A linked set lacks at most ``lacks`` of a set's shingles, so a set has no links in a size class where
+    more of its sample is held by no other set; and of the ``lacks + 1`` rarest of its sample, the short
+    lists, a linked set holds one. Sets are sampled alike in a class, and each is in its own and the next.
     """
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / (percent - 1)))).cast("int")
-    sizes = nodes.select("node", "n", "m", "below", step.alias("step"))
-    lists = written(held_by_several(nodes.select("node", F.explode("sample").alias("shingle")), ["shingle"]),
-                    "join-lists")
-    sizes = written(with_links_possible(lists, sizes, percent), "join-sizes")
-    classed = lists.join(sizes.select("node", "step"), "node").select(
-        "node", "shingle", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
-    classed = written(held_by_several(classed, ["shingle", "step"]), "join-classed")
-    left = classed.join(with_links_possible(classed, sizes, percent).select("node"), "node")
-    hubs = left.groupBy("shingle", "step").agg(F.min("node").alias("hub"))
-    return (left.join(hubs, ["shingle", "step"]).where("node <> hub")
+    step_limit = F.lit(limit(10 ** 4, percent))
+    steps = [k for k in range(200) if limit(k, percent) != limit(k + 1, percent)]
+    for k in reversed(steps):
+        step_limit = F.when(F.col("step") <= k, F.lit(limit(k, percent))).otherwise(step_limit)
+    lacks = (F.col("n") - F.ceil(F.col("n") * percent / 100)).cast("int")
+    sizes = nodes.select("node", "step", "m", "m_next", lacks.alias("lacks"))
+    lists = written(held_by_several(nodes.select("node", F.explode("sample").alias("shingle")), ["shingle"])
+                    .select("node", "shingle"), "join-lists")
+    held = lists.groupBy("node").agg(F.collect_list("shingle").alias("shingles"))
+    both = F.array(F.struct("step", "m"), F.struct((F.col("step") + 1).alias("step"), F.col("m_next").alias("m")))
+    sets = (sizes.join(held, "node").select("node", "lacks", "shingles", F.inline(both))
+            .withColumn("shingles", F.filter("shingles", lambda x: x <= step_limit)))
+    for _ in range(2):  # sets without links leave the lists, which frees others
+        sets = sets.where(F.col("m") - F.size("shingles") <= F.col("lacks"))
+        rows = sets.select("node", "step", "m", "lacks", F.explode("shingles").alias("shingle"))
+        sets = written(
+            held_by_several(rows, ["shingle", "step"]).groupBy("node", "step", "m", "lacks")
+            .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("held"))
+            .withColumn("shingles", F.transform("held", lambda x: x["shingle"])), "join-sets")
+    shorts = F.slice("shingles", 1, F.col("lacks") + 1 - (F.col("m") - F.size("shingles")))
+    short = (sets.where(F.col("m") - F.size("shingles") <= F.col("lacks"))
+             .select("node", "step", F.explode(shorts).alias("shingle")))
+    hubs = short.groupBy("shingle", "step").agg(F.min("node").alias("hub"))
+    return (short.join(hubs, ["shingle", "step"]).where("node <> hub")
             .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
 
 
@@ -216,12 +229,13 @@ def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk:
     chunks = spread.groupBy("component").agg(F.max("chunk").alias("last"))
     wanted = spread.join(chunks, "component").select(
         "component", "chunk", "last", "node", F.col("doc_id").alias("w_id"), F.col("tie").alias("w_tie"))
+    wanted = wanted.hint("merge")  # one plan at every size: both sides are dealt by document
     rows = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["w_id"]) & (rows["tie"] == wanted["w_tie"])).select(
         "component", "chunk", "last", "node", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sets = [shingles(x).tobytes() for x in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())],
                                              names=["component", "chunk", "last", "node", "shingles"])
@@ -257,7 +271,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHU
         rows.where("n > 0").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("least_id"), F.min_by("tie", F.struct("doc_id", "tie")).alias("any_tie"),
             F.min_by("doc_id", F.struct("doc_id", "tie")).alias("any_id"),
-            *(F.first(c).alias(c) for c in ("n", "m", "below", "sample")))
+            *(F.first(c).alias(c) for c in ("n", "step", "m", "m_next", "sample")))
         .withColumn("node", F.monotonically_increasing_id()), "join-nodes")
     grouped = connected_components(candidate_edges(nodes, percent))
     candidates = written(grouped.join(nodes, "node").select(
