@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veloframe.llm.common import sliced
+
 # HTML's element kinds.
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
@@ -235,6 +237,7 @@ def extracted(html: Column, model: Model) -> Column:
 
     @F.arrow_udf("string")
     def main(column: pa.Array) -> pa.Array:
-        return pa.array([model.main_text(x) if x else "" for x in column.to_pylist()], pa.string())
+        return sliced(lambda c: pa.array([model.main_text(x) if x else "" for x in c.to_pylist()], pa.string()),
+                      pa.string(), column)
 
     return main(html)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import ROW_KEY, row_key, running_start, texts, with_copy, with_text, word_count, written
+from veloframe.llm.common import ROW_KEY, row_key, running_start, sliced, texts, with_copy, with_text, word_count, written
 
 #: Words in a block; a source's share is met to about one block.
 BLOCK_WORDS = 64
@@ -203,8 +203,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
-        return pa.array([passages(x, t) for x, t in zip(texts(text), listed.to_pylist(), strict=True)],
-                        pa.list_(pa.string()))
+        kind = pa.list_(pa.string())
+        return sliced(lambda c, t: pa.array([passages(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
+                      kind, text, listed)
 
     rows = with_copy(docs).join(takes, ROW_KEY)
     pieces = rows.withColumn("__own", own).withColumn("__text", F.explode(cut("text", "__own")))

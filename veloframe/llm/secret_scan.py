@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veloframe.llm.common import sliced, texts
+
 # The patterns of the base kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -158,8 +160,7 @@ def secret_spans(text: Column) -> Column:
 
     @F.arrow_udf("array<struct<start:int,kind:string,end:int>>")
     def found(column: pa.Array) -> pa.Array:
-        return pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in scan(x or "")]
-                         for x in column.to_pylist()],
+        return pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in scan(x.decode())] for x in texts(column)],
                         pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])))
 
     return found(text)
@@ -170,6 +171,7 @@ def redacted(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def clean(column: pa.Array) -> pa.Array:
-        return pa.array([x and redact(x, scan(x)) for x in column.to_pylist()], pa.string())
+        return sliced(lambda c: pa.array([x and redact(x, scan(x)) for x in c.to_pylist()], pa.string()),
+                      pa.string(), column)
 
     return clean(text)

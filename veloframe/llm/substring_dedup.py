@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import texts, written
+from veloframe.llm.common import small, texts, written
 
 WINDOW, GRAM = 50, 20
 #: Words of a shard's reference that one automaton may hold.
@@ -188,7 +188,7 @@ def shared_segments(docs: DataFrame, wanted: DataFrame, window: int, gram: int)
     names = ["key", "d1", "d2", "ord", "tie", "start", "n", "words"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[list] = [[] for _ in names]
             for o, t, raw, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                        texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
@@ -280,7 +280,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words:
     repeats = repeated_windows(docs, window, gram, shard_words)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             n_words, n_removed, kept = [], [], []
             for raw, starts, whole in zip(texts(batch.column("text")), batch.column("starts").to_pylist(),
                                           batch.column("whole").to_pylist(), strict=True):

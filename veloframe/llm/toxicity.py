@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veloframe.llm.common import texts
+
 #: Labelled documents of each kind to learn from, at most.
 SAMPLE_PER_LABEL = 800
 #: Share of toxic documents that a toxic stem has to stand in, and its purity.
@@ -60,7 +62,7 @@ class Chain:
 class Emissions(dict):
     """Emissions of the words met so far; starts over when it has grown large."""
 
-    def __init__(self, chain: Chain, most: int = 200_000):
+    def __init__(self, chain: Chain, most: int = 100_000):
         super().__init__()
         self.chain, self.most = chain, most
 
@@ -151,12 +153,12 @@ def toxic_stems(documents: list[list[str]], toxic: np.ndarray) -> set[str]:
     return {s for s, n in bad.items() if n >= least and n / (n + ratio * clean[s]) >= PURITY}
 
 
-def fit(texts: list[str], labels: list[int]) -> Chain:
+def fit(raw: list[str], labels: list[int]) -> Chain:
     """Train the chain and the document score on labelled texts."""
     toxic = np.array(labels) == 1
     if not toxic.any() or toxic.all():
         return Chain()
-    documents = [[w.lower() for w in WORD.findall(t)] for t in texts]
+    documents = [[w.lower() for w in WORD.findall(t)] for t in raw]
     marked = toxic_stems(documents, toxic)
     vocabulary: dict[str, int] = {}
     counts = Counter(s for words in documents for w in set(words) for s in stems(w))
@@ -243,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
     return fit([t for _, (t, _) in rows], [k for _, (_, k) in rows])
 
 
-def portions(raw: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+def portions(raw: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
     """The texts in turn, about ``chars`` characters at a time, so that few word lists are held at once."""
     own, n = [], 0
     for x in raw:
@@ -272,7 +274,7 @@ def toxicity(text: Column, chain: Chain) -> Column:
     @F.arrow_udf("struct<score:double,n_toxic:long,spans:array<struct<start:int,end:int>>>")
     def tagged(column: pa.Array) -> pa.Array:
         emissions, scores, counts, spans = Emissions(chain), [], [], []
-        for raw in portions([x or "" for x in column.to_pylist()]):
+        for raw in portions(x.decode() for x in texts(column)):
             for x, p in zip(raw, tag([WORD.findall(x) for x in raw], emissions, chain), strict=True):
                 hits = set(np.flatnonzero(p >= 0.5).tolist())
                 scores.append(score_of(p, chain))
