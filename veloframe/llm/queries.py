@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, packing, secret_scan,
+from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, secret_scan,
                            sharding, substring_dedup, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
@@ -114,5 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op3_substring_dedup, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
                                 op8_html_extraction, op9_kd_top_k, op10_jaccard_join)}
 
-#: None of these can be stated in SQL; tests/llm holds them against brute force.
-SQL: dict[str, str] = {}
+#: The others cannot be stated in SQL; tests/llm holds all against brute force.
+SQL: dict[str, str] = dict(oracle.SQL)
