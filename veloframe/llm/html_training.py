@@ -89,7 +89,9 @@ def other(r: random.Random) -> str:
     elif kind < 0.75:
         tag = r.choice(TEXT_PARTS)
         inner = r.choice((lambda: sentence(r, 3, 16), lambda: f"<p>{sentence(r, 3, 25)}</p>",
-                          lambda: f"<h3>{sentence(r, 1, 4)}</h3>{links(r)}", lambda: paragraph(r) + links(r)))()
+                          lambda: f"<h3>{sentence(r, 1, 4)}</h3>{links(r)}", lambda: paragraph(r) + links(r),
+                          lambda: f"<h1>{sentence(r, 1, 4)}</h1><nav>{links(r)}</nav>",
+                          lambda: f"<h2>{sentence(r, 1, 5)}</h2><p>{sentence(r, 2, 9)}</p>"))()
     elif kind < 0.83:
         tag = "<form>"
         inner = f"<label>{sentence(r, 1, 3)}</label><input name=q><select><option>{sentence(r, 1, 2)}</select>" \
