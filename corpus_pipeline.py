@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from veloframe.llm import jaccard_join, mixing, packing, secret_scan, toxicity
 from veloframe.llm.common import read, with_text, written
 
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
@@ -23,8 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each group of near copies: ``NEAR_PERCENT`` of their shingles of ``NEAR_WIDTH`` words
+    in common. op10 has values of its own."""
+    return jaccard_join.one_of_each(docs, NEAR_PERCENT, NEAR_WIDTH)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip), with components of the links.
 
-Linked documents share all but a tenth or so of their shingles and have nearly
-equal sizes. So a document whose sampled shingles are, but for too few, held
+Linked documents share all but a tenth or so (a fifth at 80 percent) of their
+shingles and have nearly equal sizes. So a document whose sampled shingles are, but for too few, held
 by no other document of a like size has no links; the sample is taken by hash,
 the same shingles in all documents of a size class. What is left is connected
 through one hub per short list, never through all pairs, and the components of
@@ -34,9 +34,13 @@ from veloframe.llm.common import ROW_KEY, row_key, running_start, small, texts,
 from veloframe.llm.components import connected_components
 
 WIDTH, PERCENT = 3, 90
-#: (size, rate): in size classes that begin up to this size, sets are sampled at this rate. Two linked sets
-#: share no sampled shingle with a chance below 1e-12, less than that of equal hashes in a large corpus.
-RATES = ((64, 1.0), (128, 0.5), (256, 0.25), (None, 0.1875))
+#: From this percent on, (size, rate): in size classes that begin up to this size, sets are sampled at this rate.
+#: Two linked sets share no sampled shingle with a chance below 1e-12, less than that of equal hashes in a large
+#: corpus: (1 - rate) to the power of the shared ones is 3e-15 at most for 90 (117 at 0.25), 3e-16 for 80 (52 at
+#: 0.5). A rate has to exceed the share that linked sets may lack, or every set stays a candidate.
+RATES = ((90, ((64, 1.0), (128, 0.5), (256, 0.25), (None, 0.1875))),
+         (80, ((64, 1.0), (256, 0.5), (None, 0.3125))),
+         (0, ((None, 1.0),)))
 #: Shingles of one chunk of a candidate component.
 CHUNK = 2_000_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -70,11 +74,12 @@ def size_class(n: int, percent: int) -> int:
 def limit(step: int, percent: int) -> int:
     """Hashes up to this, as signed numbers in order, are sampled in a size class."""
     begins = step * math.log(100 / (percent - 1))
-    rate = next(rate for size, rate in RATES if size is None or begins <= math.log(size))
+    rates = next(rates for least, rates in RATES if percent >= least)
+    rate = next(rate for size, rate in rates if size is None or begins <= math.log(size))
     return int(rate * 2 ** 64) - 2 ** 63 - 1
 
 
-def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """(doc_id, tie, n, s1, s2, step, m, m_next, sample): set size, 128-bit set digest, size class, and the
     hashes sampled in that class, ``m`` of them, of which ``m_next`` are sampled in the next class too."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -83,7 +88,7 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         for batch in batches:
             n, step, m_next, digest, sample = [], [], [], [], []
             for raw in texts(batch.column("text")):
-                s = shingles(raw)
+                s = shingles(raw, width)
                 signed = (s ^ np.uint64(1 << 63)).view(np.int64)  # in order of s
                 n.append(len(s))
                 step.append(size_class(len(s), percent))
@@ -219,7 +224,8 @@ def t_occurrence(sets: list[np.ndarray], indexed: np.ndarray, percent: int = PER
                 yield q, y
 
 
-def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk: int = CHUNK,
+          width: int = WIDTH) -> DataFrame:
     """(a, b): links between nodes of the same candidate component, enough to connect what is linked.
 
     ``candidates``: (component, node, doc_id, tie, n), with a row of ``docs`` for each node.
@@ -236,7 +242,7 @@ def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            sets = [shingles(x).tobytes() for x in texts(batch.column("text"))]
+            sets = [shingles(x, width).tobytes() for x in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())],
                                              names=["component", "chunk", "last", "node", "shingles"])
 
@@ -258,15 +264,16 @@ def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk:
     return cells.groupBy("component", "i", "j").applyInArrow(search, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK,
+                       width: int = WIDTH) -> DataFrame:
     """(doc_id, tie, n_shingles, component, component_id) of each row of ``docs`` (doc_id, text).
 
-    ``tie`` is a hash of the text. Two documents link when the intersection of their shingle sets is
-    at least ``percent`` of the union; component_id is the least doc_id that links reach, and
+    ``tie`` is a hash of the text. Two documents link when the intersection of their sets of
+    shingles of ``width`` words is at least ``percent`` of the union; component_id is the least doc_id that links reach, and
     ``component`` a number of the component (null for empty sets). Jobs run here; only counts come to
     the driver.
     """
-    rows = written(sketches(docs, percent), "join-sketches")
+    rows = written(sketches(docs, percent, width), "join-sketches")
     nodes = written(
         rows.where("n > 0").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("least_id"), F.min_by("tie", F.struct("doc_id", "tie")).alias("any_tie"),
@@ -276,7 +283,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHU
     grouped = connected_components(candidate_edges(nodes, percent))
     candidates = written(grouped.join(nodes, "node").select(
         "component", "node", F.col("any_id").alias("doc_id"), F.col("any_tie").alias("tie"), "n"), "join-candidates")
-    linked = connected_components(links(docs, candidates, percent, chunk))
+    linked = connected_components(links(docs, candidates, percent, chunk, width))
     named = nodes.select("node", "s1", "s2", "least_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -286,10 +293,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHU
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``docs`` with one row of each component: the least doc_id (null last), then the least hash of the
     text. Rows without shingles all stay. All columns are kept."""
-    found = jaccard_components(docs.select("doc_id", "text"), percent)
+    found = jaccard_components(docs.select("doc_id", "text"), percent, width=width)
     me = F.struct("doc_id", "tie")
     kept = (found.where("component is not null").groupBy("component")
             .agg(F.min_by(me, F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("me"))
