@@ -74,3 +74,65 @@ def test_query_digest(spark, folder):
     joined = ",".join(f"{k}:{s}:{e}" for k, s, e in brute(text))
     assert (row["n_assign"], row["n_access"], row["n_hex"], row["spans"]) == (1, 0, 1, joined)
     assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
+def armour(label, body, headers=""):
+    lines = base64.encodebytes(body).decode()
+    return f"-----BEGIN {label}-----\n{headers}{lines}-----END {label}-----"
+
+
+def spans(text, *keys):
+    return [(text.index(k), "pem", text.index(k) + len(k)) for k in keys]
+
+
+def test_key_after_a_cut_off_one():
+    key = armour("RSA PRIVATE KEY", b"\x30\x82\x01\x00" + bytes(range(256)))
+    for lone in ("-----BEGIN RSA PRIVATE KEY-----\n", key[:120] + "\n", "-----BEGIN RSA PRIVATE KEY-----", key[:-20],
+                 "-----BEGIN EC PRIVATE KEY----- "):
+        text = f"a {lone}{key} b"
+        assert S.scan(text) == spans(text, key)
+        assert S.redact(text, S.scan(text)) == f"a {lone}[pem] b"
+    bad = armour("RSA PRIVATE KEY", b"\x30\x82\x01\x01" + bytes(256))
+    other = armour("PRIVATE KEY", b"\x30\x03abc")
+    text = f"{bad}\n{key}\n{other}\n{bad}"
+    assert S.scan(text) == spans(text, key, other)
+
+
+def test_signed_parts_after_failed_ones():
+    part = base64.urlsafe_b64encode(json.dumps({"a": 1, "b": "cc"}).encode()).decode().rstrip("=")
+    token = f"{part}.{part}.{'s' * 20}"
+    assert S.scan(f"eyJzzzz.{token}") == [(8, "signed", 8 + len(token))]
+
+
+def test_openssh_and_encrypted_keys():
+    def field(x):
+        return len(x).to_bytes(4, "big") + x
+
+    def openssh(cipher=b"none", kdf=b"none", options=b"", keys=1, tag=b""):
+        return (b"openssh-key-v1\0" + field(cipher) + field(kdf) + field(options) + keys.to_bytes(4, "big")
+                + field(b"p" * 51) * keys + field(b"s" * 144) + tag)
+
+    good = [openssh(), openssh(b"aes256-ctr", b"bcrypt", b"o" * 24), openssh(keys=2),
+            openssh(b"chacha20-poly1305@openssh.com", b"bcrypt", b"o" * 24, tag=b"t" * 16)]
+    for body in good:
+        key = armour("OPENSSH PRIVATE KEY", body)
+        assert S.scan(f"x {key} y") == [(2, "pem", 2 + len(key))]
+    for body in (good[0][:-1], good[0] + b"x", good[0][:60], good[0][:15], openssh(keys=0), openssh(tag=b"t" * 16)):
+        assert S.scan(armour("OPENSSH PRIVATE KEY", body)) == []
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: %s\n\n"
+    aes, des = headers % f"AES-128-CBC,{'0A' * 16}", headers % f"DES-EDE3-CBC,{'0A' * 8}"
+    found = [[k for _, k, _ in S.scan(armour("RSA PRIVATE KEY", b"c" * n, h)) if k == "pem"]
+             for n, h in ((608, aes), (608, aes.replace("\n", "\r\n")), (600, des), (600, aes), (601, des), (0, aes), (608, ""))]
+    assert found == [["pem"], ["pem"], ["pem"], [], [], [], []]
+    assert [k for _, k, _ in S.scan(armour("EC PRIVATE KEY", b"\x30\x03abc", "Comment: mine\n\n"))] == ["pem"]
+
+
+def test_query_and_redaction_keep_no_key(spark, folder):
+    key = armour("RSA PRIVATE KEY", b"\x30\x82\x01\x00" + bytes(256))
+    text = f"-----BEGIN RSA PRIVATE KEY-----\n...\n{key} end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = op1_secret_scan(spark, folder(documents=docs)).first()
+    start = text.index(key)
+    assert row["spans"] == f"pem:{start}:{start + len(key)}"
+    assert row["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert docs.select(S.redacted(docs["text"])).first()[0] == "-----BEGIN RSA PRIVATE KEY-----\n...\n[pem] end"

@@ -4,8 +4,8 @@ An Aho-Corasick automaton reads each text once for the keywords of all kinds;
 a kind's pattern is tried only where one of its keywords was found. Runs of
 hex digits have no keyword: every run of 24 covers a position divisible by
 24, so only those positions are looked at. Kinds that carry a check value
-(a CRC-32 in base 62, or signed parts that must decode) are kept only when it
-holds.
+(a CRC-32 in base 62, signed parts that must decode, or a private key's own
+lengths) are kept only when it holds.
 
 Cases: a null or empty text has no secrets; very long texts are read whole;
 other columns are ignored.
@@ -35,7 +35,12 @@ BASE_KINDS = ("assign", "access", "hex")
 
 CHECKED = re.compile(r"(gh[pousr]_|npm_)([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
-PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----")
+#: Cipher and IV of an encrypted PEM body, which is whole cipher blocks as long as the IV.
+DEK_INFO = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*([0-9A-Fa-f]{32}|[0-9A-Fa-f]{16})(?![0-9A-Fa-f])")
+OPENSSH = b"openssh-key-v1\0"
+#: OpenSSH ciphers that append a tag of 16 bytes to the private part.
+TAGGED = (b"aes128-gcm@openssh.com", b"aes256-gcm@openssh.com", b"chacha20-poly1305@openssh.com")
 #: Keyword, in lower case, to its kind.
 KEYWORDS = (dict.fromkeys(("password", "passwd", "secret", "token", "apikey", "api_key"), "assign")
             | {"akia": "access", "npm_": "checked", "eyj": "signed", "-----begin ": "pem"}
@@ -72,12 +77,37 @@ def decodes(part: str) -> bool:
         return False
 
 
+def openssh_key(raw: bytes) -> bool:
+    """Whether the length fields of a key in OpenSSH's own format add up to its length."""
+    def field(at: int) -> int:
+        return at + 4 + int.from_bytes(raw[at:at + 4], "big")
+
+    cipher = len(OPENSSH)
+    kdf = field(cipher)
+    at = field(field(kdf))
+    keys = int.from_bytes(raw[at:at + 4], "big")
+    at += 4
+    for _ in range(keys + 1):  # the public keys, then the private part
+        if at + 4 > len(raw):
+            return False
+        at = field(at)
+    return keys > 0 and len(raw) - at == (16 if raw[cipher + 4:kdf] in TAGGED else 0)
+
+
 def pem_body(body: str) -> bool:
-    """Whether the lines of ``body`` are base64 of a DER sequence whose length agrees."""
+    """Whether ``body``, less its header lines, is base64 of a private key by the lengths it states: a DER
+    sequence, OpenSSH's own format, or, if the headers name a cipher, whole blocks of it."""
+    lines = body.strip().splitlines()
+    n_headers = next((k for k, x in enumerate(lines) if ":" not in x), len(lines))
     try:
-        der = base64.b64decode("".join(body.split()), validate=True)
+        der = base64.b64decode("".join("".join(lines[n_headers:]).split()), validate=True)
     except (ValueError, binascii.Error):
         return False
+    for header in lines[:n_headers]:
+        if m := DEK_INFO.match(header.strip()):
+            return len(der) > 0 and len(der) % (len(m[1]) // 2) == 0
+    if der.startswith(OPENSSH):
+        return openssh_key(der)
     if len(der) < 2 or der[0] != 0x30:
         return False
     if der[1] < 0x80:
@@ -101,7 +131,11 @@ def match(kind: str, text: str, at: int) -> tuple[int, bool] | None:
         m = SIGNED.match(text, at)
         return m and (m.end(), decodes(m[1]) and decodes(m[2]))
     m = PEM.match(text, at)
-    return m and (m.end(), pem_body(m[2]))
+    if not m:
+        return None
+    last, following = f"-----END {m[1]}-----", text.find("-----BEGIN ", m.end())
+    end = text.find(last, m.end(), following if following >= 0 else len(text))
+    return (end + len(last), pem_body(text[m.end():end])) if end >= 0 else None
 
 
 def hex_runs(text: str) -> list[tuple[int, int]]:
@@ -122,7 +156,8 @@ def hex_runs(text: str) -> list[tuple[int, int]]:
 def scan(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of all secrets, by start, then the base kinds in their order, then others.
 
-    Within a kind, matches are the leftmost ones that do not overlap.
+    Within a kind, matches are the leftmost ones that do not overlap; of kinds with a check value, the leftmost
+    ones that pass it.
     """
     lower = text.lower()
     if len(lower) != len(text):  # one capital letter has a two-character lower case
@@ -135,9 +170,10 @@ def scan(text: str) -> list[tuple[int, str, int]]:
         done = 0
         for at in sorted(starts):
             if at >= done and (m := match(kind, text, at)):
-                done = m[0]
                 if m[1]:
-                    out.append((at, kind, done))
+                    out.append((at, kind, m[0]))
+                if m[1] or kind in BASE_KINDS:
+                    done = m[0]
     return sorted(out, key=lambda x: (x[0], BASE_KINDS.index(x[1]) if x[1] in BASE_KINDS else 9, x[1]))
 
 
