@@ -78,3 +78,44 @@ def test_mixed_texts_hold_the_words_taken(spark, edge_docs):
 def test_empty_table(spark, no_docs, folder):
     assert op6_source_mixing(spark, folder(documents=no_docs)).count() == 0
     assert M.mixed(no_docs).count() == 0
+
+
+def test_blocks_stand_in_drawn_shards_and_slots(spark, folder):
+    r = random.Random(6)
+    rows = [document(i, sentence(r, r.randint(0, 300)), "abc"[i % 3]) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = M.mixed_blocks(docs).collect()
+    sizes = Counter()
+    for _, t, _, s, *_ in rows:
+        sizes[s] += len(t.split())
+    order = [sizes[s] for s in "abc"]
+    n_blocks, due = M.draws(order, M.source_targets(order), M.BLOCK_WORDS)
+    counts = M.shard_counts(due, M.OUTPUT_SHARDS, 17)
+    got = Counter((x["out_shard"], x["source"]) for x in out)
+    assert got == Counter({(i, s): int(n) for i, line in enumerate(counts) for s, n in zip("abc", line) if n})
+    slots = {}
+    for x in out:
+        slots.setdefault(x["out_shard"], []).append(x["slot"])
+        assert x["words"] == len(x["text"].split()) <= M.BLOCK_WORDS
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    texts = {}
+    for x in out:  # a block holds the same words in every pass, and all blocks of a pass are the source
+        assert texts.setdefault((x["source"], x["block"]), x["text"].split()) == x["text"].split()
+    for k, s in enumerate("abc"):
+        if due[k] >= n_blocks[k]:
+            words = Counter(w for (of, _), t in texts.items() if of == s for w in t)
+            assert words == Counter(w for x in rows if x[3] == s for w in x[1].split())
+    assert max(due // n_blocks) >= 1
+    where = {}
+    for x in M.mix(docs)[1].collect():
+        where.setdefault(x["doc_id"], set()).add(x["out_shard"])
+    path = folder(documents=docs)
+    assert {x["doc_id"]: x["out_shards"] for x in op6_source_mixing(spark, path).collect()} == {
+        i: ",".join(map(str, sorted(where.get(i, ())))) for i in range(300)}
+
+
+def test_blocks_of_edge_rows_and_empty_table(spark, edge_docs, no_docs):
+    out = M.mixed_blocks(edge_docs).collect()
+    assert sum(x["words"] for x in out) == sum(x["words"] for x in M.mix(edge_docs)[1].collect())
+    assert all(x["words"] == len(x["text"].encode().split()) for x in out)
+    assert M.mixed_blocks(no_docs).count() == 0

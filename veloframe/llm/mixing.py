@@ -6,7 +6,9 @@ from a multinomial over what each source still has to give, so the totals come
 out at the targets. A slot of the output holds a source and a running number
 within it; a pseudorandom permutation of the source's block indexes, one per
 pass over the source, turns that number into a block. Blocks join documents
-by (source, block index).
+by (source, block index). A further permutation orders the slots of a shard.
+Which words are taken follows from the targets alone; the draw and the slots
+say where they stand in the output (``mixed_blocks``).
 
 Cases: a null or empty text has no words and is never taken; a null source is
 a source of its own, last in order; equal rows are mixed as separate rows; an
@@ -108,8 +110,10 @@ def shard_counts(due: np.ndarray, shards: int, seed: int) -> np.ndarray:
 
 def plan_blocks(spark, n_blocks: np.ndarray, due: np.ndarray, seed: int,
                 shards: int = OUTPUT_SHARDS) -> DataFrame:
-    """One row per slot of the output: shard, source (its number), block, epoch."""
+    """One row per slot of the output: shard, slot (its place in the shard), source (its number), block, epoch."""
     counts = shard_counts(due, shards, seed)
+    per_shard = counts.sum(axis=1)
+    shard_ends = per_shard.cumsum()
     ends = counts.ravel().cumsum()
     firsts = (counts.cumsum(axis=0) - counts).ravel()
     total, n_sources = int(ends[-1]) if len(ends) else 0, len(due)
@@ -126,14 +130,17 @@ def plan_blocks(spark, n_blocks: np.ndarray, due: np.ndarray, seed: int,
             key = (source + 1) * 0x100000001B3 + epoch * 0x10001 + seed
             block = place.copy()
             block[inner] = shuffled(place[inner], full[inner], key[inner])
+            shard = cell // n_sources
+            own = slot - (shard_ends - per_shard)[shard]
+            own = shuffled(own, per_shard[shard], (shard + 1) * 0x1000193 + seed)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell // n_sources, pa.int32()), pa.array(source, pa.int32()),
+                [pa.array(shard, pa.int32()), pa.array(own, pa.int64()), pa.array(source, pa.int32()),
                  pa.array(block, pa.int64()), pa.array(epoch, pa.int32())],
-                names=["out_shard", "source_no", "block", "epoch"])
+                names=["out_shard", "slot", "source_no", "block", "epoch"])
 
     parts = max(1, -(-total // SLOTS_PER_TASK))
     return spark.range(0, total, 1, parts).mapInArrow(
-        slots, "out_shard int, source_no int, block long, epoch int")
+        slots, "out_shard int, slot long, source_no int, block long, epoch int")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
@@ -141,8 +148,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     """Mix ``docs`` (doc_id, text, source).
 
     Returns the rows (doc_id, tie, copy, source, size, source_size, target) and what the mix takes
-    of them: (doc_id, tie, copy, epoch, block, first, words), words ``first`` to ``first + words``
-    of the document. ``tie`` is a hash of the text and ``copy`` numbers equal rows. One row per
+    of them: (doc_id, tie, copy, epoch, block, first, words, out_shard, slot, place), words ``first``
+    to ``first + words`` of the document, which stand in a slot of an output shard from word ``place``
+    on. ``tie`` is a hash of the text and ``copy`` numbers equal rows. One row per
     source, and one per virtual column of the draws, are kept on the driver; jobs run here to size
     the sources.
     """
@@ -169,8 +177,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     first = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0))
     end = F.least((F.col("block") + 1) * block_words - F.col("start"), F.col("size"))
     taken = (spans.join(plan_blocks(spark, n_blocks, due, seed), ["source_no", "block"])
-             .select("doc_id", "tie", "copy", "epoch", "block", first.alias("first"),
-                     (end - first).alias("words")))
+             .select("doc_id", "tie", "copy", "epoch", "block", first.alias("first"), (end - first).alias("words"),
+                     "out_shard", "slot", F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0)).alias("place")))
     return rows, taken
 
 
@@ -191,6 +199,12 @@ def passages(raw: bytes, takes: list[dict]) -> list[str]:
     return ["\n".join(raw[spans[a][0]:spans[b - 1][1]].decode() for a, b in own) for _, own in sorted(out.items())]
 
 
+def pieces(raw: bytes, takes: list[dict]) -> list[str]:
+    """The words of each take, in the order of ``takes``."""
+    spans = [m.span() for m in WORD.finditer(raw)]
+    return [raw[spans[t["first"]][0]:spans[t["first"] + t["words"] - 1][1]].decode() for t in takes]
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row per document and pass, its text cut to the words taken.
 
@@ -210,3 +224,29 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows = with_copy(docs).join(takes, ROW_KEY)
     pieces = rows.withColumn("__own", own).withColumn("__text", F.explode(cut("text", "__own")))
     return with_text(pieces, F.col("__text")).select(*docs.columns)
+
+
+def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
+    """The mix by output shard and slot: (out_shard, slot, source, block, epoch, words, text), a row per slot.
+
+    Slots of a shard are numbered from 0; a block's text holds the pieces of its documents in their order.
+    """
+    _, taken = mix(docs, **options)
+    takes = taken.groupBy(*row_key("doc_id", F.col("tie"))).agg(
+        F.collect_list(F.struct("copy", "epoch", "block", "first", "words", "out_shard", "slot", "place")).alias("__takes"))
+    own = F.filter("__takes", lambda t: t["copy"] == F.col("__copy"))
+
+    @F.arrow_udf("array<string>")
+    def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.string())
+        return sliced(lambda c, t: pa.array([pieces(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
+                      kind, text, listed)
+
+    rows = with_copy(docs.select("doc_id", "text", "source")).join(takes, ROW_KEY).withColumn("__own", own)
+    one = (rows.select("source", F.explode(F.arrays_zip("__own", cut("text", "__own").alias("__text"))).alias("x"))
+           .select("source", "x.__own.*", F.col("x.__text").alias("text")))
+    return (one.groupBy("out_shard", "slot")
+            .agg(F.first("source").alias("source"), F.first("block").alias("block"), F.first("epoch").alias("epoch"),
+                 F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("place", "text"))).alias("pieces"))
+            .select("out_shard", "slot", "source", "block", "epoch", "words",
+                    F.array_join(F.transform("pieces", lambda x: x["text"]), "\n").alias("text")))

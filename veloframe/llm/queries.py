@@ -72,15 +72,18 @@ def op5_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, and the output shards they stand in."""
     rows, taken = mixing.mix(read(spark, sf_dir, "documents"))
     key = ["doc_id", "tie", "copy"]
-    words = taken.groupBy(*key).agg(F.sum("words").alias("taken")).alias("t")
+    words = taken.groupBy(*key).agg(
+        F.sum("words").alias("taken"),
+        F.array_join(F.sort_array(F.collect_set("out_shard")).cast("array<string>"), ",").alias("shards")).alias("t")
     rows = rows.alias("r")
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in key]
     return rows.join(words, on, "left").select(
         "r.doc_id", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source",
+        F.coalesce("shards", F.lit("")).alias("out_shards"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
