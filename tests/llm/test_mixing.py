@@ -119,3 +119,29 @@ def test_blocks_of_edge_rows_and_empty_table(spark, edge_docs, no_docs):
     assert sum(x["words"] for x in out) == sum(x["words"] for x in M.mix(edge_docs)[1].collect())
     assert all(x["words"] == len(x["text"].encode().split()) for x in out)
     assert M.mixed_blocks(no_docs).count() == 0
+
+
+def test_rows_that_differ_in_source_only(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(60):  # by falling source, null first
+        text = sentence(r, r.randint(1, 150))
+        rows += [document(i, text, s) for s in (None, "c", "b", "a")[i % 2:]]
+    rows += [document(100 + i, sentence(r, 200), "a") for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    sources, taken = M.mix(docs)
+    of = {(x["doc_id"], x["tie"], x["copy"]): x["source"] for x in sources.collect()}
+    want = Counter()
+    for x in taken.collect():
+        want[x["doc_id"], of[x["doc_id"], x["tie"], x["copy"]]] += x["words"]
+    for out in (M.mixed(docs), M.mixed(docs.repartition(5))):
+        got = Counter()
+        for x in out.collect():
+            got[x["doc_id"], x["source"]] += len(x["text"].split())
+        assert got == want
+    got, want = Counter(), Counter()
+    for x in M.mixed_blocks(docs).collect():
+        got[x["out_shard"], x["slot"], x["source"]] += x["words"]
+    for x in taken.collect():
+        want[x["out_shard"], x["slot"], of[x["doc_id"], x["tie"], x["copy"]]] += x["words"]
+    assert got == want

@@ -93,10 +93,12 @@ def row_key(doc_id: str, tie: Column) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("__id"), tie.alias("__tie")]
 
 
-def with_copy(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``ROW_KEY`` (the id and a hash of the text) and ``__copy``, numbering the rows of a key."""
+def with_copy(docs: DataFrame, order: Column | None = None) -> DataFrame:
+    """``docs`` with ``ROW_KEY`` (the id and a hash of the text) and ``__copy``, numbering the rows of a key,
+    by ``order`` if given."""
     keyed = docs.select("*", *row_key("doc_id", F.xxhash64("text")))
-    return keyed.withColumn("__copy", F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy("__tie")))
+    order = F.col("__tie") if order is None else order
+    return keyed.withColumn("__copy", F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(order)))
 
 
 def with_text(docs: DataFrame, text: Column) -> DataFrame:

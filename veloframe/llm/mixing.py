@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veloframe.llm.common import ROW_KEY, row_key, running_start, sliced, texts, with_copy, with_text, word_count, written
@@ -143,6 +143,11 @@ def plan_blocks(spark, n_blocks: np.ndarray, due: np.ndarray, seed: int,
         slots, "out_shard int, slot long, source_no int, block long, epoch int")
 
 
+def source_key() -> Column:
+    """Never null, in order of source, null last; equal rows but for their source are numbered by it."""
+    return F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit("")))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
         block_words: int = BLOCK_WORDS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """Mix ``docs`` (doc_id, text, source).
@@ -158,8 +163,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     same = Window.partitionBy("doc_id", "tie").orderBy("skey")
     sized = written(
         docs.select("doc_id", F.xxhash64("text").alias("tie"), "source", word_count(F.col("text")).alias("size"))
-        .withColumn("skey", F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"),
-                                     F.coalesce("source", F.lit(""))))
+        .withColumn("skey", source_key())
         .withColumn("copy", F.row_number().over(same)), "mix-sizes")
     sources = sorted((r[0], int(r[1])) for r in sized.groupBy("skey").agg(F.sum("size")).collect())
     sizes = [s for _, s in sources]
@@ -221,7 +225,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([passages(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(docs).join(takes, ROW_KEY)
+    rows = with_copy(docs, source_key()).join(takes, ROW_KEY)
     pieces = rows.withColumn("__own", own).withColumn("__text", F.explode(cut("text", "__own")))
     return with_text(pieces, F.col("__text")).select(*docs.columns)
 
@@ -242,7 +246,7 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([pieces(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(docs.select("doc_id", "text", "source")).join(takes, ROW_KEY).withColumn("__own", own)
+    rows = with_copy(docs.select("doc_id", "text", "source"), source_key()).join(takes, ROW_KEY).withColumn("__own", own)
     one = (rows.select("source", F.explode(F.arrays_zip("__own", cut("text", "__own").alias("__text"))).alias("x"))
            .select("source", "x.__own.*", F.col("x.__text").alias("text")))
     return (one.groupBy("out_shard", "slot")
