@@ -81,3 +81,30 @@ def test_no_labels_and_empty_table(spark, edge_docs, no_docs, folder):
     assert {r["score"] for r in op2_crf_toxicity(spark, path).collect()} == {0.0}
     chain = X.train(no_docs, none)
     assert no_docs.select(X.toxicity(F.col("text"), chain)).count() == 0
+
+
+def test_sample_brings_one_text_of_each_id(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"text {i} {'z' * (i % 7)}") for i in range(60)]
+    hot = ids[0]
+    rows += [(hot, f"text {k:03}") for k in range(300)] + [(hot, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(ids[2], 0), (ids[2], 1)], "doc_id long, toxic int")
+    fetched, collect = [], type(docs).collect
+
+    def counted(df):
+        out = collect(df)
+        fetched.extend(r["text"] for r in out if "text" in df.columns)
+        return out
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    got = X.sampled(docs, labels)
+    text = {i: max(t for j, t in rows if j == i and t is not None) for i in ids}
+    assert got == [(text[i], 1 if i == ids[2] else i % 2) for i in ids]
+    assert sorted(fetched) == sorted(text.values())
+    few = X.sampled(docs, labels, chars=50)
+    assert {k for _, k in few} == {0, 1} and set(few) < set(got)
+    assert all(0 < sum(len(t) for t, y in few if y == k) <= 50 for k in (0, 1))
+    long_ = docs.unionByName(spark.createDataFrame([(ids[3], "zz" * 100)], "doc_id long, text string"))
+    assert X.sampled(long_, labels, chars=150) and max(len(t) for t, _ in X.sampled(long_, labels, chars=150)) < 150
+    assert len(X.sampled(docs, labels, per_label=3)) == 6
