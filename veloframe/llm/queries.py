@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, secret_scan,
-                           sharding, substring_dedup, topk, toxicity)
+from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, runs,
+                           secret_scan, sharding, substring_dedup, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
 
@@ -113,9 +113,28 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, of which a tenth is made periodic first, and digests of the runs and of the
+    text without their repeats. A null doc_id's text stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    start = F.floor(h / 10).cast("long")
+    text = runs.made_periodic(F.col("text"), start, F.when(h % 10 == 0, start % 8 + 3))
+    found = (read(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+             .select("doc_id", runs.periodic_runs(F.col("text")).alias("found"))
+             .select("doc_id", "found.runs", "found.collapsed")
+             .withColumn("best", runs.most_repeated(F.col("runs"))))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(
+        F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op3_substring_dedup, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
-                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join)}
+                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join, op11_periodic_runs)}
 
 #: The others cannot be stated in SQL; tests/llm holds all against brute force.
 SQL: dict[str, str] = dict(oracle.SQL)
