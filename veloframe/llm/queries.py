@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, runs,
+from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, quality, runs,
                            secret_scan, sharding, substring_dedup, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
@@ -132,9 +132,19 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return (docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                        quality.quality(F.col("text"), model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op3_substring_dedup, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
-                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join, op11_periodic_runs)}
+                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join, op11_periodic_runs,
+                                op13_quality_classifier)}
 
 #: The others cannot be stated in SQL; tests/llm holds all against brute force.
 SQL: dict[str, str] = dict(oracle.SQL)
