@@ -56,8 +56,33 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_
 FROM sets LEFT JOIN least USING (doc_id)
 """
 
+TERMS = (r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+         r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, text FROM benchmark),
+t AS (SELECT r, doc_id, unnest({TERMS.format(text="coalesce(text, '')")}) AS term FROM d),
+sizes AS (SELECT r, doc_id, count(*) AS n FROM t GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tf AS (SELECT r, term, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, total GROUP BY term),
+m AS (SELECT r, doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM sizes, total),
+asked AS (SELECT q, item_id, term, count(*) AS c
+          FROM (SELECT q, item_id, unnest({TERMS.format(text="coalesce(text, '')")}) AS term FROM i) GROUP BY ALL),
+scores AS (
+  SELECT q, item_id, doc_id, r, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op9_kd_top_k": KD_TOP_K,
     "op10_jaccard_join": JACCARD_JOIN,
+    "op12_lexical_search": LEXICAL_SEARCH,
 }

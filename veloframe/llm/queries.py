@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, mixing, oracle, packing, quality, runs,
+from veloframe.llm import (fingerprints, html_extract, html_training, jaccard_join, lexical, mixing, oracle, packing, quality, runs,
                            secret_scan, sharding, substring_dedup, topk, toxicity)
 from veloframe.llm.common import read, written
 from veloframe.sources.catalog import shared_path
@@ -132,6 +132,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.lexical_top_k(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -143,7 +149,7 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_secret_scan, op2_crf_toxicity, op3_substring_dedup, op4_slot_sharding, op5_simhash_fingerprints, op6_source_mixing, op7_best_fit_packing,
-                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join, op11_periodic_runs,
+                                op8_html_extraction, op9_kd_top_k, op10_jaccard_join, op11_periodic_runs, op12_lexical_search,
                                 op13_quality_classifier)}
 
 #: The others cannot be stated in SQL; tests/llm holds all against brute force.
