@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from veloframe.llm import jaccard_join, mixing, secret_scan, toxicity
 
-from .test_jaccard_join import brute as components
+from .test_near_copies_stage import kept_by_brute
 
 
 def test_stages_take_effect(spark, small_dir):
@@ -22,8 +22,8 @@ def test_stages_take_effect(spark, small_dir):
     found = dict(before.select("doc_id", toxicity.toxicity(F.col("text"), chain)["score"]).collect())
     assert {r["doc_id"] for r in after.collect()} == {i for i, s in found.items() if s < toxicity.THRESHOLD}
     before, after = seen["near_copies"]
-    want = components([(r["doc_id"], r["text"]) for r in before.collect()])
-    assert Counter(r["doc_id"] for r in after.collect()) == Counter({i for i, _, c in want if i == c})
+    want = kept_by_brute([(r["doc_id"], r["text"]) for r in before.collect()], P.NEAR_WIDTH, P.NEAR_PERCENT)
+    assert Counter(r["doc_id"] for r in after.collect()) == Counter(want)
     before, after = seen["secrets"]
     texts = {r["doc_id"]: r["text"] for r in after.collect()}
     for r in before.collect():
