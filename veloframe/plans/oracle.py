@@ -98,6 +98,36 @@ FROM trips
 """
 
 
+# Lines of the ill-formed folder: text, whether it is cut short, and the field that has no value.
+ILL_FORMED_CTE = TRIPS_CTE + """,
+texts AS (
+  SELECT trip_id, trip_id % 13 = 5 AS short,
+         CASE WHEN trip_id % 10 IN (0, 1) THEN 'duration' WHEN trip_id % 10 = 2 THEN 'start_date' END AS bad,
+         concat_ws(',', trip_id,
+           CASE trip_id % 10 WHEN 0 THEN 'abc' WHEN 1 THEN '12.0' ELSE CAST(duration AS VARCHAR) END,
+           CASE WHEN trip_id % 10 = 2 THEN '2/30/2014 1:00' ELSE strftime(start_date, '%-m/%-d/%Y %-H:%M') END,
+           start_station, start_terminal, strftime(end_date, '%-m/%-d/%Y %-H:%M'), end_station) AS head,
+         concat_ws(',', end_terminal, bike_no, sub_type,
+                   CASE WHEN trip_id % 10 = 3 THEN '' ELSE zip END) AS tail
+  FROM trips)"""
+
+CHECKED_GOOD = f"""
+SELECT * FROM ({PARSE_TRIP_LINES}) AS parsed
+WHERE trip_id % 13 <> 5 AND trip_id % 10 NOT IN (0, 1, 2)
+"""
+
+CHECKED_REJECTS = f"""
+WITH {ILL_FORMED_CTE}
+SELECT CASE WHEN short THEN head ELSE head || ',' || tail END AS line,
+       CASE WHEN short THEN 'short: 7 of 11 fields' ELSE 'unparsable: ' || bad END AS reason,
+       1 AS has_file,
+       (SELECT count(*) FROM texts) AS n_lines,
+       (SELECT count(*) FROM texts WHERE short) AS n_short,
+       (SELECT count(*) FROM texts WHERE NOT short AND bad IS NOT NULL) AS n_unparsable,
+       (SELECT count(*) FROM texts WHERE short OR bad IS NOT NULL) AS n_rejected
+FROM texts WHERE short OR bad IS NOT NULL
+"""
+
 # The parsed trips, then the emptiness filter of the loader.
 LOAD_TRIP_FILES = f"""
 SELECT * FROM ({PARSE_TRIP_LINES}) AS parsed
@@ -461,6 +491,9 @@ SQL: dict[str, str] = {
     "parse_station_lines": PARSE_STATION_LINES,
     "parse_weather_lines": PARSE_WEATHER_LINES,
     "load_trip_files": LOAD_TRIP_FILES,
+    "load_mixed_folder": PARSE_TRIP_LINES,
+    "checked_good": CHECKED_GOOD,
+    "checked_rejects": CHECKED_REJECTS,
     "safe_casts": SAFE_CASTS,
     "header_strip": HEADER_STRIP,
     "non_empty_filter": NON_EMPTY_FILTER,

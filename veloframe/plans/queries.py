@@ -22,7 +22,7 @@ from veloframe.operators import relational as rel
 from veloframe.plans import jobs
 from veloframe.sources import fixtures as fx
 from veloframe.sources.catalog import read_table, save_table, shared_path
-from veloframe.sources.ingest import load_delimited, parse_lines
+from veloframe.sources.ingest import CheckedLoad, load_checked, load_delimited, parse_lines
 from veloframe.sources.schemas import (
     STATION_SCHEMA,
     TRIP_REQUIRED_TEXT,
@@ -67,6 +67,31 @@ def load_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_delimited(spark, folders, TRIP_SCHEMA, header="first", required_text=TRIP_REQUIRED_TEXT)
 
 
+def load_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S6 per file: one folder whose files have three different headers, each dropped from its own file."""
+    folder = shared_path(spark, "mixed_files", uuid.uuid4().hex)
+    fx.write_mixed_folder(spark, sf_dir, folder)
+    return load_delimited(spark, folder, TRIP_SCHEMA, header="file")
+
+
+def _checked_folder(spark: SparkSession, sf_dir: str) -> CheckedLoad:
+    folder = shared_path(spark, "checked_files", uuid.uuid4().hex)
+    fx.write_mixed_folder(spark, sf_dir, folder, ill_formed=True)
+    return load_checked(spark, folder, TRIP_SCHEMA)
+
+
+def checked_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 with rejects: the rows of well-formed lines."""
+    return _checked_folder(spark, sf_dir).good
+
+
+def checked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 with rejects: every short or unparsable line with the reason, and the pass's own counts."""
+    found = _checked_folder(spark, sf_dir)
+    counts = [F.lit(found.counts[k]).cast("bigint").alias(f"n_{k}") for k in ("lines", "short", "unparsable", "rejected")]
+    return found.rejects.select("line", "reason", F.col("file").isNotNull().cast("int").alias("has_file"), *counts)
+
+
 def _cast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text variants built from every event, cycling through edge cases."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
@@ -431,6 +456,9 @@ QUERIES: dict[str, Query] = {
     "parse_station_lines": parse_station_lines,
     "parse_weather_lines": parse_weather_lines,
     "load_trip_files": load_trip_files,
+    "load_mixed_folder": load_mixed_folder,
+    "checked_good": checked_good,
+    "checked_rejects": checked_rejects,
     "safe_casts": safe_casts,
     "header_strip": header_strip,
     "non_empty_filter": non_empty_filter,

@@ -172,6 +172,33 @@ def write_trip_period_files(spark: SparkSession, sf_dir: str, folder: str) -> li
     return out
 
 
+def write_lines(lines: DataFrame, folder: str, header: str) -> None:
+    """Append ``value`` lines to a folder as text files that each begin with ``header``."""
+    (lines.select(F.col("value").alias(header)).write.mode("append").option("header", True)
+     .option("sep", "\u0001").option("quote", "\u0000").option("escape", "\u0000")
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(folder))
+
+
+# Headers of the three kinds of files in a mixed folder.
+MIXED_HEADERS = (TRIP_HEADER, TRIP_HEADER.upper(), TRIP_HEADER.replace("_", " "))
+
+# A line of the ill-formed variant is cut to this many fields where trip_id % 13 is 5.
+SHORT_FIELDS, SHORT_EVERY, SHORT_REST = 7, 13, 5
+
+
+def write_mixed_folder(spark: SparkSession, sf_dir: str, folder: str, ill_formed: bool = False) -> None:
+    """All trips' lines (``trip_lines``) in one folder: files of three kinds, by trip_id % 3, each with its
+    own header; with ``ill_formed`` some lines are cut short."""
+    fields = trips(spark, sf_dir).selectExpr("trip_id", f"array({', '.join(_TRIP_TEXT)}) AS f")
+    line = "concat_ws(',', f)"
+    if ill_formed:
+        line = (f"CASE WHEN trip_id % {SHORT_EVERY} = {SHORT_REST} THEN concat_ws(',', slice(f, 1, {SHORT_FIELDS})) "
+                f"ELSE {line} END")
+    for i, header in enumerate(MIXED_HEADERS):
+        write_lines(fields.where(F.col("trip_id") % 3 == i).selectExpr(f"{line} AS value"), folder, header)
+
+
 def station_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stations (supplier JOIN nation) as text lines; lat is '1.0f' where s_suppkey % 10 = 0."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")

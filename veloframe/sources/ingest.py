@@ -9,13 +9,15 @@ Catalyst prunes the conversions of unused fields.
 
 ``load_delimited`` adds the file scan (``spark.read.text``), so the text is
 split into tasks by Spark's file splitting (``spark.sql.files.maxPartitionBytes``).
+``load_checked`` routes ill-formed lines to a table of rejects instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -31,6 +33,7 @@ from pyspark.sql.types import (
 )
 
 from veloframe.functions import casts
+from veloframe.sources.catalog import cut_lineage
 from veloframe.sources.schemas import TEXT_FORMAT
 
 # Field separator and the name of the text column of a line scan.
@@ -39,6 +42,12 @@ LINE_COLUMN = "value"
 
 MODES = ("fail", "null")
 
+#: Columns of a scan by file and of its findings, and the kinds of ill-formed lines.
+FILE_COLUMN, REASON = "__file", "__reason"
+SHORT, UNPARSABLE = "short", "unparsable"
+#: A line has this many bytes, about, at least: bounds a file's lines by its size.
+LEAST_LINE_BYTES = 16
+
 
 def converter_for(data_type: DataType, text_format: str | None = None) -> Callable[[Column], Column]:
     """The safe cast used for a schema field of ``data_type`` (one stage)."""
@@ -127,12 +136,26 @@ def parse_lines(lines: DataFrame, schema: StructType, header: str | None = None,
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    staged_lines, exprs = _staged(drop_header(lines, header, column), schema, converters, column)
+    if mode == "fail":
+        # one check per line; a filter is never pruned away with unused fields
+        staged_lines = staged_lines.where(
+            f"CASE WHEN __short THEN raise_error(concat('expected {len(schema.fields)} fields, got a line: ', "
+            f"{_ident(column)})) ELSE true END")
+    if all(isinstance(e, str) for e in exprs):
+        return staged_lines.selectExpr(*exprs)
+    return staged_lines.select(*[F.expr(e) if isinstance(e, str) else e for e in exprs])
+
+
+def _staged(lines: DataFrame, schema: StructType, converters: Mapping[str, Callable[[Column], Column]] | None,
+            column: str, keep: Sequence[str] = ()) -> tuple[DataFrame, list[str | Column]]:
+    """The lines split and their fields prepared, and the projection of each typed field (SQL text, or a
+    Column where a converter is given). ``keep`` carries further columns along, here and below."""
     converters = dict(converters or {})
     width = len(schema.fields)
-    line = _ident(column)
-    lines = drop_header(lines, header, column).selectExpr(
-        line, f"split({line}, '{DELIMITER}', -1) AS __fields")
-    stage1 = [line, f"size(__fields) < {width} AS __short"]
+    line, kept = _ident(column), [_ident(k) for k in keep]
+    lines = lines.selectExpr(line, *kept, f"split({line}, '{DELIMITER}', -1) AS __fields")
+    stage1 = [line, *kept, f"size(__fields) < {width} AS __short", *(["__fields"] if keep else [])]
     builders = []
     for i, field in enumerate(schema.fields):
         raw = f"get(__fields, {i})"
@@ -146,20 +169,10 @@ def parse_lines(lines: DataFrame, schema: StructType, header: str | None = None,
             stage1.append(f"{raw} AS __f{i}")
             builders.append(None if field.name in converters else
                             (lambda x, t=field.dataType: _text_sql(t, x)))
-    staged_lines = lines.selectExpr(*stage1)
-    if mode == "fail":
-        # one check per line; a filter is never pruned away with unused fields
-        staged_lines = staged_lines.where(
-            f"CASE WHEN __short THEN raise_error(concat('expected {width} fields, got a line: ', {line}))"
-            f" ELSE true END")
-    sql = [None if b is None else f"CAST({b(f'__f{i}')} AS {field.dataType.simpleString()}) AS {_ident(field.name)}"
-           for i, (b, field) in enumerate(zip(builders, schema.fields))]
-    if not converters:
-        return staged_lines.selectExpr(*sql)
-    exprs = [F.expr(q) if q is not None else
-             converters[f.name](F.col(f"__f{i}")).cast(f.dataType).alias(f.name)
-             for i, (q, f) in enumerate(zip(sql, schema.fields))]
-    return staged_lines.select(*exprs)
+    exprs = [converters[f.name](F.col(f"__f{i}")).cast(f.dataType).alias(f.name) if b is None else
+             f"CAST({b(f'__f{i}')} AS {f.dataType.simpleString()}) AS {_ident(f.name)}"
+             for i, (b, f) in enumerate(zip(builders, schema.fields))]
+    return lines.selectExpr(*stage1), exprs
 
 
 def _format_of(field) -> str:
@@ -180,21 +193,60 @@ def first_line(lines: DataFrame, column: str = LINE_COLUMN) -> str | None:
     return None if row is None else row[0]
 
 
+def read_file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """S1 with each line's file: ``value``, the file's path and size, and where the line's block starts."""
+    m = F.col("_metadata")
+    return spark.read.text(path).select(
+        LINE_COLUMN, m["file_path"].alias(FILE_COLUMN), m["file_size"].alias("__size"),
+        m["file_block_start"].alias("__block"))
+
+
+def file_headers(file_lines: DataFrame) -> DataFrame:
+    """(file, header, rows at most): the first line of each file, found on the executors.
+
+    Only a file's first block is looked at; within a task lines come in file order, so the first is the one
+    with the least row number, and each map task sends one row per file. ``__rows`` is a bound on the file's
+    lines by its size, for joins that split large files.
+    """
+    numbered = (file_lines.where(F.col("__block") == 0)
+                .withColumn("__row", F.monotonically_increasing_id()))
+    return numbered.groupBy(FILE_COLUMN).agg(
+        F.min_by(LINE_COLUMN, "__row").alias("__header"),
+        F.ceil(F.max("__size") / LEAST_LINE_BYTES).cast("long").alias("__rows"))
+
+
+def drop_file_headers(file_lines: DataFrame) -> DataFrame:
+    """S2 per file: drops every line equal to the first line of its own file; keeps ``value`` and the file.
+
+    The headers, a row per file, are joined back to the lines (``relational.attach``: broadcast within its
+    bound, else by shuffle with large files split). Two jobs run here, however many files there are.
+    """
+    from veloframe.operators.relational import attach
+
+    lines = file_lines.select(LINE_COLUMN, FILE_COLUMN)
+    joined = attach(lines, file_headers(file_lines), FILE_COLUMN, weight="__rows")
+    return joined.where(~F.col(LINE_COLUMN).eqNullSafe(F.col("__header"))).drop("__header")
+
+
 def load_delimited(spark: SparkSession, path: str | list[str], schema: StructType,
                    header: str | None = "first", mode: str = "fail",
                    converters: Mapping[str, Callable[[Column], Column]] | None = None,
                    required_text: list[str] | None = None) -> DataFrame:
     """Scan, strip the header, split, convert, bind the schema.
 
-    Each path is loaded on its own and the rows are stacked. ``header='first'``
-    takes the first line of each path as its header and drops every line of
-    that path equal to it (one job of one row per path runs here); give a path
-    per period where headers differ. Pass a string to name the header of all
-    paths, or ``None`` for files without one. ``required_text`` keeps only
-    rows whose named text fields are non-empty (and not NULL).
+    ``header='file'`` takes the first line of every file as the header of that file and drops every line of
+    the file equal to it, for any number of files and folders (two jobs in all; see ``drop_file_headers``).
+    ``header='first'`` loads each path on its own and takes the first line of the path as the header of all
+    its files (one job of one row per path runs here); the rows are stacked. Pass a string to name the header
+    of all paths, or ``None`` for files without one. ``required_text`` keeps only rows whose named text
+    fields are non-empty (and not NULL).
     """
     from veloframe.operators.relational import non_empty, stack
 
+    if header == "file":
+        lines = drop_file_headers(read_file_lines(spark, path))
+        df = parse_lines(lines, schema, mode=mode, converters=converters)
+        return non_empty(df, required_text) if required_text else df
     parts = []
     for one in [path] if isinstance(path, str) else path:
         lines = read_lines(spark, one)
@@ -202,3 +254,65 @@ def load_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
         parts.append(parse_lines(lines, schema, header=own, mode=mode, converters=converters))
     df = stack(*parts)
     return non_empty(df, required_text) if required_text else df
+
+
+def checked_lines(file_lines: DataFrame, schema: StructType,
+                  converters: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """S4 with findings: line, file, the typed fields, and ``REASON`` where the line is ill-formed.
+
+    A line is ``short`` if it has fewer fields than the schema, else ``unparsable`` if some field's text is
+    neither empty nor blank and has no value of its type; the reason names those fields. Surplus fields are
+    ignored, as in ``parse_lines``. Map-only.
+    """
+    width = len(schema.fields)
+    staged, exprs = _staged(file_lines, schema, converters, LINE_COLUMN, [FILE_COLUMN])
+    typed = staged.select(F.col(LINE_COLUMN).alias("__line"), FILE_COLUMN, "__short", "__fields",
+                          *[F.expr(e) if isinstance(e, str) else e for e in exprs])
+    bad = [f"CASE WHEN {_ident(f.name)} IS NULL AND trim(get(__fields, {i})) <> '' THEN '{f.name}' END"
+           for i, f in enumerate(schema.fields) if not isinstance(f.dataType, StringType)]
+    named = f"concat_ws(' ', {', '.join(bad)})" if bad else "''"
+    reason = (f"CASE WHEN __short THEN concat('{SHORT}: ', size(__fields), ' of {width} fields') "
+              f"WHEN {named} <> '' THEN concat('{UNPARSABLE}: ', {named}) END")
+    return typed.selectExpr("__line", FILE_COLUMN, f"{reason} AS {REASON}", *[_ident(f.name) for f in schema.fields])
+
+
+@dataclass(frozen=True)
+class CheckedLoad:
+    """Rows of well-formed lines; (file, line, reason) of the others; and counts by kind."""
+
+    good: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def load_checked(spark: SparkSession, path: str | list[str], schema: StructType, header: str | None = "file",
+                 reject: Sequence[str] = (SHORT, UNPARSABLE),
+                 converters: Mapping[str, Callable[[Column], Column]] | None = None) -> CheckedLoad:
+    """S4/S6 without loss: one pass over the lines writes well-formed rows and rejects side by side.
+
+    ``reject`` names the kinds that are turned away; unparsable fields of a line that stays are NULL, and
+    so are the missing ones. ``header`` is as in ``load_delimited`` (``'file'``, a given line, or None).
+    The pass is one job that writes below the session's shared folder, split by outcome, so reading one
+    side never reads the other; its counts (``lines``, ``short``, ``unparsable``, ``rejected``) come from
+    the same pass. A lost task is run anew and its rows are written once.
+    """
+    if unknown := set(reject) - {SHORT, UNPARSABLE}:
+        raise ValueError(f"unknown kinds {sorted(unknown)}")
+    lines = read_file_lines(spark, path)
+    lines = drop_file_headers(lines) if header == "file" else drop_header(lines, header).drop("__size", "__block")
+    kind = F.split(REASON, ":")[0]
+    turned = F.coalesce(kind.isin(*reject), F.lit(False)) if reject else F.lit(False)
+    seen = Observation()
+    checked = checked_lines(lines, schema, converters).withColumn("__rejected", turned).observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.count_if(kind == SHORT).alias(SHORT),
+        F.count_if(kind == UNPARSABLE).alias(UNPARSABLE), F.count_if("__rejected").alias("rejected"))
+    kept = ["__line", FILE_COLUMN, REASON]
+    routed = checked.select(
+        *[F.when(F.col("__rejected"), F.col(c)).alias(c) for c in kept],
+        *[F.when(~F.col("__rejected"), F.col(_ident(f.name))).alias(f.name) for f in schema.fields],
+        F.when(F.col("__rejected"), F.lit("reject")).otherwise(F.lit("good")).alias("__outcome"))
+    table = cut_lineage(routed, "checked", partition_by=["__outcome"])
+    good = table.where(F.col("__outcome") == "good").select(*[F.col(_ident(f.name)) for f in schema.fields])
+    rejects = table.where(F.col("__outcome") == "reject").select(
+        F.col(FILE_COLUMN).alias("file"), F.col("__line").alias("line"), F.col(REASON).alias("reason"))
+    return CheckedLoad(good, rejects, dict(seen.get))
