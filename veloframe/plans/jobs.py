@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from veloframe.operators import encode, learn
+from veloframe.operators import encode, learn, state
 from veloframe.operators import features as feat
 from veloframe.operators.relational import non_empty, part_counts, stack
 from veloframe.sources.catalog import cut_lineage, drop_files, keep, read_table, save_table
 from veloframe.sources.ingest import parse_lines
+from veloframe.sources.periods import PeriodLoad, PeriodTable
 from veloframe.sources.schemas import TRIP_REQUIRED_TEXT
 
 # Feature lists of the three classification jobs.
@@ -53,6 +54,28 @@ def dataset_counts(stacked: Mapping[str, DataFrame]) -> DataFrame:
                        tag="dataset", total=None)
 
 
+STATE = "station_state"
+
+
+def load_trip_period(table: PeriodTable, period: str, files: str | Sequence[str], again: bool = False) -> PeriodLoad:
+    """P1 for one period: rows, rejects and manifest replaced, then the period's station sums.
+
+    Only this period's files and rows are read. The sums are written before the manifest would let a later
+    run pass the period over, so a run that was cut off is made good by the next.
+    """
+    def sums(rows: DataFrame) -> None:
+        trips = feat.with_day_of_week(rows, "start_date")
+        state.save_state(state.group_state(trips), f"{table.root}/{STATE}", period)
+
+    return table.load(period, [files] if isinstance(files, str) else list(files), again=again, derive=sums)
+
+
+def trips_with_state(table: PeriodTable) -> DataFrame:
+    """All loaded trips with the station features of the merged sums."""
+    merged = state.merged_state(table.spark, f"{table.root}/{STATE}")
+    return state.with_state_features(table.rows(), merged)
+
+
 ALL_MODELS = ("random_forest", "decision_tree", "logistic_regression")
 KEY = "trip_id"
 ROWS_PER_PART = 50_000

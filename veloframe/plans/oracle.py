@@ -471,6 +471,31 @@ SELECT count(*) AS n,
 FROM p
 """
 
+PERIOD_RELOAD = f"""
+SELECT parsed.trip_id, parsed.duration, parsed.start_date, parsed.start_station, parsed.end_date, parsed.zip,
+       CASE WHEN o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) < {HALF} THEN 'h1' ELSE 'h2' END AS period
+FROM ({PARSE_TRIP_LINES}) AS parsed JOIN orders ON trip_id = o_orderkey
+"""
+
+# The station figures over the parsed trips: durations and start dates that did not parse are NULL.
+INCREMENTAL_FEATURES = f"""
+WITH parsed AS ({PARSE_TRIP_LINES}),
+d AS (SELECT *, {dow_sql(day_sql('start_date'))} AS start_dow FROM parsed),
+s AS (
+  SELECT start_station, avg(duration) AS average, CAST(count(*) AS BIGINT) AS n,
+         CAST(count(*) FILTER (WHERE start_dow = 'weekday') AS BIGINT) AS w,
+         CAST(count(*) FILTER (WHERE start_dow = 'weekend') AS BIGINT) AS e
+  FROM d GROUP BY start_station)
+SELECT trip_id, average, {share_sql('w', 'n')} AS pct_weekday, {share_sql('e', 'n')} AS pct_weekend
+FROM d JOIN s USING (start_station)
+"""
+
+MERGED_FEATURES = f"""
+WITH {TRIPS_NULLS_CTE},
+{features_sql('trips_nulls')}
+SELECT trip_id, average, pct_weekday, pct_weekend FROM feat
+"""
+
 LOAD_AND_STACK_JOBS = f"""
 WITH {TRIPS_CTE}
 SELECT 'station' AS dataset, 2 * count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey
@@ -509,6 +534,9 @@ SQL: dict[str, str] = {
     "first_trips": FIRST_TRIPS,
     "table_roundtrip": TABLE_ROUNDTRIP,
     "flagship_trip_features": FLAGSHIP,
+    "period_reload": PERIOD_RELOAD,
+    "incremental_features": INCREMENTAL_FEATURES,
+    "merged_features": MERGED_FEATURES,
     "string_index": STRING_INDEX,
     "one_hot": ONE_HOT,
     "assemble_size": ASSEMBLE_SIZE,

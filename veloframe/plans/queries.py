@@ -16,13 +16,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veloframe.operators import encode, learn
+from veloframe.operators import encode, learn, state
 from veloframe.operators import features as feat
 from veloframe.operators import relational as rel
 from veloframe.plans import jobs
 from veloframe.sources import fixtures as fx
 from veloframe.sources.catalog import read_table, save_table, shared_path
 from veloframe.sources.ingest import CheckedLoad, load_checked, load_delimited, parse_lines
+from veloframe.sources.periods import PeriodTable
 from veloframe.sources.schemas import (
     STATION_SCHEMA,
     TRIP_REQUIRED_TEXT,
@@ -260,6 +261,42 @@ def flagship_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.trip_features(fx.trips(spark, sf_dir))
 
 
+def _loaded_periods(spark: SparkSession, sf_dir: str) -> PeriodTable:
+    """The halves loaded as two periods; the first is loaded from the second's files, then again from its
+    own, and the second twice, of which the manifest passes one over."""
+    run = shared_path(spark, "period_tables", uuid.uuid4().hex)
+    halves = dict(zip(("h1", "h2"), fx.write_trip_period_files(spark, sf_dir, f"{run}/in"), strict=True))
+    table = PeriodTable(spark, f"{run}/table", TRIP_SCHEMA)
+    for period, files in (("h1", "h2"), ("h2", "h2"), ("h1", "h1"), ("h2", "h2")):
+        jobs.load_trip_period(table, period, halves[files])
+    jobs.load_trip_period(table, "h2", halves["h2"], again=True)
+    return table
+
+
+def period_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a period table whose periods were loaded more than once."""
+    t = _loaded_periods(spark, sf_dir).rows()
+    return t.select("trip_id", "duration", "start_date", "start_station", "end_date", "zip", "period")
+
+
+def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station average and shares on every loaded trip, from sums kept per period and merged."""
+    t = jobs.trips_with_state(_loaded_periods(spark, sf_dir))
+    return t.select("trip_id", "average", "pct_weekday", "pct_weekend")
+
+
+def merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1, A6 on trips with NULL stations: equal to ``station_average`` and ``shares_joined`` after two
+    periods' sums were stored, one of them twice."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir, "nulls"), "start_date")
+    path = shared_path(spark, "station_state", uuid.uuid4().hex)
+    first, second = fx.trip_halves(t)
+    for period, part in (("h1", second), ("h2", second), ("h1", first)):
+        state.save_state(state.group_state(part), path, period)
+    return state.with_state_features(t, state.merged_state(spark, path)).select(
+        "trip_id", "average", "pct_weekday", "pct_weekend")
+
+
 # --- encoding (M1-M5) ---------------------------------------------------------
 
 INDEX_CHECK_COLUMNS = ["start_station", "sub_type", "duration"]
@@ -474,6 +511,9 @@ QUERIES: dict[str, Query] = {
     "first_trips": first_trips,
     "table_roundtrip": table_roundtrip,
     "flagship_trip_features": flagship_trip_features,
+    "period_reload": period_reload,
+    "incremental_features": incremental_features,
+    "merged_features": merged_features,
     "string_index": string_index,
     "one_hot": one_hot,
     "assemble_size": assemble_size,

@@ -69,8 +69,18 @@ def drop_files(written: DataFrame) -> None:
         below = name.rpartition("/veloframe/")[2]
         folders.add(f"{root.rstrip('/')}/{below.split('/')[0]}")
     for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_folder(spark, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, in whatever store it is; nothing happens where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql.types import (
 )
 
 from veloframe.functions import casts
-from veloframe.sources.catalog import cut_lineage
+from veloframe.sources.catalog import cut_lineage, drop_files
 from veloframe.sources.schemas import TEXT_FORMAT
 
 # Field separator and the name of the text column of a line scan.
@@ -283,6 +283,11 @@ class CheckedLoad:
     good: DataFrame
     rejects: DataFrame
     counts: dict[str, int]
+    table: DataFrame
+
+    def drop(self) -> None:
+        """Remove the written pass, when neither side is read any more."""
+        drop_files(self.table)
 
 
 def load_checked(spark: SparkSession, path: str | list[str], schema: StructType, header: str | None = "file",
@@ -315,4 +320,4 @@ def load_checked(spark: SparkSession, path: str | list[str], schema: StructType,
     good = table.where(F.col("__outcome") == "good").select(*[F.col(_ident(f.name)) for f in schema.fields])
     rejects = table.where(F.col("__outcome") == "reject").select(
         F.col(FILE_COLUMN).alias("file"), F.col("__line").alias("line"), F.col(REASON).alias("reason"))
-    return CheckedLoad(good, rejects, dict(seen.get))
+    return CheckedLoad(good, rejects, dict(seen.get), table)
