@@ -220,6 +220,21 @@ def entry_indices(vector: str) -> F.Column:
     return F.when(text.startswith("["), dense).otherwise(sparse)
 
 
+def entries(vector: str) -> F.Column:
+    """A vector's non-zero entries, as array<struct<index int, value double>>, read from its text form, which
+    keeps doubles to the last bit; a sparse vector is not expanded to its width."""
+    text = F.col(vector).cast("string")
+
+    def listed(pattern: str, kind: str) -> F.Column:
+        return F.transform(F.split(F.regexp_extract(text, pattern, 1), ","), lambda x: x.try_cast(kind))
+
+    values = listed(r"\[([^\[\]]*)\]\)?$", "double")
+    at = F.when(text.startswith("["), F.sequence(F.lit(0), F.size(values) - 1)).otherwise(
+        listed(r"^\(\d+,\[([^\]]*)\]", "int"))
+    pairs = F.zip_with(at, values, lambda i, v: F.named_struct(F.lit("index"), i, F.lit("value"), v))
+    return F.filter(pairs, lambda e: e["value"].isNotNull() & (e["value"] != 0))
+
+
 # Hash split, bucket = first 8 hex digits of md5(key text) mod 100.
 SPLIT_BUCKETS = 100
 SPLIT_HEX_DIGITS = 8
@@ -241,13 +256,22 @@ def split_by_hash(df: DataFrame, key: str, train_percent: int = 80) -> tuple[Dat
     return df.where(b < train_percent), df.where(b >= train_percent)
 
 
-def split_random(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:
+def random_draw(key: str, seed: int) -> F.Column:
+    """A number from 0 to below 1 for a key: the first 8 hex digits of md5("seed:key") by 2^32."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, SPLIT_HEX_DIGITS)
+    return F.conv(digits, 16, 10).cast("double") / float(1 << (4 * SPLIT_HEX_DIGITS))
+
+
+def split_random(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42,
+                 key: str | None = None) -> list[DataFrame]:
     """M5 (as in the jobs): a seeded random split by ``weights``.
 
-    The draw is a hash of the row and the seed, so the parts are the same on
-    any partitioning and any number of cores; equal rows go together.
+    With ``key`` the draw is ``random_draw`` of it and the seed, which SQL states as well; without, a hash of
+    the whole row. Either way the parts are the same on any partitioning and any number of cores; equal keys,
+    or rows, go together.
     """
-    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    draw = random_draw(key, seed) if key else (
+        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 30)) / float(1 << 30))
     ends, total = [], 0.0
     for w in weights:
         total += w / sum(weights)

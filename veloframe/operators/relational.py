@@ -116,9 +116,9 @@ def sized_side(stats: DataFrame, max_bytes: int | None = None) -> tuple[DataFram
     return (F.broadcast(stats) if small else stats), small
 
 
-def salted_join(df: DataFrame, side: DataFrame, key: Column, side_key: str, weight: str,
-                null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Left outer equi-join with a large side, splitting heavy keys by their weight.
+def salted_sides(df: DataFrame, side: DataFrame, key: Column, side_key: str, weight: str,
+                 null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with heavy keys split: ``df`` with ``__salt``, ``side`` with ``__salt_r``.
 
     ``side`` is unique on ``side_key`` and ``weight`` holds how many rows of
     ``df`` carry each key. A key with more than ``rows_per_task`` rows gets
@@ -143,6 +143,13 @@ def salted_join(df: DataFrame, side: DataFrame, key: Column, side_key: str, weig
     right = (side.join(F.broadcast(many), F.xxhash64(side_key) == F.col("__hash_r"), "left")
              .withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
              .drop("__hash_r", "__salts"))
+    return left, right
+
+
+def salted_join(df: DataFrame, side: DataFrame, key: Column, side_key: str, weight: str,
+                null_safe: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Left outer equi-join with a large side, splitting heavy keys by their weight (``salted_sides``)."""
+    left, right = salted_sides(df, side, key, side_key, weight, null_safe, rows_per_task)
     cond = key.eqNullSafe(F.col(side_key)) if null_safe else key == F.col(side_key)
     return left.join(right, cond & (F.col("__salt") == F.col("__salt_r")), "left").drop("__salt", "__salt_r")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from veloframe.operators import encode, learn, state
+from veloframe.operators import encode, learn, optimality, rules, state
 from veloframe.operators import features as feat
 from veloframe.operators.relational import non_empty, part_counts, stack
 from veloframe.sources.catalog import cut_lineage, drop_files, keep, read_table, save_table
@@ -82,12 +82,12 @@ ROWS_PER_PART = 50_000
 
 
 def split_points(points: DataFrame, seed: int, split: str = "hash", key: str = KEY) -> list[DataFrame]:
-    """Train and validation parts: by an md5 bucket of ``key`` or a seeded draw per row; both are the
+    """Train and validation parts: by an md5 bucket of ``key`` or a seeded draw per key; both are the
     same on any partitioning."""
     if split == "hash":
         return [part.drop(key) for part in encode.split_by_hash(points, key)]
     if split == "random":
-        return [part.drop(key) for part in encode.split_random(points, (0.8, 0.2), seed)]
+        return [part.drop(key) for part in encode.split_random(points, (0.8, 0.2), seed, key)]
     raise ValueError(f"unknown split {split!r}")
 
 
@@ -138,23 +138,30 @@ def baseline_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_M
     """Duration in days, four indexed columns, two numeric features.
 
     ``split='hash'`` splits by an md5 bucket of ``key``, ``'random'`` by a
-    seeded draw per row (80/20). Jobs run here.
+    seeded draw per key (80/20). Jobs run here.
     """
-    d = trips.withColumns({"start_date": F.to_date("start_date"), "end_date": F.to_date("end_date")})
-    d = feat.with_days_between(d, "end_date", "start_date", "duration")
-    return train_and_measure(_numeric_points(d, key), models, seed, split, key)
+    return train_and_measure(baseline_points(trips, key), models, seed, split, key)
+
+
+def window_features(trips: DataFrame) -> DataFrame:
+    """P5 features: W1 and F8."""
+    return feat.with_equal_flag(feat.with_group_average(trips, "start_station", "duration"),
+                                "start_station", "end_station")
 
 
 def window_features_job(trips: DataFrame, seed: int = 42, models: Sequence[str] = ALL_MODELS,
-                        split: str = "hash", key: str = KEY) -> DataFrame:
+                        split: str = "hash", key: str = KEY, table_name: str | None = None,
+                        table_path: str | None = None) -> DataFrame:
     """P5: the window-feature variant; same two vector inputs.
 
-    The original also derives the station average and the round-trip flag,
-    which no model reads; the flag costs nothing, the average's join is left
-    out (``features.with_group_average`` gives it). Jobs run here.
+    The job's features, the station average and the round-trip flag, are read by no model. With
+    ``table_name`` all trips with both are written as a table, so that the job's work is whole; without,
+    only what the models read is computed. Jobs run here.
     """
-    d = feat.with_equal_flag(trips, "start_station", "end_station")
-    return train_and_measure(_numeric_points(d, key), models, seed, split, key)
+    if table_name:
+        save_table(window_features(trips), table_name, path=table_path)
+        trips = read_table(trips.sparkSession, table_name)
+    return train_and_measure(_numeric_points(trips, key), models, seed, split, key)
 
 
 def all_features(trips: DataFrame, table_name: str | None = None, table_path: str | None = None) -> DataFrame:
@@ -214,3 +221,38 @@ def scored_trips(points: DataFrame, estimator, key: str = KEY) -> DataFrame:
     points = cut_lineage(points, "points")
     train, valid = encode.split_by_hash(points, key)
     return learn.fit_and_score(estimator, train.drop(key), valid)
+
+
+def rule_mismatches(points: DataFrame, estimator, key: str = KEY) -> DataFrame:
+    """One row: validation rows, and those for which a fitted tree's or forest's rule table and the model
+    itself differ."""
+    points = cut_lineage(points, "points")
+    train, valid = encode.split_by_hash(dealt_by_key(points, key), key)
+    model = estimator.fit(train.drop(key))
+    by_model = model.transform(valid).select(key, F.col("prediction").alias("own"))
+    by_rules = rules.score_by_model_rules(valid, model, key)
+    found = by_model.join(by_rules, key, "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("own").eqNullSafe(F.col("prediction"))).alias("mismatches"))
+    result = cut_lineage(found, "mismatches")
+    drop_files(points)
+    return result
+
+
+def penalised_fit_report(points: DataFrame, estimator=None, key: str = KEY) -> DataFrame:
+    """One row about a logistic regression of the train part (the jobs' settings unless given): its rows,
+    non-zero coefficients, and whether it meets the conditions of the penalised optimum."""
+    points = cut_lineage(points, "points")
+    train, _ = encode.split_by_hash(dealt_by_key(points, key), key)
+    train = keep(train)
+    model = (estimator or learn.logistic_regression()).fit(train)
+    report = optimality.penalty_report(train, model).withColumn("n", F.lit(train.count()).cast("bigint"))
+    result = cut_lineage(report, "optimality")
+    train.unpersist()
+    drop_files(points)
+    return result
+
+
+def baseline_points(trips: DataFrame, key: str = KEY) -> DataFrame:
+    """P4's points: duration in days and the start terminal."""
+    d = trips.withColumns({"start_date": F.to_date("start_date"), "end_date": F.to_date("end_date")})
+    return _numeric_points(feat.with_days_between(d, "end_date", "start_date", "duration"), key)

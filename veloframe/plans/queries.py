@@ -20,8 +20,10 @@ from veloframe.operators import encode, learn, state
 from veloframe.operators import features as feat
 from veloframe.operators import relational as rel
 from veloframe.plans import jobs
+from veloframe.plans.fitted import fit_trips, load_fitted
 from veloframe.sources import fixtures as fx
-from veloframe.sources.catalog import read_table, save_table, shared_path
+from veloframe.sources.bucketed import join_bucketed, save_bucketed_pair
+from veloframe.sources.catalog import cut_lineage, read_table, save_table, shared_path
 from veloframe.sources.ingest import CheckedLoad, load_checked, load_delimited, parse_lines
 from veloframe.sources.periods import PeriodTable
 from veloframe.sources.schemas import (
@@ -38,6 +40,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FEATURE_TABLE = "veloframe_trip_features"
 
 SEED = 42
+#: Buckets of the stored join's tables.
+BUCKETS = 16
 
 
 # --- ingest (S1-S7, F1-F5) ---------------------------------------------------
@@ -362,6 +366,24 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("n_trips"))
 
 
+def split_random_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 (seeded draw): the part that each trip falls into."""
+    train, valid = encode.split_random(fx.trips(spark, sf_dir).select("trip_id"), (0.8, 0.2), SEED, "trip_id")
+    return rel.stack_tagged({"train": train, "valid": valid}, tag="part")
+
+
+def bucketed_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares joined to every trip bucket by bucket, from two stored tables; NULL station -> NULL."""
+    t = feat.with_day_of_week(fx.trips(spark, sf_dir, "nulls"), "start_date").select("trip_id", "start_station", "start_dow")
+    t = cut_lineage(t, "trips")  # written once: read for the shares and for the buckets
+    shares = feat.group_class_shares(t, "start_station", "start_dow").select(
+        "start_station", "total_trips", "pct_weekday", "pct_weekend")
+    tables = [_run_table(spark, f"veloframe_bucketed_{part}") for part in ("trips", "shares")]
+    pair = save_bucketed_pair(t, cut_lineage(shares, "shares"), "start_station", "total_trips",
+                              tuple(n for n, _ in tables), BUCKETS, tuple(p for _, p in tables))
+    return join_bucketed(spark, pair).select("trip_id", "pct_weekday", "pct_weekend")
+
+
 # --- learning (M6-M12) and jobs (P1-P6) ---------------------------------------
 
 def rf_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,6 +443,71 @@ def lr_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.get(p, F.col("prediction").cast("int")) > 0.5).cast("int").alias("above_half"))
 
 
+def dt_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7, M9: the tree of ``dt_accuracy`` as a rule table, scored by joins and held against the model by row."""
+    return jobs.rule_mismatches(jobs.baseline_points(fx.trips(spark, sf_dir)), learn.decision_tree(SEED))
+
+
+def rf_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6, M9: the same for the forest of ``rf_accuracy``."""
+    return jobs.rule_mismatches(jobs.baseline_points(fx.trips(spark, sf_dir)), learn.random_forest(SEED))
+
+
+def lr_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 with its penalty, all features: the fit keeps coefficients and is at the penalised optimum."""
+    report = jobs.penalised_fit_report(jobs.all_features_points(fx.trips(spark, sf_dir, "by_day")))
+    return report.select("n", (F.col("active") > 0).cast("int").alias("has_coefficients"), "optimal")
+
+
+def job_baseline_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4's penalised logistic regression on a label that the start terminal's half decides."""
+    return jobs.baseline_job(fx.trips(spark, sf_dir, "by_half"), SEED, models=("logistic_regression",))
+
+
+def job_window_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5's, with its features written as a table first."""
+    name, path = _run_table(spark, "veloframe_window_features")
+    return jobs.window_features_job(fx.trips(spark, sf_dir, "by_half"), SEED, models=("logistic_regression",),
+                                    table_name=name, table_path=path)
+
+
+def job_all_features_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P6's penalised logistic regression on a label that the kind of day decides."""
+    return jobs.all_features_job(fx.trip_halves(fx.trips(spark, sf_dir, "by_day")), SEED)
+
+
+def job_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 with the seeded random split, as the original jobs split."""
+    return jobs.baseline_job(_by_terminal(spark, sf_dir), SEED, models=TREES, split="random")
+
+
+def window_features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5's features (W1, F8) on every trip, as its job writes them."""
+    name, path = _run_table(spark, "veloframe_window_features")
+    save_table(jobs.window_features(fx.trips(spark, sf_dir, "nulls")), name, path=path)
+    return read_table(spark, name).select("trip_id", "average", "round_trip")
+
+
+def fitted_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3, M8, M9: a classifier fitted on the first half, stored, loaded by another session, and used on
+    the second half: the class it gives each trip, and whether the unstored one gives the same row."""
+    first, second = fx.trip_halves(fx.trips(spark, sf_dir, "by_day"))
+    fitted = fit_trips(first)
+    path = shared_path(spark, "fitted", uuid.uuid4().hex)
+    before, after = f"{path}/before", f"{path}/after"
+    fitted.score(second).write.parquet(before)
+    fitted.save(f"{path}/model")
+    other = spark.newSession()
+    _, later = fx.trip_halves(fx.trips(other, sf_dir, "by_day"))
+    load_fitted(other, f"{path}/model").score(later).write.parquet(after)
+    old = spark.read.parquet(before).select("trip_id", *[
+        F.col(c).alias(f"old_{c}") for c in ("prediction", "probability", "predicted")])
+    same = (F.col("prediction") == F.col("old_prediction")) & F.col("predicted").eqNullSafe(F.col("old_predicted")) & (
+        vector_to_array("probability") == vector_to_array("old_probability"))
+    return spark.read.parquet(after).join(old, "trip_id", "full").select(
+        "trip_id", "predicted", F.coalesce(same, F.lit(False)).cast("int").alias("same"))
+
+
 def accuracy_from_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10-M12 on (label, prediction) pairs: quality as label, toxic as prediction."""
     lab = fx.table(spark, sf_dir, "labels")
@@ -520,6 +607,17 @@ QUERIES: dict[str, Query] = {
     "assemble_numeric": assemble_numeric,
     "split_hash": split_hash,
     "split_random": split_random,
+    "split_random_rows": split_random_rows,
+    "bucketed_shares": bucketed_shares,
+    "dt_rules": dt_rules,
+    "rf_rules": rf_rules,
+    "lr_optimality": lr_optimality,
+    "job_baseline_lr": job_baseline_lr,
+    "job_window_lr": job_window_lr,
+    "job_all_features_lr": job_all_features_lr,
+    "job_random_split": job_random_split,
+    "window_features_table": window_features_table,
+    "fitted_scored": fitted_scored,
     "rf_accuracy": rf_accuracy,
     "dt_accuracy": dt_accuracy,
     "lr_accuracy": lr_accuracy,

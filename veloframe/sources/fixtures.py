@@ -34,6 +34,9 @@ HALF_SPLIT = "1998-05-01 00:00:00"
 # Start terminals below this are the customers' in the ``by_terminal`` variant.
 CUSTOMER_TERMINALS = 4
 
+# Start terminals below this are the customers' in the ``by_half`` variant.
+HALF_TERMINALS = 12
+
 # Header lines of the derived text files (bound by position).
 TRIP_HEADER = ",".join(f.name for f in TRIP_SCHEMA.fields)
 STATION_HEADER = ",".join(f.name for f in STATION_SCHEMA.fields)
@@ -60,6 +63,8 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
     * ``dirty``  – both of the above.
     * ``by_terminal`` – sub_type is Customer where start_terminal < CUSTOMER_TERMINALS, else
                    Subscriber: a label that the vector's inputs determine.
+    * ``by_half`` – the same with HALF_TERMINALS: a label that a strongly penalised fit still sees.
+    * ``by_day``  – sub_type is Customer on Saturdays and Sundays.
     """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
@@ -98,7 +103,13 @@ def trips(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame
     if variant == "by_terminal":
         df = df.withColumn("sub_type", F.when(F.col("start_terminal") < CUSTOMER_TERMINALS, F.lit("Customer"))
                            .otherwise(F.lit("Subscriber")))
-    if variant not in ("plain", "nulls", "blanks", "dirty", "by_terminal"):
+    if variant == "by_half":
+        df = df.withColumn("sub_type", F.when(F.col("start_terminal") < HALF_TERMINALS, F.lit("Customer"))
+                           .otherwise(F.lit("Subscriber")))
+    if variant == "by_day":
+        df = df.withColumn("sub_type", F.when(F.weekday("start_date") >= 5, F.lit("Customer"))
+                           .otherwise(F.lit("Subscriber")))
+    if variant not in ("plain", "nulls", "blanks", "dirty", "by_terminal", "by_half", "by_day"):
         raise ValueError(f"unknown trips variant {variant!r}")
     return df
 
