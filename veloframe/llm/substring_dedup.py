@@ -9,6 +9,10 @@ hold form the reference; a suffix automaton over their words keeps, per state,
 the first document of its occurrences, and each segment is run through it: a
 match of at least a window's length names the window's first document.
 
+One pass over the texts lists their segments by digest, without words; words are
+cut once per distinct segment, from its first document. Scratch tables go as
+soon as the next one is written.
+
 Automata of all shards cannot be broadcast, as they grow with the corpus, so
 segments go to the automata. A shard whose reference is larger than
 ``SHARD_WORDS`` (a gram of a very common line) would not fit one task: its
@@ -28,10 +32,11 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veloframe.llm.common import small, texts, written
+from veloframe.sources.catalog import drop_files
 
 WINDOW, GRAM = 50, 20
 #: Words of a shard's reference that one automaton may hold.
@@ -137,9 +142,6 @@ class Automaton:
 
 def first_owners(reference: list[tuple[bytes, int]], window: int = WINDOW) -> list[list[int]]:
     """Of each (segment, owner): the first owner of each of its windows in the reference."""
-    if len(reference) == 1:
-        raw, owner = reference[0]
-        return [[owner] * (raw.count(b" ") + 2 - window)]
     ids: dict[bytes, int] = {}
     words = [[ids.setdefault(w, len(ids)) for w in raw.split(b" ")] for raw, _ in reference]
     automaton = Automaton()
@@ -166,43 +168,59 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64("text").alias("tie"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def grams_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Per row its order, text identity and the distinct keys of its segments."""
+SEGMENTS = "array<struct<key:long,d1:long,d2:long,start:int,n:int>>"
+
+
+def segments_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """Per row its order, text identity and segments: key, digest of the words, first word, number of words."""
+    names = ["key", "d1", "d2", "start", "n"]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.unique(least_grams(x.split(), window, gram)) for x in texts(batch.column("text"))]
-            ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.ListArray.from_arrays(pa.array(ends), pa.array(
-                    np.concatenate(keys) if keys else np.empty(0, np.int64)))],
-                names=["ord", "tie", "crc", "size", "keys"])
+            counts, places, digests = [], [], []
+            for raw in texts(batch.column("text")):
+                words = raw.split()
+                own = segments(words, window, gram)
+                counts.append(len(own))
+                places += own
+                digests += [xxhash.xxh3_128_digest(b" ".join(words[a:b])) for _, a, b in own]
+            at = np.array(places, np.int64).reshape(-1, 3)
+            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            rows = pa.StructArray.from_arrays(
+                [pa.array(at[:, 0]), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(at[:, 1].astype(np.int32)),
+                 pa.array((at[:, 2] - at[:, 1]).astype(np.int32))], names=names)
+            ends = pa.array(np.cumsum([0, *counts], dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.ListArray.from_arrays(ends, rows)],
+                                             names=["ord", "tie", "crc", "size", "segments"])
 
     return keyed(docs).select("ord", "tie", F.crc32(F.col("text").cast("binary")).alias("crc"),
                               F.octet_length("text").cast("long").alias("size"), "text").mapInArrow(
-        cut, "ord long, tie long, crc long, size long, keys array<long>")
+        cut, f"ord long, tie long, crc long, size long, segments {SEGMENTS}")
 
 
-def shared_segments(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, d1, d2, ord, tie, start, n, words) of the segments whose key is in the row's ``keys``."""
-    rows = keyed(docs).select("ord", "tie", "text").join(wanted, ["ord", "tie"]).select("ord", "tie", "text", "keys")
-    names = ["key", "d1", "d2", "ord", "tie", "start", "n", "words"]
+def words_of(docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """(key, d1, d2, owner, big, words) of each of ``owners``: the words once per distinct segment, cut from
+    the text that holds it first."""
+    wanted = owners.groupBy("ord", "tie").agg(F.collect_list(F.struct("key", "d1", "d2", "start", "n", "big")).alias("own"))
+    once = F.row_number().over(Window.partitionBy("ord", "tie").orderBy("ord"))
+    rows = (keyed(docs).select("ord", "tie", "text").withColumn("nth", once).where("nth = 1")
+            .join(wanted, ["ord", "tie"]).select("ord", "text", "own"))
+    names = ["key", "d1", "d2", "owner", "big", "words"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             out: list[list] = [[] for _ in names]
-            for o, t, raw, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                       texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                words, keys = raw.split(), set(keys)
-                for key, a, b in segments(words, window, gram):
-                    if key in keys:
-                        joined = b" ".join(words[a:b])
-                        d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(joined), np.int64)
-                        for column, value in zip(out, (key, d1, d2, o, t, a, b - a, joined), strict=True):
-                            column.append(value)
-            kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.binary()]
+            for o, raw, own in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2).to_pylist(),
+                                   strict=True):
+                words = raw.split()
+                for x in own:
+                    joined = b" ".join(words[x["start"]:x["start"] + x["n"]])
+                    for column, value in zip(out, (x["key"], x["d1"], x["d2"], o, x["big"], joined), strict=True):
+                        column.append(value)
+            kinds = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
-    return rows.mapInArrow(cut, "key long, d1 long, d2 long, ord long, tie long, start int, n int, words binary")
+    return rows.mapInArrow(cut, "key long, d1 long, d2 long, owner long, big boolean, words binary")
 
 
 def firsts_by_automaton(reference: DataFrame, rows: int, window: int) -> DataFrame:
@@ -248,29 +266,36 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sh
 
     ``docs``: (doc_id, text). Jobs run here; only counts come to the driver.
     """
-    rows = written(grams_of(docs, window, gram), "dedup-grams")
+    place = ["key", "d1", "d2"]
+    rows = written(segments_of(docs, window, gram), "dedup-rows")
     equal = ["tie", "crc", "size"]
     leaders = rows.groupBy(*equal).agg(F.min("ord").alias("leader"))
-    rows = rows.join(leaders, equal)
-    copies = rows.where("ord > leader").select("ord", "tie").distinct()
-    posted = rows.where("ord = leader").select("ord", "tie", F.explode("keys").alias("key")).distinct()
+    copies = written(rows.select("ord", *equal).join(leaders, equal).where("ord > leader").select("ord", "tie").distinct(),
+                     "dedup-copies")
+    posted = rows.join(leaders, equal).where("ord = leader").select("ord", "tie", F.inline("segments"))
     several = (posted.groupBy("key").agg(F.min("ord").alias("a"), F.max("ord").alias("b"))
                .where("a < b").select("key"))
-    wanted = posted.join(several, "key").groupBy("ord", "tie").agg(F.collect_list("key").alias("keys"))
-    found = written(shared_segments(docs, wanted, window, gram), "dedup-segments")
-    places = found.select("key", "d1", "d2", "ord", "tie", "start").distinct()
-    reference = written(found.groupBy("key", "d1", "d2").agg(
-        F.min("ord").alias("owner"), F.first("n").alias("n"), F.first("words").alias("words")), "dedup-reference")
-    large = reference.groupBy("key").agg(F.sum("n").alias("all")).where(F.col("all") > shard_words).select("key")
-    fits = reference.join(large, "key", "left_anti").select("key", "d1", "d2", "owner", "words")
-    rest = reference.join(large, "key", "left_semi").select("key", "d1", "d2", "owner", "words")
-    firsts = firsts_by_automaton(fits, reference.count(), window).unionByName(firsts_by_digest(rest, window))
+    places = written(posted.join(several, "key", "left_semi").select(*place, "ord", "tie", "start", "n").distinct(),
+                     "dedup-places")
+    drop_files(rows)
+    first = places.groupBy(*place).agg(F.min(F.struct("ord", "tie", "start", "n")).alias("o")).select(*place, "o.*")
+    large = first.groupBy("key").agg(F.sum("n").alias("all")).where(F.col("all") > shard_words).select(
+        "key", F.lit(True).alias("big"))
+    owners = written(first.join(large, "key", "left").fillna(False, ["big"]), "dedup-owners")
+    words = written(words_of(docs, owners), "dedup-words")
+    reference = words.select(*place, "owner", "words")
+    firsts = (firsts_by_automaton(reference.where(~words["big"]), owners.count(), window)
+              .unionByName(firsts_by_digest(reference.where(words["big"]), window)))
     here = F.filter(F.transform("firsts", lambda f, k: F.when(f < F.col("ord"), F.col("start") + k)),
                     lambda x: x.isNotNull())
-    repeats = (places.join(firsts, ["key", "d1", "d2"]).select("ord", "tie", here.alias("starts"))
+    repeats = (places.join(firsts, place).select("ord", "tie", here.alias("starts"))
                .where(F.size("starts") > 0).groupBy("ord", "tie").agg(F.flatten(F.collect_list("starts")).alias("starts")))
-    return repeats.withColumn("whole", F.lit(False)).unionByName(
-        copies.select("ord", "tie", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole")))
+    found = written(repeats.withColumn("whole", F.lit(False)).unionByName(
+        copies.select("ord", "tie", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole"))),
+        "dedup-repeats")
+    for done in (copies, places, owners, words):
+        drop_files(done)
+    return found
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
