@@ -59,6 +59,18 @@ def test_votes_equal_brute_force_on_very_long_texts(spark):
     assert got[texts[3]] == brute_fingerprint(spark, texts[3].replace("\t", " ").replace("\n", " "))
 
 
+def test_grouped_votes_equal_those_of_one_text(spark):
+    r = random.Random(6)
+    texts = ["", " ", "\x0b", "one", "a  b\tc ", "\u00e9 \u00df\U0001f600", sentence(r, 511), sentence(r, 512), sentence(r, 513),
+             "longer word " * 3000]
+    docs = spark.createDataFrame([(k, t, texts[-1 - k]) for k, t in enumerate(texts)], "id long, text string, other string")
+    want = docs.select("id", P.fingerprint(F.col("text")).alias("x"), P.fingerprint(F.col("other")).alias("y"))
+    got = P.voted(docs, {"text": "x", "other": "y"})
+    assert sorted(map(tuple, got.select("id", "x", "y").collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "SortAggregate" not in plan
+
+
 def test_near_counts_equal_brute_force(spark):
     r = random.Random(4)
     prints = [r.getrandbits(64) for _ in range(60)]

@@ -14,6 +14,7 @@ fingerprints; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,6 +77,35 @@ def fingerprint(text: Column) -> Column:
     return bound(weighted_terms(text), lambda terms: bound(sums(terms), signs))
 
 
+def voted(rows: DataFrame, bodies: dict[str, str]) -> DataFrame:
+    """``rows`` without their texts, each text column of ``bodies`` replaced by its fingerprint under the
+    given name; the other columns together must name a row.
+
+    The same votes as ``fingerprint``, as a grouped sum: words become rows, which generated code adds up to
+    packed counters per ``CHUNK`` words in the task that reads the text, and only those sums, few per text,
+    are shuffled to be unpacked and added.
+    """
+    kept = [c for c in rows.columns if c not in bodies]
+    which = F.array(*(F.struct(F.lit(k).alias("k"), F.col(c).alias("body")) for k, c in enumerate(bodies)))
+    words = (rows.select(*kept, F.explode(which).alias("x"))
+             .select(*kept, F.col("x.k").alias("__k"), F.posexplode(F.split("x.body", BLANK)).alias("__at", "__word")))
+    length = F.char_length("__word")
+    words = words.select(*kept, "__k", F.floor(F.col("__at") / CHUNK).cast("int").alias("__chunk"),
+                         F.xxhash64("__word").alias("h"),
+                         F.least(length * length, F.lit(MOST_WEIGHT)).cast("long").alias("w"))  # 0 for no word
+    counters = [F.sum((F.shiftrightunsigned("h", k) if k else F.col("h")).bitwiseAND(F.lit(MASK)) * F.col("w")).alias(f"c{k}")
+                for k in range(STEP)]
+    packed = words.groupBy(*kept, "__k", "__chunk").agg(*counters, F.sum("w").alias("all"))
+    lanes = [F.sum(F.shiftrightunsigned(f"c{k}", 16 * lane).bitwiseAND(F.lit(0xFFFF))).alias(f"b{STEP * lane + k}")
+             for lane in range(LANES) for k in range(STEP)]
+    sums = packed.groupBy(*kept, "__k").agg(*lanes, F.sum("all").alias("all"))
+    ones = [F.when(2 * F.col(f"b{b}") > F.col("all"), F.lit(1 << b if b < 63 else -1 << 63)).otherwise(F.lit(0))
+            for b in range(LANES * STEP)]
+    made = sums.select(*kept, "__k", reduce(Column.bitwiseOR, ones).alias("__print"))
+    return made.groupBy(*kept).agg(*(F.max(F.when(F.col("__k") == k, F.col("__print"))).alias(name)
+                                     for k, name in enumerate(bodies.values())))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal bits."""
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
@@ -181,11 +211,10 @@ def near_counts(prints: DataFrame, radius: int = 3, agree: int = 2) -> DataFrame
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_chars, edited_sha256, both fingerprints, the likenesses
     and ``n_near``, the number of other fingerprints in the table within three bits."""
-    made = written(edited(docs).select(
+    rows = edited(docs).select(
         "doc_id", *KEY, "n_chars", "rows", "next_id", "next_tie",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint")),
-        "fp-made")
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "text", "edited")
+    made = written(voted(rows, {"text": "fingerprint", "edited": "edited_fingerprint"}), "fp-made")
     other = made.select(F.col("id").alias("next_id"), F.col("tie").alias("next_tie"),
                         F.col("fingerprint").alias("next_fingerprint")).distinct()
     counts = near_counts(made.select("fingerprint").distinct())
