@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 from veloframe.llm import secret_scan as S
 from veloframe.llm.queries import op1_secret_scan
@@ -136,3 +137,49 @@ def test_query_and_redaction_keep_no_key(spark, folder):
     assert row["spans"] == f"pem:{start}:{start + len(key)}"
     assert row["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert docs.select(S.redacted(docs["text"])).first()[0] == "-----BEGIN RSA PRIVATE KEY-----\n...\n[pem] end"
+
+
+def test_signed_tokens_equal_plain_search():
+    """Against a regex tried at every start."""
+    plain = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+    r = random.Random(8)
+
+    def part(size):
+        raw = json.dumps({"k" * r.randrange(1, 4): "v" * r.randrange(size)}).replace(" ", "")
+        return base64.urlsafe_b64encode(raw.encode()).decode().rstrip("=")
+
+    for _ in range(400):
+        text = "".join(r.choice((part(9), part(900), "eyJ", ".", "eyJeyJ", "x" * r.randrange(30), " ", "EYJ", ".eyJ9."))
+                       for _ in range(r.randrange(1, 12)))
+        want, done = [], 0
+        for at in range(len(text)):
+            m = plain.match(text, at)
+            if at >= done and m and S.decodes(m[1]) and S.decodes(m[2]):
+                done = m.end()
+                want.append((at, "signed", done))
+        assert [x for x in S.scan(text) if x[1] == "signed"] == want
+
+
+def test_heads_reject_only_what_cannot_decode():
+    r = random.Random(9)
+    for _ in range(300):
+        value = {"a": ["\u00e9\n\"" * r.randrange(200), -1.5e9, True, None], "b" * r.randrange(600): {"c": "\u6c34" * r.randrange(300)}}
+        raw = json.dumps(value, ensure_ascii=r.random() < 0.5).encode()
+        raw += b" " * (-len(raw) % 3)
+        text = base64.urlsafe_b64encode(raw).decode()
+        assert S.decodes(text)
+        for n in range(4, len(text), 4):
+            assert not S.cannot_decode(text[:n])
+
+
+def test_time_grows_with_the_text():
+    """Runs of token starts, alone and before what completes a token."""
+    rest = "." + base64.urlsafe_b64encode(b'{"a":1}').decode().rstrip("=") + "." + "s" * 20
+    for tail in ("", ".", rest):
+        seen = []
+        for n in (1 << 18, 1 << 20):
+            text = "eyJ" * (n // 3) + tail
+            begin = time.process_time()
+            S.scan(text)
+            seen.append(time.process_time() - begin)
+        assert seen[1] < 12 * seen[0] + 1 and seen[1] < 30

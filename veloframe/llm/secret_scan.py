@@ -34,7 +34,11 @@ HEX = re.compile(r"[0-9a-f]+")
 BASE_KINDS = ("assign", "access", "hex")
 
 CHECKED = re.compile(r"(gh[pousr]_|npm_)([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+#: A signed token's first part is a run of these from an "eyJ" on; what must follow that run.
+SIGNED_RUN = re.compile(r"[A-Za-z0-9_-]+")
+SIGNED_REST = re.compile(r"\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+#: Characters of a part that are looked at first, a multiple of four.
+PART_HEAD = 512
 PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----")
 #: Cipher and IV of an encrypted PEM body, which is whole cipher blocks as long as the IV.
 DEK_INFO = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*([0-9A-Fa-f]{32}|[0-9A-Fa-f]{16})(?![0-9A-Fa-f])")
@@ -69,8 +73,25 @@ def base62_crc(body: str) -> str:
     return out
 
 
-def decodes(part: str) -> bool:
-    """Whether ``part`` is base64url of a JSON object."""
+def cannot_decode(head: str) -> bool:
+    """Whether no text that begins with ``head`` (whole groups of four) is base64url of JSON: its JSON breaks
+    well before the end, and not in a string that may go on."""
+    try:
+        text = base64.urlsafe_b64decode(head).decode(errors="ignore")
+        json.loads(text)
+    except json.JSONDecodeError as broken:
+        return broken.pos < len(text) - 16 and not broken.msg.startswith("Unterminated")
+    except (ValueError, RecursionError):
+        return False
+    return False
+
+
+def decodes(text: str, start: int = 0, end: int | None = None) -> bool:
+    """Whether the part of ``text`` from ``start`` to ``end`` is base64url of a JSON object."""
+    end = len(text) if end is None else end
+    if end - start > PART_HEAD and cannot_decode(text[start:start + PART_HEAD]):
+        return False
+    part = text[start:end]
     try:
         return isinstance(json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))), dict)
     except (ValueError, binascii.Error, RecursionError):
@@ -127,9 +148,6 @@ def match(kind: str, text: str, at: int) -> tuple[int, bool] | None:
     if kind == "checked":
         m = CHECKED.match(text, at)
         return m and (m.end(), base62_crc(m[2]) == m[3])
-    if kind == "signed":
-        m = SIGNED.match(text, at)
-        return m and (m.end(), decodes(m[1]) and decodes(m[2]))
     m = PEM.match(text, at)
     if not m:
         return None
@@ -138,6 +156,27 @@ def match(kind: str, text: str, at: int) -> tuple[int, bool] | None:
     return (end + len(last), pem_body(text[m.end():end])) if end >= 0 else None
 
 
+def signed_tokens(text: str, starts: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the tokens that begin at one of ``starts``, in order.
+
+    All starts in one run of the alphabet share its end and what follows, which are found once per run; so
+    every run is read a few times at most, however many starts it has.
+    """
+    out, done, run_end, rest = [], 0, 0, None
+    for at in starts:
+        if at < done or not text.startswith("eyJ", at):
+            continue
+        if at >= run_end:
+            run_end = SIGNED_RUN.match(text, at).end()
+            rest = SIGNED_REST.match(text, run_end)
+            if rest and not decodes(rest[1]):
+                rest = None
+        if rest and run_end - at > 3 and decodes(text, at, run_end):
+            done = rest.end()
+            out.append((at, done))
+    return out
+
+
 def hex_runs(text: str) -> list[tuple[int, int]]:
     """Runs of 24 or more lower-case hex digits."""
     probes = text[HEX_LEAST - 1::HEX_LEAST]
@@ -167,6 +206,9 @@ def scan(text: str) -> list[tuple[int, str, int]]:
         hits.setdefault(kind, []).append(end - length + 1)
     out = [(s, "hex", e) for s, e in hex_runs(text)]
     for kind, starts in hits.items():
+        if kind == "signed":
+            out += [(at, kind, end) for at, end in signed_tokens(text, sorted(starts))]
+            continue
         done = 0
         for at in sorted(starts):
             if at >= done and (m := match(kind, text, at)):
