@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from veloframe.llm import html_extract as H
@@ -88,3 +90,18 @@ def test_query_on_odd_rows(spark, folder):
 def test_empty_table(spark, folder):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert op8_html_extraction(spark, folder(pages=pages)).count() == 0
+
+
+def test_deep_pages_in_linear_time(model):
+    seen = []
+    for n in (2000, 16000):
+        begin = time.process_time()
+        H.Page("<p><button>" + "<div><b>" * n + "text")
+        seen.append(time.process_time() - begin)
+    assert seen[1] < 20 * seen[0] + 0.5
+
+
+def test_cache_is_bounded():
+    for k in range(H.CACHED + 100):
+        H._features("div", f"id{k}", 1, 0)
+    assert H._features.cache_info().currsize <= H.CACHED

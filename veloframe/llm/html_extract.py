@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass, field
-from functools import cache
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from veloframe.llm.common import sliced
 
 # HTML's element kinds.
+#: Entries of the cache of features by attribute words, which vary without bound over the web.
+CACHED = 20_000
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html iframe ins label legend li "
@@ -54,7 +56,7 @@ class Page(HTMLParser):
         self.tags, self.attrs, self.parents = ["#page"], [""], [-1]
         self.runs: list[list] = [[0, [], 0]]  # node, pieces, characters inside links
         self.open, self.links, self.silent = [0], 0, 0
-        self.n_open: dict[str, int] = {}
+        self.open_at: dict[str, list[int]] = {}  # places in ``open`` of each tag
         self.labels: list[str | None] = [None]
         self.feed(html)
         self.close()
@@ -72,20 +74,17 @@ class Page(HTMLParser):
 
     def pop_to(self, k: int) -> None:
         for node in self.open[k:]:
-            self.n_open[self.tags[node]] -= 1
+            self.open_at[self.tags[node]].pop()
         del self.open[k:]
         self.turn()
 
     def find(self, names: tuple[str, ...], holders: tuple[str, ...] = ()) -> int:
-        if not any(map(self.n_open.get, names)):
-            return 0
-        for k in range(len(self.open) - 1, 0, -1):
-            tag = self.tags[self.open[k]]
-            if tag in names:
-                return k
-            if tag in holders:
-                break
-        return 0
+        """Place of the innermost open element of ``names`` with none of ``holders`` within it, or 0."""
+        def last(tags: tuple[str, ...]) -> int:
+            return max((self.open_at[t][-1] for t in tags if self.open_at.get(t)), default=0)
+
+        place = last(names)
+        return place if place > last(holders) else 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in SILENT:
@@ -111,7 +110,7 @@ class Page(HTMLParser):
         self.attrs.append(words.lower())
         self.labels.append(next((v for n, v in attrs if n == "data-content"), None) if attrs else None)
         self.open.append(len(self.tags) - 1)
-        self.n_open[tag] = self.n_open.get(tag, 0) + 1
+        self.open_at.setdefault(tag, []).append(len(self.open) - 1)
         self.turn()
 
     def handle_endtag(self, tag: str) -> None:
@@ -143,7 +142,7 @@ def features(page: Page, node: int) -> tuple[str, ...]:
     return _features(tag, words, size, density)
 
 
-@cache
+@lru_cache(maxsize=CACHED)
 def _features(tag: str, words: str, size: int, density: int) -> tuple[str, ...]:
     return ("bias", f"tag {tag}", f"size {size}", f"links {density}", f"tag {tag} links {density}", *(f"mark {w}" for w in set(MARKS.findall(words))))
 
