@@ -93,14 +93,34 @@ def row_key(doc_id: str, tie: Column) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("__id"), tie.alias("__tie")]
 
 
-def with_copy(docs: DataFrame, order: Column | None = None) -> DataFrame:
+def with_copy(docs: DataFrame, order: Column | None = None, of: str = "") -> DataFrame:
     """``docs`` with ``ROW_KEY`` (the id and a hash of the text) and ``__copy``, numbering the rows of a key,
-    by ``order`` if given."""
-    keyed = docs.select("*", *row_key("doc_id", F.xxhash64("text")))
+    by ``order`` if given. ``of`` (``"__row."``) says where id and text are."""
+    keyed = docs.select("*", *row_key(f"{of}doc_id", F.xxhash64(f"{of}text")))
     order = F.col("__tie") if order is None else order
     return keyed.withColumn("__copy", F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(order)))
 
 
+#: All of the caller's columns, as one struct.
+ROW = "__row"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` in ``ROW``, so that no name of the caller's meets one that an operator adds."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(ROW))
+
+
+def unpacked(rows: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns that were packed; with ``text``, that in place of the text, and n_chars counted anew."""
+    row = F.col(ROW)
+    if text is not None:
+        row = row.withField("text", text)
+        kind = {f.name: f.dataType for f in rows.schema[ROW].dataType.fields}.get("n_chars")
+        if kind is not None:
+            row = row.withField("n_chars", F.char_length(text).cast(kind))
+    return rows.select(row.alias(ROW)).select(f"{ROW}.*")
+
+
 def with_text(docs: DataFrame, text: Column) -> DataFrame:
     """``docs`` with another text, and n_chars, where there is one, counted anew."""
     docs = docs.withColumn("text", text)

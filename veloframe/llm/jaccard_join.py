@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import ROW_KEY, row_key, running_start, small, texts, with_copy, written
+from veloframe.llm.common import ROW, ROW_KEY, packed, row_key, running_start, small, texts, unpacked, with_copy, written
 from veloframe.llm.components import connected_components
 
 WIDTH, PERCENT = 3, 90
@@ -303,5 +303,5 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
             .select("me.*", F.lit(True).alias("__once")))
     empty = found.where("component is null").select("doc_id", "tie", F.lit(False).alias("__once")).distinct()
     kept = kept.unionByName(empty).select(*row_key("doc_id", F.col("tie")), "__once")
-    rows = with_copy(docs).join(kept, ROW_KEY)
-    return rows.where(~F.col("__once") | (F.col("__copy") == 1)).select(*docs.columns)
+    rows = with_copy(packed(docs), of=f"{ROW}.").join(kept, ROW_KEY)
+    return unpacked(rows.where(~F.col("__once") | (F.col("__copy") == 1)))

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import ROW_KEY, row_key, running_start, sliced, texts, with_copy, with_text, word_count, written
+from veloframe.llm.common import (ROW, ROW_KEY, packed, row_key, running_start, sliced, texts, unpacked, with_copy,
+                                  word_count, written)
 
 #: Words in a block; a source's share is met to about one block.
 BLOCK_WORDS = 64
@@ -143,9 +144,9 @@ def plan_blocks(spark, n_blocks: np.ndarray, due: np.ndarray, seed: int,
         slots, "out_shard int, slot long, source_no int, block long, epoch int")
 
 
-def source_key() -> Column:
+def source_key(source: str = "source") -> Column:
     """Never null, in order of source, null last; equal rows but for their source are numbered by it."""
-    return F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"), F.coalesce("source", F.lit("")))
+    return F.concat(F.when(F.col(source).isNull(), "1").otherwise("0"), F.coalesce(source, F.lit("")))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
@@ -215,9 +216,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     Documents of which nothing is taken are left out; all columns are kept.
     """
     _, taken = mix(docs, **options)
-    takes = taken.groupBy(*row_key("doc_id", F.col("tie"))).agg(
-        F.collect_list(F.struct("copy", "epoch", "first", "words")).alias("__takes"))
-    own = F.filter("__takes", lambda t: t["copy"] == F.col("__copy"))
+    takes = taken.groupBy(*row_key("doc_id", F.col("tie")), F.col("copy").alias("__copy")).agg(
+        F.collect_list(F.struct("epoch", "first", "words")).alias("__takes"))
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
@@ -225,9 +225,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([passages(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(docs, source_key()).join(takes, ROW_KEY)
-    pieces = rows.withColumn("__own", own).withColumn("__text", F.explode(cut("text", "__own")))
-    return with_text(pieces, F.col("__text")).select(*docs.columns)
+    rows = with_copy(packed(docs), source_key(f"{ROW}.source"), f"{ROW}.").join(takes, [*ROW_KEY, "__copy"])
+    return unpacked(rows.select(ROW, F.explode(cut(f"{ROW}.text", "__takes")).alias("__text")), F.col("__text"))
 
 
 def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
@@ -236,9 +235,8 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     Slots of a shard are numbered from 0; a block's text holds the pieces of its documents in their order.
     """
     _, taken = mix(docs, **options)
-    takes = taken.groupBy(*row_key("doc_id", F.col("tie"))).agg(
-        F.collect_list(F.struct("copy", "epoch", "block", "first", "words", "out_shard", "slot", "place")).alias("__takes"))
-    own = F.filter("__takes", lambda t: t["copy"] == F.col("__copy"))
+    takes = taken.groupBy(*row_key("doc_id", F.col("tie")), F.col("copy").alias("__copy")).agg(
+        F.collect_list(F.struct("epoch", "block", "first", "words", "out_shard", "slot", "place")).alias("__own"))
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
@@ -246,7 +244,7 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([pieces(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(docs.select("doc_id", "text", "source"), source_key()).join(takes, ROW_KEY).withColumn("__own", own)
+    rows = with_copy(docs.select("doc_id", "text", "source"), source_key()).join(takes, [*ROW_KEY, "__copy"])
     one = (rows.select("source", F.explode(F.arrays_zip("__own", cut("text", "__own").alias("__text"))).alias("x"))
            .select("source", "x.__own.*", F.col("x.__text").alias("text")))
     return (one.groupBy("out_shard", "slot")
