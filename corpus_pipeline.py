@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veloframe.llm import jaccard_join, mixing, packing, secret_scan, toxicity
-from veloframe.llm.common import read, with_text, written
+from veloframe.llm.common import ROW, packed, read, unpacked, with_text, written
 
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
@@ -20,8 +20,8 @@ NEAR_WIDTH, NEAR_PERCENT = 5, 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
     chain = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__toxicity", toxicity.toxicity(F.col("text"), chain))
-    return scored.where(F.col("__toxicity.score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = packed(docs).withColumn("found", toxicity.toxicity(F.col(f"{ROW}.text"), chain))
+    return unpacked(scored.where(F.col("found.score") < toxicity.THRESHOLD))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
