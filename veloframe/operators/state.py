@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from veloframe.functions.compare import share
 from veloframe.functions.dates import WEEKDAY, WEEKEND
 from veloframe.operators.relational import attach
+from veloframe.sources.catalog import cut_lineage, drop_files
 from veloframe.sources.periods import read_periods, replace_period
 
 SUMS = ("n", "n_value", "sum_value", "weekday_trips", "weekend_trips")
@@ -37,7 +38,9 @@ def group_state(df: DataFrame, key: str = "start_station", value: str = "duratio
 
 def save_state(state: DataFrame, path: str, period: str) -> None:
     """Store a period's sums in place of those it had."""
+    state = cut_lineage(state, "state")
     replace_period(state, path, period)
+    drop_files(state)
 
 
 def merged_state(spark: SparkSession, path: str, key: str = "start_station",

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -298,8 +298,10 @@ def load_checked(spark: SparkSession, path: str | list[str], schema: StructType,
     ``reject`` names the kinds that are turned away; unparsable fields of a line that stays are NULL, and
     so are the missing ones. ``header`` is as in ``load_delimited`` (``'file'``, a given line, or None).
     The pass is one job that writes below the session's shared folder, split by outcome, so reading one
-    side never reads the other; its counts (``lines``, ``short``, ``unparsable``, ``rejected``) come from
-    the same pass. A lost task is run anew and its rows are written once.
+    side never reads the other; the counts (``lines``, ``short``, ``unparsable``, ``rejected``) are taken
+    from one narrow column of what it wrote. They are not observed in the pass: a session that has used
+    ``Observation`` can no longer run a classifier that it has just fitted (Spark 4.1: the model's summary
+    holds the session, whose observations cannot be sent to executors).
     """
     if unknown := set(reject) - {SHORT, UNPARSABLE}:
         raise ValueError(f"unknown kinds {sorted(unknown)}")
@@ -307,17 +309,17 @@ def load_checked(spark: SparkSession, path: str | list[str], schema: StructType,
     lines = drop_file_headers(lines) if header == "file" else drop_header(lines, header).drop("__size", "__block")
     kind = F.split(REASON, ":")[0]
     turned = F.coalesce(kind.isin(*reject), F.lit(False)) if reject else F.lit(False)
-    seen = Observation()
-    checked = checked_lines(lines, schema, converters).withColumn("__rejected", turned).observe(
-        seen, F.count(F.lit(1)).alias("lines"), F.count_if(kind == SHORT).alias(SHORT),
-        F.count_if(kind == UNPARSABLE).alias(UNPARSABLE), F.count_if("__rejected").alias("rejected"))
+    checked = checked_lines(lines, schema, converters).withColumns({"__kind": kind, "__rejected": turned})
     kept = ["__line", FILE_COLUMN, REASON]
     routed = checked.select(
-        *[F.when(F.col("__rejected"), F.col(c)).alias(c) for c in kept],
+        *[F.when(F.col("__rejected"), F.col(c)).alias(c) for c in kept], "__kind",
         *[F.when(~F.col("__rejected"), F.col(_ident(f.name))).alias(f.name) for f in schema.fields],
         F.when(F.col("__rejected"), F.lit("reject")).otherwise(F.lit("good")).alias("__outcome"))
     table = cut_lineage(routed, "checked", partition_by=["__outcome"])
+    counts = table.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("__kind") == SHORT).alias(SHORT),
+                       F.count_if(F.col("__kind") == UNPARSABLE).alias(UNPARSABLE),
+                       F.count_if(F.col("__outcome") == "reject").alias("rejected")).first()
     good = table.where(F.col("__outcome") == "good").select(*[F.col(_ident(f.name)) for f in schema.fields])
     rejects = table.where(F.col("__outcome") == "reject").select(
         F.col(FILE_COLUMN).alias("file"), F.col("__line").alias("line"), F.col(REASON).alias("reason"))
-    return CheckedLoad(good, rejects, dict(seen.get), table)
+    return CheckedLoad(good, rejects, counts.asDict(), table)

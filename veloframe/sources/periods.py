@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +33,13 @@ REJECT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("file",
 
 def replace_period(df: DataFrame, path: str, period: str) -> None:
     """Write ``df`` as the whole content of one period; other periods' files stay as they are. A period
-    without rows loses its partition, which a dynamic overwrite alone would leave."""
-    seen = Observation()
-    (df.withColumn(PERIOD, F.lit(period)).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(path))
-    if not seen.get["rows"]:
+    without rows loses its partition, which a dynamic overwrite alone would leave. ``df`` is looked at twice, so
+    it should be a stored table."""
+    if df.isEmpty():
         drop_folder(df.sparkSession, f"{path}/{partition(period)}")
+        return
+    (df.withColumn(PERIOD, F.lit(period)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(path))
 
 
 def partition(period: str) -> str:
