@@ -1,3 +1,4 @@
+import pathlib
 import random
 from collections import Counter
 
@@ -7,6 +8,7 @@ import pytest
 from veloframe.llm import jaccard_join as J
 from veloframe.llm.components import connected_components
 from veloframe.llm.queries import op10_jaccard_join
+from veloframe.sources.catalog import shared_path
 
 from .conftest import SCHEMA, document, sentence
 
@@ -91,6 +93,21 @@ def test_near_copies_and_small_chunks(spark, chunk):
     assert result(J.jaccard_components(docs, chunk=chunk)) == brute(rows)
 
 
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_sampled_sets_find_what_whole_sets_find(spark, width, percent):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sampled = result(J.jaccard_components(docs, percent, width=width))
+    assert sampled == result(J.jaccard_components(docs, percent, width=width, rates=J.EXACT))
+    assert len({c for _, _, c in sampled}) < docs.count()
+
+
+def test_scratch_goes_as_it_is_read(spark, edge_docs):
+    folder = pathlib.Path(shared_path(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    J.jaccard_components(edge_docs.select("doc_id", "text"))
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before} == {"join-found"}
+
+
 def test_one_of_each(spark, edge_docs):
     kept = J.one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veloframe.llm.common import written
+from veloframe.sources.catalog import drop_files
 
 
 def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -13,7 +14,8 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
     Each round links every node to the least node around it, first for larger neighbours, then for
     smaller ones; edges never outnumber those given, and the rounds grow with the logarithm of a
-    component's size. The edges of a round are written, so a lost executor costs a read. Jobs run here.
+    component's size. The edges of a round are written, so a lost executor costs a read, and go when the next
+    round is written; the result reads the last one. Jobs run here.
     """
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
@@ -31,7 +33,8 @@ def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        edges = written(small, "cc")
+        done, edges = edges, written(small, "cc")
+        drop_files(done)
         before, now = now, state(edges)
         if now == before:
             break

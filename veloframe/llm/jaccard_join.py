@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from veloframe.llm.common import ROW, ROW_KEY, packed, row_key, running_start, small, texts, unpacked, with_copy, written
 from veloframe.llm.components import connected_components
+from veloframe.sources.catalog import drop_files
 
 WIDTH, PERCENT = 3, 90
 #: From this percent on, (size, rate): in size classes that begin up to this size, sets are sampled at this rate.
@@ -41,6 +42,8 @@ WIDTH, PERCENT = 3, 90
 RATES = ((90, ((64, 1.0), (128, 0.5), (256, 0.25), (None, 0.1875))),
          (80, ((64, 1.0), (256, 0.5), (None, 0.3125))),
          (0, ((None, 1.0),)))
+#: The exact way: every set whole, so that no link rests on a chance.
+EXACT = ((0, ((None, 1.0),)),)
 #: Shingles of one chunk of a candidate component.
 CHUNK = 2_000_000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -71,15 +74,15 @@ def size_class(n: int, percent: int) -> int:
     return int(math.log(n) / math.log(100 / (percent - 1))) if n else 0
 
 
-def limit(step: int, percent: int) -> int:
+def limit(step: int, percent: int, rates: tuple = RATES) -> int:
     """Hashes up to this, as signed numbers in order, are sampled in a size class."""
     begins = step * math.log(100 / (percent - 1))
-    rates = next(rates for least, rates in RATES if percent >= least)
-    rate = next(rate for size, rate in rates if size is None or begins <= math.log(size))
+    by_size = next(by_size for least, by_size in rates if percent >= least)
+    rate = next(rate for size, rate in by_size if size is None or begins <= math.log(size))
     return int(rate * 2 ** 64) - 2 ** 63 - 1
 
 
-def sketches(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, rates: tuple = RATES) -> DataFrame:
     """(doc_id, tie, n, s1, s2, step, m, m_next, sample): set size, 128-bit set digest, size class, and the
     hashes sampled in that class, ``m`` of them, of which ``m_next`` are sampled in the next class too."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -93,7 +96,8 @@ def sketches(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Dat
                 n.append(len(s))
                 step.append(size_class(len(s), percent))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                own, after = np.searchsorted(signed, [limit(step[-1], percent), limit(step[-1] + 1, percent)], "right")
+                own, after = np.searchsorted(
+                    signed, [limit(k, percent, rates) for k in (step[-1], step[-1] + 1)], "right")
                 sample.append(signed[:own])
                 m_next.append(int(after))
             pairs = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
@@ -116,17 +120,18 @@ def held_by_several(lists: DataFrame, key: list[str]) -> DataFrame:
     return lists.join(several, key)
 
 
-def candidate_edges(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def candidate_edges(nodes: DataFrame, percent: int = PERCENT, rates: tuple = RATES) -> DataFrame:
     """(a, b): each node that may have links, with the least such node of every short list it is in.
 
     A linked set lacks at most ``lacks`` of a set's shingles, so a set has no links in a size class where
     more of its sample is held by no other set; and of the ``lacks + 1`` rarest of its sample, the short
     lists, a linked set holds one. Sets are sampled alike in a class, and each is in its own and the next.
+    Jobs run here.
     """
-    step_limit = F.lit(limit(10 ** 4, percent))
-    steps = [k for k in range(200) if limit(k, percent) != limit(k + 1, percent)]
+    step_limit = F.lit(limit(10 ** 4, percent, rates))
+    steps = [k for k in range(200) if limit(k, percent, rates) != limit(k + 1, percent, rates)]
     for k in reversed(steps):
-        step_limit = F.when(F.col("step") <= k, F.lit(limit(k, percent))).otherwise(step_limit)
+        step_limit = F.when(F.col("step") <= k, F.lit(limit(k, percent, rates))).otherwise(step_limit)
     lacks = (F.col("n") - F.ceil(F.col("n") * percent / 100)).cast("int")
     sizes = nodes.select("node", "step", "m", "m_next", lacks.alias("lacks"))
     lists = written(held_by_several(nodes.select("node", F.explode("sample").alias("shingle")), ["shingle"])
@@ -135,6 +140,7 @@ def candidate_edges(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     both = F.array(F.struct("step", "m"), F.struct((F.col("step") + 1).alias("step"), F.col("m_next").alias("m")))
     sets = (sizes.join(held, "node").select("node", "lacks", "shingles", F.inline(both))
             .withColumn("shingles", F.filter("shingles", lambda x: x <= step_limit)))
+    last = lists
     for _ in range(2):  # sets without links leave the lists, which frees others
         sets = sets.where(F.col("m") - F.size("shingles") <= F.col("lacks"))
         rows = sets.select("node", "step", "m", "lacks", F.explode("shingles").alias("shingle"))
@@ -142,12 +148,16 @@ def candidate_edges(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
             held_by_several(rows, ["shingle", "step"]).groupBy("node", "step", "m", "lacks")
             .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("held"))
             .withColumn("shingles", F.transform("held", lambda x: x["shingle"])), "join-sets")
+        drop_files(last)
+        last = sets
     shorts = F.slice("shingles", 1, F.col("lacks") + 1 - (F.col("m") - F.size("shingles")))
     short = (sets.where(F.col("m") - F.size("shingles") <= F.col("lacks"))
              .select("node", "step", F.explode(shorts).alias("shingle")))
     hubs = short.groupBy("shingle", "step").agg(F.min("node").alias("hub"))
-    return (short.join(hubs, ["shingle", "step"]).where("node <> hub")
-            .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    edges = written(short.join(hubs, ["shingle", "step"]).where("node <> hub")
+                    .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "join-edges")
+    drop_files(last)
+    return edges
 
 
 class Forest:
@@ -265,38 +275,48 @@ def links(docs: DataFrame, candidates: DataFrame, percent: int = PERCENT, chunk:
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, chunk: int = CHUNK,
-                       width: int = WIDTH) -> DataFrame:
+                       width: int = WIDTH, rates: tuple = RATES) -> DataFrame:
     """(doc_id, tie, n_shingles, component, component_id) of each row of ``docs`` (doc_id, text).
 
     ``tie`` is a hash of the text. Two documents link when the intersection of their sets of
     shingles of ``width`` words is at least ``percent`` of the union; component_id is the least doc_id that links reach, and
-    ``component`` a number of the component (null for empty sets). Jobs run here; only counts come to
-    the driver.
+    ``component`` a number of the component (null for empty sets). ``rates=EXACT`` samples nothing.
+    Jobs run here; only counts come to the driver, and scratch tables go as they are read.
     """
-    rows = written(sketches(docs, percent, width), "join-sketches")
-    nodes = written(
-        rows.where("n > 0").groupBy("s1", "s2").agg(
+    sketched = written(sketches(docs, percent, width, rates), "join-sketches")
+    sampled = written(
+        sketched.where("n > 0").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("least_id"), F.min_by("tie", F.struct("doc_id", "tie")).alias("any_tie"),
             F.min_by("doc_id", F.struct("doc_id", "tie")).alias("any_id"),
             *(F.first(c).alias(c) for c in ("n", "step", "m", "m_next", "sample")))
-        .withColumn("node", F.monotonically_increasing_id()), "join-nodes")
-    grouped = connected_components(candidate_edges(nodes, percent))
+        .withColumn("node", F.monotonically_increasing_id()), "join-sampled")
+    rows = written(sketched.select("doc_id", "tie", "n", "s1", "s2"), "join-rows")
+    drop_files(sketched)
+    nodes = written(sampled.select("node", "s1", "s2", "least_id", "any_id", "any_tie", "n"), "join-nodes")
+    edges = candidate_edges(sampled, percent, rates)
+    drop_files(sampled)
+    grouped = connected_components(edges)
+    drop_files(edges)
     candidates = written(grouped.join(nodes, "node").select(
         "component", "node", F.col("any_id").alias("doc_id"), F.col("any_tie").alias("tie"), "n"), "join-candidates")
+    drop_files(grouped)
     linked = connected_components(links(docs, candidates, percent, chunk, width))
     named = nodes.select("node", "s1", "s2", "least_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "component").select("s1", "s2", "component", "component_id")
-    return rows.join(named, ["s1", "s2"], "left").select(
+    found = written(rows.join(named, ["s1", "s2"], "left").select(
         "doc_id", "tie", F.col("n").cast("long").alias("n_shingles"), "component",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "join-found")
+    for done in (rows, nodes, candidates, linked):
+        drop_files(done)
+    return found
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, rates: tuple = RATES) -> DataFrame:
     """``docs`` with one row of each component: the least doc_id (null last), then the least hash of the
     text. Rows without shingles all stay. All columns are kept."""
-    found = jaccard_components(docs.select("doc_id", "text"), percent, width=width)
+    found = jaccard_components(docs.select("doc_id", "text"), percent, width=width, rates=rates)
     me = F.struct("doc_id", "tie")
     kept = (found.where("component is not null").groupBy("component")
             .agg(F.min_by(me, F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("me"))
