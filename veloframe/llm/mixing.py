@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veloframe.llm.common import (ROW, ROW_KEY, packed, row_key, running_start, sliced, texts, unpacked, with_copy,
-                                  word_count, written)
+from veloframe.llm.common import (ROW, ROW_KEY, packed, row_key, running_start, sliced, texts, unpacked, word_count,
+                                  written)
+from veloframe.sources.catalog import drop_files
 
 #: Words in a block; a source's share is met to about one block.
 BLOCK_WORDS = 64
@@ -210,14 +211,34 @@ def pieces(raw: bytes, takes: list[dict]) -> list[str]:
     return [raw[spans[t["first"]][0]:spans[t["first"] + t["words"] - 1][1]].decode() for t in takes]
 
 
+def with_takes(docs: DataFrame, mix_rows: DataFrame, taken: DataFrame, fields: list[str], order: Column,
+               of: str = "") -> DataFrame:
+    """Each row of ``docs`` of which something is taken, with ``__takes``: a list of ``fields`` of ``taken``.
+
+    A row that is alone with its id and text needs no number, so its text is shuffled once; only rows that
+    share them are numbered, by ``order``, and dealt again by number. ``of`` says where id and text are. Jobs
+    run here, and the sizes that ``mix`` wrote go.
+    """
+    key = row_key("doc_id", F.col("tie"))
+    several = written(mix_rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*ROW_KEY), "mix-several")
+    takes = written(taken.groupBy(*key, F.col("copy").alias("__copy")).agg(
+        F.collect_list(F.struct(*fields)).alias("__takes")), "mix-takes")
+    drop_files(mix_rows)
+    keyed = docs.select("*", *row_key(f"{of}doc_id", F.xxhash64(f"{of}text")))
+    alone = keyed.join(takes.join(several, ROW_KEY, "left_anti").drop("__copy"), ROW_KEY)
+    number = F.row_number().over(Window.partitionBy(*ROW_KEY).orderBy(order))
+    again = (keyed.join(several, ROW_KEY, "left_semi").withColumn("__copy", number)
+             .join(takes.join(several, ROW_KEY, "left_semi"), [*ROW_KEY, "__copy"]))
+    columns = [*docs.columns, "__takes"]
+    return alone.select(*columns).unionByName(again.select(*columns))
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: a row per document and pass, its text cut to the words taken.
 
-    Documents of which nothing is taken are left out; all columns are kept.
+    Documents of which nothing is taken are left out; all columns are kept. Jobs run here.
     """
-    _, taken = mix(docs, **options)
-    takes = taken.groupBy(*row_key("doc_id", F.col("tie")), F.col("copy").alias("__copy")).agg(
-        F.collect_list(F.struct("epoch", "first", "words")).alias("__takes"))
+    rows, taken = mix(docs, **options)
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
@@ -225,18 +246,17 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([passages(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(packed(docs), source_key(f"{ROW}.source"), f"{ROW}.").join(takes, [*ROW_KEY, "__copy"])
+    rows = with_takes(packed(docs), rows, taken, ["epoch", "first", "words"], source_key(f"{ROW}.source"), f"{ROW}.")
     return unpacked(rows.select(ROW, F.explode(cut(f"{ROW}.text", "__takes")).alias("__text")), F.col("__text"))
 
 
 def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     """The mix by output shard and slot: (out_shard, slot, source, block, epoch, words, text), a row per slot.
 
-    Slots of a shard are numbered from 0; a block's text holds the pieces of its documents in their order.
+    Slots of a shard are numbered from 0; a block's text holds the pieces of its documents in their order. Jobs
+    run here.
     """
-    _, taken = mix(docs, **options)
-    takes = taken.groupBy(*row_key("doc_id", F.col("tie")), F.col("copy").alias("__copy")).agg(
-        F.collect_list(F.struct("epoch", "block", "first", "words", "out_shard", "slot", "place")).alias("__own"))
+    rows, taken = mix(docs, **options)
 
     @F.arrow_udf("array<string>")
     def cut(text: pa.Array, listed: pa.Array) -> pa.Array:
@@ -244,9 +264,10 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
         return sliced(lambda c, t: pa.array([pieces(*x) for x in zip(texts(c), t.to_pylist(), strict=True)], kind),
                       kind, text, listed)
 
-    rows = with_copy(docs.select("doc_id", "text", "source"), source_key()).join(takes, [*ROW_KEY, "__copy"])
-    one = (rows.select("source", F.explode(F.arrays_zip("__own", cut("text", "__own").alias("__text"))).alias("x"))
-           .select("source", "x.__own.*", F.col("x.__text").alias("text")))
+    fields = ["epoch", "block", "first", "words", "out_shard", "slot", "place"]
+    rows = with_takes(docs.select("doc_id", "text", "source"), rows, taken, fields, source_key())
+    one = (rows.select("source", F.explode(F.arrays_zip("__takes", cut("text", "__takes").alias("__text"))).alias("x"))
+           .select("source", "x.__takes.*", F.col("x.__text").alias("text")))
     return (one.groupBy("out_shard", "slot")
             .agg(F.first("source").alias("source"), F.first("block").alias("block"), F.first("epoch").alias("epoch"),
                  F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("place", "text"))).alias("pieces"))
