@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from veloframe.llm import mixing as M
 from veloframe.llm.queries import op6_source_mixing
@@ -56,6 +57,89 @@ def test_query_on_edge_rows(spark, edge_docs, folder):
           [(r["doc_id"], r["text"], r["source"]) for r in edge_docs.collect()])
 
 
+def signed(x):
+    return x - 2 ** 64 * (x >= 2 ** 63)
+
+
+def chained(*values):
+    """Spark's xxhash64 of (bytes of) columns; nulls are passed over."""
+    h = 42
+    for v in values:
+        h = h if v is None else xxhash.xxh64_intdigest(v, h)
+    return signed(h)
+
+
+def image(index, domain, key, rounds=4):
+    """The permutation for one index, in plain integers."""
+    half = 1
+    while 4 ** half < domain:
+        half += 1
+    mask, all_ = 2 ** half - 1, 2 ** 64 - 1
+    while True:
+        left, right = index >> half, index & mask
+        for k in range(1, rounds + 1):
+            f = (right + key + k * 0x9E3779B97F4A7C15) & all_
+            f = (f ^ f >> 30) * 0xBF58476D1CE4E5B9 & all_
+            f = (f ^ f >> 27) * 0x94D049BB133111EB & all_
+            left, right = right, left ^ (f ^ f >> 31) & mask
+        index = left << half | right
+        if index < domain:
+            return index
+
+
+def taken_by_brute(docs, seed=17, n=64):
+    """Words that the mix takes, by (doc_id, text, source): words laid end to end, passes and blocks counted off."""
+    streams, same = {}, Counter()
+    for i, t, s in sorted(docs, key=lambda x: (x[2] is None, x[2] or "")):
+        tie = chained(None if t is None else t.encode())
+        same[i, tie] += 1
+        long_ = [v if v is None else v.to_bytes(8, "little", signed=True) for v in (i, tie)]
+        part = chained(*long_, same[i, tie].to_bytes(4, "little")) % 4
+        streams.setdefault(s, []).append((part, i is not None, i or 0, tie, same[i, tie], (i, t, s)))
+    order = list(streams)
+    words = {s: [d for *_, d in sorted(streams[s], key=lambda x: x[:5]) for _ in (d[1] or "").encode().split()] for s in order}
+    targets, out = M.source_targets([len(words[s]) for s in order]), Counter()
+    for k, s in enumerate(order):
+        blocks = [words[s][a:a + n] for a in range(0, len(words[s]), n)]
+        if not blocks:
+            continue
+        passes = int(targets[k] // len(words[s]))
+        for epoch in range(passes + 1):
+            key = (k + 1) * 0x100000001B3 + epoch * 0x10001 + seed
+            listed = [blocks[image(b, len(blocks) - 1, key)] for b in range(len(blocks) - 1)] + [blocks[-1]]
+            if epoch == passes:  # a part pass: as many whole blocks as come nearest to what is left, or all
+                left, full = targets[k] - passes * len(words[s]), (len(blocks) - 1) * n
+                if left <= (full + len(words[s])) / 2:
+                    listed = listed[:min(len(blocks) - 1, round(left / n))]
+            for block in listed:
+                out.update(block)
+    return out
+
+
+def test_query_equals_brute_force(spark, edge_docs, folder):
+    r = random.Random(4)
+    rows = [document(i, sentence(r, r.randint(0, 300)), "hot" if i % 3 else f"s{i % 5}") for i in range(300)]
+    hot = spark.createDataFrame(rows + rows[:20], SCHEMA).repartition(4)
+    for name, table in (("edge", edge_docs), ("hot", hot)):
+        docs = [(x["doc_id"], x["text"], x["source"]) for x in table.select("doc_id", "text", "source").collect()]
+        text = {(i, chained(None if t is None else t.encode())): t for i, t, _ in docs}
+        got = Counter()
+        mixed, taken = M.mix(table)
+        of = {(x["doc_id"], x["tie"], x["copy"]): x["source"] for x in mixed.collect()}
+        for x in taken.collect():
+            got[x["doc_id"], text[x["doc_id"], x["tie"]], of[x["doc_id"], x["tie"], x["copy"]]] += x["words"]
+        want = taken_by_brute(docs)
+        assert got == want
+        table.write.parquet(f"{folder()}/{name}/documents.parquet")
+        asked = Counter()
+        for x in op6_source_mixing(spark, f"{folder()}/{name}").collect():
+            asked[x["doc_id"], x["source"]] += x["taken"]
+        by_source = Counter()
+        for (i, _, s), w in want.items():
+            by_source[i, s] += w
+        assert +asked == +by_source
+
+
 def test_query_agrees_with_itself_and_hot_source(spark, folder):
     r = random.Random(2)
     rows = [document(i, sentence(r, r.randint(0, 300)), "hot" if i % 3 else f"s{i % 5}") for i in range(300)]

@@ -1,6 +1,9 @@
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+import xxhash
+
 from veloframe.llm import sharding as S
 from veloframe.llm.queries import op4_slot_sharding
 
@@ -49,6 +52,44 @@ def test_query_on_edge_rows(spark, edge_docs, folder):
           [(r["doc_id"], r["text"]) for r in edge_docs.collect()])
 
 
+def placed_by_brute(docs, n_shards=24, n_slots=4096, slack=0.03):
+    """(doc_id, crc, shard, slot) of each row, from the rule as the module states it, without its code."""
+    rows = []
+    for i, t in docs:
+        raw = (t or "").encode()
+        crc = zlib.crc32(raw)
+        named = xxhash.xxh64_intdigest((crc if i is None else i).to_bytes(8, "little", signed=True), 42)
+        rows.append(((named - 2 ** 64 * (named >= 2 ** 63)) % n_slots, i, crc, len(raw) + 8))
+    weight = Counter()
+    for slot, _, _, size in rows:
+        weight[slot] += size
+    share, shard_of = sum(weight.values()) / n_shards, {slot: slot % n_shards for slot in range(n_slots)}
+    load, moving = [0] * n_shards, []
+    for slot in sorted(weight, key=lambda x: (-weight[x], x)):
+        if load[slot % n_shards] + weight[slot] <= share * (1 - slack):
+            load[slot % n_shards] += weight[slot]
+        else:
+            moving.append(slot)
+    for slot in moving:
+        least = load.index(min(load))
+        shard_of[slot] = least
+        load[least] += weight[slot]
+    out, taken = Counter(), Counter()
+    for slot, i, crc, _ in sorted(rows, key=lambda x: (x[0], x[1] is not None, x[1] or 0, x[2])):
+        shard = shard_of[slot]
+        out[i, crc, shard, taken[shard]] += 1
+        taken[shard] += 1
+    return out
+
+
+@pytest.mark.parametrize("table", ["edge", "small"])
+def test_query_equals_brute_force(spark, edge_docs, folder, small_dir, table):
+    path = folder(documents=edge_docs) if table == "edge" else small_dir
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    got = Counter((r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in op4_slot_sharding(spark, path).collect())
+    assert got == placed_by_brute(docs)
+
+
 def test_query_evens_bytes_and_agrees_with_itself(spark, small_dir):
     rows = op4_slot_sharding(spark, small_dir).collect()
     load = Counter()

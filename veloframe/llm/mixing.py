@@ -215,8 +215,8 @@ def with_takes(docs: DataFrame, mix_rows: DataFrame, taken: DataFrame, fields: l
                of: str = "") -> DataFrame:
     """Each row of ``docs`` of which something is taken, with ``__takes``: a list of ``fields`` of ``taken``.
 
-    A row that is alone with its id and text needs no number, so its text is shuffled once; only rows that
-    share them are numbered, by ``order``, and dealt again by number. ``of`` says where id and text are. Jobs
+    A row that is alone with its id and text needs no number, so its text is not shuffled for one; only rows
+    that share them are numbered, by ``order``, and dealt again by number. ``of`` says where id and text are. Jobs
     run here, and the sizes that ``mix`` wrote go.
     """
     key = row_key("doc_id", F.col("tie"))
