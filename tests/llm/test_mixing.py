@@ -159,6 +159,18 @@ def test_mixed_texts_hold_the_words_taken(spark, edge_docs):
     assert all(r["n_chars"] == len(r["text"]) for r in rows)
 
 
+def test_many_sources_are_joined_without_a_broadcast(spark):
+    r = random.Random(9)
+    rows = [document(i, sentence(r, r.randint(0, 90)), "hot" if i % 3 else f"s{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = [[Counter(map(tuple, part.collect())) for part in M.mix(docs, max_broadcast_bytes=b)]
+             for b in (0, M.BROADCAST_BYTES)]
+    assert found[0] == found[1]
+    key = ["doc_id", "source", "text"]
+    texts = [Counter(map(tuple, M.mixed(docs, max_broadcast_bytes=b).select(*key).collect())) for b in (0, M.BROADCAST_BYTES)]
+    assert texts[0] == texts[1] and len(texts[0]) > 50
+
+
 def test_empty_table(spark, no_docs, folder):
     assert op6_source_mixing(spark, folder(documents=no_docs)).count() == 0
     assert M.mixed(no_docs).count() == 0

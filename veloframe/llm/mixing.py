@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from veloframe.llm.common import (ROW, ROW_KEY, packed, row_key, running_start, sliced, texts, unpacked, word_count,
                                   written)
+from veloframe.operators.relational import BROADCAST_BYTES, salted_join
 from veloframe.sources.catalog import drop_files
 
 #: Words in a block; a source's share is met to about one block.
@@ -151,15 +152,17 @@ def source_key(source: str = "source") -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
-        block_words: int = BLOCK_WORDS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+        block_words: int = BLOCK_WORDS, seed: int = 17, max_broadcast_bytes: int = BROADCAST_BYTES
+        ) -> tuple[DataFrame, DataFrame]:
     """Mix ``docs`` (doc_id, text, source).
 
     Returns the rows (doc_id, tie, copy, source, size, source_size, target) and what the mix takes
     of them: (doc_id, tie, copy, epoch, block, first, words, out_shard, slot, place), words ``first``
     to ``first + words`` of the document, which stand in a slot of an output shard from word ``place``
     on. ``tie`` is a hash of the text and ``copy`` numbers equal rows. One row per
-    source, and one per virtual column of the draws, are kept on the driver; jobs run here to size
-    the sources.
+    source, and one per virtual column of the draws, are kept on the driver; the sources' table is
+    broadcast up to ``max_broadcast_bytes``, and beyond that joined with hot sources salted. Jobs run
+    here to size the sources.
     """
     spark = docs.sparkSession
     same = Window.partitionBy("doc_id", "tie").orderBy("skey")
@@ -167,14 +170,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
         docs.select("doc_id", F.xxhash64("text").alias("tie"), "source", word_count(F.col("text")).alias("size"))
         .withColumn("skey", source_key())
         .withColumn("copy", F.row_number().over(same)), "mix-sizes")
-    sources = sorted((r[0], int(r[1])) for r in sized.groupBy("skey").agg(F.sum("size")).collect())
-    sizes = [s for _, s in sources]
+    sources = sorted((r[0], int(r[1]), int(r[2])) for r in sized.groupBy("skey").agg(
+        F.sum("size"), F.count("*")).collect())
+    sizes = [s for _, s, _ in sources]
     targets = source_targets(sizes, weights, share, most)
     n_blocks, due = draws(sizes, targets, block_words)
-    table = F.broadcast(spark.createDataFrame(
-        [(k, i, s, t) for i, ((k, s), t) in enumerate(zip(sources, targets, strict=True))],
-        "skey string, source_no int, source_size long, target double"))
-    rows = sized.join(table, "skey").drop("skey")
+    table = spark.createDataFrame(
+        [(k, i, s, t, n) for i, ((k, s, n), t) in enumerate(zip(sources, targets, strict=True))],
+        "own_skey string, source_no int, source_size long, target double, n_rows long")
+    if sum(len(k.encode()) + 96 for k, _, _ in sources) <= max_broadcast_bytes:
+        rows = sized.join(F.broadcast(table), F.col("skey") == F.col("own_skey"))
+    else:
+        rows = salted_join(sized, table, F.col("skey"), "own_skey", "n_rows")
+    rows = rows.drop("skey", "own_skey", "n_rows")
     keyed = running_start(rows, ["source_no"], ["doc_id", "tie", "copy"], F.col("size"),
                           sized.count(), "start").where("size > 0")
     spans = (keyed.select("doc_id", "tie", "copy", "source_no", "size", "start", F.explode(F.sequence(
