@@ -108,3 +108,28 @@ def test_sample_brings_one_text_of_each_id(spark, monkeypatch):
     long_ = docs.unionByName(spark.createDataFrame([(ids[3], "zz" * 100)], "doc_id long, text string"))
     assert X.sampled(long_, labels, chars=150) and max(len(t) for t, _ in X.sampled(long_, labels, chars=150)) < 150
     assert len(X.sampled(docs, labels, per_label=3)) == 6
+
+
+def test_fit_holds_each_word_once():
+    """Tokens are numbers, not strings and lists of their own: the driver's memory is bounded."""
+    import tracemalloc
+
+    r = random.Random(11)
+    vocabulary = [f"{''.join(r.choice('abcdefghij') for _ in range(7))}" for _ in range(3000)]
+    raw = [" ".join(r.choice(vocabulary) for _ in range(1000)) for _ in range(200)]
+    labels = [k % 2 for k in range(200)]
+    raw = [x + " vile filth" * 5 if k else x for x, k in zip(raw, labels, strict=True)]
+    tracemalloc.start()
+    X.fit(raw, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * 1000 * 240
+
+
+def test_sums_equal_bincount_to_the_bit(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(X, "STEMS_AT_ONCE", 7)
+    draw = np.random.default_rng(2)
+    place, of, values = draw.integers(0, 20, 500, np.int32), draw.integers(0, 9, 500, np.int32), draw.normal(size=9)
+    assert X.sums(place, values, of, 25).tobytes() == np.bincount(place, values[of], 25).tobytes()

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -156,42 +157,60 @@ def toxic_stems(documents: list[list[str]], toxic: np.ndarray) -> set[str]:
     return {s for s, n in bad.items() if n >= least and n / (n + ratio * clean[s]) >= PURITY}
 
 
+#: Stems of tokens added at one time.
+STEMS_AT_ONCE = 1 << 18
+
+
+def sums(place: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """``np.bincount(place, values[of], size)``, a part at a time and added in the same order."""
+    out = np.zeros(size)
+    for at in range(0, len(place), STEMS_AT_ONCE):
+        np.add.at(out, place[at:at + STEMS_AT_ONCE].astype(np.intp), values[of[at:at + STEMS_AT_ONCE]])
+    return out
+
+
 def fit(raw: list[str], labels: list[int]) -> Chain:
     """Train the chain and the document score on labelled texts."""
     toxic = np.array(labels) == 1
     if not toxic.any() or toxic.all():
         return Chain()
-    documents = [[w.lower() for w in WORD.findall(t)] for t in raw]
+    same: dict[str, str] = {}  # one string for each word, however often it occurs
+    documents = [[same.setdefault(x, x) for x in (w.lower() for w in WORD.findall(t))] for t in raw]
     marked = toxic_stems(documents, toxic)
     vocabulary: dict[str, int] = {}
     counts = Counter(s for words in documents for w in set(words) for s in stems(w))
     kept = {s for s, n in counts.items() if n >= 3}
-    of_word: dict[str, tuple[list[int], bool]] = {}
-    pieces, gold = [], []
+    del same, counts
+    of_word: dict[str, int] = {}
+    ids_of: list[array] = []
+    marks_of: list[bool] = []
+    pieces: list[tuple[array, int]] = []  # the numbers of a segment's words, and the document's label
     for words, label in zip(documents, toxic, strict=True):
         for at in range(0, len(words), SEGMENT):
-            rows, tags = [], []
+            numbers = array("i")
             for w in words[at:at + SEGMENT]:
                 if w not in of_word:
                     s = stems(w)
-                    of_word[w] = ([vocabulary.setdefault(x, len(vocabulary)) for x in s if x in kept],
-                                  any(x in marked for x in s))
-                rows.append(of_word[w][0])
-                tags.append(bool(label) and of_word[w][1])
-            pieces.append(rows)
-            gold.append(tags)
-    order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
-    lengths = np.array([len(pieces[i]) for i in order])
+                    of_word[w] = len(ids_of)
+                    ids_of.append(array("i", [vocabulary.setdefault(x, len(vocabulary)) for x in s if x in kept]))
+                    marks_of.append(any(x in marked for x in s))
+                numbers.append(of_word[w])
+            pieces.append((numbers, bool(label)))
+    del of_word, kept, marked
+    order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i][0]))
+    lengths = np.array([len(pieces[i][0]) for i in order])
     n, steps = len(order), int(lengths[0]) if len(order) else 0
     if not steps:
         return Chain()
-    y, token, feature = np.zeros((steps, n)), [], []
+    y, token, feature = np.zeros((steps, n)), array("i"), array("i")
     for c, i in enumerate(order):
-        y[:lengths[c], c] = gold[i]
-        for t, ids in enumerate(pieces[i]):
-            token += [t * n + c] * len(ids)
-            feature += ids
-    token, feature = np.array(token, np.int64), np.array(feature, np.int64)
+        numbers, label = pieces[i]
+        y[:lengths[c], c] = [label and marks_of[k] for k in numbers]
+        for t, k in enumerate(numbers):
+            token.extend([t * n + c] * len(ids_of[k]))
+            feature.extend(ids_of[k])
+    del pieces, ids_of, marks_of
+    token, feature = np.array(token, np.int32), np.array(feature, np.int32)
     valid = np.arange(steps)[:, None] < lengths[None, :]
     pairs = valid[1:]
     w, bias, moves = np.zeros(len(vocabulary)), -3.0, np.zeros((2, 2))
@@ -199,18 +218,24 @@ def fit(raw: list[str], labels: list[int]) -> Chain:
     seen_moves = np.array([[((1 - y[:-1]) * (1 - y[1:]) * pairs).sum(), ((1 - y[:-1]) * y[1:] * pairs).sum()],
                            [(y[:-1] * (1 - y[1:]) * pairs).sum(), (y[:-1] * y[1:] * pairs).sum()]])
     for _ in range(PASSES):
-        e = np.clip(bias + np.bincount(token, w[feature], steps * n).reshape(steps, n), -MOST, MOST)
+        e = np.clip(bias + sums(token, w, feature, steps * n).reshape(steps, n), -MOST, MOST)
         odds, forward, backward = marginals(e, lengths, moves)
         miss = np.where(valid, y - odds / (1 + odds), 0.0)
         a, x = np.exp(moves), np.exp(e[1:]) * backward[1:]
+        del e, odds, backward
         cells = np.stack([np.full_like(x, a[0, 0]), a[0, 1] * x, a[1, 0] * forward[:-1], a[1, 1] * forward[:-1] * x])
-        expected = (cells / cells.sum(axis=0) * pairs).sum(axis=(1, 2)).reshape(2, 2)
-        up_w = np.bincount(feature, miss.ravel()[token], len(w)) - RIDGE * n * w
+        del x, forward
+        cells /= cells.sum(axis=0)
+        cells *= pairs
+        expected = cells.sum(axis=(1, 2)).reshape(2, 2)
+        del cells
+        up_w = sums(feature, miss.ravel(), token, len(w)) - RIDGE * n * w
         up_b, up_m = miss.sum(), seen_moves - expected - RIDGE * n * moves
         past_w, past_b, past_m = past_w + up_w ** 2, past_b + up_b ** 2, past_m + up_m ** 2
         w += RATE * up_w / np.sqrt(past_w)
         bias += RATE * up_b / np.sqrt(past_b)
         moves += RATE * up_m / np.sqrt(past_m)
+    del token, feature, y, miss, valid, pairs
     chain = Chain({s: float(w[k]) for s, k in vocabulary.items() if abs(w[k]) > 0.02}, float(bias),
                   ((moves[0, 0], moves[0, 1]), (moves[1, 0], moves[1, 1])))
     points = np.array([[*evidence(p), 1.0] for p in tag(documents, Emissions(chain), chain)])
