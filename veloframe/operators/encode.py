@@ -174,25 +174,51 @@ def index_columns(df: DataFrame, cols: Sequence[str], handle_invalid: str = "err
     return out.select(*exprs)
 
 
+#: Widest vector whose metadata names each of its features. Names of more would be held by the driver with every
+#: schema and written into every file.
+MOST_NAMED = 1_000
+
+
+def _width(df: DataFrame, column: str) -> int | None:
+    """Features that a column adds to a vector, as far as its metadata tells; a number adds one."""
+    field = df.schema[column]
+    if field.dataType.typeName() in ("vector", "udt", "vectorudt"):
+        return field.metadata.get("ml_attr", {}).get("num_attrs")
+    return 1
+
+
+def _unnamed(column: str, width: int | None, name: str | None = None) -> F.Column:
+    """The vector column, beyond ``MOST_NAMED`` features with its width alone as metadata."""
+    if width is None or width <= MOST_NAMED:
+        return F.col(f"`{column}`").alias(name or column)
+    return F.col(f"`{column}`").alias(name or column, metadata={"ml_attr": {"num_attrs": width}})
+
+
 def one_hot(df: DataFrame, cols: Sequence[str], drop_last: bool = False) -> DataFrame:
     """M2: each index column -> a sparse unit vector under its own name.
 
     Width = number of categories (from the index metadata; ``drop_last``
     False keeps all of them).
     """
+    values = {c: df.schema[c].metadata.get("ml_attr", {}).get("num_vals") for c in cols}
+    widths = {c: None if k is None else k - drop_last for c, k in values.items()}
     tmp = [f"__oh_{c}" for c in cols]
     model = OneHotEncoder(inputCols=list(cols), outputCols=tmp, dropLast=drop_last).fit(df)
     out = model.transform(df)
     renamed = dict(zip(tmp, cols))
-    return out.select(*[F.col(t).alias(renamed[t]) if t in renamed else F.col(f"`{t}`")
-                        for t in out.columns if t not in cols])
+    kept = [c for c in df.columns if c not in cols]
+    return out.select(*[F.col(f"`{c}`") for c in kept], *[_unnamed(t, widths[renamed[t]], renamed[t]) for t in tmp])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
              handle_invalid: str = "error") -> DataFrame:
     """M3: concatenate numbers and vectors, in list order, into one vector."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out,
-                           handleInvalid=handle_invalid).transform(df)
+    widths = [_width(df, c) for c in cols]
+    made = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=handle_invalid).transform(df)
+    width = None if None in widths else sum(widths)
+    if width is None or width <= MOST_NAMED:
+        return made
+    return made.select(*[F.col(f"`{c}`") for c in df.columns], _unnamed(out, width))
 
 
 def labelled_points(df: DataFrame, label_source: str, features: str = "features",
@@ -207,30 +233,16 @@ def vector_width(df: DataFrame, column: str = "features") -> int:
 
 
 def entry_indices(vector: str) -> F.Column:
-    """Indices of a vector's non-zero entries, as array<int>.
-
-    A sparse vector is not expanded to its width; a vector is stored dense only
-    where most of it is non-zero.
-    """
-    text = F.col(vector).cast("string")
-    listed = F.regexp_extract(text, r"^\(\d+,\[([^\]]*)\]", 1)
-    values = F.split(F.regexp_extract(text, r"^\[([^\]]*)\]", 1), ",")
-    dense = F.filter(F.transform(values, lambda x, k: F.when(x.try_cast("double") != 0, k)), lambda k: k.isNotNull())
-    sparse = F.when(listed == "", F.array().cast("array<int>")).otherwise(F.split(listed, ",").cast("array<int>"))
-    return F.when(text.startswith("["), dense).otherwise(sparse)
+    """Indices of a vector's non-zero entries, as array<int>."""
+    return F.transform(entries(vector), lambda e: e["index"])
 
 
 def entries(vector: str) -> F.Column:
-    """A vector's non-zero entries, as array<struct<index int, value double>>, read from its text form, which
-    keeps doubles to the last bit; a sparse vector is not expanded to its width."""
-    text = F.col(vector).cast("string")
-
-    def listed(pattern: str, kind: str) -> F.Column:
-        return F.transform(F.split(F.regexp_extract(text, pattern, 1), ","), lambda x: x.try_cast(kind))
-
-    values = listed(r"\[([^\[\]]*)\]\)?$", "double")
-    at = F.when(text.startswith("["), F.sequence(F.lit(0), F.size(values) - 1)).otherwise(
-        listed(r"^\(\d+,\[([^\]]*)\]", "int"))
+    """A vector's non-zero entries, as array<struct<index int, value double>>, read from the struct that a vector
+    is stored as; a sparse vector is not expanded to its width. A dense one has no list of indices."""
+    stored = F.unwrap_udt(F.col(vector))
+    values = stored["values"]
+    at = F.coalesce(stored["indices"], F.sequence(F.lit(0), F.size(values) - 1))
     pairs = F.zip_with(at, values, lambda i, v: F.named_struct(F.lit("index"), i, F.lit("value"), v))
     return F.filter(pairs, lambda e: e["value"].isNotNull() & (e["value"] != 0))
 

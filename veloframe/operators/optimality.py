@@ -13,12 +13,16 @@ wherever some feature's gradient exceeds the bound.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veloframe.operators.encode import entries
+from veloframe.operators.learn import scored_by
+from veloframe.sources.catalog import cut_lineage
 
 
 def gradient_sums(scored: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
@@ -33,17 +37,19 @@ def gradient_sums(scored: DataFrame, features: str = "features", label: str = "l
 
 
 def penalty_gaps(train: DataFrame, model: LogisticRegressionModel, features: str = "features",
-                 label: str = "label") -> DataFrame:
+                 label: str = "label", kept: Sequence[int] | None = None) -> DataFrame:
     """(feature, coefficient, gap) of a fitted two-class model over its training rows; feature -1 is the
-    intercept. Features that are constant in the rows carry no penalty and are left out."""
+    intercept. Features that are constant in the rows carry no penalty and are left out. For a model of the
+    features ``kept`` alone, all others are held to the conditions with coefficient 0."""
     if model.numClasses != 2:
         raise ValueError("the conditions are those of two classes")
     spark = train.sparkSession
     lam, alpha = model.getRegParam(), model.getElasticNetParam()
-    sums = gradient_sums(model.transform(train), features, label)
+    sums = cut_lineage(gradient_sums(scored_by(model, kept, train), features, label), "gradient")
     n = sums.where(F.col("feature") == -1).select(F.col("values").alias("n"))
     beta = spark.createDataFrame(
-        [(int(i), float(v)) for i, v in zip(*_nonzero(model.coefficients), strict=True)], "feature int, coefficient double")
+        [(int(kept[i]) if kept else int(i), float(v)) for i, v in zip(*_nonzero(model.coefficients), strict=True)],
+        "feature int, coefficient double")
     rows = (sums.join(beta, "feature", "left").fillna(0.0, ["coefficient"])
             .join(F.broadcast(n.withColumn("one", F.lit(1))), F.lit(1) == F.col("one")))
     deviation = F.sqrt(F.greatest(F.lit(0.0), (F.col("squares") - F.col("values") ** 2 / F.col("n")) / (F.col("n") - 1)))
@@ -63,9 +69,10 @@ def _nonzero(vector) -> tuple[list, list]:
     return at.tolist(), dense[at].tolist()
 
 
-def penalty_report(train: DataFrame, model: LogisticRegressionModel, tolerance: float = 1e-3) -> DataFrame:
+def penalty_report(train: DataFrame, model: LogisticRegressionModel, tolerance: float = 1e-3,
+                   kept: Sequence[int] | None = None) -> DataFrame:
     """One row: rows, non-zero coefficients, the widest gap, and whether it is within ``tolerance``."""
-    gaps = penalty_gaps(train, model)
+    gaps = penalty_gaps(train, model, kept=kept)
     found = gaps.agg(F.count_if((F.col("feature") >= 0) & (F.col("coefficient") != 0)).alias("active"),
                      F.max("gap").alias("gap"))
     return found.select("active", "gap", (F.col("gap") <= tolerance).cast("int").alias("optimal"))

@@ -33,6 +33,8 @@ class FittedTrips:
     model: LogisticRegressionModel
     inputs: tuple[str, ...]
     label: str
+    #: The features that the model is of; None: all.
+    kept: tuple[int, ...] | None = None
 
     def features(self, trips: DataFrame, key: str = KEY, keep: tuple[str, ...] = ()) -> DataFrame:
         """(key, kept columns, features) of trips, encoded by the stored sums and labels."""
@@ -44,7 +46,7 @@ class FittedTrips:
 
     def score(self, trips: DataFrame, key: str = KEY) -> DataFrame:
         """(key, prediction, probability, predicted): the class's number, its probability vector and text."""
-        scored = self.model.transform(self.features(trips, key))
+        scored = learn.scored_by(self.model, self.kept, self.features(trips, key))
         texts = self.labels.where(F.col("col") == self.label).select(
             F.col("idx").cast("double").alias("__idx"), F.col("value").alias("predicted"))
         return scored.join(F.broadcast(texts), F.col("prediction") == F.col("__idx"), "left").select(
@@ -57,7 +59,7 @@ class FittedTrips:
         self.labels.write.mode(mode).partitionBy("col").parquet(f"{path}/labels")
         writer = self.model.write()
         (writer.overwrite() if overwrite else writer).save(f"{path}/model")
-        settings = json.dumps({"inputs": list(self.inputs), "label": self.label})
+        settings = json.dumps({"inputs": list(self.inputs), "label": self.label, "kept": self.kept})
         self.sums.sparkSession.createDataFrame([(settings,)], "value string").coalesce(1).write.mode(mode).text(
             f"{path}/settings")
 
@@ -66,10 +68,12 @@ def load_fitted(spark: SparkSession, path: str) -> FittedTrips:
     """Read what ``FittedTrips.save`` wrote."""
     settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
     labels = spark.read.schema("value string, n long, idx long, col string").parquet(f"{path}/labels")
+    kept = settings.get("kept")
     return FittedTrips(
         spark.read.schema(state.state_schema(STATION)).parquet(f"{path}/sums"),
         labels.select("col", "value", "n", "idx"),
-        LogisticRegressionModel.read().session(spark).load(f"{path}/model"), tuple(settings["inputs"]), settings["label"])
+        LogisticRegressionModel.read().session(spark).load(f"{path}/model"), tuple(settings["inputs"]), settings["label"],
+        None if kept is None else tuple(kept))
 
 
 def fit_trips(trips: DataFrame, estimator=None, inputs: tuple[str, ...] = tuple(ALL_INPUTS), label: str = LABEL_SOURCE,
@@ -85,6 +89,6 @@ def fit_trips(trips: DataFrame, estimator=None, inputs: tuple[str, ...] = tuple(
     d = encode.index_columns(d, [label], labels=labels)
     d = encode.index_columns(d, list(inputs), "keep", labels)
     points = cut_lineage(encode.labelled_points(encode.assemble(encode.one_hot(d, list(inputs)), list(inputs)), label), "points")
-    model = (estimator or learn.logistic_regression()).fit(points)
+    model, kept = learn.fit_logistic(estimator or learn.logistic_regression(), points)
     drop_files(points)
-    return FittedTrips(sums, labels, model, inputs, label)
+    return FittedTrips(sums, labels, model, inputs, label, None if kept is None else tuple(kept))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from veloframe.operators import encode, learn, optimality, rules, state
+from veloframe.operators import encode, indicator_tree, learn, optimality, rules, state
 from veloframe.operators import features as feat
 from veloframe.operators.relational import non_empty, part_counts, stack
 from veloframe.sources.catalog import cut_lineage, drop_files, keep, read_table, save_table
@@ -99,15 +99,20 @@ def dealt_by_key(points: DataFrame, key: str = KEY, rows: int = ROWS_PER_PART) -
 
 
 def train_and_measure(points: DataFrame, models: Sequence[str], seed: int, split: str = "hash",
-                      key: str = KEY) -> DataFrame:
+                      key: str = KEY, indicators: bool = False) -> DataFrame:
     """Fit each model on the train part of ``points`` (features, label, key), score the validation part.
 
     Runs the jobs: the points are written first, the two parts are kept in
     executor memory for the iterations, and both are given up again once the
-    figures, a few rows, are written.
+    figures, a few rows, are written. ``indicators`` says that the vectors are
+    one-hot: a single tree is then grown over their entries, and without a
+    forest, which draws by partition, the parts are read from the files.
     """
     points = cut_lineage(points, "points")
-    train, valid = (keep(part) for part in split_points(dealt_by_key(points, key), seed, split, key))
+    if indicators and "random_forest" not in models:
+        train, valid = split_points(points, seed, split, key)
+    else:
+        train, valid = (keep(part) for part in split_points(dealt_by_key(points, key), seed, split, key))
     makers = {
         "random_forest": lambda: learn.random_forest(seed),
         "decision_tree": lambda: learn.decision_tree(seed),
@@ -115,7 +120,10 @@ def train_and_measure(points: DataFrame, models: Sequence[str], seed: int, split
     }
     frames = []
     for m in models:
-        scored = learn.fit_and_score(makers[m](), train, valid)
+        if indicators and m == "decision_tree":
+            scored = indicator_tree.fit_and_score(train, valid, learn.TREE_MAX_DEPTH)
+        else:
+            scored = learn.fit_and_score(makers[m](), train, valid)
         frames.append(learn.accuracy_frame(scored).select(
             F.lit(m).alias("model"), "n", "accuracy", "test_error"))
     result = cut_lineage(stack(*frames), "accuracy")
@@ -206,7 +214,7 @@ def all_features_job(trip_parts: Sequence[DataFrame], seed: int = 42, table_name
     """Drop incomplete trips per part, stack, features, encode, fit, measure."""
     trips = stack(*[non_empty(p, TRIP_REQUIRED_TEXT) for p in trip_parts])
     points = all_features_points(trips, table_name, table_path, key, fit_on)
-    return train_and_measure(points, models, seed, split, key)
+    return train_and_measure(points, models, seed, split, key, indicators=True)
 
 
 def station_points(trips: DataFrame, key: str = KEY) -> DataFrame:
@@ -242,12 +250,10 @@ def penalised_fit_report(points: DataFrame, estimator=None, key: str = KEY) -> D
     """One row about a logistic regression of the train part (the jobs' settings unless given): its rows,
     non-zero coefficients, and whether it meets the conditions of the penalised optimum."""
     points = cut_lineage(points, "points")
-    train, _ = encode.split_by_hash(dealt_by_key(points, key), key)
-    train = keep(train)
-    model = (estimator or learn.logistic_regression()).fit(train)
-    report = optimality.penalty_report(train, model).withColumn("n", F.lit(train.count()).cast("bigint"))
+    train, _ = encode.split_by_hash(points, key)
+    model, kept = learn.fit_logistic(estimator or learn.logistic_regression(), train)
+    report = optimality.penalty_report(train, model, kept=kept).withColumn("n", F.lit(train.count()).cast("bigint"))
     result = cut_lineage(report, "optimality")
-    train.unpersist()
     drop_files(points)
     return result
 

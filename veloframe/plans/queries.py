@@ -399,7 +399,7 @@ def dt_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lr_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logistic regression on all one-hot features, md5 split."""
     points = jobs.all_features_points(fx.trips(spark, sf_dir))
-    return jobs.train_and_measure(points, ["logistic_regression"], SEED).select("accuracy")
+    return jobs.train_and_measure(points, ["logistic_regression"], SEED, indicators=True).select("accuracy")
 
 
 def _by_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
